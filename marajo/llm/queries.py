@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marajo.llm import simhash
+from marajo.llm import decontam, lines, shards, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,9 +20,76 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(_read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+OP2_SQL = """
+with split as (
+  select doc_id, text, string_split(text, chr(10)) as ls from documents),
+windows as (
+  select doc_id, i, ls[i] || chr(10) || ls[i + 1] || chr(10) || ls[i + 2] as w
+  from (select doc_id, ls, unnest(range(1, len(ls) - 1)) as i from split)),
+numbered as (
+  select doc_id, i, row_number() over (partition by w order by doc_id, i) as rn from windows),
+gone as (
+  select doc_id, list(distinct p) as ps
+  from (select doc_id, unnest([i, i + 1, i + 2]) as p from numbered where rn > 1) group by doc_id)
+select s.doc_id, cast(coalesce(len(ls), 0) as bigint) as n_lines, cast(coalesce(len(ps), 0) as bigint) as n_removed,
+  case when ps is null then s.text
+       else array_to_string(list_transform(list_filter(range(1, len(ls) + 1), lambda p: not list_contains(ps, p)), lambda p: ls[p]), chr(10)) end as text
+from split s left join gone using (doc_id)
+"""
+
+
+def op8_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = shards.place(_read(spark, sf_dir, "documents"), shards.even_tree(40), shards.even_tree(41))
+    return tree.withColumn("law", F.lit("key"))
+
+
+def op9_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.matches(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    names = F.array_sort(F.transform("item_ids", lambda i: i.cast("string")))
+    hits = F.aggregate("spans", F.lit(0), lambda a, s: a + s["end"] - s["start"]).cast("long")
+    return found.select(
+        "doc_id",
+        "n_words",
+        hits.alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+OP9_SQL = r"""
+with fold as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+items as (
+  select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark where text is not null and item_id is not null),
+windows as (
+  select distinct item_id, least(10, len(ws)) as n, array_to_string(ws[i : i + least(10, len(ws)) - 1], ' ') as g
+  from (select item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) as i from items where len(ws) > 0)),
+lens as (select distinct n from windows),
+places as (
+  select doc_id, i, n, array_to_string(ws[i : i + n - 1], ' ') as g
+  from (select doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) as i from fold, lens where len(ws) >= n)),
+hits as (select p.doc_id, p.i, p.n, w.item_id from places p join windows w on p.g = w.g and p.n = w.n),
+words as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hits) group by doc_id),
+owners as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
+select f.doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+  cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from fold f left join words using (doc_id) left join owners using (doc_id)
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op8_hash_tree_shards, op9_automaton_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_line_dedup": OP2_SQL, "op9_automaton_decontamination": OP9_SQL}
