@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marajo.llm import decontam, lines, shards, simhash
+from marajo.llm import decontam, lines, quality, shards, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,62 @@ from split s left join gone using (doc_id)
 """
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdict = quality.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return verdict.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def _op6_sql() -> str:
+    rules = quality.Rules()
+    grid = ", ".join(f"('{r}', {i}, {c!r})" for r, cuts in rules.cutoffs.items() for i, c in enumerate(cuts))
+    share = rules.risk / len(rules.cutoffs)
+    return rf"""
+with base as (
+  select doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as text from documents),
+split as (
+  select *, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as ws,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) as ls from base),
+windows as (
+  select doc_id, i, array_to_string(ws[i : i + 7], ' ') as w
+  from (select doc_id, ws, unnest(range(1, len(ws) - 6)) as i from split)),
+twice as (select doc_id, i from (select *, count(*) over (partition by doc_id, w) as n from windows) where n > 1),
+repeats as (
+  select doc_id, count(distinct p) as n_repeat_words from (select doc_id, unnest(range(i, i + 8)) as p from twice) group by doc_id),
+told as (
+  select doc_id, stratum, cast(len(ws) as bigint) as n_words, cast(length(array_to_string(ws, '')) as bigint) as word_chars,
+    cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols, len(ls) as n_lines,
+    cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines, cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words
+  from split left join repeats using (doc_id)),
+judged as (
+  select *, n_words < {rules.min_words} or 100 * n_repeat_words > {rules.max_repeat_percent} * n_words as base_failed from told),
+long as (
+  unpivot (select doc_id, stratum, base_failed,
+    coalesce(n_symbols / nullif(word_chars, 0), 0) as symbol_share, coalesce(n_dup_lines / nullif(n_lines, 0), 0) as dup_line_share,
+    coalesce(n_repeat_words / nullif(n_words, 0), 0) as repeat_share, coalesce(word_chars / nullif(n_words, 0), 0) as word_length from judged)
+  on symbol_share, dup_line_share, repeat_share, word_length into name rule value v),
+grid(rule, pos, cutoff) as (values {grid}),
+known as (select doc_id, min(quality) as quality from labels where quality is not null group by doc_id),
+counts as (
+  select stratum, rule, pos, cutoff, count(*) filter (quality >= 1) as n, count(*) filter (quality >= 1 and v > cutoff) as k,
+    count(*) filter (quality < 1 and v > cutoff) as bad
+  from long join known using (doc_id) join grid using (rule) where not base_failed group by all),
+tested as (
+  select *, n > 0 and k <= n * {share!r} and list_sum(list_transform(range(0, cast(k as bigint) + 1), lambda i:
+      exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share!r}) + (n - i) * ln(1 - {share!r}))))
+    <= {rules.level!r} / ((select count(distinct stratum) from counts) * {len(rules.cutoffs)}) as passed from counts),
+certified as (select *, bool_and(passed) over (partition by stratum, rule order by pos) as held from tested),
+best as (
+  select stratum, rule, cutoff from certified where held and bad > k
+  qualify row_number() over (partition by stratum, rule order by bad - k desc, pos) = 1),
+outside as (select distinct l.doc_id from long l join best b on l.stratum = b.stratum and l.rule = b.rule and l.v > b.cutoff)
+select j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and o.doc_id is null as kept
+from judged j left join outside o using (doc_id)
+"""
+
+
 def op8_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = shards.place(_read(spark, sf_dir, "documents"), shards.even_tree(40), shards.even_tree(41))
     return tree.withColumn("law", F.lit("key"))
@@ -88,8 +144,8 @@ from fold f left join words using (doc_id) left join owners using (doc_id)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op8_hash_tree_shards, op9_automaton_decontamination)}
+    return {f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op6_quality_rules, op8_hash_tree_shards, op9_automaton_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op9_automaton_decontamination": OP9_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op6_quality_rules": _op6_sql(), "op9_automaton_decontamination": OP9_SQL}
