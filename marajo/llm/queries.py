@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marajo.llm import decontam, lines, quality, shards, simhash
+from marajo.llm import decontam, lines, pii, quality, shards, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,6 +98,18 @@ from judged j left join outside o using (doc_id)
 """
 
 
+def _told(spans: str):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def op7_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_read(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(k) for k in pii.KINDS], F.sha2(_told("base").cast("binary"), 256).alias("base_sha256"), _told("spans").alias("spans")
+    )
+
+
 def op8_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = shards.place(_read(spark, sf_dir, "documents"), shards.even_tree(40), shards.even_tree(41))
     return tree.withColumn("law", F.lit("key"))
@@ -144,7 +156,7 @@ from fold f left join words using (doc_id) left join owners using (doc_id)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op6_quality_rules, op8_hash_tree_shards, op9_automaton_decontamination)}
+    return {f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op6_quality_rules, op7_pii_disclosure, op8_hash_tree_shards, op9_automaton_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
