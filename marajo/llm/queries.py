@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marajo.llm import decontam, lines, pii, quality, shards, simhash
+from marajo.llm import decontam, lines, pii, quality, shards, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -155,9 +155,26 @@ from fold f left join words using (doc_id) left join owners using (doc_id)
 """
 
 
+def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+OP10_SQL = """
+with p as (select page_id, coalesce(html, '') as h from pages),
+held as (
+  select h, max(page_id) as holder from p where strlen(h) >= 1000 group by h having count(*) > 1)
+select page_id, cast(strlen(p.h) as bigint) as payload_bytes, sha1(p.h) as payload_digest,
+  case when holder is null or holder = page_id then 'response' else 'revisit' end as record_type,
+  case when holder <> page_id then holder end as refers_to
+from p left join held on p.h = held.h
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op6_quality_rules, op7_pii_disclosure, op8_hash_tree_shards, op9_automaton_decontamination)}
+    return {f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op6_quality_rules, op7_pii_disclosure, op8_hash_tree_shards, op9_automaton_decontamination, op10_warc_zstd)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op6_quality_rules": _op6_sql(), "op9_automaton_decontamination": OP9_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op6_quality_rules": _op6_sql(), "op9_automaton_decontamination": OP9_SQL, "op10_warc_zstd": OP10_SQL}
