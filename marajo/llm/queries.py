@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marajo.llm import chat, decontam, lines, pieces, pii, quality, shards, simhash, warc
+from marajo.llm import chat, decontam, lines, pieces, pii, quality, repeats, shards, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,27 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.dedup_substrings(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP4_SQL = r"""
+with d as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as ws from documents),
+w as (
+  select doc_id, i, sha256(array_to_string(ws[i : i + 49], ' ')) as h from (select doc_id, ws, unnest(range(1, len(ws) - 48)) as i from d)),
+later as (select doc_id, i from (select *, min(doc_id) over (partition by h) as least from w) where least < doc_id),
+gone as (select distinct doc_id, unnest(range(i, i + 50)) as p from later),
+words as (select doc_id, unnest(ws) as word, generate_subscripts(ws, 1) as p from d),
+kept as (
+  select doc_id, string_agg(word, ' ' order by p) as t from words anti join gone using (doc_id, p) group by doc_id),
+lost as (select doc_id, count(*) as n from gone group by doc_id)
+select d.doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join lost using (doc_id) left join kept using (doc_id)
+"""
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = r"\### Assistant: </turn> ok"
@@ -207,8 +228,8 @@ from p left join held on p.h = held.h
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op3_sentencepiece, op5_chat_format, op6_quality_rules, op7_pii_disclosure, op8_hash_tree_shards, op9_automaton_decontamination, op10_warc_zstd)}
+    return {f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op3_sentencepiece, op4_substring_dedup, op5_chat_format, op6_quality_rules, op7_pii_disclosure, op8_hash_tree_shards, op9_automaton_decontamination, op10_warc_zstd)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op5_chat_format": OP5_SQL, "op6_quality_rules": _op6_sql(), "op9_automaton_decontamination": OP9_SQL, "op10_warc_zstd": OP10_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op5_chat_format": OP5_SQL, "op6_quality_rules": _op6_sql(), "op9_automaton_decontamination": OP9_SQL, "op10_warc_zstd": OP10_SQL}
