@@ -51,6 +51,18 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows (a key and at most a few hundred bytes) that may be sent to every executor.
+BROADCAST_ROWS = 50_000
+
+
+def small_side(df: DataFrame, name: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` written once and counted: marked for broadcast at ``limit`` rows or fewer, else left to a shuffled join."""
+    from pyspark.sql import functions as F
+
+    held = stash(df, name)
+    return F.broadcast(held) if held.count() <= limit else held
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Reliable checkpoint for small iterated tables; files go when the frame is collected as garbage."""
     checkpoint_root(df.sparkSession)
