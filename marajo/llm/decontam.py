@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marajo.llm.arrow import as_bytes, lists, steps
+from marajo.session import small_side
 
 BLOCK_WORDS = 100_000
 
@@ -274,12 +275,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_cover
     def cut_text(text, spans):
         import pandas as pd
 
-        return pd.Series([cut(t.encode(), [(s["start"], s["end"]) for s in x]).decode() for t, x in zip(text, spans, strict=True)], dtype=object)
+        return pd.Series(
+            [cut(t.encode(), [(s["start"], s["end"]) for s in x]).decode() if len(x) else t for t, x in zip(text, spans, strict=True)], dtype=object
+        )
 
     key = F.struct(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("tag"))
-    joined = docs.join(hit, key.eqNullSafe(F.col("mark_key")), "left").where(~F.coalesce("mark_drop", F.lit(False)))
-    clean = joined.where(F.col("mark_spans").isNull()).select(*[docs[c] for c in docs.columns])
-    mended = joined.where(F.col("mark_spans").isNotNull()).select(
-        *[cut_text(docs["text"], F.col("mark_spans")).alias("text") if c == "text" else docs[c] for c in docs.columns]
-    )
-    return clean.unionByName(mended)
+    joined = docs.join(small_side(hit, "hits"), key.eqNullSafe(F.col("mark_key")), "left").where(~F.coalesce("mark_drop", F.lit(False)))
+    spans = F.coalesce("mark_spans", F.array().cast(_SPANS))
+    return joined.select(*[cut_text(docs["text"], spans).alias("text") if c == "text" else docs[c] for c in docs.columns])

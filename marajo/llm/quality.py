@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marajo.session import stash
+from marajo.session import small_side, stash
 
 _SPACE = "[ \\t\\n\\x0B\\f\\r]+"
 _SYMBOL = "[#*$%&|<>]"
@@ -180,4 +180,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Dat
     Rows that share an id go if any of them is rejected; rows without an id stay, as no verdict can be tied to them.
     """
     gone = judge(docs.where(F.col("doc_id").isNotNull()), labels, rules).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(small_side(gone, "rejected"), "doc_id", "left_anti").select(*docs.columns)

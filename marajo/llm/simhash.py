@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from marajo.llm.arrow import as_bytes, steps
 from marajo.llm.graph import connected_components
-from marajo.session import stash
+from marajo.session import small_side, stash
 
 LIST_LIMIT = 256
 _HEX = "%016x"
@@ -154,4 +154,4 @@ def keep_first(docs: DataFrame, shingle: int = 3, k: int = 2, seed: int = 42) ->
     """
     verdict = near_duplicates(docs.where(F.col("doc_id").isNotNull()), shingle, k, seed)
     gone = verdict.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(small_side(gone, "copies"), "doc_id", "left_anti").select(*docs.columns)
