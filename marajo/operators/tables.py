@@ -153,14 +153,9 @@ def ratio_of_sums(n: Column, d: Column, scale: float = 100.0, digits: int = 2) -
 
 def with_total(df: DataFrame, keys: Sequence[str], group: str, measures: Sequence[str], label: str = "TOTAL") -> DataFrame:
     """Sums by keys and group, and a row ``label`` for each key, from one aggregation (grouping sets)."""
-    sums = ", ".join(f"sum({m}) as {m}" for m in measures)
-    key = ", ".join(keys)
-    detail = ", ".join([*keys, group])
-    return df.selectExpr(*keys, group, *measures).groupBy().sparkSession.sql(
-        f"select {key}{', ' if key else ''}case when grouping({group}) = 1 then '{label}' else {group} end as {group}, {sums} "
-        f"from {{df}} group by grouping sets (({detail}), ({key}))",
-        df=df,
-    )
+    sets = df.groupingSets([[*keys, group], list(keys)], *keys, group)
+    found = sets.agg(*[F.sum(m).alias(m) for m in measures], F.grouping(group).alias("_whole"))
+    return found.select(*keys, F.when(F.col("_whole") == 1, label).otherwise(F.col(group)).alias(group), *measures)
 
 
 def two_level(df: DataFrame, unit: str, region: str, counts: Mapping[str, str], sums: Sequence[str], averages: Sequence[str]) -> DataFrame:
