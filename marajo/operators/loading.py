@@ -161,7 +161,7 @@ def normal_name(name: str) -> str:
 
 def normalize_columns(df: DataFrame) -> DataFrame:
     """Column names normalised; repeated names get ``_1``, ``_2``; unnamed columns go."""
-    kept = [(i, c) for i, c in enumerate(df.columns) if not re.fullmatch(r"unnamed_*:?_*\d+", c.strip().lower())]
+    kept = [(i, c) for i, c in enumerate(df.columns) if not re.fullmatch(r"unnamed[_:\s]*\d+", c.strip().lower())]
     names, seen = [], {}
     for _, c in kept:
         base = normal_name(c)

@@ -147,7 +147,7 @@ def sectioned_report(
     w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     found = F.nullif(F.regexp_extract("text", header, 1), F.lit(""))
     at = F.last(F.when(found.isNotNull(), F.col("line_no")), ignorenulls=True).over(w)
-    told = lines.withColumns({"section": F.last(found, ignorenulls=True).over(w), "_at": at, "cells": F.transform(F.split("text", sep), F.trim)})
+    told = lines.withColumns({"section": F.last(found, ignorenulls=True).over(w), "_at": at, "cells": F.transform(F.split("text", sep), lambda c: F.trim(c))})
     keep = (F.col("line_no") > F.col("_at") + skip) & (F.size("cells") >= min_cols)
     for i in required:
         keep = keep & (F.coalesce(F.get("cells", F.lit(i)), F.lit("")) != "")

@@ -131,8 +131,9 @@ def report_document(frames: Mapping[str, DataFrame], maps: Mapping[str, tuple[st
         elif name in defaults:
             part = frame.agg(F.struct(*[F.coalesce(F.max(c), F.lit(v)).alias(c) for c, v in defaults[name].items()]).alias(name))
         else:
-            row = F.struct(F.monotonically_increasing_id().alias("_n"), F.struct(*frame.columns).alias("row"))
-            part = frame.coalesce(1).agg(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["row"]).alias(name))
+            numbered = frame.coalesce(1).select(F.monotonically_increasing_id().alias("n"), F.struct(*frame.columns).alias("row"))
+            rows = F.sort_array(F.collect_list(F.struct("n", "row")))
+            part = numbered.agg(F.transform(rows, lambda r: r["row"]).alias(name))
         parts.append(part)
     whole = reduce(lambda a, b: a.crossJoin(b), parts)
     return whole.select(F.to_json(F.struct(*frames)).alias("document"))
