@@ -279,7 +279,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_cover
             [cut(t.encode(), [(s["start"], s["end"]) for s in x]).decode() if len(x) else t for t, x in zip(text, spans, strict=True)], dtype=object
         )
 
-    key = F.struct(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("tag"))
-    joined = docs.join(small_side(hit, "hits"), key.eqNullSafe(F.col("mark_key")), "left").where(~F.coalesce("mark_drop", F.lit(False)))
+    # the rows travel in a struct, so that no column of theirs can clash
+    packed = docs.select(F.struct(*docs.columns).alias("row"))
+    key = F.struct(F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64("row.text").alias("tag"))
+    joined = packed.join(small_side(hit, "hits"), key.eqNullSafe(F.col("mark_key")), "left").where(~F.coalesce("mark_drop", F.lit(False)))
     spans = F.coalesce("mark_spans", F.array().cast(_SPANS))
-    return joined.select(*[cut_text(docs["text"], spans).alias("text") if c == "text" else docs[c] for c in docs.columns])
+    return joined.select(*[(cut_text("row.text", spans) if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -47,22 +47,19 @@ def dedup_lines(docs: DataFrame, window: int = 3) -> DataFrame:
     """
     covered = F.array_distinct(F.flatten(F.transform(F.collect_set("at"), lambda i: F.sequence(i, i + window - 1))))
     gone = later_windows(docs, window).groupBy(F.struct("doc_id", "tag").alias("gone_key")).agg(covered.alias("gone_lines"))
-    key = F.struct(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("tag"))
-    joined = docs.join(gone, key == F.col("gone_key"), "left")
-    lines = _lines(docs["text"])
-    plain = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    out = joined.select(
-        *[docs[c] for c in plain],
-        F.col("gone_lines"),
-        F.when(F.col("gone_lines").isNotNull(), lines).alias("own_lines"),
-        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-    )
-    kept_lines = F.array_except(F.sequence(F.lit(0), F.size("own_lines") - 1), F.col("gone_lines"))
-    text = F.when(F.col("gone_lines").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(kept_lines, lambda i: F.get(F.col("own_lines"), i)), "\n")
+    # the rows travel in a struct, so that no column of theirs can clash
+    packed = docs.select(F.struct(*docs.columns).alias("row"))
+    key = F.struct(F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64("row.text").alias("tag"))
+    joined = packed.join(gone, key == F.col("gone_key"), "left").select(
+        "row", "gone_lines", F.coalesce(F.when(F.col("row.text").isNotNull(), F.size(_lines(F.col("row.text")))), F.lit(0)).alias("own_lines")
     )
-    return out.select(
-        *[text.alias(c) if c == "text" else F.col(c) for c in plain],
-        F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines")).cast("long").alias("n_lines"),
+    lines = F.when(F.col("gone_lines").isNotNull(), _lines(F.col("row.text"))).alias("split_lines")
+    kept_at = F.array_except(F.sequence(F.lit(0), F.col("own_lines") - 1), F.col("gone_lines"))
+    left = F.array_join(F.transform(kept_at, lambda i: F.get(F.col("split_lines"), i)), "\n")
+    text = F.when(F.col("gone_lines").isNull(), F.col("row.text")).otherwise(left)
+    plain = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return joined.select("*", lines).select(
+        *[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in plain],
+        F.col("own_lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("gone_lines"), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -38,6 +38,8 @@ def even_tree(n: int, regions: int = 4, racks: int = 5) -> list[Leaf]:
 
 def _draws(key: Column, leaves: list[Leaf]) -> Column:
     """Array of each shard's draw and place."""
+    if not leaves:
+        return F.array().cast("array<struct<draw:double,region:int,rack:int,shard:int>>")
     places = F.array(
         *[
             F.struct(
@@ -76,15 +78,17 @@ def place(docs: DataFrame, leaves: list[Leaf], grown: list[Leaf] | None = None)
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-        _draws(key, grown or leaves).alias("draws"),
+        _draws(key, leaves).alias("draws"),
+        _draws(key, [x for x in grown or [] if x not in leaves]).alias("more"),
     )
-    known = F.array(*[F.lit(x.shard) for x in leaves])
+    gone = [x.shard for x in leaves if grown and x not in grown]
+    stays = F.filter("draws", lambda d: ~d["shard"].isin(gone)) if gone else F.col("draws")
     placed = base.select(
         "doc_id",
         "size",
         "text_crc32",
-        _descend(F.filter("draws", lambda d: F.array_contains(known, d["shard"]))).alias("shard"),
-        (_descend(F.col("draws")) if grown else F.lit(None).cast("int")).alias("grown_shard"),
+        _descend(F.col("draws")).alias("shard"),
+        (_descend(F.concat(stays, "more")) if grown else F.lit(None).cast("int")).alias("grown_shard"),
         F.coalesce(F.floor(F.col("doc_id") / BLOCK_IDS).cast("long"), F.lit(-(1 << 62))).alias("block"),
     )
     counts = placed.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n"))
