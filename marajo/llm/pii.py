@@ -133,7 +133,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, reach: int = 8, support:
     )
     pairs = stash(pairs.join(total, ["kind", "entity"]), "term-pairs")
     corpus = texts.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
-    frequency = corpus.join(_small(pairs.select("term").distinct()), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    counted = corpus.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    frequency = counted.join(_small(pairs.select("term").distinct()), "term")  # a semi-join would sink below the count
     size = docs.agg(F.count(F.lit(1)).alias("n")).first().n
     given = F.least(F.col("joint") / F.col("df"), F.lit(1.0))
     information = F.log2(given / (F.col("mentions") / F.lit(max(size, 1))))
@@ -181,9 +182,10 @@ def sanitise(docs: DataFrame, generalise: bool = True, **limits) -> DataFrame:
     """
     hit = find(docs, **limits).where(F.size("spans") > 0).distinct()
     hit = hit.select(F.struct("doc_id", "tag").alias("hit_key"), F.array_sort(F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["kind"]))).alias("hit_spans"))
-    own = F.struct(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("tag"))
-    joined = docs.join(hit, own == F.col("hit_key"), "left")
-    text = docs["text"]
+    packed = docs.select(F.struct(*docs.columns).alias("row"))  # no column of theirs can clash
+    own = F.struct(F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64("row.text").alias("tag"))
+    joined = packed.join(hit, own == F.col("hit_key"), "left")
+    text = F.col("row.text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def add(a: Column, s: Column) -> Column:
@@ -192,4 +194,5 @@ def sanitise(docs: DataFrame, generalise: bool = True, **limits) -> DataFrame:
         return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(s["start"] >= a["at"], fresh).otherwise(a["out"]).alias("out"))
 
     clean = F.aggregate("hit_spans", start, add, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1)))
-    return joined.select(*[F.when(F.col("hit_spans").isNull(), text).otherwise(clean).alias(c) if c == "text" else docs[c] for c in docs.columns])
+    mended = F.when(F.col("hit_spans").isNull(), text).otherwise(clean)
+    return joined.select(*[(mended if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
