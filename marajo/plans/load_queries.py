@@ -152,7 +152,7 @@ def _xml_nations(t):
     return docs.select("n_regionkey", F.concat(F.lit("<soap:Body xmlns:ns1='urn:a' xmlns:soap='urn:s'><list>"), "body", F.lit("</list><leave><name>gone</name><days>3</days></leave></soap:Body>")).alias("xml"))
 
 
-@kit.query("l13_xml_rows", "select n_regionkey, n_name as name, null as note, cast(n_nationkey as varchar) as code from nation")
+@kit.query("l13_xml_rows", "select n_regionkey, n_name as name, cast(null as varchar) as note, cast(n_nationkey as varchar) as code from nation")
 def _(t):
     return N.xml_rows(_xml_nations(t), "xml", "nation", ["name", "note", "code"], ["n_regionkey"])
 

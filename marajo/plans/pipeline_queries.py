@@ -101,9 +101,9 @@ def _(t):
 @kit.query("p29_federal_budget", """
 with r as (select l_shipyear as a, case l_shipyear when 'A' then 'FAR' when 'N' then 'FDS' end as acao_nome, sum(cast(round(l_extendedprice * 100) as bigint)) as x, sum(cast(round(l_tax * 100) as bigint)) as y
   from (select l_returnflag as l_shipyear, l_extendedprice, l_tax from lineitem where l_returnflag in ('A', 'N')) group by 1)
-select a as acao_governo_codigo, acao_nome, x / 100.0 as dotacao_atualizada, y / 100.0 as empenho, x / 100.0 as pagamento, null as rap_inscrito, y / 100.0 as pag_rap, (x + y) / 100.0 as pag_total,
+select a as acao_governo_codigo, acao_nome, x / 100.0 as dotacao_atualizada, y / 100.0 as empenho, x / 100.0 as pagamento, cast(null as double) as rap_inscrito, y / 100.0 as pag_rap, (x + y) / 100.0 as pag_total,
   case a when 'A' then 1 else 2 end as ordem from r
-union all select 'SOMA', 'SOMA', sum(x) / 100.0, sum(y) / 100.0, sum(x) / 100.0, null, sum(y) / 100.0, sum(x + y) / 100.0, 3 from r""")
+union all select 'SOMA', 'SOMA', sum(x) / 100.0, sum(y) / 100.0, sum(x) / 100.0, cast(null as double), sum(y) / 100.0, sum(x + y) / 100.0, 3 from r""")
 def _(t):
     text = {"dotacao_atualizada": "l_extendedprice", "despesas_empenhadas": "l_tax", "despesas_pagas": "l_extendedprice", "restos_a_pagar_pagos": "l_tax"}
     raw = t("lineitem").select(F.col("l_returnflag").alias("acao_governo_codigo"), *[_br(F.round(c, 2)).alias(n) for n, c in text.items()], F.lit("").alias("restos_a_pagar_inscritos"))
