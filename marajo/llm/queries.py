@@ -170,6 +170,28 @@ def op8_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.withColumn("law", F.lit("key"))
 
 
+def _op8_sql() -> str:
+    leaves = ", ".join(f"({x.shard}, '{x.path}')" for x in shards.even_tree(41))
+    return rf"""
+with recursive table_rows(n, k, c) as (
+  select n, 0, n from range(0, 256) t(n)
+  union all select n, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from table_rows where k < 8),
+crc as (select list(c order by n) as t from table_rows where k = 8),
+d as (select doc_id, coalesce(text, '') as text from documents),
+sums as (
+  select doc_id, text, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: cast('0x' || h as bigint))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as text_crc32 from d, crc),
+leaves(shard, path) as (values {leaves}),
+draws as (
+  select doc_id, shard, -ln((cast('0x' || substr(md5(cast(doc_id as varchar) || '|' || path), 1, 12) as bigint) + 0.5) / 281474976710656.0) as draw from d, leaves),
+won as (
+  select doc_id, arg_min(shard, draw) filter (shard < 40) as shard, arg_min(shard, draw) as grown_shard from draws group by doc_id)
+select doc_id, cast(strlen(text) + 16 as bigint) as size, cast(text_crc32 as bigint) as text_crc32, 'key' as law, cast(shard as int) as shard,
+  row_number() over (partition by shard order by doc_id) - 1 as slot, cast(grown_shard as int) as grown_shard
+from sums join won using (doc_id)
+"""
+
+
 def op9_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.matches(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     names = F.array_sort(F.transform("item_ids", lambda i: i.cast("string")))
@@ -232,4 +254,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op5_chat_format": OP5_SQL, "op6_quality_rules": _op6_sql(), "op9_automaton_decontamination": OP9_SQL, "op10_warc_zstd": OP10_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op5_chat_format": OP5_SQL, "op6_quality_rules": _op6_sql(), "op8_hash_tree_shards": _op8_sql(), "op9_automaton_decontamination": OP9_SQL, "op10_warc_zstd": OP10_SQL}
