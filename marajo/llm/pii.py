@@ -121,11 +121,11 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, reach: int = 8, support:
     before = _words(F.substring(F.col("text"), 1, F.col("m.start")))
     after = _words(F.substr(F.col("text"), F.col("m.end") + 1))
     context = F.concat(F.slice(before, F.greatest(F.size(before) - reach + 1, F.lit(1)), F.lit(reach)), F.slice(after, 1, reach))
-    contexts = each.select("m.kind", F.col("m.value").alias("entity"), F.array_distinct(context).alias("terms")).distinct()
+    contexts = each.select("m.kind", F.col("m.value").alias("entity"), context.alias("context")).distinct()
     total = contexts.groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("mentions"))
     term = F.col("term")
     pairs = (
-        contexts.select("kind", "entity", F.explode("terms").alias("term"))
+        contexts.select("kind", "entity", F.explode(F.array_distinct("context")).alias("term"))
         .where((F.length(term) > 1) & ~term.rlike("[0-9@]"))
         .groupBy("kind", "entity", "term")
         .agg(F.count(F.lit(1)).alias("joint"))

@@ -170,6 +170,56 @@ def op8_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.withColumn("law", F.lit("key"))
 
 
+OP7_SQL = r"""
+with d as (select doc_id, coalesce(text, '') as text from documents),
+kinds(kind, ord, pattern) as (values
+  ('email', 1, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'), ('ip', 2, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+  ('card', 3, '[0-9]([\x20-]?[0-9])+'), ('phone', 4, '\+[0-9][\x20().0-9-]+[0-9]')),
+found as (select doc_id, kind, ord, string_split_regex(text, pattern) as gaps, regexp_extract_all(text, pattern) as ms from d, kinds),
+each as (
+  select doc_id, kind, ord, m, regexp_replace(m, '[^0-9]', '', 'g') as ds,
+    cast(list_sum(list_transform(gaps[1 : i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1 : i - 1], lambda x: length(x))), 0) as bigint) as s
+  from (select *, unnest(ms) as m, generate_subscripts(ms, 1) as i from found where len(ms) > 0)),
+base as (
+  select *, s + length(m) as e from each where case kind
+    when 'email' then true
+    when 'ip' then len(list_filter(string_split(m, '.'), lambda p: coalesce(try_cast(p as hugeint), 999) > 255)) = 0
+    when 'card' then length(ds) between 13 and 19 and list_sum(list_transform(range(0, length(ds)), lambda j:
+      case when j % 2 = 1 then 2 * cast(substr(ds, length(ds) - j, 1) as int) - case when cast(substr(ds, length(ds) - j, 1) as int) > 4 then 9 else 0 end
+           else cast(substr(ds, length(ds) - j, 1) as int) end)) % 10 = 0
+    else length(ds) between 9 and 15 end),
+split as (select doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda w: w <> '') as ws from d),
+context as (
+  select distinct kind, m as entity, list_concat(
+      list_filter(regexp_split_to_array(left(text, s), '[ \t\n\x0B\f\r]+'), lambda w: w <> '')[-8:],
+      list_filter(regexp_split_to_array(substr(text, e + 1), '[ \t\n\x0B\f\r]+'), lambda w: w <> '')[:8]) as around
+  from base join d using (doc_id)),
+total as (select kind, entity, count(*) as mentions from context group by all),
+pairs as (
+  select kind, entity, term, count(*) as joint from (select kind, entity, unnest(list_distinct(around)) as term from context)
+  where length(term) > 1 and not regexp_matches(term, '[0-9@]') group by all having count(*) >= 3),
+freq as (select term, count(*) as df from (select unnest(list_distinct(ws)) as term from split) where term in (select term from pairs) group by term),
+telling as (
+  select distinct term from pairs join total using (kind, entity) join freq using (term)
+  where least(joint / df, 1.0) >= 0.5 and log2(least(joint / df, 1.0) / (mentions / (select count(*) from documents))) >= 8),
+holders as (
+  select doc_id, string_split_regex(text, '[^ \t\n\x0B\f\r]+') as gaps, ws from d join split using (doc_id)
+  where list_has_any(ws, coalesce((select list(term) from telling), []))),
+words as (
+  select doc_id, w, sum(length(g)) over before + coalesce(sum(length(w)) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as s
+  from (select doc_id, unnest(ws) as w, generate_subscripts(ws, 1) as i, unnest(gaps[1 : len(ws)]) as g from holders)
+  window before as (partition by doc_id order by i rows unbounded preceding)),
+terms as (select doc_id, 'term' as kind, 5 as ord, cast(s as bigint) as s, cast(s + length(w) as bigint) as e from words where w in (select term from telling)),
+told as (
+  select doc_id, count(*) filter (kind = 'email') as n_email, count(*) filter (kind = 'ip') as n_ip, count(*) filter (kind = 'card') as n_card, count(*) filter (kind = 'phone') as n_phone,
+    string_agg(kind || ':' || s || ':' || e, ',' order by ord, s) filter (ord < 5) as b, string_agg(kind || ':' || s || ':' || e, ',' order by ord, s) as a
+  from (select doc_id, kind, ord, s, e from base union all select doc_id, kind, ord, s, e from terms) group by doc_id)
+select doc_id, coalesce(n_email, 0) as n_email, coalesce(n_ip, 0) as n_ip, coalesce(n_card, 0) as n_card, coalesce(n_phone, 0) as n_phone,
+  sha256(coalesce(b, '')) as base_sha256, coalesce(a, '') as spans
+from d left join told using (doc_id)
+"""
+
+
 def _op8_sql() -> str:
     leaves = ", ".join(f"({x.shard}, '{x.path}')" for x in shards.even_tree(41))
     return rf"""
@@ -254,4 +304,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op5_chat_format": OP5_SQL, "op6_quality_rules": _op6_sql(), "op8_hash_tree_shards": _op8_sql(), "op9_automaton_decontamination": OP9_SQL, "op10_warc_zstd": OP10_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op5_chat_format": OP5_SQL, "op6_quality_rules": _op6_sql(), "op7_pii_disclosure": OP7_SQL, "op8_hash_tree_shards": _op8_sql(), "op9_automaton_decontamination": OP9_SQL, "op10_warc_zstd": OP10_SQL}
