@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from marajo.llm.arrow import as_bytes, lists, steps
 
 MATRIX_CHARS = 48
-KNOWN_CHUNKS = 300_000
-STEP = 6 << 20
+KNOWN_CHUNKS = 100_000
+STEP = 2 << 20
 #: Largest vocabulary that is sent to the executors.
 MAX_PIECES = 1_000_000
 
@@ -314,7 +314,8 @@ def decode_ids(vocabulary: Vocabulary, ids: list[int]) -> bytes:
 
 
 def _ship(spark: SparkSession, model_file: str):
-    return spark.sparkContext.broadcast(load(model_file))
+    """The vocabulary's fields for the executors, which needn't have this module."""
+    return spark.sparkContext.broadcast(vars(load(model_file)))
 
 
 def encode(docs: DataFrame, model_file: str, seed: int = 42, dropout: float = 0.1, draws: int = 16) -> DataFrame:
@@ -328,16 +329,16 @@ def encode(docs: DataFrame, model_file: str, seed: int = 42, dropout: float = 0.
     shipped = _ship(docs.sparkSession, model_file)
 
     def scan(batches):
-        encoder = Encoder(shipped.value, seed, dropout, draws)
+        encoder = Encoder(Vocabulary(**shipped.value), seed, dropout, draws)
         for batch in batches:
             for part in steps(batch, "text", STEP):
                 texts = as_bytes(part.column("text"))
                 pieces, bounds = encoder.encode(part.column("doc_id").to_pylist(), texts)
-                flat, cuts = pieces.tolist(), bounds.tolist()
-                right = [None if t is None else decode_ids(encoder.vocabulary, flat[a:b]) == t for t, a, b in zip(texts, cuts, cuts[1:], strict=False)]
+                spans = list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
+                right = [None if t is None else decode_ids(encoder.vocabulary, pieces[a:b].tolist()) == t for t, (a, b) in zip(texts, spans, strict=True)]
                 ids = lists(pieces, bounds, pa.int32())
                 if None in right:
-                    ids = pa.array([None if r is None else flat[a:b] for r, a, b in zip(right, cuts, cuts[1:], strict=False)], pa.list_(pa.int32()))
+                    ids = pa.array([None if r is None else pieces[a:b] for r, (a, b) in zip(right, spans, strict=True)], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, pa.array(right, pa.bool_())], names=["doc_id", "ids", "lossless"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, "doc_id long, ids array<int>, lossless boolean")
@@ -348,8 +349,9 @@ def decode(pieces: DataFrame, model_file: str) -> DataFrame:
     shipped = _ship(pieces.sparkSession, model_file)
 
     def scan(batches):
+        vocabulary = Vocabulary(**shipped.value)
         for batch in batches:
-            texts = [None if x is None else decode_ids(shipped.value, x).decode() for x in batch.column("ids").to_pylist()]
+            texts = [None if x is None else decode_ids(vocabulary, x).decode() for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     return pieces.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(scan, "doc_id long, text string")
