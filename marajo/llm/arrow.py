@@ -6,11 +6,21 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
+#: Bytes that Spark puts into an Arrow batch at most, unless a single row is longer; its own default of 64 MB takes
+#: several times that outside the heap for each running task.
+BATCH_BYTES = 8 << 20
 #: Bytes of text that one step of a Python worker holds, unless a single text is longer.
 STEP_BYTES = 4 << 20
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after the session is told to keep Arrow batches to ``BATCH_BYTES``."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of each text, None for null."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()

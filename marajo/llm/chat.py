@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marajo.llm.arrow import small_batches
+
 END = "</turn>\n"
 #: Control strings that texts must not contain unescaped, and the escape itself.
 _CONTROL = re.compile(r"\\|###|</turn>|<\|")
@@ -101,7 +103,7 @@ def format_turns(turns: DataFrame, trained_role: str = "assistant") -> DataFrame
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.col("role").cast("string").alias("role"), F.coalesce("text", F.lit("")).alias("text"), parts.alias("parts"),
     )
-    dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    dealt = small_batches(rows).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def scan(batches):
         now, at = object(), 0

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marajo.llm.arrow import as_bytes, lists, steps
+from marajo.llm.arrow import as_bytes, lists, small_batches, steps
 from marajo.session import small_side
 
 BLOCK_WORDS = 100_000
@@ -187,13 +187,13 @@ def matches(docs: DataFrame, items: DataFrame, window: int = 10, block_words: in
     An empty item table leaves every text clean. Rows that repeat both id and text come back once each unless
     the items need several blocks, which merge them. Other columns are not read.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _tag(), "text")
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), _tag(), "text")
     found = []
     for block in _blocks(items, block_words):
-        shipped = docs.sparkSession.sparkContext.broadcast(build(block, window))
+        shipped = docs.sparkSession.sparkContext.broadcast(vars(build(block, window)))
 
         def scan(batches, shipped=shipped):
-            automaton = shipped.value
+            automaton = Automaton(**shipped.value)
             for batch in batches:
                 for part in steps(batch, "text"):
                     yield _scan_step(part, automaton)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marajo.llm.arrow import as_bytes, lists, steps
+from marajo.llm.arrow import as_bytes, lists, small_batches, steps
 
 MATRIX_CHARS = 48
 KNOWN_CHUNKS = 100_000
@@ -341,7 +341,7 @@ def encode(docs: DataFrame, model_file: str, seed: int = 42, dropout: float = 0.
                     ids = pa.array([None if r is None else pieces[a:b] for r, (a, b) in zip(right, spans, strict=True)], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, pa.array(right, pa.bool_())], names=["doc_id", "ids", "lossless"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, "doc_id long, ids array<int>, lossless boolean")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, "doc_id long, ids array<int>, lossless boolean")
 
 
 def decode(pieces: DataFrame, model_file: str) -> DataFrame:

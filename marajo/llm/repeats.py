@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marajo.llm.arrow import as_bytes, lists, steps
+from marajo.llm.arrow import as_bytes, lists, small_batches, steps
 from marajo.session import stash
 
 ROUNDS = 9
@@ -216,7 +216,7 @@ def name_symbols(docs: DataFrame, window: int) -> DataFrame:
                     names=["doc_id", "tag", "n_words", "whole_sha256", "open", "asks_for_all", "met"],
                 )
 
-    return docs.select(*_key()).mapInArrow(scan, kind)
+    return small_batches(docs).select(*_key()).mapInArrow(scan, kind)
 
 
 def shared_symbols(named: DataFrame) -> DataFrame:

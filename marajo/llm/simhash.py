@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marajo.llm.arrow import as_bytes, steps
+from marajo.llm.arrow import as_bytes, small_batches, steps
 from marajo.llm.graph import connected_components
 from marajo.session import small_side, stash
 
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame
                 signed = np.array(found, np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(signed)], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, "doc_id long, fp long")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, "doc_id long, fp long")
 
 
 def covering(k: int) -> list[tuple[int, ...]]:

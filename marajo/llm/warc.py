@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marajo.llm.arrow import as_bytes, steps
+from marajo.llm.arrow import as_bytes, small_batches, steps
 from marajo.session import checkpoint_root
 
 #: Payloads from this size on are stored once.
@@ -256,7 +256,7 @@ def write_archives(pages: DataFrame, root: str, date: str = "1970-01-01T00:00:00
         if records:
             yield close()
 
-    made = with_revisits(pages).mapInArrow(write, "name string, records long")
+    made = small_batches(with_revisits(pages)).mapInArrow(write, "name string, records long")
     return [f"{root.rstrip('/')}/{r.name}" for r in made.collect()]
 
 
