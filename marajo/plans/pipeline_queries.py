@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from marajo.plans import bulletins as B
 from marajo.plans import programmes as P
 from marajo.plans.kit import Kit
+from marajo.session import stash
 
 kit = Kit()
 QUERIES, ORACLES = kit.queries, kit.oracles
@@ -201,8 +202,9 @@ def _(t):
 
 
 def _sheets(t):
+    """Programme A's fact sheets, written once: a report reads them several times."""
     _, entity = _entity(t)
-    return P.fact_sheet_a(entity, "2022-01-01", {"1-URGENT": "Chamada", "2-HIGH": "Sorteio"}, {"1": "Calamidade"})
+    return stash(P.fact_sheet_a(entity, "2022-01-01", {"1-URGENT": "Chamada", "2-HIGH": "Sorteio"}, {"1": "Calamidade"}), "sheets")
 
 
 @kit.query("p34_fact_sheet", f"""
