@@ -43,11 +43,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back: a compressed, column-prunable cut."""
+    """Write ``df`` once as Parquet in the shared folder and read it back: a compressed, column-prunable cut.
+
+    The written table stands for all shuffles behind it, so this write alone runs under the setting that has Spark
+    delete a query's shuffle files at its end; by default they stay until the driver collects its garbage.
+    """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/marajo-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
