@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from marajo.llm.arrow import as_bytes, lists, small_batches, steps
 from marajo.session import stash
 
-ROUNDS = 9
+ROUNDS = 8
 STEP = 3 << 20
 
 _U = np.uint64
