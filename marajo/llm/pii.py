@@ -4,12 +4,11 @@ DataFrame functions only. Positions of pattern matches come from the text split
 after all segments and matches before it.
 
 A term discloses a protected entity (an e-mail address, phone number, card or IP address found by the patterns)
-when the corpus shows that whoever reads the term can tell the entity. Co-occurrence is counted over distinct
-contexts, the ``reach`` words on either side of a mention, so that copies of a passage count once. Of a term in
-``df`` distinct word sets of the corpus, ``joint`` of them around entity e, the information it discloses is
-``log2(P(e | term) / P(e))``. Terms with ``P(e | term) >= reveal``, at least ``bits`` of information and
-``support`` distinct contexts exceed the threshold: wherever they occur they are removed, or generalised to
-their kind.
+when the corpus shows that whoever reads the term can tell the entity. All is counted in distinct texts, so that
+copies count once. Of a term in ``df`` texts, ``joint`` of them with the term within ``reach`` words of entity e,
+the information it discloses is ``log2(P(e | term) / P(e))``. Terms with ``P(e | term) >= reveal``, at least
+``bits`` of information and ``support`` distinct contexts (the words around a mention) exceed the threshold:
+wherever they occur they are removed, or generalised to their kind.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marajo.session import stash
+from marajo.session import small_side, stash
 
 #: Patterns by kind, in order of report. Each matches what the plain pattern in its comment matches from left to
 #: right; possessive repeats and start conditions keep long runs linear and off the stack.
@@ -111,31 +110,33 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, reach: int = 8, support:
     """``term``, ``kind``, ``entity``, ``information`` of the terms beyond the thresholds, the most telling entity each.
 
     ``found`` is ``mentions(docs)``. Terms are words of two characters or more without digits or ``@`` that stand
-    within ``reach`` words of a mention; their frequency is counted over the whole corpus, once a text.
+    within ``reach`` words of a mention; their frequency is counted over the whole corpus, once a distinct text.
     """
-    holders = found.where(F.size("base") > 0)
-    text = F.coalesce("text", F.lit(""))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("tag", F.xxhash64("text"))
-    around = texts.join(holders, ["doc_id", "tag"], "left_semi").distinct().join(holders.distinct(), ["doc_id", "tag"])
-    each = around.select("text", F.explode("base").alias("m"))
+    holders = found.where(F.size("base") > 0).select("tag", "base").dropDuplicates(["tag"])
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("tag", F.xxhash64("text"))
+    copied = small_side(found.groupBy("tag").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("tag"), "copied")
+    single = texts.join(copied, "tag", "left_anti")  # only copies have to be moved to be told apart
+    once = single.unionByName(texts.join(copied, "tag", "left_semi").dropDuplicates(["tag"]))
+    around = once.join(holders, "tag")
+    each = around.select("tag", "text", F.explode("base").alias("m"))
     before = _words(F.substring(F.col("text"), 1, F.col("m.start")))
     after = _words(F.substr(F.col("text"), F.col("m.end") + 1))
     context = F.concat(F.slice(before, F.greatest(F.size(before) - reach + 1, F.lit(1)), F.lit(reach)), F.slice(after, 1, reach))
-    contexts = each.select("m.kind", F.col("m.value").alias("entity"), context.alias("context")).distinct()
-    total = contexts.groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("mentions"))
+    contexts = each.select("tag", "m.kind", F.col("m.value").alias("entity"), context.alias("context")).distinct()
+    total = contexts.groupBy("kind", "entity").agg(F.count_distinct("tag").alias("mentions"))
     term = F.col("term")
     pairs = (
-        contexts.select("kind", "entity", F.explode(F.array_distinct("context")).alias("term"))
+        contexts.select("tag", "kind", "entity", F.xxhash64("context").alias("place"), F.explode(F.array_distinct("context")).alias("term"))
         .where((F.length(term) > 1) & ~term.rlike("[0-9@]"))
         .groupBy("kind", "entity", "term")
-        .agg(F.count(F.lit(1)).alias("joint"))
-        .where(F.col("joint") >= support)
+        .agg(F.count_distinct("tag").alias("joint"), F.count_distinct("place").alias("places"))
+        .where(F.col("places") >= support)
     )
     pairs = stash(pairs.join(total, ["kind", "entity"]), "term-pairs")
-    corpus = texts.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
+    corpus = once.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
     counted = corpus.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     frequency = counted.join(_small(pairs.select("term").distinct()), "term")  # a semi-join would sink below the count
-    size = docs.agg(F.count(F.lit(1)).alias("n")).first().n
+    size = found.agg(F.count_distinct("tag").alias("n")).first().n
     given = F.least(F.col("joint") / F.col("df"), F.lit(1.0))
     information = F.log2(given / (F.col("mentions") / F.lit(max(size, 1))))
     telling = pairs.join(frequency, "term").select("term", "kind", "entity", given.alias("given"), information.alias("information"))

@@ -1,3 +1,4 @@
+import math
 import re
 
 from hypothesis import given, settings
@@ -77,3 +78,21 @@ def test_spans_of_repeated_rows_and_null_ids_stay(spark):
     rows = [(1, "x a@b.cd"), (1, "x a@b.cd"), (None, "1.2.3.4"), (2, None)]
     out = pii.find(docs(spark, rows)).select("doc_id", F.size("spans").alias("n")).collect()
     assert sorted(map(str, ((r.doc_id, r.n) for r in out))) == sorted(map(str, [(1, 1), (1, 1), (None, 1), (2, 0)]))
+
+
+def test_copies_of_a_leak_count_once(spark):
+    leaks = [f"n{c}o Zorblatt told p{c}q bob@ex.org r{c}s" for c in "abc"]
+    rows = [(i, leaks[i % 3]) for i in range(90)] + [(None, leaks[0])] + [(1000 + i, f"plain number {i} text") for i in range(400)]
+    frame = docs(spark, rows)
+    terms = pii.disclosing_terms(frame, pii.mentions(frame), bits=4.0).collect()
+    assert {r.term for r in terms} == {"Zorblatt", "told"}
+    assert all(abs(r.information - math.log2(403 / 3)) < 1e-9 for r in terms)
+
+
+def test_mentions_in_one_text_are_one_and_null_ids_count(spark):
+    rows = [(1, "u1 Quux a@b.cd v u2 Quux a@b.cd w u3 Quux a@b.cd z")] + [(None, f"Quux elsewhere {i}") for i in range(3)] + [(10 + i, f"x{i}") for i in range(99)]
+    frame = docs(spark, rows)
+    assert "Quux" not in {r.term for r in pii.disclosing_terms(frame, pii.mentions(frame), bits=1.0).collect()}
+    rows = [(None, f"k{c} Flarp a@b.cd") for c in "xyz"] + [(10 + i, f"x{i}") for i in range(99)]
+    frame = docs(spark, rows)
+    assert {r.term for r in pii.disclosing_terms(frame, pii.mentions(frame), bits=4.0).collect()} == {"Flarp"}
