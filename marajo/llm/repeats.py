@@ -191,6 +191,9 @@ def name_symbols(docs: DataFrame, window: int) -> DataFrame:
                 found = [(name, w.text_of[low]) for _, name, low, _ in symbols(w, window)]
                 name = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.int64)
                 text = np.concatenate([x[1] for x in found]) if found else np.zeros(0, np.int64)
+                # rows without an id take no part in the exchange, so they can't ask for others
+                known = np.array([x is not None for x in ids], bool)[text]
+                name, text = name[known], text[known]
                 order = np.lexsort((text, name))
                 name, text = name[order], text[order]
                 fresh = np.append(True, (name[1:] != name[:-1]) | (text[1:] != text[:-1]))[: len(name)]

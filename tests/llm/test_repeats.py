@@ -70,3 +70,11 @@ def test_equal_windows_hold_equal_symbols(texts, window):
             assert inside and named.setdefault(words, inside) == inside
             covered[p] += 1
     assert (covered == w.windows(window)).all()  # every window has just one level
+
+
+def test_a_null_id_copy_in_a_step_hides_no_link(spark):
+    passage = " ".join(f"p{i}" for i in range(80))
+    near = docs(spark, [(None, passage), (1, passage)]).coalesce(1)
+    far = docs(spark, [(2, f"other start {passage} other end")]).coalesce(1)
+    found = repeats.dedup_substrings(near.unionByName(far)).collect()
+    assert sorted((str(r.doc_id), r.n_removed) for r in found) == [("1", 0), ("2", 80), ("None", 0)]
