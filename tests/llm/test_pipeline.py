@@ -5,8 +5,8 @@ from marajo.llm import pieces
 from marajo.llm.queries import PIECE_MODEL
 
 from .test_decontam import plain as plain_hits
+from .test_jaccard import plain_kept
 from .test_lines_quality_shards import plain_lines
-from .test_near_dup import components, plain_fingerprint
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,9 +31,7 @@ def test_each_stage_equals_brute_force_on_its_own_input(spark):
     assert all(r.n_chars == len(r.text) for r in lean.collect())
 
     single = stages["near_dedup"](spark, lean, SF).cache()
-    pairs = sorted((r.doc_id, plain_fingerprint(r.text)) for r in lean.collect())
-    first = components(pairs)
-    assert sorted(r.doc_id for r in single.collect()) == [i for (i, _), c in zip(pairs, first) if i == c]
+    assert sorted(r.doc_id for r in single.collect()) == plain_kept([(r.doc_id, r.text) for r in lean.collect()])
 
     clean = stages["decontamination"](spark, single, SF).cache()
     assert clean.columns == columns
