@@ -5,30 +5,37 @@ the longest suffix that some item contains. A window is ``window`` consecutive w
 item where it is shorter); each position whose matching length reaches a window's length marks that window's
 words as hit.
 
-The automaton is shipped to the executors, so its size is bounded: items are dealt into blocks of at most
-about ``BLOCK_WORDS`` words and the texts are streamed once per block, however large the item table is.
+Items are dealt into blocks of about ``BLOCK_WORDS`` words. Executors build an automaton of each and save it in the
+shared folder; the texts are scanned once, and every stretch of them is streamed through all automata in turn, of
+which a worker holds ``RESIDENT`` at most. So neither the driver nor a worker ever holds the item table.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marajo.llm.arrow import as_bytes, lists, small_batches, steps
-from marajo.session import small_side
+from marajo.llm.shared import load, new_folder, save
+from marajo.session import stash
 
 BLOCK_WORDS = 100_000
+#: Automata that a worker holds (about 100 MB each at most), and bytes of text it streams through all where there are more.
+RESIDENT = 2
+MANY_BLOCKS_STEP = 64 << 20
 
 #: Maps A-Z to a-z and every other ASCII character that is no digit or letter to a space.
 _FOLD = bytes((c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32) for c in range(256))
 _WORD = re.compile(rb"[^ ]+")
 
 _SPANS = "array<struct<start:int,end:int>>"
-_MATCHES = f"doc_id long, tag long, n_words long, spans {_SPANS}, item_ids array<long>"
+_MATCHES = f"doc_id long, n_words long, spans {_SPANS}, item_ids array<long>"
 
 
 def normal_words(text: bytes) -> list[bytes]:
@@ -163,70 +170,120 @@ def build(items: list[tuple[int, bytes | None]], window: int) -> Automaton:
     return automaton.finish(split)
 
 
-def _blocks(items: DataFrame, block_words: int):
-    """Lists of items, each of about ``block_words`` words at most; one list is held at a time."""
-    known = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
-        F.col("item_id").cast("long").alias("item_id"), "text"
-    )
-    size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // (4 * block_words)))
-    for k in range(n):
-        part = known if n == 1 else known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield [(r.item_id, r.text.encode()) for r in part.collect()]
-
+def shelve(items: DataFrame, window: int, block_words: int = BLOCK_WORDS) -> list[str]:
+    """URIs of the automata of ``items``, each built by an executor and saved in the shared folder.
 
-def _tag() -> Column:
-    return F.xxhash64("text").alias("tag")
+    Items are cut into stretches of at most ``block_words`` words that overlap by ``window - 1``, so every window is
+    whole in one of them; stretches are dealt into blocks of about ``block_words`` words. Only the URIs, one a block,
+    come to the driver.
+    """
+    known = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    reach = max(block_words, window)
+
+    def cut_items(batches):
+        for batch in batches:
+            rows: dict[str, list] = {"item_id": [], "words": [], "n": []}
+            for item_id, text in zip(batch.column("item_id").to_pylist(), as_bytes(batch.column("text")), strict=True):
+                words = normal_words(text)
+                for at in range(0, max(len(words) - window + 1, min(len(words), 1)), reach - window + 1):
+                    part = words[at : at + reach]
+                    rows["item_id"].append(item_id)
+                    rows["words"].append(b" ".join(part).decode())
+                    rows["n"].append(len(part))
+            yield pa.RecordBatch.from_pydict({"item_id": pa.array(rows["item_id"], pa.int64()), "words": pa.array(rows["words"], pa.string()), "n": pa.array(rows["n"], pa.int64())})
+
+    stretches = stash(small_batches(known).mapInArrow(cut_items, "item_id long, words string, n long"), "stretches")
+    blocks = -(-(stretches.agg(F.sum("n")).first()[0] or 0) // block_words)
+    if not blocks:
+        return []
+    root = new_folder(items.sparkSession, "automata")
+
+    def build_block(held: pa.Table) -> pa.Table:
+        made = build(list(zip(held.column("item_id").to_pylist(), as_bytes(held.column("words").combine_chunks()), strict=True)), window)
+        return pa.table({"uri": [save(root, pickle.dumps(vars(made), pickle.HIGHEST_PROTOCOL))]})
+
+    dealt = stretches.withColumn("block", F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)))
+    return sorted(r.uri for r in dealt.groupBy("block").applyInArrow(build_block, "uri string").collect())
+
+
+class Shelf:
+    """The automata at ``uris``, of which a worker holds ``RESIDENT`` at most."""
+
+    def __init__(self, uris: list[str]):
+        self.uris = uris
+        self.held: dict[str, Automaton] = {}
+
+    def __iter__(self):
+        # what is held comes first, so that a step of texts loads only the others
+        for uri in sorted(self.uris, key=lambda u: u not in self.held):
+            if uri not in self.held:
+                if len(self.held) >= RESIDENT:
+                    self.held.pop(next(iter(self.held)))
+                self.held[uri] = Automaton(**pickle.loads(load(uri)))
+            yield self.held[uri]
+
+    def match(self, texts: list[list[bytes]]) -> list[tuple[list[list[int]], set[int]]]:
+        """Merged hit spans and found items of each split text, over all automata."""
+        found: list[tuple[list[list[int]], set[int]]] = [([], set()) for _ in texts]
+        for automaton in self:
+            for i, words in enumerate(texts):
+                spans, ids = automaton.match(words)
+                if spans:
+                    found[i] = (merge(found[i][0], spans), found[i][1] | ids)
+        return found
+
+    def stretches(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of ``batches`` in stretches for one turn of the shelf: longer ones where automata have to be
+        loaded again in each."""
+        if len(self.uris) <= RESIDENT:
+            for batch in batches:
+                yield from steps(batch, "text")
+            return
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            waiting.append(batch)
+            if sum(x.nbytes for x in waiting) >= MANY_BLOCKS_STEP:
+                yield pa.concat_batches(waiting)
+                waiting = []
+        if waiting:
+            yield pa.concat_batches(waiting)
+
+
+def merge(one: list[list[int]], other: list[list[int]]) -> list[list[int]]:
+    """Union of two ordered lists of spans (end exclusive); touching spans become one."""
+    if not one or not other:
+        return one or other
+    out: list[list[int]] = []
+    for start, end in sorted(map(tuple, one + other)):
+        if out and out[-1][1] >= start:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return out
 
 
 def matches(docs: DataFrame, items: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, ``tag`` (hash of the text), ``n_words``, merged hit ``spans`` of word
-    positions and the distinct ``item_ids`` whose windows occur.
+    """Per row of ``docs``: ``doc_id``, ``n_words``, merged hit ``spans`` of word positions and the distinct
+    ``item_ids`` whose windows occur.
 
-    Null texts have no words. Items without an id, a text or a word take no part; repeated items count once.
-    An empty item table leaves every text clean. Rows that repeat both id and text come back once each unless
-    the items need several blocks, which merge them. Other columns are not read.
+    Null texts have no words. Items without an id, a text or a word take no part; repeated items count once. An empty
+    item table leaves every text clean. Every row comes back once, repeated rows and rows without an id too, however
+    many blocks the items need. Other columns are not read; an empty table gives no rows.
     """
-    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), _tag(), "text")
-    found = []
-    for block in _blocks(items, block_words):
-        shipped = docs.sparkSession.sparkContext.broadcast(vars(build(block, window)))
-
-        def scan(batches, shipped=shipped):
-            automaton = Automaton(**shipped.value)
-            for batch in batches:
-                for part in steps(batch, "text"):
-                    yield _scan_step(part, automaton)
-
-        found.append(texts.mapInArrow(scan, _MATCHES))
-    if len(found) == 1:
-        return found[0]
-    merged = found[0]
-    for other in found[1:]:
-        merged = merged.unionByName(other)
-    return merged.groupBy("doc_id", "tag").agg(
-        F.max("n_words").alias("n_words"),
-        _merge_spans(F.array_sort(F.flatten(F.collect_list("spans")))).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_list("item_ids"))).alias("item_ids"),
-    )
+    uris = shelve(items, window, block_words)
 
+    def scan(batches):
+        shelf = Shelf(uris)
+        for part in shelf.stretches(batches):
+            yield _scan_step(part, shelf)
 
-def _merge_spans(spans: Column) -> Column:
-    empty = F.array().cast(_SPANS)
-    last = lambda done: F.element_at(done, -1)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, _MATCHES)
 
-    def add(done, x):
-        joined = F.struct(last(done)["start"].alias("start"), F.greatest(last(done)["end"], x["end"]).alias("end"))
-        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] >= x["start"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(x)))
 
-    return F.aggregate(spans, empty, add)
-
-
-def _scan_step(part: pa.RecordBatch, automaton: Automaton) -> pa.RecordBatch:
+def _scan_step(part: pa.RecordBatch, shelf: Shelf) -> pa.RecordBatch:
     sizes, starts, ends, span_at, ids, id_at = [], [], [], [0], [], [0]
-    for text in as_bytes(part.column("text")):
-        words = normal_words(text) if text else []
-        spans, found = automaton.match(words)
+    texts = [normal_words(t) if t else [] for t in as_bytes(part.column("text"))]
+    for words, (spans, found) in zip(texts, shelf.match(texts), strict=True):
         sizes.append(len(words))
         starts.extend(s[0] for s in spans)
         ends.extend(s[1] for s in spans)
@@ -237,12 +294,11 @@ def _scan_step(part: pa.RecordBatch, automaton: Automaton) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             part.column("doc_id"),
-            part.column("tag"),
             pa.array(sizes, pa.int64()),
             pa.ListArray.from_arrays(pa.array(span_at, pa.int32()), pairs),
             lists(ids, id_at, pa.int64()),
         ],
-        names=["doc_id", "tag", "n_words", "spans", "item_ids"],
+        names=["doc_id", "n_words", "spans", "item_ids"],
     )
 
 
@@ -256,32 +312,30 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, text[done:]])
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_coverage: float = 0.5) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_coverage: float = 0.5, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` without contaminated passages, all columns as they were.
 
     Hit spans (``window`` words or a whole shorter item at least) are cut out of the text; a text of which
-    more than ``max_coverage`` of the words are hit goes altogether. Clean rows come back unchanged.
+    more than ``max_coverage`` of the words are hit goes altogether. Clean rows come back unchanged: null and empty
+    texts, rows without an id and repeated rows, each judged by itself, as nothing is joined. An empty item table
+    leaves all rows, an empty table gives none; columns may have any names.
     """
-    hit = (
-        matches(docs, items, window)
-        .where(F.size("spans") > 0)
-        .withColumn("n_hit", F.aggregate("spans", F.lit(0), lambda a, s: a + s["end"] - s["start"]))
-        .select("doc_id", "tag", "spans", (F.col("n_hit") > max_coverage * F.col("n_words")).alias("drop"))
-        .distinct()
-        .select(F.struct("doc_id", "tag").alias("mark_key"), F.col("spans").alias("mark_spans"), F.col("drop").alias("mark_drop"))
-    )
-
-    @F.pandas_udf("string")
-    def cut_text(text, spans):
-        import pandas as pd
-
-        return pd.Series(
-            [cut(t.encode(), [(s["start"], s["end"]) for s in x]).decode() if len(x) else t for t, x in zip(text, spans, strict=True)], dtype=object
-        )
-
-    # the rows travel in a struct, so that no column of theirs can clash
-    packed = docs.select(F.struct(*docs.columns).alias("row"))
-    key = F.struct(F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64("row.text").alias("tag"))
-    joined = packed.join(small_side(hit, "hits"), key.eqNullSafe(F.col("mark_key")), "left").where(~F.coalesce("mark_drop", F.lit(False)))
-    spans = F.coalesce("mark_spans", F.array().cast(_SPANS))
-    return joined.select(*[(cut_text("row.text", spans) if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    uris = shelve(items, window, block_words)
+
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        shelf = Shelf(uris)
+        for part in shelf.stretches(pa.RecordBatch.from_arrays([x], ["text"]) for x in texts):
+            held = as_bytes(part.column("text"))
+            split = [normal_words(t) if t else [] for t in held]
+            cut_texts, gone = [], []  # a null text stands for one that stays as it is
+            for text, words, (spans, _) in zip(held, split, shelf.match(split), strict=True):
+                hit = sum(end - start for start, end in spans)
+                gone.append(hit > max_coverage * len(words))
+                cut_texts.append(cut(text, spans).decode() if spans and not gone[-1] else None)
+            yield pa.StructArray.from_arrays([pa.array(cut_texts, pa.string()), pa.array(gone, pa.bool_())], ["text", "gone"])
+
+    # called once a row, not again by the filter; the rows travel in a struct, so that no column of theirs can clash
+    judged = F.arrow_udf(clean, "text string, gone boolean").asNondeterministic()
+    rows = small_batches(docs).select(F.struct(*docs.columns).alias("row"))
+    told = rows.withColumn("told", judged(F.col("row.text"))).where(~F.col("told.gone"))
+    return told.select(*[(F.coalesce("told.text", "row.text") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -41,6 +41,16 @@ def test_automaton_equals_search(items, words, window):
     assert {p for s, e in spans for p in range(s, e)} == hit and ids == want
 
 
+def test_a_long_item_is_cut_into_blocks_that_lose_no_window(spark):
+    words = [f"w{i}" for i in range(100)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[40:70]))], "item_id long, text string")
+    rows = [(k, " ".join(words[k : k + 10])) for k in range(91)] + [(200, " ".join(words[3:12]))]
+    assert len(decontam.shelve(items, 10, 25)) > 2
+    for r in decontam.matches(docs(spark, rows), items, block_words=25).collect():
+        held = [] if r.doc_id == 200 else [1, 2] if 40 <= r.doc_id <= 60 else [1]
+        assert sorted(r.item_ids) == held and sum(s.end - s.start for s in r.spans) == (10 if held else 0)
+
+
 TEXTS = [
     (1, "x QUICK brown fox jumps, over the lazy dog again and again; tiny... item é y"), (2, None), (3, ""), (4, "tiny item tiny"), (5, "clean text here"), (5, "clean text here"),
     (None, "tiny item"), (6, "quick brown " * 5000 + "the quick brown fox jumps over the lazy dog again"),
@@ -49,12 +59,10 @@ TEXTS = [
 
 def test_spans_and_items_of_awkward_rows(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
-    for block in (100_000, 1):  # one automaton, or several
+    want = sorted(repr((i, n, sorted(hit), sorted(ids))) for i, t in TEXTS for n, hit, ids in [plain(t, ITEMS)])
+    for block in (100_000, 10, 1):  # one automaton, two, or one a stretch of ten words
         rows = decontam.matches(docs(spark, TEXTS), items, block_words=block).collect()
-        told = {(r.doc_id, r.n_words): (spread(r.spans), set(r.item_ids)) for r in rows}
-        for i, t in TEXTS:
-            n, hit, ids = plain(t, ITEMS)
-            assert told[i, n] == (hit, ids)
+        assert sorted(repr((r.doc_id, r.n_words, sorted(spread(r.spans)), sorted(r.item_ids))) for r in rows) == want
     assert decontam.matches(docs(spark, []), items).collect() == []
     assert all(not r.spans for r in decontam.matches(docs(spark, TEXTS), items.limit(0)).collect())
 
@@ -62,8 +70,12 @@ def test_spans_and_items_of_awkward_rows(spark):
 def test_cut_texts_hold_no_window_and_clean_rows_stay(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     given = docs(spark, TEXTS)
+    assert decontam.decontaminate(docs(spark, []), items).collect() == []
+    assert sorted(map(str, decontam.decontaminate(given, items.limit(0)).collect())) == sorted(map(str, given.collect()))
+    several = decontam.decontaminate(given, items, block_words=1)
     out = decontam.decontaminate(given, items)
     assert out.columns == given.columns
+    assert sorted(map(str, several.collect())) == sorted(map(str, out.collect()))
     by = sorted(str((r.doc_id, r.text)) for r in out.where("doc_id <> 6 or doc_id is null").collect())
     # documents 1, 4 and the one without an id are mostly benchmark
     assert by == sorted(map(str, [(2, None), (3, ""), (5, "clean text here"), (5, "clean text here")]))
