@@ -1,9 +1,9 @@
 """WARC archives in Zstandard: one frame per record behind a dictionary in the leading skippable frame.
 
 Writing: pages are digested, later copies of a payload become revisits, and every task packs its rows into
-archives of bounded size in a folder that all executors share. Names are unique per attempt and only those that a
-successful task reports are read, so a lost executor leaves at most unread files. Reading: archives are loaded as
-binary files; each frame is located by its block headers, decoded with the archive's dictionary and checked.
+archives of bounded size in a folder that all executors share; a manifest table lists what the successful tasks have
+written. Reading: the manifest is dealt to the executors, which load the archives; each frame is located by its block
+headers, decoded with the archive's dictionary and checked.
 """
 
 from __future__ import annotations
@@ -11,22 +11,22 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
-import uuid
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marajo.llm.arrow import as_bytes, small_batches, steps
-from marajo.session import checkpoint_root
+from marajo.llm.shared import load, new_folder, save
+from marajo.session import small_side, stash
 
 #: Payloads from this size on are stored once.
 REVISIT_BYTES = 1000
 #: Uncompressed bytes after which an archive is closed.
 ARCHIVE_BYTES = 16 << 20
-#: Repeated payloads (rows of about 100 bytes) that may be sent to every executor.
-BROADCAST_ROWS = 50_000
+#: Tasks that read archives, unless there are fewer archives.
+READ_TASKS = 50_000
 DICTIONARY_BYTES = 16 << 10
 #: Payloads, and bytes of each, from which an archive's dictionary is trained.
 SAMPLES, SAMPLE_BYTES = 128, 4096
@@ -35,7 +35,7 @@ _DICTIONARY_MAGIC = 0x184D2A5D
 _FRAME_MAGIC = 0xFD2FB528
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _NAME = "urn:page:"
-_RECORDS = "page_id long, record_type string, target_uri string, refers_to long, payload_digest string, payload_bytes long, payload binary"
+_RECORDS = "page_id long, record_type string, target_uri string, refers_to long, payload_digest string, payload_bytes long, payload binary, archive string, problem string"
 
 
 class InvalidRecord(ValueError):
@@ -173,8 +173,17 @@ def frame_end(data: memoryview, at: int) -> int:
     return end
 
 
-def unpack(data: bytes):
-    """The validated records of an archive, one from each frame."""
+def unpack(data: bytes, report: bool = False):
+    """The validated records of an archive, one from each frame; with ``report`` an invalid one gives its ``problem``."""
+    try:
+        yield from _unpack(data, report)
+    except InvalidRecord as e:  # no frame can be told from here on
+        if not report:
+            raise
+        yield {"problem": str(e)}
+
+
+def _unpack(data: bytes, report: bool):
     view, at, trained = memoryview(data), 0, None
     while at < len(view):
         if len(view) - at < 8:
@@ -192,9 +201,12 @@ def unpack(data: bytes):
             continue
         end = frame_end(view, at)
         try:
-            yield parse(zstandard.ZstdDecompressor(dict_data=trained).decompressobj().decompress(view[at:end]))
-        except zstandard.ZstdError as e:
-            raise InvalidRecord(f"frame at byte {at}: {e}") from None
+            found = parse(zstandard.ZstdDecompressor(dict_data=trained).decompressobj().decompress(view[at:end]))
+        except (zstandard.ZstdError, ValueError) as e:
+            if not report:
+                raise InvalidRecord(f"frame at byte {at}: {e}") from None
+            found = {"problem": f"frame at byte {at}: {e}"}
+        yield found
         at = end
 
 
@@ -209,35 +221,26 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     rows = rows.withColumn("digest", F.sha1(F.col("html").cast("binary")))
     long = rows.where(F.octet_length("html") >= REVISIT_BYTES)
     copies = long.groupBy("digest").agg(F.max("page_id").alias("holder"), F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & F.col("holder").isNotNull())
-    copies = copies.select("digest", "holder")
-    if copies.count() <= BROADCAST_ROWS:
-        copies = F.broadcast(copies)
+    copies = small_side(copies.select("digest", "holder"), "copies")
     holder = F.when(F.col("page_id").eqNullSafe(F.col("holder")), F.lit(None)).otherwise(F.col("holder"))
     return rows.join(copies, "digest", "left").select("page_id", "url", "html", "digest", holder.alias("refers_to"))
 
 
-def write_archives(pages: DataFrame, root: str, date: str = "1970-01-01T00:00:00Z", archive_bytes: int = ARCHIVE_BYTES) -> list[str]:
-    """Write ``pages`` as archives under ``root``, a URI that executors can write to; returns their paths.
+def write_archives(pages: DataFrame, root: str, date: str = "1970-01-01T00:00:00Z", archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """Write ``pages`` as archives under ``root``, a URI that executors can write to; returns their manifest: ``uri``
+    and ``records`` of each, a table that stays with the executors.
 
     ``root`` must be on a file system that pyarrow opens (file, hdfs, s3, gs). Null html is an empty payload, null
     ids and urls keep their rows, repeated rows are repeated records. Without rows there is no archive.
     """
 
     def write(batches):
-        from pyarrow import fs
-
-        store, folder = fs.FileSystem.from_uri(root)
-        store.create_dir(folder, recursive=True)
         records: list[bytes] = []
         payloads: list[bytes] = []
         held = 0
 
         def close() -> pa.RecordBatch:
-            name = f"{uuid.uuid4().hex}.warc.zst"
-            with store.open_output_stream(f"{folder}/.{name}", compression=None) as out:
-                out.write(pack(records, payloads))
-            store.move(f"{folder}/.{name}", f"{folder}/{name}")
-            made = pa.RecordBatch.from_pydict({"name": [name], "records": pa.array([len(records)], pa.int64())})
+            made = pa.RecordBatch.from_pydict({"uri": [save(root, pack(records, payloads), ".warc.zst")], "records": pa.array([len(records)], pa.int64())})
             records.clear()
             payloads.clear()
             return made
@@ -256,43 +259,43 @@ def write_archives(pages: DataFrame, root: str, date: str = "1970-01-01T00:00:00
         if records:
             yield close()
 
-    made = small_batches(with_revisits(pages)).mapInArrow(write, "name string, records long")
-    return [f"{root.rstrip('/')}/{r.name}" for r in made.collect()]
+    return stash(small_batches(with_revisits(pages)).mapInArrow(write, "uri string, records long"), "manifest")
 
 
-def read_archives(spark: SparkSession, paths: list[str], payload: bool = True) -> DataFrame:
-    """A row per record of the archives at ``paths``; the first invalid record fails the read. ``payload=False``
-    leaves the payloads out after they are validated."""
+def read_archives(manifest: DataFrame, payload: bool = True, invalid: str = "fail") -> DataFrame:
+    """A row per record of the archives that ``manifest`` lists in its column ``uri``, read by the executors.
+
+    The first invalid record fails the read; with ``invalid="report"`` it becomes a row whose ``problem`` says what is
+    wrong and whose other columns are null but for ``archive``, and reading goes on with the next frame, or the next
+    archive where the frame's end can't be found. ``payload=False`` leaves the payloads out after they are validated.
+    A null ``uri`` names no archive, a repeated one is read again; other columns are not read. An empty manifest gives
+    no rows.
+    """
+    if invalid not in ("fail", "report"):
+        raise ValueError(f"invalid={invalid!r}")
 
     def read(batches):
         kind = pa.schema([
             ("page_id", pa.int64()), ("record_type", pa.string()), ("target_uri", pa.string()), ("refers_to", pa.int64()),
-            ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary()),
+            ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary()), ("archive", pa.string()), ("problem", pa.string()),
         ])
         for batch in batches:
-            for content in batch.column("content"):
+            for uri in batch.column("uri").to_pylist():
                 rows, held = [], 0
-                for row in unpack(content.as_py()):
-                    held += len(row["payload"] or b"")
-                    rows.append(row if payload else row | {"payload": None})
+                for row in unpack(load(uri), report=invalid == "report"):
+                    held += len(row.get("payload") or b"")
+                    rows.append(row | {"archive": uri} if payload else row | {"archive": uri, "payload": None})
                     if held > ARCHIVE_BYTES or len(rows) >= 4096:
                         yield pa.RecordBatch.from_pylist(rows, kind)
                         rows, held = [], 0
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, kind)
 
-    if not paths:
-        return spark.createDataFrame([], _RECORDS)
-    return spark.read.format("binaryFile").load(paths).select("content").mapInArrow(read, _RECORDS)
-
-
-def archive_folder(spark: SparkSession) -> str:
-    """A new folder for archives in the shared folder."""
-    root = checkpoint_root(spark)
-    return f"{root if '://' in root else 'file://' + root.removeprefix('file:')}".rstrip("/") + f"/marajo-warc-{uuid.uuid4().hex}"
+    listed = manifest.where(F.col("uri").isNotNull()).select("uri")
+    # an archive is megabytes, its name is not: names are dealt out by their number
+    return listed.repartition(min(max(listed.count(), 1), READ_TASKS)).mapInArrow(read, _RECORDS)
 
 
 def round_trip(pages: DataFrame, payload: bool = False) -> DataFrame:
     """``pages`` written to archives in the shared folder and read back: a row per record."""
-    spark = pages.sparkSession
-    return read_archives(spark, write_archives(pages, archive_folder(spark)), payload)
+    return read_archives(write_archives(pages, new_folder(pages.sparkSession, "warc")), payload)

@@ -61,6 +61,20 @@ def test_round_trip_of_pages(spark):
     assert warc.round_trip(frame.limit(0)).collect() == []
 
 
+def test_invalid_records_are_reported_on_request(spark):
+    pages = [f"<p>{'text ' * 40}{i}</p>".encode() for i in range(3)]
+    good = [warc.record(i, None, p, hashlib.sha1(p).hexdigest(), None, "2024-01-01T00:00:00Z") for i, p in enumerate(pages)]
+    bad = good[1].replace(b"text text", b"TEXT text", 1)
+    root = warc.new_folder(spark, "test")
+    uris = [(warc.save(root, data), "?") for data in (warc.pack([good[0], bad, good[2]], []), warc.pack(good, [])[:-9], b"")]
+    manifest = spark.createDataFrame([*uris, (None, "?")], "uri string, archive string")
+    told = warc.read_archives(manifest, payload=False, invalid="report").collect()
+    assert sorted(r.page_id for r in told if r.problem is None) == [0, 0, 1, 2]
+    assert sorted(r.archive for r in told if r.problem is not None) == sorted(u for u, _ in uris[:2])
+    with pytest.raises(Exception, match="digest differs|cut off|stray"):
+        warc.read_archives(manifest).collect()
+
+
 def archive():
     pages = [f"<p>{'text ' * 40}{i}</p>".encode() for i in range(60)]
     records = [warc.record(i, "http://h", p, hashlib.sha1(p).hexdigest(), None, "2024-01-01T00:00:00Z") for i, p in enumerate(pages)]
