@@ -5,18 +5,19 @@ weight as its rate; the row descends into the region with the smallest draw, the
 the smallest. A shard's draw is ``-ln(u) / weight`` with ``u`` hashed from the row's id and the shard's path;
 a node's draw is the smallest of its children's, which is again exponential with the sum of their weights.
 So each node wins in proportion to its weight, and a change of weights below one node alters no draw outside
-it: rows move only into a subtree that gains weight, or out of one that loses it.
+it: rows move only into a subtree that gains weight, or out of one that loses it. Draws of their own for regions and
+racks would break this: rows drawn into a region by a new shard would then be dealt to its old shards too.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ids per block in which slots are counted; bounds the rows that one task orders.
-BLOCK_IDS = 65_536
+from marajo.session import small_side, stash
 
 
 @dataclass(frozen=True)
@@ -36,32 +37,39 @@ def even_tree(n: int, regions: int = 4, racks: int = 5) -> list[Leaf]:
     return [Leaf(s % regions, s // regions % racks, s) for s in range(n)]
 
 
+def _tree(leaves: list[Leaf]) -> dict[int, dict[int, list[Leaf]]]:
+    """Shards that can win by region and rack; a shard of weight zero is drained and stands nowhere."""
+    tree: dict[int, dict[int, list[Leaf]]] = {}
+    for x in sorted(leaves, key=lambda x: (x.region, x.rack, x.shard)):
+        if not (math.isfinite(x.weight) and x.weight >= 0):
+            raise ValueError(f"shard {x.shard} has weight {x.weight}")
+        if x.weight > 0:
+            tree.setdefault(x.region, {}).setdefault(x.rack, []).append(x)
+    return tree
+
+
 def _draws(key: Column, leaves: list[Leaf]) -> Column:
-    """Array of each shard's draw and place."""
-    if not leaves:
-        return F.array().cast("array<struct<draw:double,region:int,rack:int,shard:int>>")
-    places = F.array(
-        *[
-            F.struct(
-                F.lit(x.path).alias("path"), F.lit(float(x.weight)).alias("weight"), F.lit(x.region).alias("region"),
-                F.lit(x.rack).alias("rack"), F.lit(x.shard).alias("shard"),
-            )
-            for x in leaves
-        ]
-    )
-    unit = lambda x: (F.conv(F.substring(F.md5(F.concat_ws("|", key, x["path"])), 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
-    return F.transform(
-        places, lambda x: F.struct((-F.ln(unit(x)) / x["weight"]).alias("draw"), x["region"].alias("region"), x["rack"].alias("rack"), x["shard"].alias("shard"))
-    )
+    """Array of a rack's or region's shards with their draws: the hash of id and path, in proportion to the weight."""
+    unit = lambda x: (F.conv(F.substring(F.md5(F.concat_ws("|", key, F.lit(x.path))), 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
+    return F.array(*[F.struct((-F.ln(unit(x)) / float(x.weight)).alias("draw"), F.lit(x.shard).alias("shard")) for x in leaves])
 
 
-def _descend(draws: Column) -> Column:
-    """Shard reached by taking the smallest draw at each level.
+def _descend(key: Column, leaves: list[Leaf]) -> Column:
+    """Shard reached from the root: the region of the smallest draw, in it the rack, in it the shard; equal draws go to
+    the node of the lowest number. Null where no shard can win."""
+    tree = _tree(leaves)
+    if not tree:
+        return F.lit(None).cast("int")
+    racks = lambda region: F.array(*[_node(F.lit(k), _draws(key, own), "shards") for k, own in tree[region].items()])
+    regions = F.array(*[_node(F.lit(r), racks(r), "racks") for r in tree])
+    region = F.array_min(regions)
+    rack = F.array_min(region["racks"])
+    return F.array_min(rack["shards"])["shard"]
 
-    A node's draw is the minimum over its subtree, so the region, rack and shard on the way down are those of
-    the smallest shard draw; equal draws go to the lowest region, rack and shard.
-    """
-    return F.array_min(draws)["shard"]
+
+def _node(number: Column, below: Column, name: str) -> Column:
+    """A node of the tree: its draw is the smallest of those below it."""
+    return F.element_at(F.transform(F.array(below), lambda b: F.struct(F.array_min(b)["draw"].alias("draw"), number.alias("number"), b.alias(name))), 1)
 
 
 def place(docs: DataFrame, leaves: list[Leaf], grown: list[Leaf] | None = None) -> DataFrame:
@@ -69,32 +77,29 @@ def place(docs: DataFrame, leaves: list[Leaf], grown: list[Leaf] | None = None)
 
     ``doc_id`` and the tree alone decide the shard, so rows that repeat an id share one; a null id counts as the
     text ``null``. ``size`` is the text's UTF-8 bytes (null: none) plus 16, ``text_crc32`` that of a null text is
-    0. ``slot`` numbers a shard's rows from 0 without gaps in order of id, then checksum and size; it is counted
-    in blocks of ``BLOCK_IDS`` ids whose starts come from a small table of counts. ``grown_shard`` is the shard
-    in the tree ``grown`` (null without one). Other columns are not read; an empty table gives no rows.
+    0. ``slot`` numbers a shard's rows from 0 without gaps in order of id, then checksum and size. ``grown_shard`` is
+    the shard in the tree ``grown`` (null without one). Shards of weight zero get no rows; where no shard has weight,
+    ``shard`` is null and slots number all rows. Negative and infinite weights are refused. Other columns are not
+    read; an empty table gives no rows.
+
+    Shards are drawn once and written, without the texts. Slots come from an order over all rows by range, whatever
+    ids look like: each task numbers its stretch, and a table of one count per task and shard gives the starts.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    base = docs.select(
+    drawn = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-        _draws(key, leaves).alias("draws"),
-        _draws(key, [x for x in grown or [] if x not in leaves]).alias("more"),
-    )
-    gone = [x.shard for x in leaves if grown and x not in grown]
-    stays = F.filter("draws", lambda d: ~d["shard"].isin(gone)) if gone else F.col("draws")
-    placed = base.select(
-        "doc_id",
-        "size",
-        "text_crc32",
-        _descend(F.col("draws")).alias("shard"),
-        (_descend(F.concat(stays, "more")) if grown else F.lit(None).cast("int")).alias("grown_shard"),
-        F.coalesce(F.floor(F.col("doc_id") / BLOCK_IDS).cast("long"), F.lit(-(1 << 62))).alias("block"),
-    )
-    counts = placed.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_slot"))
-    inside = Window.partitionBy("shard", "block").orderBy("doc_id", "text_crc32", "size")
-    return placed.withColumn("at", F.row_number().over(inside) - 1).join(starts, ["shard", "block"]).select(
-        "doc_id", "size", "text_crc32", "shard", (F.col("first_slot") + F.col("at")).cast("long").alias("slot"), "grown_shard"
+        _descend(key, leaves).alias("shard"),
+        (_descend(key, grown) if grown else F.lit(None).cast("int")).alias("grown_shard"),
+        F.monotonically_increasing_id().alias("row"),  # tells equal rows apart, so that ranges can split them
     )
+    order = ["shard", "doc_id", "text_crc32", "size", "row"]
+    ranged = stash(drawn, "drawn").repartitionByRange(*order).sortWithinPartitions(*order)
+    # the number of the task and of the row in it, which the written table keeps
+    ranged = stash(ranged.withColumn("at", F.monotonically_increasing_id()).withColumn("task", F.shiftright("at", 33)), "ranged")
+    counts = ranged.groupBy("shard", "task").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first_at"))
+    before = Window.partitionBy("shard").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.struct("shard", "task").alias("stretch"), (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first_at")).alias("shift"))
+    joined = ranged.join(small_side(starts, "starts"), F.struct("shard", "task").eqNullSafe(F.col("stretch")))
+    return joined.select("doc_id", "size", "text_crc32", "shard", (F.col("at") + F.col("shift")).cast("long").alias("slot"), "grown_shard")
