@@ -1,13 +1,13 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
 Base measures decide plain failures. Beyond them each rule compares one ratio with a cutoff that is chosen from
-labelled documents, separately per stratum (language). A cutoff may be used only if the holdout shows, by an
-exact binomial test, that it rejects at most ``risk / rules`` of the stratum's good documents; cutoffs of a rule
-are tested from the laxest on and testing stops at the first that fails (a fixed sequence needs no correction
-within itself), and the level is divided by the number of strata and rules. So with probability
-``1 - level`` no stratum loses more than ``risk`` of its good documents to the rules. Among certified cutoffs
-the one that rejects the most bad documents in excess of good ones is taken, the laxest of equals, none if no
-cutoff rejects more bad than good documents.
+labelled documents, separately per stratum (language). The labelled documents are halved by a hash of their id. One
+half proposes: of each rule the cutoff that rejects the most bad documents, a rejected good one weighing as much as
+``1 / risk`` bad ones, and the rules by what they so gain. The other half, the holdout, certifies: the rules are
+added one by one in the proposed order, and a vector of cutoffs stands if the holdout shows, by an exact binomial
+test, that it rejects at most ``risk`` of the stratum's good documents; testing stops at the first vector that fails
+(a fixed sequence needs no correction within itself), and the level is divided by the number of strata tested. So
+with probability ``1 - level`` no stratum loses more than ``risk`` of its good documents to all its rules together.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marajo.session import small_side, stash
@@ -26,12 +26,12 @@ _SYMBOL = "[#*$%&|<>]"
 
 @dataclass(frozen=True)
 class Rules:
-    """Parameters: ``cutoffs`` are tested from the first (laxest) on; a value above its cutoff rejects."""
+    """Parameters: ``cutoffs`` go from the laxest on; a value above its cutoff rejects."""
 
     min_words: int = 20
     max_repeat_percent: int = 30
     window: int = 8
-    risk: float = 0.004
+    risk: float = 0.02
     level: float = 0.05
     cutoffs: dict[str, tuple[float, ...]] = field(
         default_factory=lambda: {
@@ -62,14 +62,19 @@ def _repeated(hashes: Column, window: int) -> Column:
     return _bind(F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), count)
 
 
-def measures(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """``doc_id``, ``stratum``, the base measures and ``base_failed`` of every row; a null text has no words."""
+def measures(docs: DataFrame, rules: Rules = Rules(), carry: bool = False) -> DataFrame:
+    """``doc_id``, ``stratum``, the base measures and ``base_failed`` of every row, with ``carry`` also the row itself as
+    the struct ``row``; a null text has no words, an empty table gives no rows."""
     w = rules.window
+    row = [F.struct(*docs.columns).alias("row")] if carry else []
+    own = [F.col("row")] if carry else []
     split = docs.select(
+        *row,
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("lang", F.lit("")).alias("stratum") if "lang" in docs.columns else F.lit("").alias("stratum"),
         F.coalesce("text", F.lit("")).alias("text"),
     ).select(
+        *own,
         "doc_id",
         "stratum",
         "text",
@@ -79,6 +84,7 @@ def measures(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     starts = F.sequence(F.lit(1), F.size("words") - (w - 1))
     hashed = F.transform(starts, lambda i: F.xxhash64(F.slice(F.col("words"), i, F.lit(w))))
     counted = split.select(
+        *own,
         "doc_id",
         "stratum",
         F.size("words").cast("long").alias("n_words"),
@@ -122,62 +128,70 @@ def lower_tail(n: Column, k: Column, p: float) -> Column:
 def thresholds(found: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """``stratum`` and ``limits`` (map from rule to cutoff) certified on the labelled documents of ``found``.
 
-    All labelled rows count (null quality none, base failures none; they are gone already), each document id once
-    with its worst label.
+    Rows of null quality or id don't count, base failures neither (they are gone already); a document id with several
+    labels has its worst. Ties between cutoffs go to the laxest, between rules to the first by name.
     """
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min("quality").alias("quality")
     )
-    values = _values()
-    held = found.where(~F.col("base_failed")).join(known, "doc_id").select("stratum", "quality", *[v.alias(k) for k, v in values.items()])
-    tests = F.array(
-        *[
-            F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("at"), F.lit(float(cut)).alias("cutoff"), (F.col(rule) > cut).alias("hit"))
-            for rule, cuts in rules.cutoffs.items()
-            for i, cut in enumerate(cuts)
-        ]
+    values = F.map_from_arrays(F.array(*map(F.lit, _values())), F.array(*_values().values()))
+    labelled = found.where(~F.col("base_failed")).join(known, "doc_id").select(
+        "stratum", (F.col("quality") >= 1).alias("good"), values.alias("values"), (F.md5(F.col("doc_id").cast("string")) < "8").alias("proposes")
     )
-    good = F.col("quality") >= 1
+    cuts = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(float(c)).alias("cutoff"), F.lit(i).alias("at")) for r, own in rules.cutoffs.items() for i, c in enumerate(own)])
     counts = (
-        held.select("stratum", "quality", F.explode(tests).alias("t"))
-        .groupBy("stratum", "t.rule", "t.at", "t.cutoff")
-        .agg(
-            F.count_if(good).alias("n"),
-            F.count_if(good & F.col("t.hit")).alias("k"),
-            F.count_if(~good & F.col("t.hit")).alias("bad"),
-        )
+        labelled.where("proposes")
+        .select("stratum", "good", "values", F.explode(cuts).alias("t"))
+        .where(F.col("values")[F.col("t.rule")] > F.col("t.cutoff"))
+        .groupBy("stratum", "t.rule", "t.cutoff", "t.at")
+        .agg((F.count_if(~F.col("good")) - F.count_if("good") * (1 / rules.risk)).alias("gain"))
+        .where("gain > 0")
     )
-    strata = F.size(F.collect_set("stratum").over(Window.partitionBy("rule", "at")))
-    level = rules.level / (strata * len(rules.cutoffs))
-    tested = counts.withColumn("passed", (F.col("n") > 0) & (lower_tail(F.col("n"), F.col("k"), rules.risk / len(rules.cutoffs)) <= level))
-    upto = Window.partitionBy("stratum", "rule").orderBy("at")
-    certified = tested.withColumn("held", F.min(F.col("passed").cast("int")).over(upto) == 1)
-    gain = F.struct((F.col("bad") - F.col("k")).alias("gain"), (-F.col("at")).alias("lax"))
-    best = certified.where(F.col("held") & (F.col("bad") > F.col("k"))).groupBy("stratum", "rule").agg(F.max_by("cutoff", gain).alias("cutoff"))
-    return best.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("limits"))
+    best = counts.groupBy("stratum", "rule").agg(F.max(F.struct("gain", (-F.col("at")).alias("lax"), "cutoff")).alias("m"))
+    # the vector in order of testing
+    order = F.sort_array(F.collect_list(F.struct((-F.col("m.gain")).alias("loss"), "rule", F.col("m.cutoff").alias("cutoff"))))
+    vectors = small_side(best.groupBy(F.col("stratum").alias("own")).agg(order.alias("vector")), "vectors")
+    strata = max(vectors.count(), 1)
+    hit = F.array_min(F.filter(F.transform("vector", lambda v, i: F.when(F.col("values")[v["rule"]] > v["cutoff"], i + 1)), lambda i: i.isNotNull()))
+    held = labelled.where(~F.col("proposes") & F.col("good")).join(vectors, F.col("stratum") == F.col("own"))
+    tested = (
+        held.select("own", "vector", hit.alias("hit"), F.explode(F.sequence(F.lit(1), F.size("vector"))).alias("upto"))
+        .groupBy("own", "upto")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("hit") <= F.col("upto")).alias("k"), F.first("vector").alias("vector"))
+        .withColumn("passed", lower_tail(F.col("n"), F.col("k"), rules.risk) <= rules.level / strata)
+    )
+    failed = F.min(F.when(~F.col("passed"), F.col("upto")))
+    certified = tested.groupBy("own").agg(F.coalesce(failed - 1, F.max("upto")).alias("upto"), F.first("vector").alias("vector")).where("upto > 0")
+    chosen = F.transform(F.slice("vector", F.lit(1), F.col("upto")), lambda v: F.struct(v["rule"], v["cutoff"]))
+    return certified.select(F.col("own").alias("stratum"), F.map_from_entries(chosen).alias("limits"))
+
+
+def _verdict(found: DataFrame, labels: DataFrame, rules: Rules) -> DataFrame:
+    """``found`` with ``kept``: no base failure, and no value beyond a certified cutoff of the row's stratum."""
+    limits = small_side(thresholds(found, labels, rules).withColumnRenamed("stratum", "limit_stratum"), "limits")
+    over = F.lit(False)
+    for rule, value in _values().items():
+        over = over | F.coalesce(value > F.try_element_at("limits", F.lit(rule)), F.lit(False))
+    return found.join(limits, F.col("stratum") == F.col("limit_stratum"), "left").withColumn("kept", ~F.col("base_failed") & ~over).drop("limit_stratum")
 
 
 def judge(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Measures and verdict (``kept``) of every row of ``docs``.
 
     Null, empty and blank texts have no words and fail the base rule. Rows without a language form a stratum of
-    their own. Without labels, or with too few good ones to certify anything, only the base rules reject.
-    Repeated rows each get their verdict; ties between cutoffs go to the laxest; other columns are not read; an
-    empty table gives no rows. The measures are written once to the shared folder, as both the calibration and
-    the verdict read them.
+    their own. Without labels, or with too few good ones to certify anything, only the base rules reject. Rows without
+    an id are judged by the cutoffs of their stratum. Repeated rows each get their verdict; other columns are not
+    read; an empty table gives no rows. The measures are written once to the shared folder, as both the calibration
+    and the verdict read them.
     """
-    found = stash(measures(docs, rules), "measures")
-    limits = thresholds(found, labels, rules).withColumnRenamed("stratum", "limit_stratum")
-    over = F.lit(False)
-    for rule, value in _values().items():
-        over = over | F.coalesce(value > F.try_element_at("limits", F.lit(rule)), F.lit(False))
-    return found.join(limits, F.col("stratum") == F.col("limit_stratum"), "left").withColumn("kept", ~F.col("base_failed") & ~over).drop("limit_stratum")
+    return _verdict(stash(measures(docs, rules), "measures"), labels, rules)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns as they were.
 
-    Rows that share an id go if any of them is rejected; rows without an id stay, as no verdict can be tied to them.
+    Every row is judged by itself, as :func:`judge` does, rows without an id and repeated ones too. Rows are written
+    once with their measures, so the verdict filters them where they lie.
     """
-    gone = judge(docs.where(F.col("doc_id").isNotNull()), labels, rules).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(small_side(gone, "rejected"), "doc_id", "left_anti").select(*docs.columns)
+    kept = _verdict(stash(measures(docs, rules, carry=True), "measured"), labels, rules).where("kept")
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -52,24 +52,79 @@ def test_exact_binomial_tail(spark, n, k, p):
     assert got == pytest.approx(exact, rel=1e-9)
 
 
-def test_thresholds_are_certified_and_reject_bad(spark):
-    text = " ".join(f"word{i}" for i in range(40))
-    rows = [(i, text + f" v{i}") for i in range(6000)] + [(10_000 + i, text + "".join(f" ###{j}$&*" for j in range(60)) + f" b{i}") for i in range(300)]
-    labels = spark.createDataFrame([(i, int(i < 10_000), 0) for i, _ in rows], "doc_id long, quality int, toxic int")
-    frame = docs(spark, rows, clash=False).withColumn("lang", F.lit("en"))
+LANGS = ("en", "de", "fr", None)
+
+
+def labelled_rows():
+    """English and German documents with junk of two kinds, French ones too few to certify, and rows without a language."""
+    rows = []
+    for lang, n in zip(LANGS, (1500, 900, 150, 20)):
+        for i in range(n):
+            words = [f"word{j}" for j in range(40)] + [f"v{lang}{i}"]
+            good = i % 6 != 0
+            if not good:
+                words += [f"###{j}$&*" for j in range(60)] if i % 12 else [f"{'long' * 12}{j}" for j in range(40)]
+            elif i % 400 == 1:  # rare good ones that a rule hits
+                words += [f"#{j}" for j in range(8)]
+            rows.append((len(rows), " ".join(words), lang, int(good)))
+    return rows
+
+
+def plain_limits(rows, rules):
+    """Certified cutoffs by stratum, by the same procedure over lists."""
+    from collections import defaultdict
+
+    strata = defaultdict(list)
+    for i, t, lang, good in rows:
+        w = t.split()
+        chars = sum(map(len, w))
+        v = {"symbol_share": sum(c in "#*$%&|<>" for c in t) / chars, "dup_line_share": 0.0, "repeat_share": 0.0, "word_length": chars / len(w)}
+        strata[lang or ""].append((v, good, hashlib.md5(str(i).encode()).hexdigest() < "8"))
+    vectors = {}
+    for s, own in strata.items():
+        picks = []
+        for rule, cuts in rules.cutoffs.items():
+            gains = [(sum((1 - g) - g / rules.risk for v, g, p in own if p and v[rule] > c), -k, c) for k, c in enumerate(cuts)]
+            if max(gains)[0] > 0:
+                picks.append((-max(gains)[0], rule, max(gains)[2]))
+        if picks:
+            vectors[s] = sorted(picks)
+    out = {}
+    for s, vector in vectors.items():
+        good = [v for v, g, p in strata[s] if g and not p]
+        for upto in range(1, len(vector) + 1):
+            k, n, r = sum(any(v[rule] > c for _, rule, c in vector[:upto]) for v in good), len(good), rules.risk
+            if k > n * r or sum(math.comb(n, i) * r**i * (1 - r) ** (n - i) for i in range(k + 1)) > rules.level / len(vectors):
+                break
+            out[s] = {rule: c for _, rule, c in vector[:upto]}
+    return out
+
+
+def test_thresholds_are_certified_on_the_holdout_and_reject_bad(spark):
+    rows, rules = labelled_rows(), quality.Rules()
+    labels = spark.createDataFrame([(i, g, 0) for i, _, _, g in rows] + [(None, 0, 0), (5, None, 0)], "doc_id long, quality int, toxic int")
+    frame = spark.createDataFrame([(i, t, lang) for i, t, lang, _ in rows], "doc_id long, text string, lang string")
+    want = plain_limits(rows, rules)
+    assert set(want) == {"en", "de"} and any(len(x) == 2 for x in want.values())
+    got = {r.stratum: dict(r.limits) for r in quality.thresholds(quality.measures(frame), labels, rules).collect()}
+    assert got == want
     verdict = {r.doc_id: r.kept for r in quality.judge(frame, labels).collect()}
-    assert all(verdict[i] for i in range(6000)) and not any(verdict[10_000 + i] for i in range(300))
-    none = labels.where("doc_id < 20")
-    assert all(r.kept for r in quality.judge(frame, none).collect())  # too few labels certify nothing
+    for s in ("en", "de"):
+        bad = [verdict[i] for i, _, lang, g in rows if lang == s and not g]
+        good = [verdict[i] for i, _, lang, g in rows if lang == s and g]
+        assert sum(good) >= (1 - rules.risk) * len(good) and sum(bad) <= 0.1 * len(bad)
+    assert all(verdict[i] for i, _, lang, _ in rows if lang not in ("en", "de"))  # too few labels certify nothing
+    assert all(r.kept for r in quality.judge(frame, labels.limit(0)).collect())
 
 
-def test_keep_good_leaves_columns_and_idless_rows(spark):
+def test_keep_good_leaves_columns_and_judges_each_row(spark):
     labels = spark.createDataFrame([(1, 1, 0), (None, 1, 0), (3, None, None)], "doc_id long, quality int, toxic int")
-    given = docs(spark)
+    enough = AWKWARD[0][1]
+    given = docs(spark, [*AWKWARD, (None, enough), (9, enough)])
     kept = quality.keep_good(given, labels)
     assert kept.columns == given.columns
-    assert {r.doc_id for r in kept.collect()} == {1, -5, 5, 6, None}
-    assert quality.keep_good(docs(spark, []), labels).collect() == []
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, -5, 5, 6, None, 9]))
+    assert quality.keep_good(docs(spark, []), labels).collect() == [] and quality.judge(docs(spark, []), labels).collect() == []
 
 
 def test_places_are_gapless_and_hold_the_text(spark):
@@ -104,3 +159,22 @@ def test_weights_steer_and_movement_stays_in_the_changed_subtree(spark):
     assert [r.grown_shard for r in sorted(rows)] == [plain_place(i, new) for i in range(3000)]
     assert all(r.grown_shard in (r.shard, 2) for r in rows)
     assert 0.45 < sum(r.grown_shard == 2 for r in rows) / 3000 < 0.55
+
+
+def test_drained_shards_and_hashed_repeated_and_null_ids(spark):
+    leaves = [shards.Leaf(s % 2, s % 3, s, 0.0 if s == 1 else 2.0) for s in range(5)]
+    ids = [hash((i, 7)) for i in range(400)] + [11] * 300 + [None] * 300
+    frame = docs(spark, [(i, f"t{k % 5}") for k, i in enumerate(ids)])
+    rows = shards.place(frame, leaves, [x for x in leaves if x.shard != 4]).collect()
+    assert len(rows) == 1000 and {r.shard for r in rows} == {0, 2, 3, 4} and {r.grown_shard for r in rows} == {0, 2, 3}
+    assert all(r.shard == r.grown_shard for r in rows if r.shard != 4)
+    for shard in {r.shard for r in rows}:
+        own = sorted((r for r in rows if r.shard == shard), key=lambda r: r.slot)
+        assert [r.slot for r in own] == list(range(len(own)))
+        order = [(r.doc_id is not None, r.doc_id or 0, r.text_crc32, r.size) for r in own]
+        assert order == sorted(order)
+    one = [shards.Leaf(0, 0, 0, 0.0)]
+    rows = shards.place(frame, one).collect()
+    assert {r.shard for r in rows} == {None} and sorted(r.slot for r in rows) == list(range(1000))
+    with pytest.raises(ValueError):
+        shards.place(frame, [shards.Leaf(0, 0, 0, -1.0)])
