@@ -107,7 +107,6 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op6_sql() -> str:
     rules = quality.Rules()
     grid = ", ".join(f"('{r}', {i}, {c!r})" for r, cuts in rules.cutoffs.items() for i, c in enumerate(cuts))
-    share = rules.risk / len(rules.cutoffs)
     return rf"""
 with base as (
   select doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as text from documents),
@@ -134,19 +133,25 @@ long as (
   on symbol_share, dup_line_share, repeat_share, word_length into name rule value v),
 grid(rule, pos, cutoff) as (values {grid}),
 known as (select doc_id, min(quality) as quality from labels where quality is not null group by doc_id),
+labelled as (
+  select doc_id, stratum, rule, v, quality >= 1 as good, md5(cast(doc_id as varchar)) < '8' as proposes from long join known using (doc_id) where not base_failed),
 counts as (
-  select stratum, rule, pos, cutoff, count(*) filter (quality >= 1) as n, count(*) filter (quality >= 1 and v > cutoff) as k,
-    count(*) filter (quality < 1 and v > cutoff) as bad
-  from long join known using (doc_id) join grid using (rule) where not base_failed group by all),
+  select stratum, rule, cutoff, pos, count(*) filter (not good) - count(*) filter (good) * {1 / rules.risk!r} as gain
+  from labelled join grid using (rule) where proposes and v > cutoff group by all having gain > 0),
+best as (select * from counts qualify row_number() over (partition by stratum, rule order by gain desc, pos) = 1),
+vectors as (select *, row_number() over (partition by stratum order by gain desc, rule) as step from best),
+hits as (
+  select l.doc_id, l.stratum, min(step) filter (v > cutoff) as hit from labelled l join vectors x on l.stratum = x.stratum and l.rule = x.rule
+  where good and not proposes group by all),
+counted as (
+  select x.stratum, step, count(*) as n, count(*) filter (hit <= step) as k from hits h join vectors x on h.stratum = x.stratum group by all),
 tested as (
-  select *, n > 0 and k <= n * {share!r} and list_sum(list_transform(range(0, cast(k as bigint) + 1), lambda i:
-      exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share!r}) + (n - i) * ln(1 - {share!r}))))
-    <= {rules.level!r} / ((select count(distinct stratum) from counts) * {len(rules.cutoffs)}) as passed from counts),
-certified as (select *, bool_and(passed) over (partition by stratum, rule order by pos) as held from tested),
-best as (
-  select stratum, rule, cutoff from certified where held and bad > k
-  qualify row_number() over (partition by stratum, rule order by bad - k desc, pos) = 1),
-outside as (select distinct l.doc_id from long l join best b on l.stratum = b.stratum and l.rule = b.rule and l.v > b.cutoff)
+  select *, k <= n * {rules.risk!r} and list_sum(list_transform(range(0, cast(k as bigint) + 1), lambda i:
+      exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rules.risk!r}) + (n - i) * ln(1 - {rules.risk!r}))))
+    <= {rules.level!r} / (select count(distinct stratum) from vectors) as passed from counted),
+held as (select stratum, step from tested qualify bool_and(passed) over (partition by stratum order by step)),
+certified as (select stratum, rule, cutoff from vectors join held using (stratum, step)),
+outside as (select distinct l.doc_id from long l join certified b on l.stratum = b.stratum and l.rule = b.rule and l.v > b.cutoff)
 select j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and o.doc_id is null as kept
 from judged j left join outside o using (doc_id)
@@ -188,22 +193,24 @@ base as (
       case when j % 2 = 1 then 2 * cast(substr(ds, length(ds) - j, 1) as int) - case when cast(substr(ds, length(ds) - j, 1) as int) > 4 then 9 else 0 end
            else cast(substr(ds, length(ds) - j, 1) as int) end)) % 10 = 0
     else length(ds) between 9 and 15 end),
-split as (select doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda w: w <> '') as ws from d),
+split as (select doc_id, text, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda w: w <> '') as ws from d),
+once as (select distinct text, ws from split),
+placed as (
+  select text, kind, m as entity, ws, len(list_filter(regexp_split_to_array(left(text, e), '[ \t\n\x0B\f\r]+'), lambda w: w <> '')) as upto,
+    len(list_filter(regexp_split_to_array(left(text, s), '[ \t\n\x0B\f\r]+'), lambda w: w <> '')) - cast(regexp_matches(left(text, s), '[^ \t\n\x0B\f\r]$') as int) as before
+  from base join split using (doc_id)),
 context as (
-  select distinct kind, m as entity, list_concat(
-      list_filter(regexp_split_to_array(left(text, s), '[ \t\n\x0B\f\r]+'), lambda w: w <> '')[-8:],
-      list_filter(regexp_split_to_array(substr(text, e + 1), '[ \t\n\x0B\f\r]+'), lambda w: w <> '')[:8]) as around
-  from base join d using (doc_id)),
-total as (select kind, entity, count(*) as mentions from context group by all),
+  select distinct text, kind, entity, list_concat(case when before > 0 then ws[greatest(before - 7, 1) : before] else [] end, ws[upto + 1 : upto + 8]) as around from placed),
+total as (select kind, entity, count(distinct text) as mentions from context group by all),
 pairs as (
-  select kind, entity, term, count(*) as joint from (select kind, entity, unnest(list_distinct(around)) as term from context)
-  where length(term) > 1 and not regexp_matches(term, '[0-9@]') group by all having count(*) >= 3),
-freq as (select term, count(*) as df from (select unnest(list_distinct(ws)) as term from split) where term in (select term from pairs) group by term),
+  select kind, entity, term, count(distinct text) as joint from (select text, kind, entity, around, unnest(list_distinct(around)) as term from context)
+  where length(term) > 1 and not regexp_matches(term, '[0-9@]') group by all having count(distinct around) >= 3),
+freq as (select term, count(*) as df from (select unnest(list_distinct(ws)) as term from once) where term in (select term from pairs) group by term),
 telling as (
   select distinct term from pairs join total using (kind, entity) join freq using (term)
-  where least(joint / df, 1.0) >= 0.5 and log2(least(joint / df, 1.0) / (mentions / (select count(*) from documents))) >= 8),
+  where joint / df >= 0.5 and log2(joint / df / (mentions / (select count(*) from once))) >= 8),
 holders as (
-  select doc_id, string_split_regex(text, '[^ \t\n\x0B\f\r]+') as gaps, ws from d join split using (doc_id)
+  select doc_id, string_split_regex(text, '[^ \t\n\x0B\f\r]+') as gaps, ws from split
   where list_has_any(ws, coalesce((select list(term) from telling), []))),
 words as (
   select doc_id, w, sum(length(g)) over before + coalesce(sum(length(w)) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as s

@@ -68,6 +68,7 @@ def test_disclosing_terms_are_found_and_generalised(spark):
     frame = docs(spark, rows)
     terms = pii.disclosing_terms(frame, pii.mentions(frame), bits=4.0).collect()
     assert {r.term for r in terms} == {"Zorblatt+Fx", "wrote", "from"}
+    assert pii.disclosing_terms(docs(spark, []), pii.mentions(docs(spark, []))).collect() == []
     clean = {r.doc_id: r.text for r in pii.sanitise(frame, bits=4.0).collect()}
     assert clean[900] == "see <term> there" and clean[100] == rows[12][1] and clean[0] == "note0 x <term> <term> <term> <email> today0"
     gone = pii.sanitise(frame, generalise=False, bits=4.0).where("doc_id = 900").first().text
@@ -96,3 +97,60 @@ def test_mentions_in_one_text_are_one_and_null_ids_count(spark):
     rows = [(None, f"k{c} Flarp a@b.cd") for c in "xyz"] + [(10 + i, f"x{i}") for i in range(99)]
     frame = docs(spark, rows)
     assert {r.term for r in pii.disclosing_terms(frame, pii.mentions(frame), bits=4.0).collect()} == {"Flarp"}
+
+
+def plain_terms(rows, support=3, reveal=0.5, bits=8.0, reach=8):
+    """Disclosing terms by walking all distinct texts."""
+    from collections import defaultdict
+
+    texts = {t or "" for _, t in rows}
+    joint, places, mentions = defaultdict(set), defaultdict(set), defaultdict(set)
+    for t in texts:
+        words = [(m.start(), m.end(), m[0]) for m in re.finditer(r"[^ \t\n\x0b\f\r]+", t)]
+        for kind, s, e in plain(t):
+            around = tuple([w for _, b, w in words if b <= s][-reach:] + [w for a, _, w in words if a >= e][:reach])
+            mentions[kind, t[s:e]].add(t)
+            for w in set(around):
+                if len(w) > 1 and not re.search("[0-9@]", w):
+                    joint[kind, t[s:e], w].add(t)
+                    places[kind, t[s:e], w].add(around)
+    df = {w: sum(w in re.split(r"[ \t\n\x0b\f\r]+", t) for t in texts) for _, _, w in joint}
+    out = set()
+    for (kind, entity, w), own in joint.items():
+        given = len(own) / df[w]
+        if len(places[kind, entity, w]) >= support and given >= reveal and math.log2(given * len(texts) / len(mentions[kind, entity])) >= bits:
+            out.add(w)
+    return out
+
+
+def test_terms_equal_a_walk_over_all_texts(spark):
+    import random
+
+    r = random.Random(11)
+    people = {"ann@x.org": "Quill", "bob@y.net": "Vexa", "+34 600 600 601": "Tarn", "10.0.0.7": "Moss"}
+    common = [f"c{chr(97 + i)}d" for i in range(20)]
+    rows = []
+    for i in range(700):
+        words = r.choices(common, k=r.randrange(3, 30))
+        if i % 6 == 0:
+            entity = r.choice(list(people))
+            at = r.randrange(len(words))
+            words[at:at] = [r.choice(["", "("]) + entity + r.choice(["", ","]), people[entity]] if i % 4 else [people[entity] if i % 8 else "Shared", entity]
+        rows.append((i, r.choice([" ", "\n", "  "]).join(words)))
+    rows += [(1000 + i, rows[6 * i][1]) for i in range(30)] + [(None, rows[12][1]), (None, None), (2000, "")]
+    frame = docs(spark, rows)
+    for reveal, bits in ((0.5, 3.0), (0.9, 4.0)):
+        got = {x.term for x in pii.disclosing_terms(frame, pii.mentions(frame), reveal=reveal, bits=bits).collect()}
+        assert got == plain_terms(rows, reveal=reveal, bits=bits) and got
+    spans = {(x.doc_id, s.start, s.end) for x in pii.find(frame, bits=3.0).collect() for s in x.spans if s.kind == "term"}
+    terms = plain_terms(rows, bits=3.0)
+    assert spans == {(i, m.start(), m.end()) for i, t in rows for m in re.finditer(r"[^ \n]+", t or "") if m[0] in terms}
+
+
+def test_a_text_of_a_hundred_thousand_numbers_takes_seconds(spark):
+    import time
+
+    text = " ".join(str(10 + i % 90) for i in range(100_000)) + " " + " ".join(f"u{i}@ex.org" for i in range(3000))
+    start = time.time()
+    row = pii.mentions(docs(spark, [(1, text)])).select(F.size("base").alias("n"), F.element_at("base", -1).alias("last")).first()
+    assert row.n == 3000 and row.last.around[-1] == "u2998@ex.org" and time.time() - start < 30
