@@ -1,4 +1,4 @@
-"""Bulletin and programme pipelines over raw text tables that are derived from the order star.
+"""Bulletin pipelines over raw text tables that are derived from the order star.
 
 The raw tables write clean columns the way the sources do (Brazilian money and dates, dashed keys); the SQL takes
 the clean columns.
@@ -9,9 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marajo.plans import bulletins as B
-from marajo.plans import programmes as P
 from marajo.plans.kit import Kit
-from marajo.session import stash
 
 kit = Kit()
 QUERIES, ORACLES = kit.queries, kit.oracles
@@ -110,232 +108,3 @@ def _(t):
     raw = t("lineitem").select(F.col("l_returnflag").alias("acao_governo_codigo"), *[_br(F.round(c, 2)).alias(n) for n, c in text.items()], F.lit("").alias("restos_a_pagar_inscritos"))
     out = B.federal_budget(raw, {"A": "FAR", "N": "FDS"})
     return out.withColumns({c: F.col(c).cast("double") for c in (*B.BUDGET_AMOUNTS.values(), "pag_total")})
-
-
-# --- programmes ---------------------------------------------------------------------------------------------
-
-_CLEAN = """
-reg as (select lpad(cast(c_custkey as varchar), 6, '0') || '03' as apf, c_custkey as k, c_name as nome, n_name as uf, 'M' || (c_custkey % 40) as municipio, cast(c_custkey % 500 as int) as uh,
-  round(abs(c_acctbal), 2) as invest, cast(c_custkey % 5 as int) as tipo, case when c_custkey % 3 = 0 then null else cast(c_custkey % 101 as double) end as pct,
-  case c_mktsegment when 'BUILDING' then 'EM ANDAMENTO' when 'MACHINERY' then 'ENTREGUE' when 'HOUSEHOLD' then 'PARALISADO' end as situacao from customer join nation on c_nationkey = n_nationkey),
-prop as (select * from (select o_custkey as k, case when o_orderstatus = 'P' then null else cast(o_orderdate as date) end as mov, o_orderkey, o_orderpriority as orig,
-    case when o_orderkey % 4 > 0 then cast(o_orderkey % 7 as varchar) end as portaria from orders)
-  qualify row_number() over (partition by k order by mov desc nulls first, date '2000-01-01' + cast(o_orderkey as int) desc) = 1),
-pay as (select o_custkey as k, cast(date_trunc('month', o_orderdate) as date) as mes, count(*) as n, sum(cast(round(o_totalprice) as bigint)) as v from orders group by 1, 2),
-spent as (select k, sum(v) as v from pay group by 1),
-ent as (select apf, reg.k, nome, coalesce(portaria, 'Não informada') as portaria, case when prop.k is null then null else reg.uf end as uf, case when prop.k is null then null else municipio end as municipio, uh,
-  coalesce(situacao, 'Situação não mapeada') as situacao, invest, coalesce(pct, 50.0) as pct, case when invest > 0 and uh > 0 then invest / uh else 0.0 end as por_uh, orig,
-  case tipo when 1 then 'Casa Térrea' when 2 then 'Apartamento' when 3 then 'Sobrado' when 4 then 'Misto' else 'Não Informado' end as tipologia from reg left join prop on prop.k = reg.k)"""
-
-
-def _raw_a(t):
-    """Programme A's raw text tables by name."""
-    key = F.lpad(F.col("c_custkey").cast("string"), 6, "0")
-    c = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    k = F.col("c_custkey")
-    city = F.concat(F.lit("M"), (k % 40).cast("string"))
-    dashed = F.when(k % 2 == 0, F.concat(F.lit("00"), key, F.lit("-03"))).otherwise(F.concat(key, F.lit("03")))
-    register = c.select(
-        dashed.alias("nu_apf"), F.concat(F.lit(" P"), k.cast("string"), F.lit(" ")).alias("no_identificacao_proposta"), F.col("c_name").alias("no_empreendimento"),
-        (k % 500).cast("string").alias("nu_qt_uh"), _br(F.abs("c_acctbal")).alias("vr_total_investimento"), (k % 5).cast("string").alias("co_tipo_edificacao"),
-    )
-    place = c.select(k.alias("o_custkey"), F.col("n_name").alias("sg_uf"), city.alias("no_municipio"))
-    o = t("orders").join(place, "o_custkey")
-    proposals = o.select(
-        F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("no_identificacao_proposta"), F.when(F.col("o_orderstatus") != "P", _day("o_orderdate")).alias("dt_movimento"),
-        F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), F.col("o_orderkey").cast("int")), "yyyyMMdd").alias("dt_protocolo"),
-        F.when(F.col("o_orderkey") % 4 > 0, (F.col("o_orderkey") % 7).cast("string")).alias("portaria_contratacao"), "no_municipio", "sg_uf",
-        F.col("o_orderpriority").alias("co_originacao_empreendimento"),
-    )
-    works = c.select(F.concat(key, F.lit("03")).alias("nu_apf"), F.when(k % 3 != 0, F.concat((k % 101).cast("string"), F.lit(",0"))).alias("pc_obra_realizada"), F.lit("2020-05-17").alias("dt_alteracao_situacao"))
-    situation = F.when(F.col("c_mktsegment") == "BUILDING", "EM ANDAMENTO").when(F.col("c_mktsegment") == "MACHINERY", "ENTREGUE").when(F.col("c_mktsegment") == "HOUSEHOLD", "PARALISADO")
-    priority = c.select(F.concat(key, F.lit("03")).alias("apf"), situation.alias("situacao_do_empreendimento"), F.lit("50").alias("percentual_exec"), F.lit("01/01/2021").alias("data_previsao_entrega"))
-    paid = t("orders").select(
-        F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("nu_apf"), F.when(F.col("o_orderkey") % 2 == 0, "0").otherwise("0").alias("ic_credito"),
-        F.round("o_totalprice").cast("long").cast("string").alias("vr_liberado"), _day("o_orderdate").alias("dt_liberacao_recurso"),
-    )
-    return {"register": register, "proposals": proposals, "works": works, "priority": priority, "disbursements": paid}
-
-
-def _entity(t):
-    raw = {name: P.bronze(frame, P.BRONZE_A[name]) for name, frame in _raw_a(t).items()}
-    return raw, P.entity_a(raw["register"], raw["proposals"], raw["works"], raw["priority"])
-
-
-@kit.query("p30_bronze_register", f"""
-with {_CLEAN} select apf, 'P' || k as id_proposta, nome as empreendimento_nome, uh as qt_uh, tipo as co_tipo_edificacao, invest as vr_total_investimento from reg""")
-def _(t):
-    register = P.bronze(_raw_a(t)["register"], P.BRONZE_A["register"])
-    return register.select("apf", "id_proposta", "empreendimento_nome", "qt_uh", "co_tipo_edificacao", F.col("vr_total_investimento").cast("double").alias("vr_total_investimento"))
-
-
-@kit.query("p31_entity_a", f"""
-with {_CLEAN} select apf, portaria as portaria_selecao, uf, municipio, uh as quantidade_uh, situacao as situacao_empreendimento, tipologia, cast(floor(uh * 3.3) as bigint) as pessoas_atendidas,
-  invest as valor_contratado, por_uh as valor_por_uh, pct as percentual_execucao_fisica from ent""")
-def _(t):
-    _, entity = _entity(t)
-    return entity.select(
-        "apf", "portaria_selecao", "uf", "municipio", "quantidade_uh", "situacao_empreendimento", "tipologia", "pessoas_atendidas", "valor_contratado",
-        "valor_por_uh", "percentual_execucao_fisica",
-    )
-
-
-@kit.query("p32_cash_curve", f"""
-with {_CLEAN} select apf, mes, n as qt_liberacoes, cast(v as double) as vr_liberado, cast(sum(v) over (partition by apf order by mes) as double) as vr_acumulado,
-  case when invest > 0 then round(sum(v) over (partition by apf order by mes) / invest * 100, 2) else 0.0 end as pct_executado_financeiro from pay join ent using (k)""", dates="mes")
-def _(t):
-    raw, entity = _entity(t)
-    curve = P.cash_curve(raw["disbursements"], entity, ["vr_liberado"])
-    return curve.select("apf", "mes", "qt_liberacoes", "vr_liberado", "vr_acumulado", "pct_executado_financeiro")
-
-
-@kit.query("p33_physical_financial", f"""
-with {_CLEAN}, c as (select apf, mes, case when invest > 0 then round(sum(v) over (partition by apf order by mes) / invest * 100, 2) else 0.0 end as fin from pay join ent using (k)),
-w as (select apf, date '2020-05-01' as mes, pct from reg),
-u as (select coalesce(c.apf, w.apf) as apf, coalesce(c.mes, w.mes) as mes, w.pct, c.fin from c full join w on c.apf = w.apf and c.mes = w.mes)
-select apf, strftime(mes, '%Y-%m-%d') as mes, coalesce(last_value(pct ignore nulls) over w, 0) as pct_obra_realizada, coalesce(last_value(fin ignore nulls) over w, 0) as pct_executado_financeiro
-from u window w as (partition by apf order by mes rows between unbounded preceding and current row)""")
-def _(t):
-    raw, entity = _entity(t)
-    curve = P.cash_curve(raw["disbursements"], entity, ["vr_liberado"])
-    return P.physical_against_financial(curve, raw["works"], entity).drop("apf_municipio_empreendimento")
-
-
-def _sheets(t):
-    """Programme A's fact sheets, written once: a report reads them several times."""
-    _, entity = _entity(t)
-    return stash(P.fact_sheet_a(entity, "2022-01-01", {"1-URGENT": "Chamada", "2-HIGH": "Sorteio"}, {"1": "Calamidade"}), "sheets")
-
-
-@kit.query("p34_fact_sheet", f"""
-with {_CLEAN} select apf, apf || ' - ' || coalesce(municipio, '') || '/' || coalesce(uf, '') || ' - ' || upper(nome) as busca, municipio || '/' || uf as municipio_uf,
-  case orig when '1-URGENT' then 'Chamada' when '2-HIGH' then 'Sorteio' else 'OUTRO (' || coalesce(orig, 'N/A') || ')' end as metodo,
-  case when pct = 100 then 'Concluído' when pct = 0 then 'Não Iniciado' else 'Em Andamento' end as status_execucao_simplificado,
-  case when situacao = 'ENTREGUE' then 'Entregue' else 'Em Atraso' end as status_prazo, case when pct > 5 then 'Desembolso Atrasado' else 'Ritmo Equilibrado' end as ritmo_fisico_financeiro from ent""")
-def _(t):
-    return _sheets(t).select("apf", "busca", "municipio_uf", "metodo", "status_execucao_simplificado", "status_prazo", "ritmo_fisico_financeiro")
-
-
-def _states(t):
-    r = t("region").withColumnRenamed("r_regionkey", "n_regionkey")
-    return t("nation").join(r, "n_regionkey").select(F.col("n_name").alias("sigla"), F.col("n_name").alias("nome"), F.col("r_name").alias("regiao_sigla"), F.col("r_name").alias("regiao_nome"))
-
-
-@kit.query("p35_national_map", f"""
-with {_CLEAN}, u as (select e.uf as area, r_name as region, count(distinct municipio || '/' || e.uf) as m, count(*) as n, cast(sum(uh) as bigint) as uh, avg(pct) as pct from ent e left join nation on n_name = e.uf
-  left join region on r_regionkey = n_regionkey group by 1, 2)
-select area, region, 'unit' as level, m as total_municipios, n as empreendimentos, uh as quantidade_uh, round(pct, 1) as percentual_execucao_fisica, 'BR-' || area as iso_3166_2 from u
-union all select region, region, 'region', cast(sum(m) as bigint), cast(sum(n) as bigint), cast(sum(uh) as bigint), round(avg(pct), 1), null from u group by region""")
-def _(t):
-    return P.national_map(_sheets(t), _states(t)).select("area", "region", "level", "total_municipios", "empreendimentos", "quantidade_uh", "percentual_execucao_fisica", "iso_3166_2")
-
-
-@kit.query("p36_state_panel", f"""
-with {_CLEAN}, s(dimensao, ordem) as (values ('EM ANDAMENTO', 1), ('PARALISADO', 2), ('NÃO INICIADO', 3)),
-panel as (
-select uf, 'header' as section, 'resumo' as dimensao, 0 as ordem, count(distinct municipio) as n, sum(uh) as u from ent group by uf
-union all select uf, 'metodo', case orig when '1-URGENT' then 'Chamada' when '2-HIGH' then 'Sorteio' else 'OUTRO (' || coalesce(orig, 'N/A') || ')' end, 0, count(*), sum(uh) from ent group by all
-union all select uf, 'portaria', case when portaria = 'Não informada' then portaria else 'Portaria nº ' || portaria end, 0, count(*), sum(uh) from ent group by all
-union all select uf, 'demanda', 'OUTRO (N/A)', 0, count(*), sum(uh) from ent group by all
-union all select g.uf, 'situacao', s.dimensao, s.ordem, coalesce(n, 0), coalesce(u, 0) from (select distinct uf from ent) g, s
-  left join (select uf, situacao, count(*) as n, sum(uh) as u from ent group by 1, 2) r on r.uf = g.uf and r.situacao = s.dimensao
-union all select uf, 'execucao_fisica', case when pct <= 40 then 'Menor que 40%' when pct <= 55 then 'De 41% a 55%' when pct <= 75 then 'De 56% a 75%' else 'Maior que 75%' end,
-  case when pct <= 40 then 1 when pct <= 55 then 2 when pct <= 75 then 3 else 4 end, count(*), sum(uh) from ent group by all)
-select uf, upper(uf) as estado, section, dimensao, ordem, n as qtd_empreendimentos, cast(u as bigint) as qtd_uhs from panel where uf is not null""")
-def _(t):
-    panel = P.state_panel(_sheets(t), _states(t), ["EM ANDAMENTO", "PARALISADO", "NÃO INICIADO"]).where("uf is not null")
-    return panel.select("uf", "estado", "section", "dimensao", "ordem", "qtd_empreendimentos", F.col("qtd_uhs").cast("long").alias("qtd_uhs"))
-
-
-@kit.query("p37_management_summary", f"""
-with {_CLEAN} select count(*) as empreendimentos, count(distinct uf) as estados, cast(sum(uh) as bigint) as uhs, round(avg(pct), 1) as media_execucao_fisica, count(*) filter (situacao <> 'ENTREGUE') as em_atraso from ent""")
-def _(t):
-    return P.management_summary(_sheets(t)).select("empreendimentos", "estados", "uhs", "media_execucao_fisica", "em_atraso")
-
-
-_CLEAN_B = """
-b as (select lpad(cast(c_custkey as varchar), 6, '0') || '03' as apf, c_custkey as k, lpad(cast(c_nationkey + 1 as varchar), 14, '0') as cnpj, n_name as eo, 'M' || (c_custkey % 40) as municipio,
-  cast(greatest(c_custkey % 90, c_custkey % 70) as int) as uh, cast(c_custkey % 60 as int) as alienadas, round(abs(c_acctbal) * 100, 2) as invest, cast(c_custkey % 101 as double) as pct,
-  cast(c_custkey % 83 as double) as prev, c_custkey % 11 = 0 as parada from customer join nation on c_nationkey = n_nationkey),
-paid as (select o_custkey as k, sum(cast(round(o_totalprice) as bigint)) as v, count(*) as n from orders where o_orderkey % 3 > 0 group by 1),
-snap as (select o_custkey as k, o_orderpriority as gefus from orders where o_orderstatus <> 'P' qualify row_number() over (partition by o_custkey order by case when o_orderkey % 5 > 0 then o_orderdate end desc nulls last, o_orderkey desc) = 1),
-e as (select b.*, coalesce(v, 0) as v, coalesce(n, 0) as n, gefus, case when invest > 0 then round(coalesce(v, 0) / invest * 100 - pct, 2) else 0.0 end as gap from b left join paid using (k) left join snap using (k))"""
-
-
-def _entity_b(t):
-    k = F.col("c_custkey")
-    key = F.lpad(k.cast("string"), 6, "0")
-    c = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    apf = F.concat(key, F.lit("03"))
-    register = c.select(
-        apf.alias("nu_apf"), F.col("n_name").alias("no_eo"), F.concat((F.col("c_nationkey") + 1).cast("string"), F.lit("/")).alias("nu_cnpj_eo"), F.col("c_name").alias("no_empreendimento"),
-        F.concat(F.lit("M"), (k % 40).cast("string")).alias("no_municipio"), F.col("n_name").alias("sg_uf"), (k % 90).cast("string").alias("qt_uh_construcao"), (k % 70).cast("string").alias("qt_uh_projeto"),
-        _br(F.abs("c_acctbal") * 100).alias("vr_total_investimento"), F.lit("02/01/2020").alias("dt_contratacao"), F.when(k % 2 == 0, "01/01/1900").otherwise("12/01/2020").alias("dt_inicio_obra"),
-    )
-    works = c.select(
-        apf.alias("nu_apf"), (k % 83).cast("string").alias("pc_obra_prevista"), (k % 101).cast("string").alias("pc_obra_realizada"), (k % 60).cast("string").alias("qt_uh_alienadas"),
-        F.when(k % 11 == 0, "20210101").alias("dt_paralisacao"),
-    )
-    o = t("orders")
-    snapshot = o.select(
-        F.concat(F.lpad(F.col("o_custkey").cast("string"), 6, "0"), F.lit("03")).alias("apf"), F.col("o_orderpriority").alias("situacao_gefus"), F.when(F.col("o_orderstatus") != "P", "NOVO PMCMV-E").otherwise("X").alias("selecao"),
-        F.when(F.col("o_orderkey") % 5 > 0, F.col("o_orderdate")).alias("at"), "o_orderkey",
-    )
-    # one snapshot a day, as the sources have
-    from marajo.operators.tables import latest_per_key
-
-    latest = latest_per_key(snapshot.where("selecao <> 'X'"), "apf", ["at", "o_orderkey"]).select("apf", "situacao_gefus", "selecao", F.to_date("at").alias("dt_movimento"))
-    sign = F.when(F.col("o_orderkey") % 2 == 0, "-").otherwise("")
-    paid = o.select(
-        F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("nu_apf"), F.when(F.col("o_orderkey") % 3 > 0, "0").otherwise("1").alias("ic_credito"),
-        F.concat(sign, F.round("o_totalprice").cast("long").cast("string")).alias("vr_liberado"), _day("o_orderdate").alias("dt_liberacao_recurso"),
-    )
-    raw = {"register": register, "works": works, "disbursements": paid, "social_work": works.select("nu_apf")}
-    typed = {name: P.bronze(frame, P.BRONZE_B[name]) for name, frame in raw.items()}
-    return typed, P.entity_b(typed["register"], typed["works"], latest, typed["social_work"], typed["disbursements"])
-
-
-@kit.query("p39_entity_b", f"""
-with {_CLEAN_B} select apf, cnpj as eo_cnpj, uh as quantidade_uh, invest as valor_contratado, coalesce(gefus, 'Não mapeado') as situacao_gefus, pct as percentual_execucao_fisica,
-  case when uh > 0 then round(alienadas * 100.0 / uh, 2) else 0.0 end as pct_entrega, cast(v as double) as valor_desembolsado, n as qt_liberacoes, gap as divergencia_fisico_financeira,
-  cast(case when k % 2 = 1 then 10 end as int) as dias_contratacao_inicio from e""")
-def _(t):
-    _, entity = _entity_b(t)
-    return entity.select(
-        "apf", "eo_cnpj", "quantidade_uh", "valor_contratado", "situacao_gefus", "percentual_execucao_fisica", "pct_entrega", "valor_desembolsado", "qt_liberacoes", "divergencia_fisico_financeira",
-        "dias_contratacao_inicio",
-    )
-
-
-@kit.query("p40_cash_curve_b", f"""
-with {_CLEAN_B}, m as (select o_custkey as k, cast(date_trunc('month', o_orderdate) as date) as mes, count(*) as n, sum(cast(round(o_totalprice) as bigint)) as v from orders where o_orderkey % 3 > 0 group by 1, 2)
-select apf, mes, m.n as qt_liberacoes, cast(m.v as double) as vr_liberado, cast(sum(m.v) over (partition by apf order by mes) as double) as vr_acumulado from m join b using (k)""", dates="mes")
-def _(t):
-    typed, entity = _entity_b(t)
-    return P.cash_curve(typed["disbursements"], entity, ["vr_liberado"], credits_only=True).select("apf", "mes", "qt_liberacoes", "vr_liberado", "vr_acumulado")
-
-
-@kit.query("p41_fact_sheet_b", f"""
-with {_CLEAN_B} select apf, left(cnpj, 2) || '.' || substr(cnpj, 3, 3) || '.' || substr(cnpj, 6, 3) || '/' || substr(cnpj, 9, 4) || '-' || right(cnpj, 2) as eo_cnpj_formatado,
-  case when eo in ('BRAZIL', 'PERU') then 'SUL' else 'Não informada' end as regiao, case when pct = 0 then 'Não Iniciada' when pct = 100 then 'Concluída' else 'Em Andamento' end as semaforo_alerta,
-  case when parada then 'Sim' else 'Não' end as indicativo_paralisacao, case when gap > 5 then 'Desembolso Adiantado' when gap < -5 then 'Desembolso Atrasado' else 'Ritmo Equilibrado' end as status_ritmo_obra,
-  case when uh > 0 and round(alienadas * 100.0 / uh, 2) = 100 then 'Totalmente Entregue' when uh > 0 and alienadas > 0 then 'Entrega Parcial' else 'Não Entregue' end as status_entrega from e""")
-def _(t):
-    _, entity = _entity_b(t)
-    sheet = P.fact_sheet_b(entity, {"SUL": ["BRAZIL", "PERU"]})
-    return sheet.select("apf", "eo_cnpj_formatado", "regiao", "semaforo_alerta", "indicativo_paralisacao", "status_ritmo_obra", "status_entrega")
-
-
-@kit.query("p42_organisation_panel", f"""
-with {_CLEAN_B}, s as (select cnpj as cnpj_eo, max(upper(eo)) as nome_eo, count(*) as total_empreendimentos, cast(sum(uh) as bigint) as total_uhs_contratadas, cast(sum(v) as double) as valor_total_desembolsado,
-  round(sum(alienadas) * 100.0 / sum(uh), 2) as taxa_entrega_geral, count(*) filter (pct < prev) as qtd_obras_atrasadas, count(*) filter (parada) as qtd_obras_paralisadas,
-  count(*) filter (gap < -5) as qtd_obras_divergencia_financeira, count(distinct municipio) as qtd_municipios_atuacao from e group by 1)
-select *, qtd_obras_atrasadas + 2 * qtd_obras_paralisadas + qtd_obras_divergencia_financeira as score_risco,
-  case when qtd_obras_atrasadas + 2 * qtd_obras_paralisadas + qtd_obras_divergencia_financeira = 0 then 'Baixo Risco'
-       when qtd_obras_atrasadas + 2 * qtd_obras_paralisadas + qtd_obras_divergencia_financeira <= 3 then 'Médio Risco' else 'Alto Risco' end as classificacao_risco from s""")
-def _(t):
-    _, entity = _entity_b(t)
-    return P.organisation_panel(entity).select(
-        "cnpj_eo", "nome_eo", "total_empreendimentos", F.col("total_uhs_contratadas").cast("long").alias("total_uhs_contratadas"), "valor_total_desembolsado", "taxa_entrega_geral", "qtd_obras_atrasadas",
-        "qtd_obras_paralisadas", "qtd_obras_divergencia_financeira", "qtd_municipios_atuacao", "score_risco", "classificacao_risco",
-    )

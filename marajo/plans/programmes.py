@@ -1,12 +1,12 @@
 """Housing-programme pipelines: registers, works and disbursements to entities, curves, fact sheets and panels.
 
 Programme A and B differ in sources and rules, not in shape; what they share is written once. ``as_of`` stands for
-the day of the report.
+the day of the report, ``states`` has ``sigla, nome, regiao_sigla, regiao_nome``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,128 +14,137 @@ from pyspark.sql import functions as F
 from marajo.functions import cleaning as C
 from marajo.operators import checks as Q
 from marajo.operators import tables as T
+from marajo.plans.programme_tables import TYPES
 
-Typer = Callable[[Column], Column]
-
-TEXT: Typer = lambda c: C.clean_text(c, none=True)
-INT: Typer = C.parse_int
-NUMBER: Typer = lambda c: C.parse_numeric(c, "double")
-MONEY: Typer = C.parse_financial
-DATE: Typer = C.parse_date_br
-KEY: Typer = C.normalize_key
-FLAG: Typer = C.flag_s
-TAX_ID: Typer = C.digits
-
-#: P30: columns of programme A's raw tables: new name, raw name and type.
-BRONZE_A: Mapping[str, Sequence[tuple[str, str, Typer]]] = {
-    "register": [
-        ("apf", "nu_apf", KEY), ("id_proposta", "no_identificacao_proposta", TEXT), ("agente_financeiro", "no_agente_financeiro", TEXT),
-        ("empreendimento_nome", "no_empreendimento", TEXT), ("construtora_cnpj", "nu_cnpj_construtora", TAX_ID), ("municipio", "no_municipio", TEXT),
-        ("uf", "sg_uf", TEXT), ("co_tipo_edificacao", "co_tipo_edificacao", INT), ("qt_uh", "nu_qt_uh", INT),
-        ("vr_total_investimento", "vr_total_investimento", MONEY), ("dt_contratacao", "dt_contratacao", DATE),
-    ],
-    "proposals": [
-        ("id_proposta", "no_identificacao_proposta", TEXT), ("dt_movimento", "dt_movimento", DATE), ("dt_protocolo", "dt_protocolo", DATE),
-        ("portaria_contratacao", "portaria_contratacao", TEXT), ("proponente_nome", "proponente_nome", TEXT), ("municipio", "no_municipio", TEXT), ("uf", "sg_uf", TEXT),
-        ("co_originacao", "co_originacao_empreendimento", TEXT), ("co_tipo_demanda", "co_tipo_de_demanda", TEXT),
-    ],
-    "priority": [
-        ("apf", "apf", KEY), ("situacao", "situacao_do_empreendimento", TEXT), ("pct_execucao", "percentual_exec", NUMBER),
-        ("valor_desembolsado", "valor_desembolsado", MONEY), ("valor_aporte_adicional", "valor_aporte_adicional", MONEY), ("dt_previsao_entrega", "data_previsao_entrega", DATE),
-    ],
-    "disbursements": [
-        ("apf", "nu_apf", KEY), ("ic_credito", "ic_credito", TEXT), ("vr_liberado", "vr_liberado", NUMBER), ("vr_pago_obra", "vr_pago_obra", NUMBER),
-        ("vr_pago_terreno", "vr_pago_terreno", NUMBER), ("dt_liberacao", "dt_liberacao_recurso", DATE),
-    ],
-    "works": [
-        ("apf", "nu_apf", KEY), ("pct_obra_prevista", "pc_obra_prevista", NUMBER), ("pct_obra_realizada", "pc_obra_realizada", NUMBER),
-        ("dt_alteracao_situacao", "dt_alteracao_situacao", DATE), ("dt_conclusao_obra", "dt_conclusao_obra", DATE), ("dt_entrega", "dt_entrega", DATE), ("dt_paralisacao", "dt_paralisacao", DATE),
-    ],
-}
 
-#: P38: what programme B adds or types otherwise.
-BRONZE_B: Mapping[str, Sequence[tuple[str, str, Typer]]] = {
-    "register": [
-        ("apf", "nu_apf", KEY), ("eo_nome", "no_eo", TEXT), ("eo_cnpj", "nu_cnpj_eo", TAX_ID), ("empreendimento_nome", "no_empreendimento", TEXT), ("municipio", "no_municipio", TEXT),
-        ("uf", "sg_uf", TEXT), ("qt_uh_construcao", "qt_uh_construcao", INT), ("qt_uh_projeto", "qt_uh_projeto", INT), ("vr_total_investimento", "vr_total_investimento", MONEY),
-        ("dt_contratacao", "dt_contratacao", DATE), ("dt_inicio_obra", "dt_inicio_obra", DATE), ("ic_substituicao_eo", "ic_substituicao_eo", FLAG),
-    ],
-    "snapshot": [("apf", "nu_apf", KEY), ("situacao_gefus", "situacao_gefus", TEXT), ("selecao", "selecao", TEXT), ("dt_movimento", "dt_movimento", DATE)],
-    "disbursements": [("apf", "nu_apf", KEY), ("ic_credito", "ic_credito", TEXT), ("vr_liberado", "vr_liberado", NUMBER), ("vr_pago_obra", "vr_pago_obra", NUMBER), ("dt_liberacao", "dt_liberacao_recurso", DATE)],
-    "works": [
-        ("apf", "nu_apf", KEY), ("pct_obra_prevista", "pc_obra_prevista", NUMBER), ("pct_obra_realizada", "pc_obra_realizada", NUMBER), ("qt_uh_alienadas", "qt_uh_alienadas", INT),
-        ("dt_paralisacao", "dt_paralisacao", DATE), ("dt_entrega", "dt_entrega", DATE),
-    ],
-    "social_work": [("apf", "nu_apf", KEY), ("pct_execucao_ts", "pc_execucao", NUMBER), ("dt_aprovacao_pts", "dt_aprovacao", DATE)],
-    "deliveries": [("apf", "nu_apf", KEY), ("qt_entregue", "qt_uh_entregue", INT), ("dt_entrega", "dt_entrega", DATE)],
-}
+def bronze(raw: DataFrame, table: Sequence[tuple[list[str], str, str]]) -> DataFrame:
+    """P30, P38. Text columns to typed ones, row by row; columns the raw table lacks are null before they are typed."""
+    lacking = F.lit(None).cast("string")
+    typed = lambda names, kind: F.coalesce(*[TYPES[kind](F.col(n) if n in raw.columns else lacking) for n in names])
+    return raw.select(*[typed(names, kind).alias(name) for names, name, kind in table])
 
 
-def bronze(raw: DataFrame, columns: Sequence[tuple[str, str, Typer]]) -> DataFrame:
-    """P30, P38. Text columns to typed ones, row by row; columns the raw table lacks are null."""
-    lacking = F.lit(None).cast("string")
-    return raw.select(*[typer(F.col(source) if source in raw.columns else lacking).alias(name) for name, source, typer in columns])
+def priority_of(snapshot: DataFrame, programme: str = "FAR") -> DataFrame:
+    """P30. The lender's typed snapshot, of one programme."""
+    return snapshot.where(F.col("modalidade") == programme)
+
+
+def _zero(name: str, kind: str = "double") -> Column:
+    return F.coalesce(F.col(name).cast(kind), F.lit(0).cast(kind))
+
+
+def _place() -> list[Column]:
+    """Place and search labels that all sheets have; null parts are left empty."""
+    part = lambda c: F.coalesce(F.col(c), F.lit(""))
+    return [
+        F.concat(part("municipio"), F.lit("/"), part("uf")).alias("municipio_uf"),
+        C.search_label("apf", "municipio", "uf", "empreendimento_nome").alias("apf_municipio_empreendimento"),
+    ]
 
 
+# --- programme A --------------------------------------------------------------------------------------------
+
+#: Codes of building types, of origination and of demand, and the labels they have in the reports.
 BUILDINGS_A = {"1": "Casa Térrea", "2": "Apartamento", "3": "Sobrado", "4": "Misto"}
+METHODS = {"1": "SELEÇÃO", "2": "CALAMIDADE/EMERGÊNCIA"}
+DEMANDS = {
+    "1": "CADASTRO HABITACIONAL", "2": "MOVIMENTOS SOCIAIS", "3": "CALAMIDADE", "4": "OBRA PÚBLICA", "5": "REASSENTAMENTO", "6": "DOAÇÃO/CESSÃO DE TERRENO", "7": "OUTROS",
+}
 
 
 def entity_a(register: DataFrame, proposals: DataFrame, works: DataFrame, priority: DataFrame) -> DataFrame:
     """P31. One row per contract: register, the latest proposal (null dates first, as its source has it), works and the
     lender's snapshot."""
     latest = T.latest_per_key(proposals.where("id_proposta is not null"), "id_proposta", ["dt_movimento", "dt_protocolo"], nulls="first")
-    latest = latest.select("id_proposta", "portaria_contratacao", "proponente_nome", "municipio", "uf", "co_originacao", "co_tipo_demanda")
+    latest = latest.select(
+        "id_proposta", "portaria_contratacao", "proponente_cnpj", "proponente_nome", "tomador_cnpj", "tomador_nome", "municipio", "uf", "co_originacao", "co_tipo_demanda"
+    )
+    own = register.select("apf", "id_proposta", "empreendimento_nome", "qt_uh", "co_tipo_edificacao", "vr_total_investimento", "agente_financeiro", "dt_contratacao")
     star = T.enrich(
-        register.drop("municipio", "uf"),
+        own,
         [(latest, "id_proposta"), (works.select("apf", "pct_obra_realizada", "dt_conclusao_obra", "dt_entrega"), "apf"),
          (priority.select("apf", "situacao", "pct_execucao", "valor_desembolsado", "valor_aporte_adicional", "dt_previsao_entrega"), "apf")],
     )
-    zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     return star.select(
-        "apf", F.coalesce("portaria_contratacao", F.lit("Não informada")).alias("portaria_selecao"), "proponente_nome", "empreendimento_nome", F.col("qt_uh").alias("quantidade_uh"),
-        "municipio", "uf", "co_originacao", "co_tipo_demanda", F.coalesce("situacao", F.lit("Situação não mapeada")).alias("situacao_empreendimento"),
+        "apf", F.coalesce("portaria_contratacao", F.lit("Não informada")).alias("portaria_selecao"), "proponente_cnpj", "proponente_nome", "tomador_cnpj", "tomador_nome",
+        "empreendimento_nome", F.col("qt_uh").alias("quantidade_uh"), "municipio", "uf", "co_originacao", "co_tipo_demanda",
+        F.coalesce("situacao", F.lit("Situação não mapeada")).alias("situacao_empreendimento"), F.col("co_tipo_edificacao").alias("codigo_tipologia"),
         C.decode("co_tipo_edificacao", BUILDINGS_A, "Não Informado").alias("tipologia"), C.scaled_floor("qt_uh").alias("pessoas_atendidas"),
-        zero("vr_total_investimento").alias("valor_contratado"), zero("valor_aporte_adicional").alias("valor_aporte_adicional"),
+        _zero("vr_total_investimento").alias("valor_contratado"), "agente_financeiro", "dt_contratacao", _zero("valor_aporte_adicional").alias("valor_aporte_adicional"),
         C.safe_ratio("vr_total_investimento", F.coalesce("qt_uh", F.lit(0))).alias("valor_por_uh"),
-        F.coalesce("pct_obra_realizada", "pct_execucao", F.lit(0.0)).alias("percentual_execucao_fisica"), "dt_contratacao", "dt_conclusao_obra", "dt_entrega", "dt_previsao_entrega",
-        zero("valor_desembolsado").alias("valor_desembolsado"), C.safe_ratio(zero("valor_desembolsado"), zero("vr_total_investimento"), 100).alias("percentual_execucao_financeira"),
+        F.coalesce(F.col("pct_obra_realizada").cast("double"), F.col("pct_execucao").cast("double"), F.lit(0.0)).alias("percentual_execucao_fisica"),
+        "dt_conclusao_obra", "dt_entrega", "dt_previsao_entrega", _zero("valor_desembolsado").alias("valor_desembolsado"),
+        C.safe_ratio(_zero("valor_desembolsado"), _zero("vr_total_investimento"), 100).alias("percentual_execucao_financeira"),
     )
 
 
-def cash_curve(disbursements: DataFrame, entity: DataFrame, amounts: Sequence[str], credits_only: bool = False) -> DataFrame:
+#: Amounts of the cash curves: report name to typed column.
+AMOUNTS_A = {
+    "vr_liberado_mes": "vr_liberado", "vr_pago_obra_mes": "vr_pago_obra", "vr_pago_terreno_mes": "vr_pago_terreno", "vr_pago_pts_mes": "vr_pago_trabalho_social",
+    "vr_pago_incc_mes": "vr_pago_incc", "vr_pago_aporte_mes": "vr_pago_aporte", "vr_pago_equipamentos_mes": "vr_pago_equipamentos", "vr_pago_manutencao_mes": "vr_pago_manutencao",
+    "vr_pago_legalizacao_mes": "vr_pago_legalizacao",
+}
+AMOUNTS_B = {
+    "vr_liberado_mes": "vr_liberado", "vr_pago_obra_mes": "vr_pago_obra", "vr_pago_terreno_mes": "vr_pago_terreno", "vr_pago_pts_mes": "vr_pago_trabalho_social",
+    "vr_pago_projeto_mes": "vr_pago_projeto", "vr_pago_incc_mes": "vr_pago_incc", "vr_pago_aporte_mes": "vr_pago_aporte", "vr_pago_legalizacao_mes": "vr_pago_legalizacao",
+    "vr_pago_seguranca_mes": "vr_pago_seguranca",
+}
+
+
+def cash_curve(disbursements: DataFrame, entity: DataFrame, amounts: Mapping[str, str] = AMOUNTS_A, credits_only: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """P32, P40. Monthly disbursements by contract joined on six-digit roots, accumulated, as percent of the contract.
 
-    Programme B counts credits only (type ``0``) and takes signed amounts as absolute.
+    Programme B counts credits only (type ``0``), takes signed amounts as absolute and carries the organisation.
     """
-    rows = disbursements
+    rows = disbursements.select("apf", "ic_credito", "dt_liberacao", *[F.col(c).cast("double").alias(n) for n, c in amounts.items()])
     if credits_only:
-        rows = T.credits_absolute(rows.where("vr_liberado is not null"), "ic_credito", amounts, "0")
-    monthly = T.monthly_totals(rows.withColumn("root", F.right("apf", F.lit(6))).drop("apf"), ["root"], "dt_liberacao", amounts)
-    joined = T.join_on_root(monthly, entity.select("apf", "valor_contratado", "municipio", "uf"), F.col("root"), F.left("apf", F.lit(6))).drop("root")
-    return T.cumulative_progress(joined, "apf", "month", "vr_liberado", "valor_contratado").select(
-        "apf", F.col("month").alias("mes"), F.col("n").alias("qt_liberacoes"), *amounts, F.col("accumulated").alias("vr_acumulado"),
+        rows = T.credits_absolute(rows.where("vr_liberado_mes is not null"), "ic_credito", list(amounts), "0")
+    monthly = T.monthly_totals(rows.withColumn("root", F.right("apf", F.lit(6))).drop("apf"), ["root"], "dt_liberacao", list(amounts))
+    joined = T.join_on_root(monthly, entity.select("apf", *carry, "valor_contratado", "municipio", "uf"), F.col("root"), F.left("apf", F.lit(6))).drop("root")
+    return T.cumulative_progress(joined, "apf", "month", "vr_liberado_mes", "valor_contratado").select(
+        "apf", *carry, F.col("month").alias("mes"), F.col("n").alias("qt_liberacoes"), *amounts, F.col("accumulated").alias("vr_acumulado"),
         F.col("progress").alias("pct_executado_financeiro"), "valor_contratado", "municipio", "uf",
     )
 
 
-def cash_chart(curve: DataFrame) -> DataFrame:
-    """P32, P40 chart. The curve with text labels of its month."""
-    return curve.select("*", *[c.alias(f"mes_{n}") for n, c in C.date_labels("mes").items()])
+def cash_chart_a(curve: DataFrame, sheet: DataFrame, states: DataFrame) -> DataFrame:
+    """P32 chart. Programme A's curve with the sheet's names, the state's name and labels of the month."""
+    names = sheet.select("apf", "nome_empreendimento", "apf_municipio_empreendimento")
+    star = T.enrich(curve, [(names, "apf"), (states.select(F.col("sigla").alias("uf"), F.upper("nome").alias("estado")), "uf")])
+    label = C.date_labels("mes")
+    two = [*list(AMOUNTS_A)[:5], "vr_acumulado", "valor_contratado"]
+    return star.select(
+        "apf", "nome_empreendimento", "apf_municipio_empreendimento", "municipio", "uf", "estado", "mes", label["year_month"].alias("mes_label"), label["month_year"].alias("mes_label_br"),
+        "qt_liberacoes", *[F.round(c, 2).alias(c) for c in two], "pct_executado_financeiro",
+    )
+
+
+def cash_chart_b(curve: DataFrame, sheet: DataFrame) -> DataFrame:
+    """P40 chart. Programme B's curve under report names, with the physical progress of its sheet."""
+    star = T.enrich(curve, [(sheet.select("apf", "apf_municipio_empreendimento", "percentual_execucao_fisica"), "apf")])
+    label = C.date_labels("mes")
+    names = {"liberado": "liberado", "pago_obra": "obra", "pago_terreno": "terreno", "pago_pts": "ts", "pago_projeto": "projeto", "pago_incc": "incc"}
+    return star.select(
+        "apf", F.col("eo_cnpj").alias("cnpj_eo"), F.upper("eo_nome").alias("nome_eo"), "apf_municipio_empreendimento", F.date_format("mes", "yyyy-MM-dd").alias("mes"),
+        label["year"].alias("ano"), label["quarter"].alias("trimestre"), *[F.col(f"vr_{c}_mes").alias(f"valor_{n}_mensal") for c, n in names.items()],
+        F.col("vr_acumulado").alias("valor_desembolsado_acumulado"), F.col("pct_executado_financeiro").alias("percentual_execucao_financeira"),
+        _zero("percentual_execucao_fisica").alias("percentual_execucao_fisica"), "municipio", "uf",
+    )
 
 
 def physical_against_financial(curve: DataFrame, works: DataFrame, entity: DataFrame) -> DataFrame:
     """P33. Both progress series of a contract over the months of either, carried forward, leading gaps 0."""
     financial = curve.select("apf", "mes", "pct_executado_financeiro")
     month = F.trunc("dt_alteracao_situacao", "month").alias("mes")
-    physical = works.where("dt_alteracao_situacao is not null").groupBy("apf", month).agg(F.max("pct_obra_realizada").alias("pct_obra_realizada"))
+    done = F.max(F.col("pct_obra_realizada").cast("double")).alias("pct_obra_realizada")
+    physical = works.where("dt_alteracao_situacao is not null").groupBy("apf", month).agg(done)
     filled = T.locf(T.full_outer_coalesce(financial, physical, ["apf", "mes"]), "apf", "mes", ["pct_obra_realizada", "pct_executado_financeiro"])
     named = T.enrich(filled, [(entity.select("apf", "municipio", "uf", "empreendimento_nome"), "apf")])
-    label = C.search_label("apf", "municipio", "uf", "empreendimento_nome").alias("apf_municipio_empreendimento")
-    return named.select("apf", label, F.date_format("mes", "yyyy-MM-dd").alias("mes"), "pct_obra_realizada", "pct_executado_financeiro")
+    return named.select("apf", _place()[1], F.date_format("mes", "yyyy-MM-dd").alias("mes"), "pct_obra_realizada", "pct_executado_financeiro")
 
 
-def fact_sheet_a(entity: DataFrame, as_of: str, methods: Mapping[str, str], demands: Mapping[str, str]) -> DataFrame:
-    """P34. The entity with labels, decoded method and demand, and the status classes."""
+def fact_sheet_a(entity: DataFrame, as_of: str) -> DataFrame:
+    """P34. The entity under report names, with labels, decoded method and demand, and the status classes."""
     told = T.classify_status(
         entity.withColumns({
             "physical": F.col("percentual_execucao_fisica"), "financial": F.col("percentual_execucao_financeira"), "due": F.col("dt_previsao_entrega"),
@@ -144,21 +153,36 @@ def fact_sheet_a(entity: DataFrame, as_of: str, methods: Mapping[str, str], dema
     )
     label = lambda c, names: F.map_from_entries(F.array(*[F.struct(F.lit(k), F.lit(v)) for k, v in names.items()]))[F.col(c)]
     return told.select(
-        *entity.columns, C.search_label("apf", "municipio", "uf", "empreendimento_nome").alias("busca"), F.concat("municipio", F.lit("/"), "uf").alias("municipio_uf"),
-        C.decode("co_originacao", methods).alias("metodo"), C.decode("co_tipo_demanda", demands).alias("demanda"),
+        "apf", "portaria_selecao", F.upper("empreendimento_nome").alias("nome_empreendimento"), "proponente_cnpj", F.upper("proponente_nome").alias("nome_proponente"), "tomador_cnpj",
+        F.upper("tomador_nome").alias("nome_tomador"), "agente_financeiro", "quantidade_uh", "pessoas_atendidas", "tipologia", "municipio", "uf", *_place(),
+        C.decode("co_originacao", METHODS).alias("metodo"), C.decode("co_tipo_demanda", DEMANDS, "NÃO IDENTIFICADO ({})").alias("demanda"), "situacao_empreendimento",
         label("execution", {"complete": "Concluído", "not started": "Não Iniciado", "in progress": "Em Andamento", "unknown": "Status Desconhecido"}).alias("status_execucao_simplificado"),
-        label("deadline", {"late": "Em Atraso", "delivered": "Entregue", "in time": "Dentro do Prazo"}).alias("status_prazo"),
+        "valor_contratado", "valor_aporte_adicional", "valor_por_uh", "dt_contratacao", "percentual_execucao_fisica", "dt_previsao_entrega", "dt_conclusao_obra", "dt_entrega",
+        label("deadline", {"late": "Em Atraso", "delivered": "Entregue", "in time": "Dentro do Prazo"}).alias("status_prazo"), "valor_desembolsado", "percentual_execucao_financeira",
         label("pace", {"money ahead": "Desembolso Adiantado", "money behind": "Desembolso Atrasado", "balanced": "Ritmo Equilibrado"}).alias("ritmo_fisico_financeiro"),
     )
 
 
 def national_map(sheets: DataFrame, states: DataFrame) -> DataFrame:
-    """P35. KPIs by state and, from the state rows, by region; ``states`` has ``sigla, nome, regiao_sigla, regiao_nome``."""
-    named = T.enrich(sheets, [(states.select(F.col("sigla").alias("uf"), "regiao_sigla"), "uf")]).withColumn("empreendimentos", F.lit(1))
-    out = T.two_level(named, "uf", "regiao_sigla", {"total_municipios": "municipio_uf"}, ["empreendimentos", "quantidade_uh", "valor_contratado", "valor_desembolsado"], ["percentual_execucao_fisica"])
-    return out.withColumn("iso_3166_2", F.when(F.col("level") == "unit", C.iso_state("area")))
+    """P35. KPIs by state and, added up from the state rows (averages averaged), by region; names are joined to the
+    aggregated rows."""
+    units = sheets.groupBy("uf").agg(
+        F.count_distinct("municipio_uf").alias("total_municipios"), F.count("apf").alias("total_empreendimentos"), F.coalesce(F.sum("quantidade_uh"), F.lit(0)).alias("total_uhs"),
+        F.coalesce(F.sum("valor_contratado"), F.lit(0.0)).alias("total_valor_contratado"), F.coalesce(F.sum("valor_desembolsado"), F.lit(0.0)).alias("total_valor_desembolsado"),
+        F.coalesce(F.avg("percentual_execucao_fisica"), F.lit(0.0)).alias("media_execucao_fisica"),
+    )
+    sums = ["total_municipios", "total_empreendimentos", "total_uhs", "total_valor_contratado", "total_valor_desembolsado"]
+    units = T.enrich(units, [(states.select(F.col("sigla").alias("uf"), F.col("nome").alias("estado_nome"), "regiao_sigla", "regiao_nome"), "uf")])
+    regions = units.groupBy("regiao_sigla", "regiao_nome").agg(*[F.sum(c).alias(c) for c in sums], F.avg("media_execucao_fisica").alias("media_execucao_fisica"))
+    shaped = lambda df, uf, name, iso, level: df.select(
+        uf.alias("uf"), name.alias("estado_nome"), iso.alias("iso_3166_2"), "regiao_sigla", "regiao_nome", F.lit(level).alias("nivel"), *sums,
+        F.round("media_execucao_fisica", 1).alias("media_execucao_fisica"),
+    )
+    own = shaped(units, F.col("uf"), F.col("estado_nome"), C.iso_state("uf"), "uf")
+    return own.unionByName(shaped(regions, F.col("regiao_sigla"), F.col("regiao_nome"), F.lit(None).cast("string"), "regiao"))
 
 
+#: Situations of the state panel, in report order, and its bands of physical execution.
 SITUATIONS = ["CONCLUÍDO E ENTREGUE", "CONCLUÍDO", "EM ANDAMENTO", "PARALISADO", "NÃO INICIADO", "DESMOBILIZADO"]
 EXECUTION_BANDS = ([40, 55, 75], ["Menor que 40%", "De 41% a 55%", "De 56% a 75%", "Maior que 75%"])
 
@@ -171,7 +195,8 @@ def state_panel(sheets: DataFrame, states: DataFrame, situations: Sequence[str]
     header = sheets.groupBy("uf").agg(
         F.lit("resumo").alias("dimensao"), F.count_distinct("municipio").alias("qtd_empreendimentos"), F.coalesce(F.sum("quantidade_uh"), F.lit(0)).alias("qtd_uhs"),
         zero("valor_contratado").alias("valor_1"), zero("valor_desembolsado").alias("valor_2"), zero("valor_aporte_adicional").alias("valor_3"),
-        T.ratio_of_sums(F.col("valor_contratado"), F.col("quantidade_uh"), 1.0).alias("valor_4"), F.count("apf").alias("total_empreendimentos_uf"),
+        F.when(F.coalesce(F.sum("quantidade_uh"), F.lit(0)) > 0, F.sum("valor_contratado") / F.sum("quantidade_uh")).otherwise(0.0).alias("valor_4"),
+        F.count("apf").alias("total_empreendimentos_uf"),
     )
     dist = lambda c: sheets.groupBy("uf", c.alias("dimensao")).agg(*measures())
     ordinance = F.when(F.col("portaria_selecao") == "Não informada", F.col("portaria_selecao")).otherwise(F.concat(F.lit("Portaria nº "), "portaria_selecao"))
@@ -183,58 +208,98 @@ def state_panel(sheets: DataFrame, states: DataFrame, situations: Sequence[str]
         "header": header, "metodo": dist(F.col("metodo")), "portaria": dist(ordinance), "demanda": dist(F.col("demanda")), "situacao": situation, "execucao_fisica": bands,
     })
     named = T.enrich(panel, [(states.select(F.col("sigla").alias("uf"), F.upper("nome").alias("estado")), "uf")])
-    return named.withColumn("ordem", F.coalesce("position", F.lit(0))).drop("position")
+    return named.select(
+        "uf", "estado", F.col("section").alias("secao"), "dimensao", F.coalesce("position", F.lit(0)).alias("ordem"), "qtd_empreendimentos", "qtd_uhs",
+        "valor_1", "valor_2", "valor_3", "valor_4", "total_empreendimentos_uf",
+    )
 
 
 def management_summary(sheets: DataFrame) -> DataFrame:
-    """P37. One row of totals over all contracts."""
-    return sheets.agg(
-        F.count("apf").alias("empreendimentos"), F.count_distinct("uf").alias("estados"), F.coalesce(F.sum("quantidade_uh"), F.lit(0)).alias("uhs"),
-        F.coalesce(F.sum("valor_contratado"), F.lit(0.0)).alias("valor_contratado"), F.coalesce(F.sum("valor_desembolsado"), F.lit(0.0)).alias("valor_desembolsado"),
-        F.round(F.coalesce(F.avg("percentual_execucao_fisica"), F.lit(0.0)), 1).alias("media_execucao_fisica"),
-        F.count_if(F.col("status_prazo") == "Em Atraso").alias("em_atraso"),
+    """P37. Totals and averages by situation, typology, and status of execution and deadline."""
+    return sheets.groupBy("situacao_empreendimento", "tipologia", "status_execucao_simplificado", "status_prazo").agg(
+        F.count("apf").alias("total_empreendimentos"), F.sum("quantidade_uh").alias("total_uhs"), F.sum("pessoas_atendidas").alias("total_pessoas_atendidas"),
+        F.sum("valor_contratado").alias("somatorio_valor_contratado"), F.sum("valor_desembolsado").alias("somatorio_valor_desembolsado"),
+        F.avg("percentual_execucao_fisica").alias("media_execucao_fisica"), F.avg("valor_por_uh").alias("media_valor_por_uh"),
     )
 
 
+# --- programme B --------------------------------------------------------------------------------------------
+
+#: Codes of building types, work regimes and modalities, and the regions' states.
+BUILDINGS_B = {"1": "Casa", "2": "Misto", "3": "Apartamento"}
+REGIMES = {"1": "Empreitada Global", "2": "Autogestão"}
+MODALITIES = {"1": "Aquisição de Terreno e Projeto", "2": "Elaboração de Projeto", "3": "Produção de Unidades Novas", "4": "Requalificação"}
+REGIONS = {
+    "Norte": ["AC", "AP", "AM", "PA", "RO", "RR", "TO"], "Nordeste": ["AL", "BA", "CE", "MA", "PB", "PE", "PI", "RN", "SE"], "Centro-Oeste": ["DF", "GO", "MT", "MS"],
+    "Sudeste": ["ES", "MG", "RJ", "SP"], "Sul": ["PR", "RS", "SC"],
+}
+_GPS = [f"gps_{axis}_{part}" for axis in ("lat", "long") for part in ("grau", "minuto", "segundo")]
+
+
 def entity_b(register: DataFrame, works: DataFrame, snapshot: DataFrame, social: DataFrame, disbursements: DataFrame, selection: str = "NOVO PMCMV-E") -> DataFrame:
     """P39. One row per contract of programme B: register, works, the latest snapshot of the selection (null dates last),
-    social work, and absolute credits by six-digit root."""
-    latest = T.latest_per_key(snapshot.where(F.col("selecao") == selection), "apf", ["dt_movimento"]).select("apf", "situacao_gefus")
+    social work, and absolute credits by six-digit root. Coordinates of zero degrees are none."""
+    latest = T.latest_per_key(snapshot.where(F.col("selecao_pmcmv_e") == selection), "apf", ["dt_movimento"]).select("apf", "situacao_gefus", "fase_contrato")
     credits = T.credits_absolute(disbursements.where("vr_liberado is not null"), "ic_credito", ["vr_liberado"], "0")
-    paid = credits.groupBy(F.right("apf", F.lit(6)).alias("_root")).agg(F.sum("vr_liberado").alias("paid"), F.count(F.lit(1)).alias("qt_liberacoes"), F.max("dt_liberacao").alias("dt_ultima_liberacao"))
+    paid = credits.groupBy(F.right("apf", F.lit(6)).alias("_root")).agg(
+        F.sum(F.col("vr_liberado").cast("double")).alias("paid"), F.count(F.lit(1)).alias("qt_liberacoes"), F.max("dt_liberacao").alias("dt_ultima_liberacao")
+    )
+    done_columns = [
+        "co_situacao_operacao", "co_andamento_operacao", "pct_obra_prevista", "pct_obra_realizada", "qt_uh_concluidas", "qt_uh_alienadas", "qt_uh_sem_habitese", "qt_uh_construcao_parcial",
+        "qt_uh_ocupacao_irregular", "dt_paralisacao", "co_classificacao_paralisado", "ic_invadido", "dt_invasao", "dt_conclusao_obra", "dt_entrega", "dt_previsao_entrega",
+    ]
+    own = [
+        "apf", "eo_nome", "eo_cnpj", "co_nivel_hab_eo", "ic_substituicao_eo", "dt_substituicao_eo", "eo_substituta_nome", "eo_substituta_cnpj", "empreendimento_nome", "construtora_nome",
+        "construtora_cnpj", "agente_financeiro", "qt_uh_construcao", "qt_uh_projeto", "municipio", "uf", "cod_ibge", "co_tipo_edificacao", "co_regime_obra", "co_modalidade",
+        "vr_total_investimento", "vr_financiamento_fds", "vr_total_contrapartidas", "dt_contratacao", "dt_inicio_obra", "dt_previsao_conclusao", *_GPS,
+    ]
     star = T.enrich(
-        register.withColumn("_root", F.left("apf", F.lit(6))),
-        [(works.select("apf", "pct_obra_prevista", "pct_obra_realizada", "qt_uh_alienadas", "dt_paralisacao", "dt_entrega"), "apf"), (latest, "apf"), (social, "apf"), (paid, "_root")],
+        register.select(*own, F.left("apf", F.lit(6)).alias("_root")),
+        [(works.select("apf", *done_columns), "apf"), (latest, "apf"), (social.select("apf", "co_situacao_trabalho_social", "pct_execucao_ts", "dt_aprovacao_pts"), "apf"), (paid, "_root")],
     )
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    units = F.greatest(zero("qt_uh_construcao"), zero("qt_uh_projeto"))
-    contract, spent = zero("vr_total_investimento").cast("double"), zero("paid").cast("double")
-    done = zero("pct_obra_realizada").cast("double")
+    units = F.greatest(_zero("qt_uh_construcao", "int"), _zero("qt_uh_projeto", "int"))
+    contract, spent, done = _zero("vr_total_investimento"), _zero("paid"), _zero("pct_obra_realizada")
+    count = lambda c: _zero(c, "int").alias(c)
+    gps = [F.when(F.col(f"gps_{'lat' if '_lat_' in c else 'long'}_grau") != 0, F.col(c)).alias(c) for c in _GPS]
     return star.select(
-        "apf", "eo_nome", C.pad_cnpj("eo_cnpj").alias("eo_cnpj"), "empreendimento_nome", "municipio", "uf", units.alias("quantidade_uh"), C.scaled_floor(units).alias("pessoas_atendidas"),
-        contract.alias("valor_contratado"), C.safe_ratio("vr_total_investimento", units).alias("valor_por_uh"), C.null_date_sentinel("dt_contratacao").alias("dt_contratacao"),
-        C.null_date_sentinel("dt_inicio_obra").alias("dt_inicio_obra"), F.coalesce("situacao_gefus", F.lit("Não mapeado")).alias("situacao_gefus"),
-        zero("pct_obra_prevista").cast("double").alias("percentual_obra_prevista"), done.alias("percentual_execucao_fisica"), zero("qt_uh_alienadas").alias("qt_uh_alienadas"),
-        C.safe_ratio(zero("qt_uh_alienadas"), units, 100, digits=2).alias("pct_entrega"), "dt_paralisacao", "dt_entrega", spent.alias("valor_desembolsado"),
-        zero("qt_liberacoes").alias("qt_liberacoes"), "dt_ultima_liberacao", C.safe_ratio(spent, contract, 100, digits=2).alias("percentual_execucao_financeira"),
-        F.when(contract > 0, F.round(spent / contract * 100 - done, 2)).otherwise(0.0).alias("divergencia_fisico_financeira"), "pct_execucao_ts", "dt_aprovacao_pts",
-        C.days_between("dt_inicio_obra", "dt_contratacao").alias("dias_contratacao_inicio"),
+        "apf", "eo_nome", C.pad_cnpj("eo_cnpj").alias("eo_cnpj"), "co_nivel_hab_eo", "ic_substituicao_eo", "dt_substituicao_eo", "eo_substituta_nome", "eo_substituta_cnpj",
+        "empreendimento_nome", "construtora_nome", "construtora_cnpj", "agente_financeiro", units.alias("quantidade_uh"), "qt_uh_construcao", "qt_uh_projeto",
+        C.scaled_floor(units).alias("pessoas_atendidas"), "municipio", "uf", "cod_ibge", "co_tipo_edificacao", C.decode("co_tipo_edificacao", BUILDINGS_B, "Não Informado").alias("tipologia"),
+        "co_regime_obra", "co_modalidade", contract.alias("valor_contratado"), _zero("vr_financiamento_fds").alias("valor_financiamento_fds"),
+        _zero("vr_total_contrapartidas").alias("valor_contrapartidas"), C.safe_ratio("vr_total_investimento", units).alias("valor_por_uh"),
+        C.null_date_sentinel("dt_contratacao").alias("dt_contratacao"), C.null_date_sentinel("dt_inicio_obra").alias("dt_inicio_obra"), "dt_previsao_conclusao",
+        F.coalesce("situacao_gefus", F.lit("Não mapeado")).alias("situacao_gefus"), F.coalesce("fase_contrato", F.lit("Não mapeada")).alias("fase_contrato"),
+        "co_situacao_operacao", "co_andamento_operacao", _zero("pct_obra_prevista").alias("percentual_obra_prevista"), done.alias("percentual_execucao_fisica"),
+        *[count(c) for c in ("qt_uh_concluidas", "qt_uh_alienadas", "qt_uh_sem_habitese", "qt_uh_construcao_parcial", "qt_uh_ocupacao_irregular")],
+        C.safe_ratio(_zero("qt_uh_alienadas", "int"), units, 100, digits=2).alias("pct_entrega"), "dt_paralisacao", "co_classificacao_paralisado", "ic_invadido", "dt_invasao",
+        "dt_conclusao_obra", "dt_entrega", "dt_previsao_entrega", spent.alias("valor_desembolsado"), _zero("qt_liberacoes", "long").alias("qt_liberacoes"), "dt_ultima_liberacao",
+        C.safe_ratio(spent, contract, 100, digits=2).alias("percentual_execucao_financeira"),
+        F.when(contract > 0, F.round(spent / contract * 100 - done, 2)).otherwise(0.0).alias("divergencia_fisico_financeira"),
+        "co_situacao_trabalho_social", F.col("pct_execucao_ts").cast("double").alias("pct_execucao_ts"), "dt_aprovacao_pts",
+        C.days_between("dt_inicio_obra", "dt_contratacao").alias("dias_contratacao_inicio"), *gps,
     )
 
 
-def fact_sheet_b(entity: DataFrame, regions: Mapping[str, Sequence[str]]) -> DataFrame:
-    """P41. The entity with masked tax id, region, alert, pace and delivery classes."""
+def fact_sheet_b(entity: DataFrame, regions: Mapping[str, Sequence[str]] = REGIONS) -> DataFrame:
+    """P41. The entity under report names, with masked tax id, decoded regime and modality, region, alert, pace and
+    delivery classes."""
     gap, done = F.col("divergencia_fisico_financeira"), F.col("percentual_execucao_fisica")
     alert = (
         F.when(F.col("situacao_gefus") == "PARALISADA", "Paralisada").when(F.col("situacao_gefus") == "NAO_INICIADA_CLAUSULA_SUSPENSIVA", "Cláusula Suspensiva")
         .when(done == 0, "Não Iniciada").when(done == 100, "Concluída").otherwise("Em Andamento")
     )
-    return entity.withColumns({
-        "eo_cnpj_formatado": C.format_cnpj("eo_cnpj"), "regiao": C.bucket("uf", regions, "Não informada"), "busca": C.search_label("apf", "municipio", "uf", "empreendimento_nome"),
-        "semaforo_alerta": alert, "indicativo_paralisacao": F.when(F.col("dt_paralisacao").isNotNull(), "Sim").otherwise("Não"),
-        "status_ritmo_obra": F.when(gap > 5, "Desembolso Adiantado").when(gap < -5, "Desembolso Atrasado").otherwise("Ritmo Equilibrado"),
-        "status_entrega": F.when(F.col("pct_entrega") == 100, "Totalmente Entregue").when(F.col("pct_entrega") > 0, "Entrega Parcial").otherwise("Não Entregue"),
-    })
+    return entity.select(
+        "apf", F.upper("empreendimento_nome").alias("nome_empreendimento"), F.col("eo_cnpj").alias("cnpj_eo"), C.format_cnpj("eo_cnpj").alias("cnpj_eo_formatado"),
+        F.upper("eo_nome").alias("nome_eo"), "agente_financeiro", "quantidade_uh", "pessoas_atendidas", "tipologia", "co_regime_obra",
+        C.decode("co_regime_obra", REGIMES, "Outro ({})").alias("regime_obra"), "co_modalidade", C.decode("co_modalidade", MODALITIES, "Outro ({})").alias("modalidade"),
+        "municipio", "uf", *_place(), C.iso_state(F.coalesce("uf", F.lit(""))).alias("iso_3166_2"), C.bucket("uf", regions, "Não Informado").alias("regiao_nome"), *_GPS,
+        "situacao_gefus", alert.alias("semaforo_alerta"), F.when(F.col("dt_paralisacao").isNotNull(), "Sim").otherwise("Não").alias("indicativo_paralisacao"),
+        "valor_contratado", "valor_financiamento_fds", "valor_contrapartidas", "valor_por_uh", "dt_contratacao", "valor_desembolsado", "percentual_execucao_financeira",
+        "percentual_obra_prevista", "percentual_execucao_fisica", "dt_inicio_obra", "dt_previsao_conclusao", "dt_conclusao_obra", "divergencia_fisico_financeira",
+        F.when(gap > 5, "Desembolso Adiantado").when(gap < -5, "Desembolso Atrasado").otherwise("Ritmo Equilibrado").alias("status_ritmo_obra"),
+        "qt_uh_alienadas", "pct_entrega", "dt_entrega",
+        F.when(F.col("pct_entrega") == 100, "Totalmente Entregue").when(F.col("pct_entrega") > 0, "Entrega Parcial").otherwise("Não Entregue").alias("status_entrega"), "pct_execucao_ts",
+    )
 
 
 def organisation_panel(entity: DataFrame) -> DataFrame:
