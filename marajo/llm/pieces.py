@@ -2,13 +2,14 @@
 
 Encoding works the agenda of candidate merges by rank, then from left to right. Each candidate is first put to a
 keyed hash of (seed, chunk of text, draw, start of the left symbol, merged piece); below the dropout rate it is
-skipped. The draw of a chunk's occurrence is one of ``draws`` hashed from seed, document and place, so a word is
-cut differently from place to place, yet any executor repeats the same cut. A merge type is skipped or made by
-the key alone, so every segmentation is reproducible, and all of them decode to the same text.
+skipped. The draw of a chunk's occurrence is hashed from seed, document and place, so a word is cut differently from
+place to place, yet any executor repeats the same cut. A merge type is skipped or made by the key alone, so every
+segmentation is reproducible, and all of them decode to the same text. Every occurrence has a draw of its own, so the
+segmentations of a frequent word are as many as there can be.
 
 No piece of a fit vocabulary joins characters across the start of a run of spaces or a line feed, so texts are
-encoded in chunks. All chunks of equal length that a task hasn't met yet are merged at once, one agenda step of
-each at a time; chunks longer than ``MATRIX_CHARS`` go through a heap. Results are kept up to ``KNOWN_CHUNKS``.
+encoded in chunks. All chunks of equal length in a step of texts are merged at once, one agenda step of each at a
+time; chunks longer than ``MATRIX_CHARS`` go through a heap.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 import heapq
 import re
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +28,13 @@ from pyspark.sql import functions as F
 from marajo.llm.arrow import as_bytes, lists, small_batches, steps
 
 MATRIX_CHARS = 48
-KNOWN_CHUNKS = 100_000
 STEP = 2 << 20
 #: Largest vocabulary that is sent to the executors.
 MAX_PIECES = 1_000_000
 
+#: Texts that a unigram model, a normaliser, or one without a space in front would encode otherwise.
+PROBES = ("a", "  two  spaces and a tail ", "internationalization of the understandings", "\tTab\nline\n\n", "ﬁ ① ＡＢ é e\u0301 \u00a0x", "日本語 😀 \x1f", "12345.67 $%&")
+
 _CHUNK = re.compile(rb" *[^ \n]+| +|\n")
 _NEVER = np.int32(2**31 - 1)
 _MASK = (1 << 64) - 1
@@ -67,6 +71,12 @@ class Vocabulary:
     def size(self) -> int:
         return len(self.surface)
 
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """The merges once more, for one pair at a time."""
+        held = self.keys != -1
+        return dict(zip(self.keys[held].tolist(), self.values[held].tolist(), strict=True))
+
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Piece that joins each pair of symbols, -1 for none (open addressing)."""
         key = (left.astype(np.int64) << 32) | right
@@ -130,7 +140,12 @@ def load(model_file: str) -> Vocabulary:
         while keys[slot] != -1:
             slot = (slot + 1) & ((1 << bits) - 1)
         keys[slot], values[slot] = key, i
-    return Vocabulary(surface, rank, char_ids, plane, byte_ids, keys, values, bits)
+    vocabulary = Vocabulary(surface, rank, char_ids, plane, byte_ids, keys, values, bits)
+    encoder = Encoder(vocabulary, 0, 0.0)
+    for text in PROBES:
+        if encoder.encode([0], [text.encode()])[0].tolist() != model.encode(text):
+            raise ValueError(f"the model doesn't merge by rank, or normalises texts: it encodes {text!r} otherwise")
+    return vocabulary
 
 
 def _symbols(vocabulary: Vocabulary, points: np.ndarray) -> np.ndarray:
@@ -155,7 +170,7 @@ def _spell(vocabulary: Vocabulary, symbols: list[int]) -> list[int]:
 
 def agenda(vocabulary: Vocabulary, chunk: str, key: int = 0, dropout: float = 0.0) -> list[int]:
     """Piece ids of one chunk by the agenda of candidate merges, skipping those whose keyed hash is below ``dropout``."""
-    below = int(dropout * 2**64)
+    below, rank = int(dropout * 2**64), vocabulary.rank.tolist() if len(chunk) > len(vocabulary.rank) else vocabulary.rank
     symbols = [vocabulary.char_ids.get(c, vocabulary.size + ord(c)) for c in chunk]
     after, before = list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
     heap: list[tuple[int, int, int, int, int]] = []
@@ -164,10 +179,9 @@ def agenda(vocabulary: Vocabulary, chunk: str, key: int = 0, dropout: float = 0.
         right = after[left]
         if left < 0 or right >= len(symbols):
             return
-        pair = np.array([symbols[left]]), np.array([symbols[right]])
-        piece = int(vocabulary.merged(*pair)[0])
+        piece = vocabulary.pairs.get(symbols[left] << 32 | symbols[right], -1)
         if piece >= 0 and not _mix(key ^ (left * _A) ^ (piece * _B)) < below:
-            heapq.heappush(heap, (int(vocabulary.rank[piece]), left, symbols[left], symbols[right], piece))
+            heapq.heappush(heap, (rank[piece], left, symbols[left], symbols[right], piece))
 
     for i in range(len(symbols) - 1):
         offer(i)
@@ -212,26 +226,11 @@ def _merge_equal(vocabulary: Vocabulary, symbols: np.ndarray, keys: np.ndarray,
         yield rows, symbols
 
 
-class _Numbers(dict):
-    """Numbers chunks as they come."""
-
-    def __missing__(self, chunk: bytes) -> int:
-        number = self[chunk] = len(self)
-        return number
-
-
 class Encoder:
-    """Encodes texts in bulk; keeps the segmentations it has made."""
+    """Encodes texts in bulk."""
 
-    def __init__(self, vocabulary: Vocabulary, seed: int, dropout: float, draws: int):
-        self.vocabulary, self.seed, self.dropout, self.draws = vocabulary, seed, dropout, draws if dropout > 0 else 1
-        self._forget()
-
-    def _forget(self) -> None:
-        self.numbers = _Numbers()
-        self.slots = np.full(1 << 16, -1, np.int32)
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.store = np.zeros(0, np.int32)
+    def __init__(self, vocabulary: Vocabulary, seed: int, dropout: float):
+        self.vocabulary, self.seed, self.dropout = vocabulary, seed, dropout
 
     def keys(self, chunks: list[bytes], draws: np.ndarray) -> np.ndarray:
         """Dropout keys of chunks under their draws."""
@@ -268,19 +267,8 @@ class Encoder:
             flat[starts[rows][:, None] + np.arange(final.shape[1])] = final
         return flat, sizes
 
-    def _learn(self, missing: np.ndarray, names: list[bytes]) -> None:
-        """Segment the chunks under the draws that ``missing`` (chunk number times draws plus draw) stands for."""
-        number, draw = missing // self.draws, missing % self.draws
-        flat, sizes = self.segment([names[i] for i in number.tolist()], draw)
-        self.slots[missing] = np.arange(len(self.sizes), len(self.sizes) + len(missing))
-        self.starts = np.concatenate([self.starts, len(self.store) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.store = np.concatenate([self.store, flat])
-
     def encode(self, ids: list[int | None], texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of all texts in a row, and each text's bounds in them."""
-        if len(self.numbers) > KNOWN_CHUNKS:
-            self._forget()
         chunks: list[bytes] = []
         counts = np.zeros(len(texts) + 1, np.int64)
         for i, text in enumerate(texts):
@@ -291,21 +279,8 @@ class Encoder:
         # a text's chunks draw by its id and their place in it
         base = np.fromiter((xxhash.xxh64_intdigest(b"%d" % (i if i is not None else -1), self.seed) for i in ids), np.uint64, len(ids))
         place = (np.arange(len(chunks)) - np.repeat(counts[:-1], per)).astype(np.uint64)
-        draws = (_mix(np.repeat(base, per) + place * np.uint64(_B)) % np.uint64(self.draws)).astype(np.int64)
-        known = np.fromiter(map(self.numbers.__getitem__, chunks), np.int64, len(chunks))
-        wanted = known * self.draws + draws
-        room = len(self.numbers) * self.draws
-        if room > len(self.slots):
-            self.slots = np.concatenate([self.slots, np.full(room + room // 2 - len(self.slots), -1, np.int32)])
-        missing = np.unique(wanted[self.slots[wanted] < 0])
-        if len(missing):
-            self._learn(missing, list(self.numbers))
-        slots = self.slots[wanted]
-        sizes = self.sizes[slots]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        pieces = self.store[np.arange(total) + np.repeat(self.starts[slots] - (ends - sizes), sizes)]
-        return pieces, np.concatenate([[0], ends])[counts]
+        pieces, sizes = self.segment(chunks, _mix(np.repeat(base, per) + place * np.uint64(_B)))
+        return pieces, np.concatenate([[0], np.cumsum(sizes)])[counts]
 
 
 def decode_ids(vocabulary: Vocabulary, ids: list[int]) -> bytes:
@@ -318,7 +293,7 @@ def _ship(spark: SparkSession, model_file: str):
     return spark.sparkContext.broadcast(vars(load(model_file)))
 
 
-def encode(docs: DataFrame, model_file: str, seed: int = 42, dropout: float = 0.1, draws: int = 16) -> DataFrame:
+def encode(docs: DataFrame, model_file: str, seed: int = 42, dropout: float = 0.1) -> DataFrame:
     """``doc_id``, ``ids`` (array<int>) and ``lossless`` (the ids decode to the very text) of every row of ``docs``.
 
     ``dropout`` 0 gives the model's own segmentation. A null text gives null ids and a null verdict, an empty one
@@ -329,7 +304,7 @@ def encode(docs: DataFrame, model_file: str, seed: int = 42, dropout: float = 0.
     shipped = _ship(docs.sparkSession, model_file)
 
     def scan(batches):
-        encoder = Encoder(Vocabulary(**shipped.value), seed, dropout, draws)
+        encoder = Encoder(Vocabulary(**shipped.value), seed, dropout)
         for batch in batches:
             for part in steps(batch, "text", STEP):
                 texts = as_bytes(part.column("text"))
@@ -345,7 +320,10 @@ def encode(docs: DataFrame, model_file: str, seed: int = 42, dropout: float = 0.
 
 
 def decode(pieces: DataFrame, model_file: str) -> DataFrame:
-    """``doc_id`` and ``text`` of rows with ``doc_id`` and ``ids``; null ids give a null text."""
+    """``doc_id`` and ``text`` of every row with ``doc_id`` and ``ids``; null ids give a null text, no ids an empty one.
+
+    Rows with a null id and repeated rows come back once each; other columns are not read; an empty table gives no rows.
+    """
     shipped = _ship(pieces.sparkSession, model_file)
 
     def scan(batches):
