@@ -8,8 +8,8 @@ holds that symbol wherever the window occurs.
 
 So a window can repeat only where all symbols of its level are shared: the level is the highest at which the
 window holds a context (single words hold their own, so there always is one). Shared symbols are found in one
-exchange; where all of a window's symbols are shared the window's words are compared by a 96-bit hash in a second
-one, and what survives is removed. Rounds run inside each text; Spark names, exchanges and verifies.
+exchange; where all of a window's symbols are shared the window's words are compared by a hash of 95 bits in a
+second one, and what survives is removed. Rounds run inside each text; Spark exchanges and verifies.
 """
 
 from __future__ import annotations
@@ -163,6 +163,35 @@ def spread(low: np.ndarray, high: np.ndarray, size: int) -> np.ndarray:
     return np.cumsum(depth)[:size] > 0
 
 
+class Seen:
+    """The least id that a task has met a hash with, for up to ``limit`` hashes that it met with several ids.
+
+    Later steps of the task settle such a hash on the spot, so one that is everywhere costs a row a task in the
+    exchange, not one a step. Forgetting costs rows, never results.
+    """
+
+    def __init__(self, limit: int = 1 << 20):
+        self.limit = limit
+        self.hash, self.least = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each hash is held, and under which id."""
+        if not len(self.hash):
+            return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
+        return self.hash[at] == hashes, self.least[at]
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray) -> None:
+        """Hold distinct ``hashes`` with their least ids; what is held keeps the lesser id."""
+        if len(hashes) + len(self.hash) > self.limit:
+            self.hash, self.least = self.hash[:0], self.least[:0]
+        both = np.concatenate([self.hash, hashes[: self.limit]]), np.concatenate([self.least, ids[: self.limit]])
+        order = np.lexsort((both[1], both[0]))
+        name, least = both[0][order], both[1][order]
+        head = np.append(True, name[1:] != name[:-1])[: len(name)]
+        self.hash, self.least = name[head], least[head]
+
+
 def _bounds(masked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends (exclusive) of the stretches of True."""
     edge = np.diff(np.concatenate([[0], masked.astype(np.int8), [0]]))
@@ -179,11 +208,12 @@ def _key() -> tuple[Column, Column, Column]:
 
 def name_symbols(docs: DataFrame, window: int) -> DataFrame:
     """``doc_id``, ``tag``, ``n_words``, ``whole_sha256``, and the text's distinct symbols: ``open`` of which the
-    corpus must be asked, ``met`` which another id of the same Arrow step has too. Of a step's shared symbols only
-    one id asks, with ``asks_for_all``, so a symbol that is everywhere costs a row per step, not per text."""
+    corpus must be asked, ``met`` which another id of the same task has too. Of a task's shared symbols only
+    one id asks, with ``asks_for_all``, so a symbol that is everywhere costs a row per task, not per text."""
     kind = "doc_id long, tag int, n_words long, whole_sha256 string, open array<long>, asks_for_all array<long>, met array<long>"
 
     def scan(batches):
+        seen = Seen()
         for batch in batches:
             for part in steps(batch, "text", STEP):
                 w = Words(as_bytes(part.column("text")))
@@ -207,7 +237,10 @@ def name_symbols(docs: DataFrame, window: int) -> DataFrame:
                 several = np.zeros(len(first), bool)
                 np.logical_or.at(several, group, by != by[first][group])
                 shared = several[group]
-                kinds = np.where(~shared, 0, np.where(head, 1, 2))
+                # asked for all before: two ids at least have it
+                before = seen.look_up(name)[0]
+                kinds = np.where(before, 2, np.where(~shared, 0, np.where(head, 1, 2)))
+                seen.add(name[kinds == 1], np.zeros(int((kinds == 1).sum()), np.int64))
                 columns = []
                 for k in range(3):
                     pick = np.flatnonzero((kinds == k) | ((k == 2) & (kinds == 1)))
@@ -228,11 +261,10 @@ def shared_symbols(named: DataFrame) -> DataFrame:
     asked = known.select("doc_id", "tag", F.explode("open").alias("sym"), F.lit(False).alias("sure")).unionByName(
         known.select("doc_id", "tag", F.explode("asks_for_all").alias("sym"), F.lit(True).alias("sure"))
     )
-    same = Window.partitionBy("sym")
-    told = asked.select(
-        "doc_id", "tag", "sym", ((F.min("doc_id").over(same) < F.max("doc_id").over(same)) | F.max("sure").over(same)).alias("shared")
-    )
-    rows = told.where("shared").select("doc_id", "tag", "sym")
+    # minima and maxima are combined before they are dealt out; the join back splits a frequent symbol like any skewed key
+    ends = asked.groupBy("sym").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.max("sure").alias("sure"))
+    told = asked.select("doc_id", "tag", "sym").join(ends.where("low < high or sure").select("sym"), "sym")
+    rows = told.select("doc_id", "tag", "sym")
     local = known.select("doc_id", "tag", F.explode("met").alias("sym"))
     return rows.unionByName(local).groupBy("doc_id", "tag").agg(F.collect_set("sym").alias("shared"))
 
@@ -278,13 +310,15 @@ def _places(w: Words, column: pa.ListArray) -> np.ndarray:
 
 
 def repeated_windows(found: DataFrame, window: int) -> DataFrame:
-    """``doc_id``, ``tag`` and ``gone``: hashes of the text's windows that also start in a smaller id's text.
+    """``doc_id``, ``tag`` and ``gone``: hashes (both parts) of the text's windows that also start in a smaller id's text.
 
-    Each Arrow step sends a window once, for its smallest id; the others are settled on the spot.
+    A step of a task sends a window once, for its smallest id; the others are settled on the spot, and so are those of
+    which an earlier step of the task had a smaller id. So a window that is everywhere meets as a row a task.
     """
     kind = "h1 long, h2 int, doc_id long, tag int, settled boolean"
 
     def scan(batches):
+        seen = Seen()
         for batch in batches:
             for part in steps(batch, "text", STEP):
                 w = Words(as_bytes(part.column("text")))
@@ -297,7 +331,15 @@ def repeated_windows(found: DataFrame, window: int) -> DataFrame:
                 order = np.lexsort((tags, ids, h1))
                 h1, h2, ids, tags = h1[order], h2[order], ids[order], tags[order]
                 head = np.append(True, h1[1:] != h1[:-1])
-                least = ids[np.flatnonzero(head)][np.cumsum(head) - 1]
+                first = np.flatnonzero(head)
+                group = np.cumsum(head) - 1
+                least = ids[first][group]
+                several = np.zeros(len(first), bool)
+                np.logical_or.at(several, group, ids != least)
+                name = h1.view(np.int64)
+                held, earlier = seen.look_up(name)
+                seen.add(name[first][several | held[first]], ids[first][several | held[first]])
+                least = np.where(held, np.minimum(least, earlier), least)
                 fresh = head | np.append(True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1]))
                 h1, h2, ids, tags, settled = h1[fresh], h2[fresh], ids[fresh], tags[fresh], (ids > least)[fresh]
                 yield pa.RecordBatch.from_arrays(
@@ -311,7 +353,7 @@ def repeated_windows(found: DataFrame, window: int) -> DataFrame:
     same = Window.partitionBy("h1", "h2", "settled", "side")
     told = sent.withColumn("side", side).withColumn("least", F.min("doc_id").over(same))
     gone = told.where(F.col("settled") | (F.col("least") < F.col("doc_id")))
-    return gone.groupBy("doc_id", "tag").agg(F.collect_set("h1").alias("gone"))
+    return gone.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("h1", "h2")).alias("gone"))
 
 
 def removals(found: DataFrame, gone: DataFrame, window: int) -> DataFrame:
@@ -324,12 +366,17 @@ def removals(found: DataFrame, gone: DataFrame, window: int) -> DataFrame:
             for part in steps(batch, "text", STEP):
                 w = Words(as_bytes(part.column("text")))
                 at = _places(w, part.column("starts"))
-                h1, _ = w.rolled(at, window)
+                h1, h2 = w.rolled(at, window)
                 column = part.column("gone")
                 owner = np.repeat(np.arange(part.num_rows), np.diff(column.offsets.to_numpy()))
-                pairs = np.sort(_mix(column.flatten().to_numpy(zero_copy_only=False).view(_U) + owner.astype(_U) * _M1))
+                lost1, lost2 = (x.to_numpy(zero_copy_only=False) for x in column.flatten().flatten())
+                key = _mix(lost1.view(_U) + owner.astype(_U) * _M1)
+                order = np.argsort(key)
+                key, lost1, lost2, owner = key[order], lost1[order].view(_U), lost2[order], owner[order]
                 ask = _mix(h1 + w.text_of[at].astype(_U) * _M1)
-                hit = at[pairs[np.minimum(np.searchsorted(pairs, ask), len(pairs) - 1)] == ask]
+                place = np.minimum(np.searchsorted(key, ask), len(key) - 1)
+                # the key only finds the place: text and both hashes have to be the same
+                hit = at[(owner[place] == w.text_of[at]) & (lost1[place] == h1) & (lost2[place] == h2)]
                 covered = spread(hit, hit + window - 1, len(w.hash))
                 rows: dict[str, list] = {k: [] for k in ("n_removed", "kept_sha256", "kept", "spans")}
                 for words, first in zip(w.words, w.first.tolist(), strict=True):

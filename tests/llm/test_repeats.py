@@ -78,3 +78,34 @@ def test_a_null_id_copy_in_a_step_hides_no_link(spark):
     far = docs(spark, [(2, f"other start {passage} other end")]).coalesce(1)
     found = repeats.dedup_substrings(near.unionByName(far)).collect()
     assert sorted((str(r.doc_id), r.n_removed) for r in found) == [("1", 0), ("2", 80), ("None", 0)]
+
+
+def test_many_steps_in_a_task_remember_what_was_met(spark):
+    r = random.Random(5)
+    license_ = [f"l{i}" for i in range(70)]
+    rows = []
+    for i in r.sample(range(200), 120):
+        words = [f"{i}w{k}" for k in range(r.randrange(60))]
+        if r.random() < 0.6:
+            words[5:5] = license_[: r.randrange(45, 71)]
+        rows.append((i, " ".join(words)))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        made = docs(spark, rows).coalesce(1)
+        got = repeats.dedup_substrings(made, 50).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+        sent = repeats.name_symbols(made, 50).select("asks_for_all").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(str(tuple(x)) for x in got) == plain(rows, 50)
+    asked = [s for x in sent for s in x.asks_for_all]
+    assert len(asked) == len(set(asked))  # a shared symbol asks once a task
+
+
+def test_seen_keeps_the_least_id_within_its_limit():
+    seen = repeats.Seen(limit=4)
+    seen.add(np.array([5, 9]), np.array([7, 3]))
+    seen.add(np.array([5]), np.array([2]))
+    held, least = seen.look_up(np.array([9, 5, 1]))
+    assert held.tolist() == [True, True, False] and least[:2].tolist() == [3, 2]
+    seen.add(np.array([1, 2, 3]), np.array([1, 1, 1]))
+    assert len(seen.hash) == 3
