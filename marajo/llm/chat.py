@@ -57,8 +57,10 @@ class PartVisitor:
     pieces: list[str] = field(default_factory=list)
     attachments: list[dict] = field(default_factory=list)
 
-    def visit(self, part: dict) -> None:
-        getattr(self, f"visit_{part['type']}", self.visit_unknown)(part)
+    def visit(self, part: dict | None) -> None:
+        """A null part says nothing; one of another type, or none, is a placeholder of its own kind without tokens."""
+        if part is not None:
+            getattr(self, f"visit_{part['type']}", self.visit_unknown)(part)
 
     def visit_text(self, part: dict) -> None:
         self.pieces.append(escape(part["text"] or ""))
@@ -74,7 +76,7 @@ class PartVisitor:
         self._attach("document", part, max(1, part["pages"] or 0) * self.page_tokens)
 
     def visit_unknown(self, part: dict) -> None:
-        raise ValueError(f"content part of unknown type {part['type']!r}")
+        self._attach("unknown", part, 0)
 
     def _attach(self, kind: str, part: dict, tokens: int) -> None:
         self.attachments.append({"at": len(self.attachments), "kind": kind, "ref": part["ref"], "tokens": tokens})
@@ -94,7 +96,9 @@ def format_turns(turns: DataFrame, trained_role: str = "assistant") -> DataFrame
     ``segment`` is the turn's stretch of the conversation, from code point ``start``; ``loss_start`` and
     ``loss_end`` bound the stretch under the loss mask in the conversation (equal where there is none: other roles,
     or an empty body). Null texts are empty, null roles an empty name. Turns of equal number go by role, then text;
-    repeated rows are repeated turns; rows of null ``conv_id`` form one conversation. Other columns are not read.
+    repeated rows are repeated turns; rows of null ``conv_id`` form one conversation. Parts of an unknown or null type
+    become placeholders of kind ``unknown``, null parts nothing. A conversation is one text, so one task writes it turn by
+    turn, however long it is. Other columns are not read; an empty table gives no rows.
     """
     parts = F.lit(None).cast(f"array<{_PART}>")
     if "parts" in turns.columns:
@@ -172,7 +176,9 @@ class Reader:
 def read_back(segments: DataFrame) -> DataFrame:
     """Per conversation, digests of what the output of :func:`format_turns` says: number of turns, SHA-256 of role,
     line feed, text, line feed of each, code points and SHA-256 of the unescaped text under the loss mask, and
-    formatted code points. Partitions must be as :func:`format_turns` leaves them: whole conversations in order."""
+    formatted code points. Partitions must be as :func:`format_turns` leaves them: whole conversations in order. The rows
+    of a null ``conv_id`` give one row, as any conversation does; null or repeated segments can't come from there. An
+    empty table gives no rows."""
 
     def scan(batches):
         now, reader, found = None, None, []

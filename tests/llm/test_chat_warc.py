@@ -41,8 +41,15 @@ def test_parts_become_placeholders_in_order(spark):
     back = {r.conv_id: r for r in chat.read_back(chat.format_turns(spark.createDataFrame(rows, schema))).collect()}
     assert back[1].loss_chars == 2 and back[2].n_turns == 2 and back[2].loss_sha256 == hashlib.sha256(b"aa").hexdigest() and back[None].n_turns == 1
     assert chat.read_back(chat.format_turns(spark.createDataFrame([], schema))).collect() == []
-    with pytest.raises(Exception, match="unknown type"):
-        chat.format_turns(spark.createDataFrame([(1, 0, "user", None, None, [part("video")])], schema)).collect()
+    odd = [(1, 0, "user", None, None, [part("video", ref="v.mp4"), None, part(None), part("text", text="x")])]
+    row = chat.format_turns(spark.createDataFrame(odd, schema)).first()
+    assert row.segment == "### user: <|unknown:0|><|unknown:1|>x</turn>\n" and [(a.kind, a.ref, a.tokens) for a in row.attachments] == [("unknown", "v.mp4", 0), ("unknown", None, 0)]
+
+
+def test_a_long_conversation(spark):
+    rows = [(7, i, "assistant" if i % 2 else "user", f"</turn> {i} " * (i % 50)) for i in range(20_000)]
+    made = chat.read_back(chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).first()
+    assert made.n_turns == 20_000 and made.loss_sha256 == hashlib.sha256("".join(t for _, i, _, t in rows if i % 2).encode()).hexdigest()
 
 
 PAGES = [(i, f"http://x/{i} y", f"<html>{'body ' * (50 + i)}{i}</html>") for i in range(40)] + [
