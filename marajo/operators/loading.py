@@ -63,16 +63,23 @@ def union_batches(frames: Sequence[DataFrame], stamp: Column | None = None) -> D
 
 
 def full_refresh(df: DataFrame, path: str) -> None:
-    """Replace the dataset at ``path``: written aside first, so a failed job leaves the old data."""
-    spark = df.sparkSession
-    aside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    df.write.parquet(aside)
+    """Replace the dataset at ``path``: the new one is written aside, the old one renamed aside, the new one put in its
+    place, the old one deleted. A job that fails at any point leaves one of both whole, under ``path`` or beside it."""
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    root = path.rstrip("/")
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    old, new = hadoop(path), hadoop(aside)
-    store = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    store.delete(old, True)
-    if not store.rename(new, old):
-        raise OSError(f"can't put {aside} in place of {path}")
+    place, new, old = hadoop(root), hadoop(f"{root}.{mark}.new"), hadoop(f"{root}.{mark}.old")
+    df.write.parquet(new.toString())
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = store.exists(place)
+    if had and not store.rename(place, old):
+        raise OSError(f"can't move {root} aside")
+    if not store.rename(new, place):
+        if had:
+            store.rename(old, place)
+        raise OSError(f"can't put the new data in place of {root}")
+    if had:
+        store.delete(old, True)
 
 
 def stamp(df: DataFrame, layer: str, has_ingest_date: bool = True, at: Column | None = None) -> DataFrame:
@@ -128,7 +135,13 @@ def surrogate_id(df: DataFrame, parent: str, children: Sequence[str], order: str
 
 @dataclass(frozen=True)
 class LoadConfig:
-    """How one target is loaded: by ``upsert``, ``refresh``, ``append_dedupe`` or, where no key is known, ``append``."""
+    """How one target is loaded.
+
+    Modes: ``upsert`` (new columns are added), ``refresh`` (the batch alone), ``drop_upsert`` (the batch alone, a row a key),
+    ``append_dedupe`` (the first of equal rows stays) and, where no key is known, ``append``, which is refused. ``gate``
+    keeps rows whose column starts with a prefix, ``batch_keep`` the first or last row of a key in the batch, ``fill`` gives
+    key columns a default, ``explode`` names the list column of a parent record whose entries are the rows.
+    """
 
     target: str
     keys: tuple[str, ...] = ()
@@ -136,10 +149,14 @@ class LoadConfig:
     gate: tuple[str, str] | None = None
     batch_keep: str | None = None
     fill: tuple[tuple[str, str], ...] = ()
+    explode: str | None = None
 
 
 def apply_load(config: LoadConfig, target: DataFrame, batch: DataFrame, order: str = "dt_ingest") -> DataFrame:
     """The target after the batch. Plain appends are refused: repeating them would multiply rows."""
+    if config.explode:
+        plain = [c for c in batch.columns if c != config.explode]
+        batch = batch.select(*plain, F.explode(config.explode).alias("_child")).select(*plain, "_child.*")
     if config.gate:
         batch = batch.where(F.col(config.gate[0]).startswith(config.gate[1]))
     if config.batch_keep:
@@ -148,25 +165,88 @@ def apply_load(config: LoadConfig, target: DataFrame, batch: DataFrame, order: s
         return upsert(target, batch, config.keys, order)
     if config.mode == "refresh":
         return batch
+    if config.mode == "drop_upsert":
+        return upsert(target.limit(0), batch, config.keys, order)
     if config.mode == "append_dedupe":
         cols = list(config.keys) or [c for c in batch.columns if c != order]
         return dedupe_keep_first(evolve_schema(target, batch), cols, order)
     raise ValueError(f"{config.target}: append needs keys or a full refresh")
 
 
+def _each(targets: str, keys: str, **more) -> list[LoadConfig]:
+    return [LoadConfig(t, tuple(keys.split()), **more) for t in targets.split()]
+
+
+#: The targets of the data loads. Columns given to ``append_dedupe`` are those of the file, so they are named at the load.
+LOADS: tuple[LoadConfig, ...] = tuple([
+    *_each("ibge.agregados", "variavel_id localidade_id periodo classificacao_id categoria_id"),
+    *_each("ibge.pnad_construcao", "periodo categoria_id"),
+    *_each("bacen.financiamentos_imobiliarios", "tipo data"),
+    *_each("bacen.credito_imobiliario_pib", "data"),
+    *_each("fgv.incc_m fgv.icst", "mes"),
+    *_each("fipe.indice_locacao abecip.poupanca_sbpe_mensal", "data_referencia"),
+    *_each("infomoney.acoes_imob", "symbol data_pregao"),
+    *_each("novo_caged.saldo_estoque_construcao_edificios", "ano mes"),
+    *_each("mrv.lancamentos mrv.vendas", "periodo"),
+    *_each("compras_gov.contratos compras_gov.contratos_inativos compras_gov.faturas compras_gov.terceirizados", "id"),
+    *_each("compras_gov.empenhos", "id contrato_id"),
+    *_each("compras_gov.cronograma", "id", mode="drop_upsert"),
+    *_each("dados_abertos.deputados", "id siglapartido idlegislatura", batch_keep="last"),
+    *_each("dados_abertos.senadores", "id", batch_keep="last"),
+    *_each("pncp.licitacoes", "numerocontrolepncp"),
+    *_each("pncp.itens", "numerocontrolepncp numeroitem"),
+    *_each("pncp.resultados", "numerocontrolepncp numeroitem sequencialresultado situacaocompraitemresultadoid"),
+    *_each("siafi.nota_credito", "numero ano"),
+    *_each("siafi.nota_empenho", "numempenho anoempenho"),
+    *_each("siafi.programacao_financeira", "trf__numerodocumento"),
+    *_each("tesouro_gerencial.empenhos", "emissao_mes emissao_dia ne_ccor ne_num_processo ne_info_complementar ne_ccor_descricao doc_observacao natureza_despesa despesas_empenhadas", gate=("ne_ccor", "")),
+    *_each("tesouro_gerencial.emendas", "emissao_mes emissao_dia ne_ccor autor_emenda natureza_despesa despesas_empenhadas", gate=("ne_ccor", "")),
+    *_each("tesouro_gerencial.notas_credito", "emissao_mes emissao_dia nc nc_transferencia nc_fonte_recursos ptres natureza_despesa nc_valor_linha"),
+    *_each("tesouro_gerencial.notas_credito_anteriores tesouro_gerencial.programacao_financeira tesouro_gerencial.programacao_ptres", "", mode="append_dedupe"),
+    *_each("tesouro_gerencial.visao_orcamentaria", "", mode="refresh"),
+    *_each("tesouro_gerencial.orcamento_por_acao tesouro_gerencial.dotacao_execucao", "", mode="append"),
+    *_each("siape.lista_servidores", "cpf codUorg"),
+    *_each("siape.lista_uorgs", "codigo"),
+    *_each("siape.dados_pessoais siape.dados_financeiros siape.dados_funcionais siape.dados_escolares siape.dados_curriculo siape.dados_afastamento siape.dados_uorg siape.lista_aposentadoria", "cpf"),
+    *_each("siape.dados_pa", "cpf_servidor"),
+    *_each("siape.dados_dependentes", "cpf nome", explode="dependentes"),
+    *_each("siape.pensoes_instituidas", "id_registro", explode="pensoes"),
+    *_each("siape.dados_afastamento_historico", "", mode="append_dedupe", explode="afastamentos"),
+    *_each("siorg.unidade_organizacional siorg.estrutura_organizacional_cargos", "codigounidade"),
+    *_each("siorg.cargos_funcao", "codigocargofuncao"),
+    *_each("transfere_gov.programas", "id_programa"),
+    *_each("transfere_gov.plano_acao", "id_plano_acao"),
+    *_each("transfere_gov.notas_de_credito", "id_nota"),
+    *_each("transfere_gov.programacao_financeira", "id_programacao"),
+    *_each("transferegov_emendas.planos_acao_especiais", "id_plano_acao", batch_keep="last"),
+    *_each("transferegov_emendas.executor_especial", "id_executor id_plano_acao", batch_keep="last"),
+    *_each("transferegov_emendas.finalidade_especial", "id_executor cd_area_politica_publica_tipo_pt cd_area_politica_publica_pt", batch_keep="last"),
+    *_each("transferegov_emendas.metas_especiais", "id_meta", batch_keep="last"),
+    *_each("transferegov_emendas.empenhos_especiais", "id_empenho", batch_keep="last"),
+    *_each("transferegov_emendas.ordem_bancaria_especial", "id_op_ob", batch_keep="last"),
+    *_each("sgac.projetos", "id"),
+])
+
+
 def normal_name(name: str) -> str:
     """Lower case, runs of other than letters, digits and ``_`` to one ``_``, none at the ends."""
     return re.sub(r"_+", "_", re.sub(r"\W", "_", name.lower())).strip("_")
 
 
-def normalize_columns(df: DataFrame) -> DataFrame:
-    """Column names normalised; repeated names get ``_1``, ``_2``; unnamed columns go."""
-    kept = [(i, c) for i, c in enumerate(df.columns) if not re.fullmatch(r"unnamed[_:\s]*\d+", c.strip().lower())]
-    names, seen = [], {}
-    for _, c in kept:
+def normal_names(columns: Sequence[str]) -> list[tuple[int, str]]:
+    """Position and normalised name of the columns that stay: repeated names get ``_1``, ``_2``; unnamed ones go."""
+    kept, seen = [], {}
+    for i, c in enumerate(columns):
+        if re.fullmatch(r"unnamed[_:\s]*\d+", c.strip().lower()):
+            continue
         base = normal_name(c)
         n = seen.get(base, -1) + 1
         seen[base] = n
-        names.append(f"{base}_{n}" if n else base)
+        kept.append((i, f"{base}_{n}" if n else base))
+    return kept
+
+
+def normalize_columns(df: DataFrame) -> DataFrame:
+    """Column names normalised; repeated names get ``_1``, ``_2``; unnamed columns go."""
     flat = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
-    return flat.select(*[F.col(f"_{i}").alias(n) for (i, _), n in zip(kept, names, strict=True)])
+    return flat.select(*[F.col(f"_{i}").alias(n) for i, n in normal_names(df.columns)])

@@ -134,6 +134,10 @@ def xml_union_elements(df: DataFrame, xml: str, kinds: Mapping[str, Sequence[str
 # --- lines and sheets ---------------------------------------------------------------------------------------
 
 
+#: Lines of a file that one task puts in order.
+BLOCK_LINES = 65_536
+
+
 def sectioned_report(
     lines: DataFrame, header: str, skip: int = 5, min_cols: int = 20, required: Sequence[int] = (0,), refused: Sequence[str] = (), sep: str = "\t"
 ) -> DataFrame:
@@ -141,13 +145,18 @@ def sectioned_report(
 
     ``header`` is a pattern whose first group names the section. A header and the ``skip`` lines after it are no
     data; nor are lines before the first header, with fewer than ``min_cols`` cells, with a refused word as a cell,
-    or with a blank required cell. ``lines`` has ``file``, ``line_no`` and ``text``; a file is one ordered group, so
-    a report must fit a task's sort.
+    or with a blank required cell. ``lines`` has ``file``, ``line_no`` and ``text``. Lines are ordered in blocks of
+    ``BLOCK_LINES``; the header that holds at a block's start comes from a table of one row a block.
     """
-    w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     found = F.nullif(F.regexp_extract("text", header, 1), F.lit(""))
-    at = F.last(F.when(found.isNotNull(), F.col("line_no")), ignorenulls=True).over(w)
-    told = lines.withColumns({"section": F.last(found, ignorenulls=True).over(w), "_at": at, "cells": F.transform(F.split("text", sep), lambda c: F.trim(c))})
+    head = F.when(found.isNotNull(), F.struct(F.col("line_no").alias("at"), found.alias("name"))).alias("head")
+    rows = lines.select("file", "line_no", "text", F.floor(F.col("line_no") / BLOCK_LINES).alias("block"), head)
+    ends = rows.groupBy("file", "block").agg(F.max("head").alias("last"))
+    before = F.max("last").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    w = Window.partitionBy("file", "block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    told = rows.withColumn("own", F.max("head").over(w)).join(ends.select("file", "block", before.alias("before")), ["file", "block"])
+    now = F.coalesce("own", "before")
+    told = told.select("file", "line_no", now["name"].alias("section"), now["at"].alias("_at"), F.transform(F.split("text", sep), lambda c: F.trim(c)).alias("cells"))
     keep = (F.col("line_no") > F.col("_at") + skip) & (F.size("cells") >= min_cols)
     for i in required:
         keep = keep & (F.coalesce(F.get("cells", F.lit(i)), F.lit("")) != "")

@@ -72,6 +72,17 @@ def _(t):
     return S.positional(lines.unionByName(noise), {0: "id", 2: "nation"}, skiprows=5).select("id", "col_1", "nation")
 
 
+@kit.query("l6_read_utf16", """
+select cast(s_suppkey as varchar) as id, s_name as col_1, cast(s_nationkey as varchar) || ' é' as nation from supplier""")
+def _(t):
+    path = _folder(t, "utf16")
+    rows = t("supplier").select(F.concat_ws("\t", F.col("s_suppkey").cast("string"), "s_name", F.concat(F.col("s_nationkey").cast("string"), F.lit(" é"))).alias("value"))
+    # every file begins with a byte order mark and three lines that aren't data
+    held = rows.groupBy((F.crc32("value") % 7).alias("f")).agg(F.concat(F.lit("\ufeffreport\r\n\r\nid\tname\tnation\r\n"), F.array_join(F.collect_list("value"), "\r\n")).alias("value"))
+    held.select("f", F.encode("value", "UTF-16LE").cast("string").alias("value")).write.partitionBy("f").options(encoding="UTF-16LE", lineSep="\n").text(path)
+    return S.read_positional(t.spark, f"{path}/*/*.txt", {0: "id", 2: "nation"}, skiprows=3)[["id", "col_1", "nation"]]
+
+
 @kit.query("l7_union_batches", """
 select c_custkey as k, c_name as name, null as extra, timestamp '2024-01-01' as dt_ingest from customer
 union all select s_suppkey, s_name, 'x', timestamp '2024-01-01' from supplier""")
@@ -303,7 +314,12 @@ def _(t):
     return L.stamp(silver, "gold", at=at("2024-05-02"))
 
 
-@kit.query("l28_report_document")
+@kit.query("l28_report_document", r"""
+with top as (select * from customer order by c_acctbal desc, c_custkey limit 100)
+select '{"kpis":{"total":' || (select count(*) from customer) || ',"highest":' || (select max(c_acctbal) from customer) || '},"states":{'
+  || (select string_agg('"' || k || '":' || n, ',' order by k) from (select cast(c_nationkey as varchar) as k, count(*) as n from customer group by 1))
+  || '},"segments":[' || (select string_agg('{"c_mktsegment":"' || c_mktsegment || '","n":' || n || '}', ',' order by c_mktsegment) from (select c_mktsegment, count(*) as n from customer group by 1))
+  || '],"top":[' || (select string_agg('{"c_custkey":' || c_custkey || ',"c_acctbal":' || c_acctbal || '}', ',' order by c_acctbal desc, c_custkey) from top) || ']}' as document""")
 def _(t):
     by = lambda c: t("customer").groupBy(c).agg(F.count(F.lit(1)).alias("n"))
     frames = {
@@ -312,7 +328,8 @@ def _(t):
         "segments": by("c_mktsegment").orderBy("c_mktsegment"),
         "top": T.top_n(t("customer").select("c_custkey", "c_acctbal"), "c_acctbal", 100, ["c_custkey"]),
     }
-    return S.report_document(frames, {"states": ("c_nationkey", "n")}, {"kpis": {"total": 0, "highest": 0.0}})
+    order = {"segments": ["c_mktsegment"], "top": [-F.col("c_acctbal"), "c_custkey"]}
+    return S.report_document(frames, {"states": ("c_nationkey", "n")}, {"kpis": {"total": 0, "highest": 0.0}}, order)
 
 
 @kit.query("l29_half_year_windows", """

@@ -7,6 +7,8 @@ stage goes there: never to a local folder, never to ``localCheckpoint``. Only wh
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,16 +33,35 @@ def build_session(app: str = "marajo", master: str | None = None, **conf: str) -
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints; set to a temporary one where the cluster names none."""
+    """The shared folder for checkpoints: that of the setting, else the context's own.
+
+    Where neither is set, a local master gets a temporary folder, which goes when the process ends; on a cluster that
+    would be another folder on every machine, so there it is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if held.isDefined():
-            return held.get()
-        root = "file://" + tempfile.mkdtemp(prefix="marajo-checkpoint-")
-        spark.sparkContext.setCheckpointDir(root)
+    if root:
         return root
-    return root
+    held = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="marajo-checkpoint-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir("file://" + folder)
+    return "file://" + folder
+
+
+_WRITTEN: list[str] = []
+
+
+def discard_stashes(spark: SparkSession) -> int:
+    """Delete the tables that :func:`stash` has written in this process, when their readers are done; returns how many."""
+    hadoop, n = spark._jvm.org.apache.hadoop.fs.Path, len(_WRITTEN)
+    while _WRITTEN:
+        path = hadoop(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
 
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -58,6 +79,7 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     spark.conf.set(_CLEANUP, "true")
     try:
         df.write.option("compression", "zstd").parquet(path)
+        _WRITTEN.append(path)
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marajo.operators.loading import full_refresh, normalize_columns, upsert
+from marajo.operators.loading import full_refresh, normal_names, upsert
+from marajo.session import small_side, stash
 
-#: Bytes of a file from which its encoding is told.
-ENCODING_SAMPLE = 5 << 20
 DELIMITERS = (";", ",", "|", "\t")
 
 
@@ -42,59 +41,82 @@ def to_staging(source: DataFrame | str, fmt: str, typers: Mapping[str, Callable[
     return True
 
 
-def infer_dialect(files: DataFrame) -> DataFrame:
-    """``path``, ``encoding`` (utf-8, or latin-1 if the sample isn't) and ``sep`` of files given as ``path``, ``content``.
+def _lines(spark: SparkSession, glob: str, **options: str) -> DataFrame:
+    """``file``, ``block`` (where the split of the file starts), ``id`` (increasing within a split) and ``text`` of every
+    line; the bytes are as they are in the file."""
+    held = spark.read.options(**options).text(glob)
+    return held.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), F.col("value").alias("text"))
 
-    The separator is the first of ``; , | tab`` in the header line, a comma without any. A sample that ends inside
-    a character still counts as utf-8.
+
+def infer_dialect(lines: DataFrame) -> DataFrame:
+    """``file``, ``encoding`` (utf-8, or ISO-8859-1 if any line isn't valid), ``sep`` and ``header`` (the first line, as
+    bytes) of the files whose ``lines`` are given as ``file, block, id, text``.
+
+    The separator is the first of ``; , | tab`` in the header line, a comma without any. Files are scanned in splits and
+    only these four values of each leave the scan.
     """
-    sample = F.substring("content", 1, ENCODING_SAMPLE)
-    text = F.try_validate_utf8(F.coalesce(F.decode(sample, "ISO-8859-1"), F.lit("")))
-    # cut back to before the last lead byte, as the sample may end inside a character
-    end = F.octet_length(sample) - F.when(F.octet_length("content") > ENCODING_SAMPLE, 4).otherwise(0)
-    whole = F.is_valid_utf8(F.substring(sample, F.lit(1), end).cast("string"))
-    if_cut = [F.is_valid_utf8(F.substring(sample, F.lit(1), end + k).cast("string")) for k in (1, 2, 3)]
-    utf8 = reduce(lambda a, b: a | b, if_cut, whole)
-    header = F.split_part(F.replace(text, F.lit("\r"), F.lit("")), F.lit("\n"), F.lit(1))
+    told = lines.groupBy("file").agg(F.min(F.is_valid_utf8("text").cast("int")).alias("utf8"), F.min(F.struct("block", "id", "text"))["text"].alias("header"))
     sep = F
     for d in DELIMITERS:
-        sep = sep.when(header.contains(d), d)
-    return files.select("path", F.when(utf8, "utf-8").otherwise("ISO-8859-1").alias("encoding"), sep.otherwise(",").alias("sep"))
+        sep = sep.when(F.col("header").contains(d), d)
+    return told.select("file", F.when(F.col("utf8") == 1, "utf-8").otherwise("ISO-8859-1").alias("encoding"), sep.otherwise(",").alias("sep"), F.col("header").cast("binary").alias("header"))
+
+
+def _header_names(header: bytes, encoding: str, sep: str) -> list[str]:
+    text = bytes(header).decode("utf-8-sig" if encoding == "utf-8" else encoding).rstrip("\r")
+    return [n.strip().strip('"') or f"Unnamed: {i}" for i, n in enumerate(text.split(sep))]
 
 
 def read_delimited_drop(spark: SparkSession, glob: str) -> DataFrame:
     """All columns of all files as text, names normalised, malformed lines dropped, ``source_path`` beside them.
 
-    Files are grouped by dialect and header, so that there is one distributed read for each group; only paths and
-    dialects pass through the driver, as any listing does.
+    Two scans, however many files, dialects and headers there are: one tells the dialects, one parses every line by its
+    file's. Only the distinct headers come to the driver. A file's header line is left out wherever it stands; quoted
+    cells don't span lines; a line with another number of cells than its header is malformed.
     """
-    head = spark.read.format("binaryFile").load(glob).select("path", F.substring("content", 1, ENCODING_SAMPLE + 4).alias("content"))
-    first = F.split_part(F.decode("content", "ISO-8859-1"), F.lit("\n"), F.lit(1)).alias("header")
-    told = infer_dialect(head).join(head.select("path", first), "path")
-    groups = told.groupBy("encoding", "sep", "header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
-    frames = []
-    for g in sorted(groups, key=lambda g: g.paths):
-        raw = spark.read.csv(g.paths, header=True, sep=g.sep, encoding=g.encoding, mode="DROPMALFORMED", inferSchema=False)
-        frames.append(normalize_columns(_plain_names(raw, g, spark)).withColumn("source_path", F.input_file_name()))
-    if not frames:
+    lines = _lines(spark, glob)
+    files = small_side(infer_dialect(lines), "dialects")
+    kinds = files.select("encoding", "sep", "header").distinct().collect()
+    if not kinds:
         raise FileNotFoundError(glob)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
-def _plain_names(raw: DataFrame, group, spark: SparkSession) -> DataFrame:
-    """The header's own names: Spark numbers repeated ones by position."""
-    header = group.header.rstrip("\r").encode("latin-1").decode(group.encoding if group.encoding != "utf-8" else "utf-8-sig", errors="replace")
-    names = [n.strip().strip('"') for n in header.split(group.sep)]
-    if len(names) != len(raw.columns):
-        return raw
-    return raw.toDF(*[n or f"Unnamed: {i}" for i, n in enumerate(names)])
+    named = {(k.encoding, k.sep, bytes(k.header)): _header_names(k.header, k.encoding, k.sep) for k in kinds}
+    joined = lines.select("file", "text").join(files, "file").where(F.col("text").cast("binary") != F.col("header"))
+    text = F.when(F.col("encoding") == "utf-8", F.col("text")).otherwise(F.decode(F.col("text").cast("binary"), "ISO-8859-1"))
+    cells = F
+    for sep, width in sorted({(key[1], len(names)) for key, names in named.items()}):
+        schema = ", ".join(f"_{i} string" for i in range(width)) + ", _bad string"
+        row = F.from_csv(text, schema, {"sep": sep, "columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
+        good = F.when(row["_bad"].isNull(), F.array(*[row[f"_{i}"] for i in range(width)]))
+        cells = cells.when((F.col("sep") == sep) & (F.col("width") == width), good)
+    kind = F
+    for i, key in enumerate(named):
+        kind = kind.when((F.col("encoding") == key[0]) & (F.col("sep") == key[1]) & (F.col("header") == F.lit(key[2])), i)
+    widths = F.array(*[F.lit(len(n)) for n in named.values()])
+    parsed = joined.withColumn("kind", kind).withColumn("width", F.get(widths, F.col("kind"))).select("file", "kind", cells.alias("cells")).where("cells is not null")
+    places = [dict((n, i) for i, n in normal_names(names)) for names in named.values()]
+    columns = list(dict.fromkeys(n for own in places for n in own))
+    at = lambda n: F.get(F.array(*[F.lit(own.get(n)).cast("int") for own in places]), F.col("kind"))
+    return parsed.select(*[F.get("cells", at(n)).alias(n) for n in columns], F.col("file").alias("source_path"))
 
 
 def numbered_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
-    """``file``, ``line_no`` from 1 and ``text``. A file is read whole, as line numbers need all before."""
-    raw = spark.read.format("binaryFile").load(path)
-    lines = F.split(F.regexp_replace(F.decode("content", encoding), "\r\n?", "\n"), "\n")
-    return raw.select(F.col("path").alias("file"), F.posexplode(lines).alias("line_no", "text")).withColumn("line_no", (F.col("line_no") + 1).cast("long"))
+    """``file``, ``line_no`` from 1 and ``text`` of every line, decoded.
+
+    Files are read in splits; the lines are written once with the split they stand in, and a table of one count per split
+    gives the number of each split's first line. ``utf-16`` is little-endian under a byte order mark; its lines end at the
+    byte pair of a line feed.
+    """
+    wide = encoding.lower().replace("_", "-").startswith("utf-16")
+    charset = {"utf-16": "UTF-16LE"}.get(encoding.lower(), encoding.upper())
+    held = stash(_lines(spark, path, **({"encoding": charset, "lineSep": "\n"} if wide else {})), "lines")
+    counts = held.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1).alias("shift"))
+    raw = F.col("text").cast("binary")
+    text = F.col("text") if charset == "UTF-8" else F.decode(raw, charset)
+    text = F.regexp_replace(F.regexp_replace(text, "^\ufeff", ""), "\r$", "")
+    found = held.join(small_side(starts, "starts"), ["file", "block"])
+    return found.select("file", (F.col("id") + F.col("shift")).cast("long").alias("line_no"), text.alias("text"))
 
 
 def read_positional(spark: SparkSession, path: str, mapping: Mapping[int, str], skiprows: int = 0, sep: str = "\t", encoding: str = "utf-16", width: int | None = None) -> DataFrame:
@@ -114,12 +136,14 @@ def replicate_tables(spark: SparkSession, config: Mapping[str, Sequence[str]], r
     return {name: upsert(target(name), read(name), keys, order) for name, keys in config.items()}
 
 
-def report_document(frames: Mapping[str, DataFrame], maps: Mapping[str, tuple[str, str]] = {}, defaults: Mapping[str, dict] = {}) -> DataFrame:
+def report_document(
+    frames: Mapping[str, DataFrame], maps: Mapping[str, tuple[str, str]] = {}, defaults: Mapping[str, dict] = {}, order: Mapping[str, Sequence[Column | str]] = {}
+) -> DataFrame:
     """One row ``document``: a JSON object with a member for each frame.
 
     A frame in ``maps`` (key and value column) becomes an object, one in ``defaults`` its only row with nulls
-    replaced, any other a list of its rows in order. Frames are reports: small by nature, each checked to be at
-    most 10,000 rows.
+    replaced, any other a list of its rows, ascending by the expressions in ``order``, else by its columns. Frames are
+    reports: small by nature, each checked to be at most 10,000 rows.
     """
     parts = []
     for name, frame in frames.items():
@@ -131,9 +155,9 @@ def report_document(frames: Mapping[str, DataFrame], maps: Mapping[str, tuple[st
         elif name in defaults:
             part = frame.agg(F.struct(*[F.coalesce(F.max(c), F.lit(v)).alias(c) for c, v in defaults[name].items()]).alias(name))
         else:
-            numbered = frame.coalesce(1).select(F.monotonically_increasing_id().alias("n"), F.struct(*frame.columns).alias("row"))
-            rows = F.sort_array(F.collect_list(F.struct("n", "row")))
-            part = numbered.agg(F.transform(rows, lambda r: r["row"]).alias(name))
+            keys = [(F.col(k) if isinstance(k, str) else k).alias(f"k{i}") for i, k in enumerate(order.get(name, frame.columns))]
+            rows = F.sort_array(F.collect_list(F.struct(F.struct(*keys).alias("at"), F.struct(*frame.columns).alias("row"))))
+            part = frame.agg(F.transform(rows, lambda r: r["row"]).alias(name))
         parts.append(part)
     whole = reduce(lambda a, b: a.crossJoin(b), parts)
     return whole.select(F.to_json(F.struct(*frames)).alias("document"))
