@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marajo.functions import cleaning as C
@@ -18,16 +18,21 @@ from marajo.operators import tables as T
 # --- quarterly bulletin -------------------------------------------------------------------------------------
 
 
-def savings(raw: DataFrame, periods: Sequence[tuple[str, str, str]] | None = None) -> DataFrame:
-    """P1. ``data_referencia, captacao_liquida_valor, saldo, ...`` to billions and rolling 12-month sums, or, with
-    ``periods`` (label, first, last), to the comparison table."""
-    base = raw.withColumn("data_referencia", F.col("data_referencia").cast("date")).withColumn("captacao_liquida_valor", F.col("captacao_liquida_valor").cast("double"))
-    if periods is not None:
-        return T.period_table(base, "data_referencia", ["captacao_liquida_valor"], periods).select(
-            "position", "period", C.scale_round("captacao_liquida_valor", 1e3).alias("cap_liq_bi")
-        )
-    base = base.withColumn("saldo_bi", C.scale_round("saldo", 1e3)).withColumn("cap_liq_bi", C.scale_round("captacao_liquida_valor", 1e3))
-    return T.rolling_sum(base, "captacao_liquida_valor", "data_referencia", 12, name="captacao_12m")
+#: Amounts of the savings series.
+SAVINGS = ["deposito", "retirada", "captacao_liquida_valor", "captacao_liquida_pct", "rendimento", "saldo"]
+
+
+def savings(raw: DataFrame) -> DataFrame:
+    """P1. Monthly savings series (a day and :data:`SAVINGS`, text) typed, with net deposits in billions and over twelve months."""
+    base = raw.select(F.col("data_referencia").cast("date").alias("data_referencia"), *[F.col(c).try_cast("double").alias(c) for c in SAVINGS])
+    base = base.withColumn("captacao_liquida_bi", C.scale_round("captacao_liquida_valor", 1e3))
+    return T.rolling_sum(base, "captacao_liquida_valor", "data_referencia", 12, name="captacao_acum_12m")
+
+
+def savings_periods(series: DataFrame, periods: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """P1 gold. ``ordem, periodo, cap_liq_bi`` of the output of :func:`savings`; ``periods`` are label, first and last month."""
+    found = T.period_table(series, "data_referencia", ["captacao_liquida_valor"], periods)
+    return found.select(F.col("position").alias("ordem"), F.col("period").alias("periodo"), C.scale_round("captacao_liquida_valor", 1e3).alias("cap_liq_bi"))
 
 
 #: Credit series by the column they report to.
@@ -46,12 +51,11 @@ def mortgage_credit(raw: DataFrame, mapping: Mapping[str, str] = CREDIT_SERIES,
 
 
 def confidence(raw: DataFrame) -> DataFrame:
-    """P3. ``mes (MM/yyyy), icst_com_ajuste_sazonal, icst_sem_ajuste_sazonal`` to numbers with changes on month and year."""
-    base = raw.select(
-        C.period_to_date("mes", "mm/yyyy").alias("data_referencia"), C.num_br("icst_com_ajuste_sazonal").alias("com_ajuste"), C.num_br("icst_sem_ajuste_sazonal").alias("sem_ajuste")
-    ).where("data_referencia is not null")
-    for value, k, name in (("com_ajuste", 1, "var_mes_com_ajuste"), ("sem_ajuste", 1, "var_mes"), ("sem_ajuste", 12, "var_12_meses")):
-        base = T.pct_change(base, value, "data_referencia", k, name=name)
+    """P3. ``mes (MM/yyyy)`` and the index with and without seasonal adjustment, to numbers with changes on month and year."""
+    names = ["icst_com_ajuste_sazonal", "icst_sem_ajuste_sazonal"]
+    base = raw.select(C.period_to_date("mes", "mm/yyyy").alias("data_referencia"), *[C.parse_numeric(c, "double").alias(c) for c in names]).where("data_referencia is not null")
+    for k, name in ((1, "var_mes"), (12, "var_12_meses")):
+        base = T.pct_change(base, names[1], "data_referencia", k, digits=2, name=name)
     return base
 
 
@@ -64,19 +68,24 @@ def cost_index(raw: DataFrame) -> DataFrame:
 
 
 def rent_index(raw: DataFrame) -> DataFrame:
-    """P5. ``data_referencia, var_mensal`` (text rate) with the ratio to the rate of twelve months before."""
-    base = raw.select(F.col("data_referencia").cast("date").alias("data_referencia"), F.col("var_mensal").try_cast("double").alias("var_mensal"))
-    return T.ratio_of_rates(base, "var_mensal", "data_referencia", 12, name="var_ano")
+    """P5. ``data_referencia`` and two text rates of residential rents, with the ratio to the monthly rate of twelve
+    months before, in percent."""
+    rate = lambda c: F.col(f"imoveis_residenciais_locacao_{c}_total").try_cast("double").alias(c)
+    base = raw.select(F.col("data_referencia").cast("date").alias("data_referencia"), rate("var_mensal"), rate("var_ano"))
+    found = T.ratio_of_rates(base, "var_mensal", "data_referencia", 12, name="_ratio")
+    return found.withColumn("var_12_meses_calc", F.round(F.col("_ratio") * 100, 2)).drop("_ratio")
 
 
-def gdp(raw: DataFrame, variable: str, periods: Sequence[str], labels: Mapping[str, str]) -> DataFrame:
-    """P6. Long series (``variavel_id, categoria_nome, periodo, valor``) of one variable to a column per period and
-    sector, sectors relabelled."""
-    rows = raw.where(F.col("variavel_id") == variable).select(
-        C.decode(C.upper_trim("categoria_nome"), labels, None).alias("setor"), F.concat(F.right("periodo", F.lit(1)), F.lit("T"), F.left("periodo", F.lit(4))).alias("periodo"),
-        C.parse_numeric(C.null_sentinels("valor"), "double").alias("valor"),
-    )
-    return T.pivot_periods(rows.where("setor is not null"), "setor", "periodo", "valor", periods)
+#: Indicators of the GDP report by variable.
+GDP_INDICATORS = {"6564": "Trim./Trim. Imediatamente Anterior", "6563": "Acumulada ao Longo do Ano", "6562": "Acum. Últimos 4 Trimestres"}
+
+
+def gdp(raw: DataFrame, periods: Mapping[str, str], indicators: Mapping[str, str] = GDP_INDICATORS) -> DataFrame:
+    """P6. Long quarterly series (``variavel_id, periodo, valor`` in tenths) to a row per indicator and a column per
+    period (period to column name), the highest variable first."""
+    rows = raw.where(F.col("variavel_id").isin(*indicators)).select("variavel_id", "periodo", (C.num_br("valor") / 10).alias("valor"))
+    wide = T.pivot_codes(rows, "variavel_id", "periodo", "valor", periods)
+    return wide.orderBy(F.desc("variavel_id")).select(C.decode("variavel_id", indicators, None).alias("indicador"), *[F.round(c, 1).alias(c) for c in periods.values()])
 
 
 def monthly_volume(raw: DataFrame) -> DataFrame:
@@ -87,32 +96,53 @@ def monthly_volume(raw: DataFrame) -> DataFrame:
     )
 
 
-def labour_survey(raw: DataFrame, construction: str, total: str, name: str) -> DataFrame:
-    """P8 silver. ``periodo, categoria_id, valor`` to ``<name>_construcao`` and ``<name>_total`` by period, with changes
-    on one and twelve periods before."""
-    value = C.parse_numeric(C.null_sentinels("valor"), "double").alias("valor")
-    wide = T.pivot_codes(raw.select("periodo", "categoria_id", value, "dt_ingest"), "periodo", "categoria_id", "valor", {construction: f"{name}_construcao", total: f"{name}_total"})
-    wide = wide.join(raw.groupBy("periodo").agg(F.max("dt_ingest").alias("dt_ingest")), "periodo")
-    wide = wide.withColumns({"ano": C.year_of_period("periodo"), "mes": C.month_of_period("periodo")}).withColumn("trimestre", C.quarter_of("mes"))
+#: Categories of the labour survey: construction, and all activities.
+LABOUR = ("47949", "47946")
+
+
+def labour_survey(raw: DataFrame, name: str, categories: tuple[str, str] = LABOUR) -> DataFrame:
+    """P8 silver. ``periodo, categoria_id, valor, dt_ingest`` to ``<name>_construcao`` and ``<name>_total`` by period, with
+    changes on one and twelve periods before."""
+    of = lambda code: F.max(F.when(F.col("categoria_id") == code, F.col("valor").try_cast("double")))
+    wide = raw.groupBy("periodo").agg(of(categories[0]).alias(f"{name}_construcao"), of(categories[1]).alias(f"{name}_total"), F.max("dt_ingest").alias("dt_ingest"))
+    wide = wide.withColumns({"data_referencia": C.period_to_date("periodo"), "ano": C.year_of_period("periodo"), "mes": C.month_of_period("periodo")})
+    wide = wide.withColumn("trimestre", C.quarter_of("mes"))
     wide = T.pct_change(wide, f"{name}_construcao", "periodo", 1, name="var_mes")
     return T.pct_change(wide, f"{name}_construcao", "periodo", 12, name="var_ano")
 
 
 def labour_report(occupied: DataFrame, income: DataFrame) -> DataFrame:
-    """P8 gold. Quarter-end months of both surveys side by side under the later stamp."""
-    right = T.quarter_end_months(income, "mes").select(
-        "periodo", "rendimento_construcao", "rendimento_total", F.col("var_mes").alias("rend_var_mes"), F.col("var_ano").alias("rend_var_ano"), F.col("dt_ingest").alias("_r")
-    )
+    """P8 gold. Quarter-end months of both surveys (``ocupados``, ``rendimento``) side by side under the later stamp."""
+    names = {"rendimento_construcao": "rend_const_rs", "rendimento_total": "rend_total_rs", "var_mes": "rend_const_var_mes", "var_ano": "rend_const_var_ano", "dt_ingest": "_r"}
+    right = T.quarter_end_months(income, "mes").select("periodo", *[F.col(c).alias(n) for c, n in names.items()])
     both = T.enrich(T.quarter_end_months(occupied, "mes"), [(right, "periodo")])
-    return both.withColumn("dt_ingest", T.latest_stamp("dt_ingest", "_r")).drop("_r").orderBy("ano", "trimestre")
+    return both.orderBy("ano", "trimestre").select(
+        "ano", "trimestre", "periodo", F.col("ocupados_construcao").alias("pnad_const_milhares"), F.col("ocupados_total").alias("pnad_total_milhares"),
+        F.col("var_mes").alias("pnad_const_var_mes"), F.col("var_ano").alias("pnad_const_var_ano"), *[n for n in names.values() if n != "_r"], T.latest_stamp("dt_ingest", "_r").alias("dt_ingest"),
+    )
+
+
+#: Measures of construction prices by variable.
+PRICES = {"48": "custo_m2", "1196": "var_mes", "1197": "var_ano", "1198": "var_12m"}
+
+
+def construction_costs(raw: DataFrame, variables: Mapping[str, str] = PRICES) -> DataFrame:
+    """P9 silver. Long series by ``variavel_id`` in hundredths to a column per measure and month."""
+    rows = raw.select(C.period_to_date("periodo").alias("data_referencia"), "variavel_id", (C.num_br("valor") / 100).alias("valor"))
+    return T.pivot_codes(rows.where("data_referencia is not null"), "data_referencia", "variavel_id", "valor", variables)
+
 
+def construction_prices(costs: DataFrame, index: DataFrame, now: tuple[str, str], before: tuple[str, str]) -> DataFrame:
+    """P9 gold. One row of both cost series (:func:`construction_costs`, :func:`cost_index`) in the month ``now`` (month and
+    suffix of its columns), and their yearly change also in the month ``before``."""
+    def at(df: DataFrame, prefix: str, now_cols: Sequence[str], year: str) -> DataFrame:
+        value = lambda c, m, digits: F.round(F.max(F.when(F.col("data_referencia") == F.lit(m).cast("date"), F.col(c))), digits)
+        own = [value(c, now[0], d).alias(f"{prefix}_{n}_{now[1]}") for c, n, d in now_cols]
+        return df.agg(*own, value(year, before[0], 2).alias(f"{prefix}_var_12m_{before[1]}"))
 
-def construction_prices(raw: DataFrame, mapping: Mapping[str, str], months: Mapping[str, str]) -> DataFrame:
-    """P9. Long series by ``variavel_id`` to columns by month, then one row with a column per measure and named month."""
-    rows = raw.select(C.period_to_date("periodo").alias("data_referencia"), "variavel_id", C.parse_numeric(C.null_sentinels("valor"), "double").alias("valor"))
-    wide = T.pivot_codes(rows, "data_referencia", "variavel_id", "valor", mapping)
-    at = lambda m: wide.groupBy().agg(*[F.max(F.when(F.col("data_referencia") == F.lit(m[1]).cast("date"), F.col(c))).alias(f"{c}_{m[0]}") for c in mapping.values()])
-    return T.cross_scalars(*[at(m) for m in months.items()])
+    sinapi = at(costs, "sinapi", [("custo_m2", "custo_m2", 1), ("var_mes", "var_mes", 2), ("var_12m", "var_12m", 2)], "var_12m")
+    incc = at(index, "incc", [("indice", "indice", 1), ("var_mes", "var_mes", 2), ("var_12_meses", "var_12m", 2)], "var_12_meses")
+    return T.cross_scalars(sinapi, incc)
 
 
 def stock_index(quotes: DataFrame, symbol: str = "IMOB.SA") -> DataFrame:
@@ -156,129 +186,364 @@ def loans_by_lender(raw: DataFrame, lenders: Mapping[str, str] = LENDERS) -> Dat
     ).orderBy("ano", "mes", "ordem")
 
 
-def savings_funded_loans(monthly: DataFrame, values: Sequence[str]) -> DataFrame:
-    """P13. Changes on month and year of each value of a monthly series (``ano, mes``)."""
+#: Units whose changes the savings-funded loans report: column to prefix.
+SAVINGS_LOANS = {"sbpe_const": "sbpe_const", "sbpe_aquisicao": "sbpe_aq", "sbpe_total": "sbpe_total"}
+
+
+def savings_funded_loans(monthly: DataFrame, units: Mapping[str, str] = SAVINGS_LOANS) -> DataFrame:
+    """P13. A monthly table (``ano, mes``) with the changes of each unit count on the month and the year before."""
     out = monthly.withColumn("_t", C.month_start("ano", "mes"))
-    for v in values:
-        out = T.pct_change(T.pct_change(out, v, "_t", 1, name=f"{v}_var_mes"), v, "_t", 12, name=f"{v}_var_ano")
+    for c, prefix in units.items():
+        out = T.pct_change(T.pct_change(out, c, "_t", 1, name=f"{prefix}_var_mes"), c, "_t", 12, name=f"{prefix}_var_12m")
     return out.drop("_t")
 
 
-def fund_loans(monthly: DataFrame, totals: Mapping[str, Sequence[str]]) -> DataFrame:
-    """P14. Totals as sums of components, nulls as 0, and the quarter."""
-    out = monthly.withColumns({name: C.sum_components(*cols) for name, cols in totals.items()})
-    return out.withColumn("trimestre", C.quarter_of("mes"))
+_PF = "financiamento_pf_"
+#: Values that make up the fund's total; a null in one of the first two makes it null, in the others it counts as 0.
+FUND_VALUES = (
+    [f"{_PF}valor_total_faixa_1", f"{_PF}valor_total_faixa_2"],
+    [f"{_PF}valor_faixa_3_sem_fundo_social", f"{_PF}valor_faixa_3_fundo_social", f"{_PF}valor_total_classe_media", f"{_PF}valor_fora_mcmv"],
+)
 
 
-def loans_by_quarter(fund: DataFrame, savings_loans: DataFrame, measures: tuple[str, str], periods: Sequence[tuple[str, str, str]] = ()) -> DataFrame:
-    """P15. Quarterly sums of fund and savings loans side by side, or their period table."""
-    by = lambda df, c, name: df.groupBy("ano", "trimestre").agg(F.sum(c).alias(name))
-    both = T.enrich(by(fund, measures[0], "fgts"), [(by(savings_loans, measures[1], "sbpe"), ["ano", "trimestre"])])
-    both = both.withColumn("total", C.sum_components("fgts", "sbpe")).withColumn("inicio", F.make_date("ano", F.col("trimestre") * 3 - 2, F.lit(1)))
-    return T.period_table(both, "inicio", ["fgts", "sbpe", "total"], periods) if periods else both
+def fund_loans(monthly: DataFrame, values: tuple[Sequence[str], Sequence[str]] = FUND_VALUES) -> DataFrame:
+    """P14. The fund's monthly loans with ``valor_total_calculado``."""
+    must, may = values
+    return monthly.withColumn("valor_total_calculado", sum((F.col(c) for c in must), F.lit(0)) + C.sum_components(*may))
 
 
-def income_bands(monthly: DataFrame, years: tuple[int, int], categories: Mapping[str, tuple[str | None, str | None]]) -> DataFrame:
-    """P16. Two-year matrix of used and new units by income band."""
-    return T.year_matrix(monthly, "ano", years, categories).orderBy("position")
+def loans_by_quarter(fund: DataFrame, savings_loans: DataFrame) -> DataFrame:
+    """P15 silver. Quarterly units of the fund's and savings-funded loans side by side."""
+    by = lambda df, c, name: df.groupBy("ano", "trimestre").agg(F.sum(c).alias(name))
+    return T.enrich(by(fund, f"{_PF}uh_total_geral", "fgts_uh"), [(by(savings_loans, "sbpe_const", "sbpe_uh"), ["ano", "trimestre"])])
 
 
-def finance_kpis(fund: DataFrame, savings_loans: DataFrame, years: tuple[int, int]) -> DataFrame:
-    """P17. One row of units and billions of both programmes in the second year and their change on the first."""
-    def sums(df: DataFrame, cols: Mapping[str, Column]) -> DataFrame:
-        pick = lambda c, y: F.sum(F.when(F.col("ano") == y, c))
-        return df.agg(*[pick(c, y).alias(f"{n}_{k}") for n, c in cols.items() for k, y in zip("ab", years, strict=True)])
-
-    f = sums(fund, {"uh": F.col("uh"), "val": F.col("valor") / 1e9})
-    s = sums(savings_loans, {"aq": F.col("aquisicao_uh"), "aq_bi": F.col("aquisicao_milhoes") / 1e3, "co": F.col("construcao_uh"), "co_bi": F.col("construcao_milhoes") / 1e3})
-    one = T.cross_scalars(f, s)
-    z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    uh, val = (lambda k: F.col(f"uh_{k}") + z(f"aq_{k}")), (lambda k: F.col(f"val_{k}") + z(f"aq_bi_{k}"))
-    return one.select(
-        uh("b").alias("mcmv_sbpe_uh"), F.round(val("b"), 2).alias("mcmv_sbpe_val_bi"), T.ratio_change(uh("b"), uh("a"), 0).alias("mcmv_sbpe_var_uh"),
-        T.ratio_change(val("b"), val("a"), 0).alias("mcmv_sbpe_var_val"), F.col("co_b").alias("sbpe_const_uh"), F.round("co_bi_b", 2).alias("sbpe_const_bi"),
-        T.ratio_change(F.col("co_b"), F.col("co_a"), 0).alias("sbpe_const_var_uh"), T.ratio_change(F.col("co_bi_b"), F.col("co_bi_a"), 0).alias("sbpe_const_var_val"),
+def quarter_periods(quarters: DataFrame, measures: Sequence[str], periods: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """P15 gold, P19. Quarterly measures (``ano, trimestre``) as the table ``periodo`` and sums; ``periods`` are label and
+    the first days of the first and last quarter."""
+    dated = quarters.withColumn("inicio", F.make_date("ano", F.col("trimestre") * 3 - 2, F.lit(1)))
+    return T.period_table(dated, "inicio", measures, periods).orderBy("position").select(F.col("period").alias("periodo"), *measures)
+
+
+#: Income bands of the unit matrix: label, used and all units, whether the first year is shown.
+INCOME_BANDS = [
+    ("FAIXA 1", f"{_PF}uh_pro_cotista_faixa_1", f"{_PF}uh_total_faixa_1", True),
+    ("FAIXA 2", f"{_PF}uh_pro_cotista_faixa_2", f"{_PF}uh_total_faixa_2", True),
+    ("FAIXA 3", f"{_PF}uh_pro_cotista_faixa_3", f"{_PF}uh_faixa_3_sem_fundo_social", True),
+    ("FAIXA 3 FS", None, f"{_PF}uh_faixa_3_fundo_social", False),
+    ("FAIXA CLASSE MÉDIA", f"{_PF}uh_pro_cotista_classe_media", f"{_PF}uh_total_classe_media", False),
+    ("FORA MCMV", f"{_PF}uh_fora_mcmv", None, True),
+    ("TOTAL", f"{_PF}uh_pro_cotista_geral", f"{_PF}uh_total_geral", True),
+]
+
+
+def income_matrix(fund: DataFrame, years: tuple[int, int], bands: Sequence[tuple[str, str | None, str | None, bool]] = INCOME_BANDS) -> DataFrame:
+    """P16. Used and new units by income band in two years; new is all less used."""
+    found = T.year_matrix(fund, "ano", years, {label: (total, used) for label, used, total, _ in bands})
+    hidden = [label for label, _, _, shown in bands if not shown]
+    first = lambda c: F.when(~F.col("category").isin(hidden), F.col(c)) if hidden else F.col(c)
+    a, b = years
+    return found.orderBy("position").select(
+        F.col("position").alias("ordem"), F.col("category").alias("categoria"), first("used_a").alias(f"uh_usadas_{a}"), first("new_a").alias(f"uh_novas_{a}"),
+        F.col("used_b").alias(f"uh_usadas_{b}"), F.col("used_change").alias("var_usadas"), F.col("new_b").alias(f"uh_novas_{b}"), F.col("new_change").alias("var_novas"),
     )
 
 
-COMPANIES = ["MRV", "Cury", "Tenda", "Direcional", "Pacaembu", "Plano & Plano"]
+#: Bands of the loans table: label, units, value, digits of the billions.
+LOAN_BANDS = [
+    ("Faixa 1", f"{_PF}uh_total_faixa_1", f"{_PF}valor_total_faixa_1", 2), ("Faixa 2", f"{_PF}uh_total_faixa_2", f"{_PF}valor_total_faixa_2", 2),
+    ("Faixa 3", f"{_PF}uh_faixa_3_sem_fundo_social", f"{_PF}valor_faixa_3_sem_fundo_social", 2), ("Pró-Cotista", f"{_PF}uh_pro_cotista_geral", f"{_PF}valor_pro_cotista_geral", 2),
+    (" Faixa 1", f"{_PF}uh_pro_cotista_faixa_1", f"{_PF}valor_pro_cotista_faixa_1", 3), (" Faixa 2", f"{_PF}uh_pro_cotista_faixa_2", f"{_PF}valor_pro_cotista_faixa_2", 3),
+    (" Faixa 3", f"{_PF}uh_pro_cotista_faixa_3", f"{_PF}valor_pro_cotista_faixa_3", 3), (" Faixa Classe Média", f"{_PF}uh_pro_cotista_classe_media", f"{_PF}valor_pro_cotista_classe_media", 3),
+    (" Fora MCMV", f"{_PF}uh_fora_mcmv", f"{_PF}valor_fora_mcmv", 2), ("Faixa 3 Fundo Social", f"{_PF}uh_faixa_3_fundo_social", f"{_PF}valor_faixa_3_fundo_social", 2),
+    ("Faixa Classe Média", f"{_PF}uh_total_classe_media", f"{_PF}valor_total_classe_media", 2), ("TOTAL", f"{_PF}uh_total_geral", "valor_total_calculado", 2),
+]
 
 
-def company_balances(quarters: DataFrame, value: str, at: tuple[int, int], order: Sequence[str] = COMPANIES) -> DataFrame:
-    """P18. ``empresa, ano, trimestre`` and a value: quarter and 12-month comparisons in the report's order."""
-    return T.order_by_rank(T.quarter_comparison(quarters, "empresa", value, "ano", "trimestre", at), "empresa", order)
+def _year_sums(df: DataFrame, year: int, columns: Sequence[str], suffix: str) -> list[Column]:
+    return [F.sum(F.when(F.col("ano") == year, F.col(c))).alias(f"{c}_{suffix}") for c in columns]
 
 
-def launches_national(quarters: DataFrame, measure: str, periods: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """P19. ``ano, trimestre`` and a measure to the period table."""
-    dated = quarters.withColumn("inicio", F.make_date("ano", F.col("trimestre") * 3 - 2, F.lit(1)))
-    return T.period_table(dated, "inicio", [measure], periods)
-
+def loans_by_band(fund: DataFrame, years: tuple[int, int], bands: Sequence[tuple[str, str, str, int]] = LOAN_BANDS) -> DataFrame:
+    """P16. Units and billions by band in two years, from the output of :func:`fund_loans`; one pass."""
+    columns = sorted({c for _, units, value, _ in bands for c in (units, value)})
+    sums = fund.where(F.col("ano").isin(*years)).agg(*[x for k, y in zip("ab", years, strict=True) for x in _year_sums(fund, y, columns, k)])
+    rows = [
+        F.struct(
+            F.lit(i).alias("ordem"), F.lit(label).alias("categoria"),
+            *[x for k, y in zip("ab", years, strict=True) for x in (
+                F.col(f"{units}_{k}").cast("double").alias(f"uh_{y}"), F.round(F.col(f"{value}_{k}").cast("double") / 1e9, digits).alias(f"val_bi_{y}"))],
+        )
+        for i, (label, units, value, digits) in enumerate(bands, 1)
+    ]
+    return sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*").orderBy("ordem")
+
+
+def units_by_condition(fund: DataFrame, savings_loans: DataFrame, years: tuple[int, int]) -> DataFrame:
+    """P16. Used and new units of the fund, of savings-funded purchases and of both in two years."""
+    used, total = F.col(f"{_PF}uh_pro_cotista_geral"), F.col(f"{_PF}uh_total_geral")
+    inside = F.col("ano").isin(*years)
+    f = fund.where(inside).select("ano", used.alias("u"), (total - F.coalesce(used, F.lit(0))).alias("n"), F.lit("f").alias("s"))
+    rows = f.unionByName(savings_loans.where(inside).select("ano", F.col("sbpe_aq_usados_uh").alias("u"), F.col("sbpe_aq_novos_uh").alias("n"), F.lit("a").alias("s")))
+    pick = lambda s, c, y: F.sum(F.when((F.col("s") == s) & (F.col("ano") == y), F.col(c)))
+    sums = rows.agg(*[pick(s, c, y).cast("double").alias(f"{s}{c}{k}") for s in "fa" for c in "un" for k, y in zip("xy", years, strict=True)])
+    both = sums.withColumns({f"t{c}{k}": F.col(f"f{c}{k}") + F.col(f"a{c}{k}") for c in "un" for k in "xy"})
+    x, y = years
+    line = lambda i, label, s: F.struct(
+        F.lit(i).alias("ordem"), F.lit(label).alias("categoria"), F.col(f"{s}ux").alias(f"uh_usadas_{x}"), F.col(f"{s}nx").alias(f"uh_novas_{x}"), F.col(f"{s}uy").alias(f"uh_usadas_{y}"),
+        T.ratio_change(F.col(f"{s}uy"), F.col(f"{s}ux"), 0).alias("var_usadas"), F.col(f"{s}ny").alias(f"uh_novas_{y}"), T.ratio_change(F.col(f"{s}ny"), F.col(f"{s}nx"), 0).alias("var_novas"),
+    )
+    lines = F.array(line(1, "FGTS - PF", "f"), line(2, "SBPE (Aquisição)", "a"), line(3, "Total", "t"))
+    return both.select(F.explode(lines).alias("r")).select("r.*").orderBy("ordem")
 
-def launches_by_region(quarters: DataFrame, regions: Mapping[str, str], at: tuple[int, int], order: Sequence[str]) -> DataFrame:
-    """P19. Wide columns by region (region to column) to rows with the quarter and 12-month comparisons."""
-    long = T.unpivot_groups(quarters, ["ano", "trimestre"], {r: {"valor": c} for r, c in regions.items()}, "regiao")
-    return T.order_by_rank(T.quarter_comparison(long, "regiao", "valor", "ano", "trimestre", at), "regiao", order)
 
+def finance_kpis(fund: DataFrame, savings_loans: DataFrame, years: tuple[int, int]) -> DataFrame:
+    """P17. One row of units and billions of both programmes in the second year and their change on the first; ``fund``
+    is the output of :func:`fund_loans`. Columns end in the second year's last two digits."""
+    fund_cols = {"uh": f"{_PF}uh_total_geral", "val": "valor_total_calculado", "pc_uh": f"{_PF}uh_pro_cotista_geral", "pc_val": f"{_PF}valor_pro_cotista_geral"}
+    loan_cols = {"aq": "sbpe_aquisicao", "aq_mi": "sbpe_aquisicao_milhoes", "co": "sbpe_const", "co_mi": "sbpe_const_milhoes"}
+    def sums(df: DataFrame, cols: Mapping[str, str]) -> DataFrame:
+        return df.agg(*[F.sum(F.when(F.col("ano") == y, F.col(c))).cast("double").alias(f"{n}_{k}") for n, c in cols.items() for k, y in zip("ab", years, strict=True)])
+
+    one, end = T.cross_scalars(sums(fund, fund_cols), sums(savings_loans, loan_cols)), f"{years[1] % 100:02d}"
+    z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    uh, val = (lambda k: F.col(f"uh_{k}") + z(f"aq_{k}")), (lambda k: F.col(f"val_{k}") / 1e9 + z(f"aq_mi_{k}") / 1e3)
+    change = lambda c: T.ratio_change(F.col(f"{c}_b"), F.col(f"{c}_a"), 0)
+    billions = lambda c, unit=1e9: F.round(F.col(c) / unit, 2)
+    return one.select(
+        uh("b").alias(f"mcmv_sbpe_uh_{end}"), F.round(val("b"), 2).alias(f"mcmv_sbpe_val_bi_{end}"), T.ratio_change(uh("b"), uh("a"), 0).alias("mcmv_sbpe_var_uh"),
+        T.ratio_change(val("b"), val("a"), 0).alias("mcmv_sbpe_var_val"), F.col("co_b").alias(f"sbpe_const_uh_{end}"), billions("co_mi_b", 1e3).alias(f"sbpe_const_bi_{end}"),
+        change("co").alias("sbpe_const_var_uh"), change("co_mi").alias("sbpe_const_var_bi"), F.col("pc_uh_b").alias(f"pro_cotista_uh_{end}"), billions("pc_val_b").alias(f"pro_cotista_val_bi_{end}"),
+        change("pc_uh").alias("pro_cotista_var_uh"), change("pc_val").alias("pro_cotista_var_val"), F.col("uh_b").alias(f"fin_pf_uh_{end}"), billions("val_b").alias(f"fin_pf_val_bi_{end}"),
+        change("uh").alias("fin_pf_var_uh"), change("val").alias("fin_pf_var_val"),
+    )
 
-def market_indices(periods: DataFrame, series: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
-    """P20. ``periodo, ordem, data_atual, data_anterior, data_ano_anterior`` against several series: the value now and
-    its change on the date before and the year before, in the periods' order."""
-    roles = ["data_atual", "data_anterior", "data_ano_anterior"]
-    wide = T.compare_at_dates(periods, series, roles)
-    out = [F.col(f"{n}_data_atual").alias(n) for n in series]
-    for n in series:
-        out.append(T.ratio_change(F.col(f"{n}_data_atual"), F.col(f"{n}_data_anterior")).alias(f"{n}_var"))
-        out.append(T.ratio_change(F.col(f"{n}_data_atual"), F.col(f"{n}_data_ano_anterior")).alias(f"{n}_var_ano"))
-    return wide.select("periodo", "ordem", *out).orderBy("ordem")
 
+COMPANIES = ["MRV", "Cury", "Tenda", "Direcional", "Pacaembu", "Plano & Plano"]
 
-def ticket_against_cost(tickets: DataFrame, cost: DataFrame, companies: Mapping[str, str], base_date: str, first: tuple[int, int]) -> DataFrame:
-    """P21. Company tickets (``empresa, ano, trimestre, ticket``) by quarter beside the cost index's quarterly change, and
-    both since the base date; ``cost`` is the output of :func:`cost_index`."""
-    rows = tickets.withColumn("data", F.make_date("ano", F.col("trimestre") * 3, F.lit(1)))
-    wide = T.pivot_codes(rows, ["ano", "trimestre", "data"], "empresa", "ticket", companies)
-    for c in companies.values():
-        wide = T.change_since_base(wide, c, "data", base_date)
-    index = T.change_since_base(T.quarter_end_months(cost.withColumn("_m", F.month("data_referencia")), "_m"), "indice", "data_referencia", base_date)
-    right = index.select(F.col("data_referencia").alias("data"), F.round("var_tri", 1).alias("incc_var_tri"), F.col("indice_since_base").alias("incc_acum"))
-    both = T.enrich(wide, [(right, "data")])
-    return both.where(F.col("ano") * 4 + F.col("trimestre") >= first[0] * 4 + first[1]).drop("data").orderBy("ano", "trimestre")
 
+def company_balances(quarters: DataFrame, value: str, at: tuple[int, int], order: Sequence[str] = COMPANIES) -> DataFrame:
+    """P18. ``empresa, ano, trimestre`` and a value: quarter and 12-month comparisons in the report's order."""
+    return T.order_by_rank(T.quarter_comparison(quarters, "empresa", value, "ano", "trimestre", at), "empresa", order)
 
-# --- continuous bulletin ------------------------------------------------------------------------------------
 
+#: Regions of the launches report, in report order: name to the ending of their columns.
+LAUNCH_REGIONS = {"NORTE": "norte", "NORDESTE": "nordeste", "CENTRO-OESTE": "centro_oeste", "SUDESTE": "sudeste", "SUL": "sul"}
 
-def monthly_slice(df: DataFrame, cols: Sequence[str], require: Sequence[str] | None = None) -> DataFrame:
-    """P23. Chosen columns of a wide monthly table (``ano, mes``) under a date, newest first."""
-    return T.series_slice(df, C.month_start("ano", "mes"), cols, require, "data")
 
+def launches_national(quarters: DataFrame, what: str, periods: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """P19. Launches or sales (``what``) in all, of the programme and others, by period."""
+    own = quarters.select("ano", "trimestre", *[F.col(f"cbic_{what}_{c}").alias(c) for c in ("total", "mcmv", "demais")])
+    return quarter_periods(own, ["total", "mcmv", "demais"], periods)
 
-def quarterly_slice(df: DataFrame, cols: Sequence[str], label: str = "trimestre", require: Sequence[str] | None = None) -> DataFrame:
-    """P24. The same for a quarterly table whose label starts with the quarter."""
-    return T.series_slice(df, C.quarter_start("ano", F.col(label).cast("string")), cols, require, "data")
 
+def launches_by_region(quarters: DataFrame, what: str, at: Sequence[tuple[int, int]], regions: Mapping[str, str] = LAUNCH_REGIONS) -> DataFrame:
+    """P19. Launches or sales by region in the quarter ``at[0]``, with the programme's share there and in the other
+    quarters of ``at`` (the one before, that of a year ago); one pass over the exploded regions."""
+    groups = {r: {"total": f"cbic_{what}_regiao_{c}", "mcmv": f"cbic_{what}_mcmv_regiao_{c}", "perc": f"cbic_{what}_mcmv_perc_regiao_{c}"} for r, c in regions.items()}
+    long = T.unpivot_groups(quarters, ["ano", "trimestre"], groups, "regiao")
+    here = lambda q: (F.col("ano") == q[0]) & (F.col("trimestre") == q[1])
+    share = lambda q: F.round(F.max(F.when(here(q), F.col("perc"))).cast("double"), 1).alias(f"perc_mcmv_{q[1]}t{q[0] % 100:02d}")
+    now = [F.max(F.when(here(at[0]), F.col(c))).alias(c) for c in ("total", "mcmv")]
+    rows = long.groupBy("regiao").agg(F.count_if(here(at[0])).alias("_n"), *now, *map(share, at)).where("_n > 0").drop("_n")
+    return T.order_by_rank(rows, "regiao", list(regions))
 
-def direct_series(df: DataFrame, at: Column, values: Mapping[str, str]) -> DataFrame:
-    """P25. A dated series under report names (name to column), newest first."""
-    return df.select(at.alias("data"), *[F.col(c).alias(n) for n, c in values.items()]).where("data is not null").orderBy(F.desc("data"))
 
+def market_indices(stock: DataFrame, rent: DataFrame, confidence: DataFrame, materials: DataFrame, year: int) -> DataFrame:
+    """P20. Changes of four indices over four periods that end in December of ``year`` and of the year before it.
 
-def pivoted_series(df: DataFrame, code: str, mapping: Mapping[str, str], layout: str = "yyyymm") -> DataFrame:
-    """P26. Long series (``periodo``, a code, ``valor``) to a column per code, newest first."""
-    rows = df.select(C.period_to_date("periodo", layout).alias("data"), code, C.parse_numeric(C.null_sentinels(F.col("valor").cast("string")), "double").alias("valor"))
-    return T.pivot_codes(rows.where("data is not null"), "data", code, "valor", mapping).orderBy(F.desc("data"))
+    ``stock`` has ``close``, ``rent`` ``var_mensal`` and ``var_ano``, ``confidence`` ``icst_sem_ajuste_sazonal``, ``materials``
+    ``var_mes`` and ``var_12_meses``, each under ``data_referencia``. All values are read in one pass a series.
+    """
+    months = {"d0": f"{year}-12-01", "n0": f"{year}-11-01", **{f"d{k}": f"{year - k}-12-01" for k in (1, 2, 3)}}
+    at = lambda df, cols: df.agg(*[F.max(F.when(F.col("data_referencia") == F.lit(m).cast("date"), F.col(c))).alias(f"{n}_{k}") for c, n in cols.items() for k, m in months.items()])
+    one = T.cross_scalars(
+        at(stock, {"close": "stock"}), at(rent, {"var_mensal": "rent", "var_ano": "rent_year"}), at(confidence, {"icst_sem_ajuste_sazonal": "trust"}), at(materials, {"var_mes": "m", "var_12_meses": "my"})
+    )
+    c, pct = F.col, lambda x: F.round(x * 100, 2)
+    change = lambda a, b, digits=2: T.ratio_change(c(a), c(b), digits)
+    y, y1 = f"{year % 100:02d}", f"{(year - 1) % 100:02d}"
+    lines = [
+        (f"DEZ {y} vs. NOV {y}", change("stock_d0", "stock_n0", 1), pct(c("rent_d0")), change("trust_d0", "trust_n0"), c("m_d0")),
+        (f"DEZ {y} vs. DEZ {y1}", change("stock_d0", "stock_d1", 1), pct(F.try_divide(1 + c("rent_d0"), 1 + c("rent_d1")) - 1), change("trust_d0", "trust_d2"), c("my_d0")),
+        (f"JAN-DEZ/{y}", change("stock_d0", "stock_d1", 1), pct(c("rent_year_d0")), change("trust_d0", "trust_d2"), c("my_d0")),
+        (f"JAN-DEZ/{y1}", change("stock_d1", "stock_d2", 1), pct(c("rent_year_d2")), change("trust_d3", "trust_d2"), c("my_d2")),
+    ]
+    rows = F.array(*[F.struct(F.lit(p).alias("periodo"), a.alias("imob_var"), b.alias("fipezap_var"), d.alias("icst_var"), e.alias("abramat_var")) for p, a, b, d, e in lines])
+    return one.select(F.posexplode(rows).alias("ordem", "r")).orderBy("ordem").select("r.*")
+
+
+#: Companies of the ticket report: name to prefix.
+TICKETS = {"MRV": "mrv", "Direcional": "dir", "Tenda": "ten"}
+
+
+def ticket_against_cost(tickets: DataFrame, cost: DataFrame, base_date: str, first: tuple[int, int], companies: Mapping[str, str] = TICKETS) -> DataFrame:
+    """P21. Changes of the companies' tickets on the quarter and since the base (``empresa, ano, trimestre, var_tri,
+    acum``) beside the cost index's, from the quarter ``first`` on; ``cost`` is the output of :func:`cost_index`."""
+    of = lambda name, c: F.round(F.max(F.when(F.col("empresa") == name, F.col(c))).cast("double"), 1)
+    wide = tickets.groupBy("ano", "trimestre").agg(
+        *[of(n, "var_tri").alias(f"{p}_var_tri") for n, p in companies.items()], *[of(n, "acum").alias(f"{p}_acum_4t20") for n, p in companies.items()]
+    )
+    ends = F.month("data_referencia") % 3 == 0
+    quarter = lambda c: F.max(F.when(ends, F.col(c)))
+    index = cost.groupBy("ano", "trimestre").agg(F.round(quarter("var_tri"), 1).alias("incc_var_tri"), quarter("indice").alias("_index"))
+    base = cost.agg(F.max(F.when(F.col("data_referencia") == F.lit(base_date).cast("date"), F.col("indice"))).alias("_base"))
+    index = index.crossJoin(F.broadcast(base)).withColumn("incc_acum_4t20", T.ratio_change(F.col("_index"), F.col("_base"))).drop("_index", "_base")
+    both = T.enrich(wide, [(index, ["ano", "trimestre"])])
+    order = ["incc_var_tri", *[f"{p}_var_tri" for p in companies.values()], "incc_acum_4t20", *[f"{p}_acum_4t20" for p in companies.values()]]
+    return both.where(F.col("ano") * 4 + F.col("trimestre") >= first[0] * 4 + first[1]).orderBy("ano", "trimestre").select("ano", "trimestre", *order)
 
 
-def output_and_retail(output: DataFrame, retail: DataFrame, code: str, output_codes: Mapping[str, str], retail_codes: Mapping[str, str]) -> DataFrame:
-    """P27. Two pivoted series over all months of either."""
-    return T.full_outer_coalesce(pivoted_series(output, code, output_codes), pivoted_series(retail, code, retail_codes), "data").orderBy(F.desc("data"))
+# --- continuous bulletin ------------------------------------------------------------------------------------
 
 
-def company_rows(wide: DataFrame, companies: Mapping[str, Mapping[str, str]]) -> DataFrame:
-    """P28. One wide row a quarter (``ano, trimestre``) to a row per company with any figure."""
-    dated = wide.withColumn("data", C.quarter_start("ano", F.col("trimestre").cast("string")))
-    return T.unpivot_groups(dated, ["data"], companies, "empresa").orderBy(F.desc("data"), "empresa")
+_FAIXAS = ["uh_pro_cotista_faixa_1", "uh_pro_cotista_faixa_2", "uh_pro_cotista_faixa_3", "uh_pro_cotista_classe_media"]
+_BANDS = ["total_geral", "total_faixa_1", "total_faixa_2", "total_faixa_3", "faixa_3_sem_fundo_social", "faixa_3_fundo_social", "total_classe_media", "fora_mcmv_apoio_e_cci"]
+_BANKS = ["caixa", "bradesco", "itau", "santander", "bb"]
+
+#: P23. Slices of the monthly table: columns, and those of which one at least must have a value.
+MONTHLY_SLICES: Mapping[str, tuple[list[str], list[str]]] = {
+    "canal_fgts": (
+        [f"{_PF}{m}_pro_cotista_{b}" for b in ("geral", "faixa_1", "faixa_2", "faixa_3", "classe_media") for m in ("uh", "valor")], [_PF + c for c in _FAIXAS],
+    ),
+    "empregos_caged": (
+        [f"{p}_{m}{v}" for p in ("emprego_const", "caged_total") for m in ("saldo", "estoque") for v in ("", "_var_mes", "_var_12_meses")], ["emprego_const_saldo", "caged_total_saldo"],
+    ),
+    "financiamento_pf_faixa": (
+        [f"{_PF}{m}_{b}" for b in _BANDS for m in ("uh", "valor")], [f"{_PF}uh_total_{b}" for b in ("faixa_1", "faixa_2", "faixa_3", "classe_media")],
+    ),
+    "fipezap": (
+        ["indice_fipezap_numero_indice_locacao", "indice_fipezap_locacao_var_mes", "indice_fipezap_locacao_var_mes_vs_mes_ano_ant", "indice_fipezap_locacao_acum_ano"],
+        ["indice_fipezap_numero_indice_locacao"],
+    ),
+    "funding": (["funding_sbpe", "funding_fgts", *[f"anbima_estoque_{c}" for c in ("lci", "lca", "cri", "cra", "lig")]], ["funding_sbpe", "funding_fgts"]),
+    "icst": (
+        ["icst_serie_original_sem_ajuste_sazonal", "indice_icst_var_mes_serie_original", "indice_icst_var_mes_vs_mes_ano_ant_serie_original", "indice_icst_var_acum_ano_serie_original"],
+        ["icst_serie_original_sem_ajuste_sazonal"],
+    ),
+    "indice_imob": (["indice_imob_var_mes", "indice_imob_var_mes_vs_mes_ano_ant", "indice_imob_var_acum_ano"], ["indice_imob_var_mes"]),
+    "novos_financiamentos_banco": (
+        [f"abecip_sbpe_fin_{m}_acum_{b}" for m in ("uh", "milhoes") for b in (*_BANKS, "total")], [f"abecip_sbpe_fin_uh_acum_{b}" for b in _BANKS],
+    ),
+    "uh_condicao_uso": ([f"abecip_sbpe_fin_{m}_aq_{c}" for m in ("uh", "milhoes") for c in ("novos", "usados")], ["abecip_sbpe_fin_uh_aq_novos", "abecip_sbpe_fin_uh_aq_usados"]),
+}
+
+_CHANGES = ["tri_anterior", "mesmo_tri_ano_anterior", "acumulado_mesmo_periodo_ano_anterior"]
+_TICKET = "ticket_medio_lancamentos_"
+
+#: P24. Slices of quarterly tables: columns under their report names.
+QUARTERLY_SLICES: Mapping[str, Mapping[str, str]] = {
+    "balancos_empresas_totais": {c: c for m in ("lancamentos", "vendas") for c in (f"{m}_totais", *[f"var_{m}_totais_{v}" for v in _CHANGES])},
+    "financiamentos_habitacionais": {c: c for p in ("financ_hab_fgts_pj", "financ_hab_sbpe_constr") for c in (p, f"{p}_acumulado_12_meses")},
+    "pib_construcao_civil_pct": {
+        "var_trim_trim_anterior": "pib_const_trimestre_anterior", "var_acumulada_ano": "pib_const_taxa_acumulada_ano", "var_acumulada_4_trimestres": "pib_const_taxa_acumulada_4_trimestres",
+    },
+    "ticket_medio": {
+        c: c for c in ("precos_incc_tri", "incc_var_tri_ant", "incc_var_acum_4t2020", *[f"{_TICKET}{e}{v}" for e in ("mrv", "direcional", "tenda", "cury") for v in ("", "_var_tri_ant", "_var_acum_4t2020")])
+    },
+}
+
+
+def monthly_slice(df: DataFrame, name: str) -> DataFrame:
+    """P23. A slice of the wide monthly table (``periodo, ano, mes``) with the month's first day, newest first."""
+    cols, require = MONTHLY_SLICES[name]
+    rows = T.require_any(df.select("periodo", "ano", "mes", *cols), require)
+    return rows.select("periodo", "ano", "mes", C.month_start("ano", "mes").alias("data_referencia"), *cols).orderBy(F.desc("ano"), F.desc("mes"))
+
+
+def quarterly_slice(df: DataFrame, name: str) -> DataFrame:
+    """P24. A slice of a quarterly table (``periodo, ano`` and a ``trimestre`` that starts with the quarter's number),
+    newest first; rows without any value stay."""
+    day = C.quarter_start("ano", F.col("trimestre").cast("string")).alias("data_referencia")
+    return df.select("periodo", "ano", "trimestre", day, *[F.col(c).alias(n) for n, c in QUARTERLY_SLICES[name].items()]).orderBy(F.desc("ano"), F.desc("trimestre"))
+
+
+#: P25. Series that are shown as they come: report name to column, and the column that dates them.
+DIRECT_SERIES: Mapping[str, tuple[str, Mapping[str, str]]] = {
+    "credito_pib": ("data", {"data": "data", "credito_imobiliario_pib_pct": "valor"}),
+    "fgts_valor_medio": ("mes", {c: c for c in ("ano", "mes", *[f"{v}{f}{p}" for f in ("", "_f1") for v, p in (("valor_medio_fgts", ""), ("var_fgts", "_mes"), ("var_fgts", "_12m"), ("var_fgts", "_acum_ano"))])}),
+    "incc_m": ("mes", {c: c for c in ("mes", "indice", "var_mes", "var_ano", "var_12_meses")}),
+    "saldo_poupanca": ("data_referencia", {c: c for c in ("data_referencia", "deposito", "retirada", "captacao_liquida_valor", "captacao_liquida_pct", "saldo")}),
+}
+
+
+def direct_series(df: DataFrame, name: str) -> DataFrame:
+    """P25. A series under report names, newest first. Months as ``MM/yyyy`` are ordered by the date they stand for, which
+    the report of average values also shows as ``data_referencia``."""
+    at, values = DIRECT_SERIES[name]
+    order = C.period_to_date(at, "mm/yyyy") if at == "mes" else F.col(at)
+    shown = [order.alias("data_referencia")] if name == "fgts_valor_medio" else []
+    return df.orderBy(order.desc_nulls_last()).select(*[F.col(c).alias(n) for n, c in values.items()], *shown)
+
+
+#: P26. Long series that become a column per code: code column and columns by code.
+PIVOTS: Mapping[str, tuple[str, Mapping[str, str]]] = {
+    "financiamentos_imobiliarios_pf_pj": ("tipo", {f"{p}_{c}": f"{n}_{p}_{u}" for c, n, u in (("concessoes_rs_mi", "concessoes", "rs_mi"), ("taxa_juros_aa", "taxa_juros", "aa"), ("inadimplencia_pct", "inadimplencia", "pct")) for p in ("pf", "pj")}),
+    "pib_construcao_civil": ("variavel_id", {"6564": "var_trim_trim_anterior", "6561": "var_trim_mesmo_trim_ano_anterior", "6563": "var_acumulada_ano", "6562": "var_acumulada_4_trimestres"}),
+    "pnad_ocupados": ("categoria_id", {"47949": "ocupados_construcao_mil", "47946": "ocupados_total_mil"}),
+    "pnad_rendimento": ("categoria_id", {"47949": "rendimento_construcao_rs", "47946": "rendimento_total_rs"}),
+    "sinapi": ("variavel_id", {"48": "custo_medio_m2", "1196": "var_mes", "1197": "var_acum_ano", "1198": "var_12_meses"}),
+}
+
+
+def pivoted_series(df: DataFrame, name: str, keys: Sequence[str] = ("periodo",)) -> DataFrame:
+    """P26. A long series (``keys``, a code, ``valor``) to a column per code, newest first."""
+    code, mapping = PIVOTS[name]
+    return T.pivot_codes(df, list(keys), code, "valor", mapping).orderBy(F.desc(keys[0]))
+
+
+#: P27. Variables of industrial output and of retail volume.
+OUTPUT = {"11601": "pim_pf_var_mes", "11603": "pim_pf_var_acum_ano", "11604": "pim_pf_var_12_meses"}
+RETAIL = {"11708": "pmc_var_mes", "11710": "pmc_var_acum_ano", "11711": "pmc_var_12_meses"}
+
+
+def output_and_retail(output: DataFrame, retail: DataFrame, category: str = "56734") -> DataFrame:
+    """P27. Industrial output and, of one category, retail volume over all months of either, newest first."""
+    pim = T.pivot_codes(output, "periodo", "variavel_id", "valor", OUTPUT)
+    pmc = T.pivot_codes(retail.where(F.col("categoria_id") == category), "periodo", "variavel_id", "valor", RETAIL)
+    both = T.full_outer_coalesce(pim, pmc, "periodo").withColumn("data_referencia", C.period_to_date("periodo"))
+    return both.orderBy(F.desc("periodo")).select("periodo", "data_referencia", *OUTPUT.values(), *RETAIL.values())
+
+
+#: P28. Companies of the quarterly table: name to the beginning of their columns.
+COMPANY_PREFIXES = {"MRV": "mrv", "Cury": "cury", "Tenda": "tenda", "Direcional": "direcional", "Pacaembu": "pacaembu", "Plano & Plano": "plano_plano"}
+
+
+def company_rows(wide: DataFrame, companies: Mapping[str, str] = COMPANY_PREFIXES) -> DataFrame:
+    """P28. One wide row a quarter (``periodo, ano, trimestre``) to a row per company that has launches or sales."""
+    def columns(prefix: str) -> dict[str, str]:
+        found = {}
+        for m, one in (("lancamentos", "lancamento"), ("vendas", "vendas")):
+            found[m] = f"{prefix}_{m}"
+            found |= {f"var_{m}_{v}": f"{prefix}_var_{m}_{v}" for v in _CHANGES[:2]}
+            found[f"var_{m}_acumulado_periodo_ano_anterior"] = f"{prefix}_var_{one}_{_CHANGES[2]}"
+        return found
+
+    long = T.unpivot_groups(wide, ["periodo", "ano", "trimestre"], {n: columns(x) for n, x in companies.items()}, "empresa")
+    rows = T.require_any(long, ["lancamentos", "vendas"]).withColumn("data_referencia", C.quarter_start("ano", F.col("trimestre").cast("string")))
+    return rows.orderBy(F.desc("ano"), F.desc("trimestre"), "empresa")
+
+
+#: P22. Staged series that the continuous bulletin reads: model to path under the staging area.
+STAGED_READS = {
+    "abecip_poupanca_sbpe": "abecip/poupanca_sbpe_mensal", "bacen_credito_pib": "bacen/credito_imobiliario_pib", "bacen_financiamentos_imobiliarios": "bacen/financiamentos_imobiliarios",
+    "fgv_icst": "fgv/icst", "fgv_incc_m": "fgv/incc_m", "fipezap_locacao": "fipe/indice_locacao", "ibge_paic_obras": "ibge/paic_obras",
+    "ibge_paic_pessoal_salarial": "ibge/paic_pessoal_salarial", "ibge_paic_resultados": "ibge/paic_resultados", "ibge_pib_consolidado_trimestral": "ibge/pib_consolidado_trimestral_bruto",
+    "ibge_pib_construcao_civil": "ibge/pib_construcao", "ibge_pib_corrente": "ibge/pib_corrente_milhoes_brl", "ibge_pim_pf_brasil": "ibge/ibge_pim_pf_brasil", "ibge_pmc_construcao": "ibge/ibge_pmc_construcao",
+    "ibge_pnad_construcao_ocupados": "ibge/pnad_construcao_ocupados", "ibge_pnad_construcao_rendimento": "ibge/pnad_construcao_rendimento",
+    "ibge_pnadc_populacao_decis_renda": "ibge/pnadc_populacao_decis_renda", "ibge_pnadc_rendimento_domiciliar": "ibge/pnadc_rendimento_domiciliar_real", "ibge_sinapi": "ibge/sinapi",
+    "infomoney_imob": "infomoney/acoes_imob", "novo_caged": "novo_caged/saldo_estoque_construcao_edificios", "siafi_dotacao_execucao": "siafi/dotacao_execucao",
+}
+#: P22. Tables that it reads where they are (:func:`marajo.sources.files.read_table`): model to table.
+TABLE_READS = {
+    "empresas_balanco_lancamentos_vendas": "empresas_balanco_lancamentos_vendas", "fgts_valor_medio_imoveis": "fgts_valor_medio_imoveis", "manual_mensais": "dados_mensais",
+    "manual_trimestrais": "dados_trimestrais", "pib_construcao_civil_pct": "ibge_pib_construcao_civil", "sbpe_financiamentos_aquisicao": "sbpe_financiamentos_aquisicao_bancos",
+}
+
+
+def staged_series(spark: SparkSession, staging: str, model: str, columns: Sequence[str] = ("*",)) -> DataFrame:
+    """P22. A staged series of the continuous bulletin; ``staging`` is the folder that holds all of them."""
+    return spark.read.parquet(f"{staging.rstrip('/')}/{STAGED_READS[model]}.parquet").select(*columns)
 
 
 #: Budget actions of the report: code to name, in report order.

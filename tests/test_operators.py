@@ -115,18 +115,102 @@ def test_differences_add_up(spark):
 def test_series_pipelines_on_literal_rows(spark):
     icst = spark.createDataFrame([("01/2024", "90,0", "100,0"), ("02/2024", "99,0", "0,0"), ("03/2024", "x", "50,0")], "mes string, icst_com_ajuste_sazonal string, icst_sem_ajuste_sazonal string")
     rows = B.confidence(icst).orderBy("data_referencia").collect()
-    assert [r.var_mes_com_ajuste for r in rows] == [None, 10.0, None] and [r.var_mes for r in rows] == [None, -100.0, None]
-    savings = spark.createDataFrame([(f"2024-{m:02d}-01", 1000.0 * m, 1.0) for m in range(1, 13)], "data_referencia string, captacao_liquida_valor double, saldo double")
-    table = B.savings(savings, [("DEZ 24", "2024-12-01", "2024-12-01"), ("12 MESES", "2024-01-01", "2024-12-01")]).collect()
+    assert [r.icst_com_ajuste_sazonal for r in rows] == [90.0, 99.0, None] and [r.var_mes for r in rows] == [None, -100.0, None]
+    names = ", ".join(f"{c} string" for c in B.SAVINGS)
+    savings = B.savings(spark.createDataFrame([(f"2024-{m:02d}-01", "1", "x", str(1000.0 * m), "", None, "1.0") for m in range(1, 13)], f"data_referencia string, {names}"))
+    last = savings.orderBy(F.desc("data_referencia")).first()
+    assert (last.captacao_liquida_bi, last.captacao_acum_12m, last.retirada) == (12.0, 78_000.0, None)
+    table = B.savings_periods(savings, [("DEZ 24", "2024-12-01", "2024-12-01"), ("12 MESES", "2024-01-01", "2024-12-01")]).collect()
     assert [tuple(r) for r in table] == [(1, "DEZ 24", 12.0), (2, "12 MESES", 78.0)]
-    survey = spark.createDataFrame([("202403", "1", "10", 1), ("202403", "2", "100", 2), ("202404", "1", "...", 3)], "periodo string, categoria_id string, valor string, dt_ingest int")
-    wide = B.labour_survey(survey, "1", "2", "ocupados").orderBy("periodo").collect()
+    survey = spark.createDataFrame([("202403", "47949", "10", 1), ("202403", "47946", "100", 2), ("202404", "47949", "...", 3)], "periodo string, categoria_id string, valor string, dt_ingest int")
+    wide = B.labour_survey(survey, "ocupados").orderBy("periodo").collect()
     assert (wide[0].ocupados_construcao, wide[0].ocupados_total, wide[0].dt_ingest, wide[1].ocupados_construcao) == (10.0, 100.0, 2, None)
-    ticket = spark.createDataFrame([("MRV", 2020, 4, 100.0), ("MRV", 2024, 1, 150.0)], "empresa string, ano int, trimestre int, ticket double")
+    ticket = spark.createDataFrame([("MRV", 2020, 4, 1.0, 2.0), ("MRV", 2024, 1, 1.25, 50.04)], "empresa string, ano int, trimestre int, var_tri double, acum double")
     cost = B.cost_index(spark.createDataFrame([("12/2020", "10", "", "", ""), ("03/2024", "12", "", "", "")], "mes string, indice string, var_mes string, var_ano string, var_12_meses string"))
-    got = B.ticket_against_cost(ticket, cost, {"MRV": "mrv"}, "2020-12-01", (2023, 4)).collect()
-    assert [(r.ano, r.mrv_since_base, r.incc_acum) for r in got] == [(2024, 50.0, 20.0)]
-    fund = spark.createDataFrame([(2024, 10, 1e9), (2025, 20, 3e9)], "ano int, uh int, valor double")
-    sbpe = spark.createDataFrame([(2024, 10, 1000.0, 4, 100.0), (2025, 20, 1000.0, 6, 150.0)], "ano int, aquisicao_uh int, aquisicao_milhoes double, construcao_uh int, construcao_milhoes double")
-    kpi = B.finance_kpis(fund, sbpe, (2024, 2025)).first()
-    assert (kpi.mcmv_sbpe_uh, kpi.mcmv_sbpe_val_bi, kpi.mcmv_sbpe_var_uh, kpi.mcmv_sbpe_var_val, kpi.sbpe_const_var_uh) == (40, 4.0, 100.0, 100.0, 50.0)
+    got = B.ticket_against_cost(ticket, cost, "2020-12-01", (2023, 4)).collect()
+    assert [(r.ano, r.mrv_acum_4t20, r.incc_acum_4t20, r.dir_var_tri) for r in got] == [(2024, 50.0, 20.0, None)]
+
+
+def test_fund_totals_need_the_first_two_bands(spark):
+    must, may = B.FUND_VALUES
+    schema = ", ".join(f"{c} int" for c in (*must, *may))
+    rows = spark.createDataFrame([(1, 2, None, 4, None, None), (None, 2, 3, 4, 5, 6)], schema)
+    assert [r.valor_total_calculado for r in B.fund_loans(rows).collect()] == [7, None]
+
+
+def test_reports_come_in_their_order(spark):
+    """What the SQL twins can't show, as both sides are compared as sets."""
+    rows = spark.createDataFrame([("b", 1), ("x", 2), ("a", 3), (None, 4)], "r string, n int").repartition(3)
+    assert [r.n for r in T.order_by_rank(rows, "r", ["a", "b"]).collect()][:2] == [3, 1]
+    lookup = spark.createDataFrame([("b", 9), ("x", 1), ("a", 5)], "r string, o int")
+    assert [r.n for r in T.order_by_lookup(rows.where("r is not null"), lookup, "r", "o").collect()] == [2, 3, 1]
+    days = spark.createDataFrame([(f"2024-0{m}-01", m if m != 2 else None) for m in (3, 1, 2, 5, 4)], "d string, v int").repartition(3)
+    assert [r.v for r in T.series_slice(days, F.to_date("d"), ["v"]).collect()] == [5, 4, 3, 1]
+    assert [r.v for r in days.orderBy(F.desc("v")).collect()] == [5, 4, 3, 1, None]
+    assert [r.v for r in T.top_n(days, "v", 2).collect()] == [5, 4]
+    quarters = spark.createDataFrame([("p", 2023, "4T"), ("q", 2024, "2T"), ("r", 2024, "1T")], "periodo string, ano int, trimestre string")
+    for c in B.QUARTERLY_SLICES["financiamentos_habitacionais"].values():
+        quarters = quarters.withColumn(c, F.lit(1))
+    assert [r.periodo for r in B.quarterly_slice(quarters, "financiamentos_habitacionais").collect()] == ["q", "r", "p"]
+    months = spark.createDataFrame([("12/2023", 1), ("02/2024", 2), ("01/2024", 3)], "mes string, indice int").withColumns({c: F.lit(0) for c in ("var_mes", "var_ano", "var_12_meses")})
+    assert [r.mes for r in B.direct_series(months, "incc_m").collect()] == ["02/2024", "01/2024", "12/2023"]  # not by text
+
+
+def test_every_load_target_settles(spark):
+    """Each target of the data loads takes a batch, and the same batch again without change."""
+    for config in L.LOADS:
+        keys = list(config.keys) or ["a", "b"]
+        schema = ", ".join(f"{k} string" for k in keys) + ", v int, dt_ingest int"
+        target = spark.createDataFrame([(*["t"] * len(keys), 0, 0)], schema)
+        batch = spark.createDataFrame([(*["t"] * len(keys), 1, 1), (*["u"] * len(keys), 2, 1), (*["u"] * len(keys), 3, 2)], schema)
+        if config.explode:
+            batch = batch.groupBy(F.lit("parent").alias("parent")).agg(F.collect_list(F.struct(*batch.columns)).alias(config.explode))
+        if config.mode == "append":
+            with pytest.raises(ValueError, match="append"):
+                L.apply_load(config, target, batch)
+            continue
+        once = L.apply_load(config, target, batch)
+        twice = L.apply_load(config, once, batch)
+        values = lambda df: sorted(r.v for r in df.collect())
+        found = values(once)
+        assert values(twice) == found
+        if config.mode in ("upsert", "drop_upsert"):
+            assert found == ([1, 3]), config
+
+
+def test_a_failed_swap_keeps_the_old_data(spark, tmp_path):
+    out = str(tmp_path / "data")
+    L.full_refresh(spark.createDataFrame([(1,)], "a int"), out)
+    L.full_refresh(spark.createDataFrame([(2,), (3,)], "a int"), out + "/")
+    assert sorted(r.a for r in spark.read.parquet(out).collect()) == [2, 3]
+    assert [p.name for p in tmp_path.iterdir()] == ["data"]
+
+
+def test_drops_of_several_dialects_in_one_scan(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("\ufeffId;Nome;nome\n1;ação;x\n2;sem fim\n3;\"a;b\";z\n".encode())
+    (tmp_path / "b.csv").write_bytes("Nome,Id\r\né,4\r\n,5\r\n".encode("latin-1"))
+    (tmp_path / "c.csv").write_bytes(b"Id\n")
+    rows = S.read_delimited_drop(spark, str(tmp_path / "*.csv"))
+    assert set(rows.columns) == {"id", "nome", "nome_1", "source_path"}
+    got = sorted((r.id, r.nome, r.nome_1, r.source_path[-5:]) for r in rows.collect())
+    assert got == [("1", "ação", "x", "a.csv"), ("3", "a;b", "z", "a.csv"), ("4", "é", None, "b.csv"), ("5", None, None, "b.csv")]
+
+
+def test_lines_are_numbered_over_splits(spark, tmp_path):
+    text = [f"linha {i} é ਊ" if i % 3 else "" for i in range(3000)]
+    for encoding, java in (("utf-8", "utf-8"), ("utf-16", "utf-16")):
+        path = tmp_path / f"{encoding}.txt"
+        path.write_bytes("\r\n".join(text).encode(java))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        try:
+            rows = S.numbered_lines(spark, str(path), encoding).orderBy("line_no").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert [r.line_no for r in rows] == list(range(1, 3001)) and [r.text for r in rows] == text
+
+
+def test_sections_hold_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_LINES", 4)
+    lines = [(1, "Sec: A"), (2, "skip"), *[(i, f"a{i}\tx") for i in range(3, 14)], (14, "Sec: B"), (15, "skip"), *[(i, f"b{i}\ty") for i in range(16, 20)]]
+    rows = N.sectioned_report(spark.createDataFrame([("f", *x) for x in lines], "file string, line_no long, text string"), r"^Sec: (\w)", skip=1, min_cols=2).orderBy("line_no").collect()
+    assert [(r.line_no, r.section) for r in rows] == [*[(i, "A") for i in range(3, 14)], *[(i, "B") for i in range(16, 20)]]
