@@ -167,29 +167,29 @@ class Seen:
     """The least id that a task has met a hash with, for up to ``limit`` hashes that it met with several ids.
 
     Later steps of the task settle such a hash on the spot, so one that is everywhere costs a row a task in the
-    exchange, not one a step. Forgetting costs rows, never results.
+    exchange, not one a step. Forgetting costs rows, never results. ``checks`` are a second hash that must agree.
     """
 
     def __init__(self, limit: int = 1 << 20):
         self.limit = limit
-        self.hash, self.least = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.hash, self.check, self.least = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
 
-    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def look_up(self, hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether each hash is held, and under which id."""
         if not len(self.hash):
             return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
         at = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
-        return self.hash[at] == hashes, self.least[at]
+        return (self.hash[at] == hashes) & (self.check[at] == checks), self.least[at]
 
-    def add(self, hashes: np.ndarray, ids: np.ndarray) -> None:
-        """Hold distinct ``hashes`` with their least ids; what is held keeps the lesser id."""
+    def add(self, hashes: np.ndarray, checks: np.ndarray, ids: np.ndarray) -> None:
+        """Hold ``hashes`` with their least ids; what is held keeps the lesser id."""
         if len(hashes) + len(self.hash) > self.limit:
-            self.hash, self.least = self.hash[:0], self.least[:0]
-        both = np.concatenate([self.hash, hashes[: self.limit]]), np.concatenate([self.least, ids[: self.limit]])
-        order = np.lexsort((both[1], both[0]))
-        name, least = both[0][order], both[1][order]
+            self.hash, self.check, self.least = self.hash[:0], self.check[:0], self.least[:0]
+        held = [np.concatenate([x, y[: self.limit]]) for x, y in ((self.hash, hashes), (self.check, checks), (self.least, ids))]
+        order = np.lexsort((held[2], held[0]))
+        name, check, least = (x[order] for x in held)
         head = np.append(True, name[1:] != name[:-1])[: len(name)]
-        self.hash, self.least = name[head], least[head]
+        self.hash, self.check, self.least = name[head], check[head], least[head]
 
 
 def _bounds(masked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,9 +238,11 @@ def name_symbols(docs: DataFrame, window: int) -> DataFrame:
                 np.logical_or.at(several, group, by != by[first][group])
                 shared = several[group]
                 # asked for all before: two ids at least have it
-                before = seen.look_up(name)[0]
+                none = np.zeros(len(name), np.int32)
+                before = seen.look_up(name, none)[0]
                 kinds = np.where(before, 2, np.where(~shared, 0, np.where(head, 1, 2)))
-                seen.add(name[kinds == 1], np.zeros(int((kinds == 1).sum()), np.int64))
+                fresh = kinds == 1
+                seen.add(name[fresh], none[fresh], none[fresh].astype(np.int64))
                 columns = []
                 for k in range(3):
                     pick = np.flatnonzero((kinds == k) | ((k == 2) & (kinds == 1)))
@@ -310,12 +312,12 @@ def _places(w: Words, column: pa.ListArray) -> np.ndarray:
 
 
 def repeated_windows(found: DataFrame, window: int) -> DataFrame:
-    """``doc_id``, ``tag`` and ``gone``: hashes (both parts) of the text's windows that also start in a smaller id's text.
+    """``doc_id``, ``tag`` and ``gone``: the starts of the text's windows that also start in a smaller id's text.
 
-    A step of a task sends a window once, for its smallest id; the others are settled on the spot, and so are those of
-    which an earlier step of the task had a smaller id. So a window that is everywhere meets as a row a task.
+    What a step of a task, or an earlier step of it, has met under a smaller id is settled on the spot and only reported
+    by its place; the others are exchanged. So a window that is everywhere meets as a row a task.
     """
-    kind = "h1 long, h2 int, doc_id long, tag int, settled boolean"
+    kind = "h1 long, h2 int, doc_id long, tag int, at int, settled array<int>"
 
     def scan(batches):
         seen = Seen()
@@ -326,34 +328,43 @@ def repeated_windows(found: DataFrame, window: int) -> DataFrame:
                 if not len(at):
                     continue
                 h1, h2 = w.rolled(at, window)
-                ids = part.column("doc_id").to_numpy(zero_copy_only=False)[w.text_of[at]]
-                tags = part.column("tag").to_numpy(zero_copy_only=False)[w.text_of[at]]
-                order = np.lexsort((tags, ids, h1))
-                h1, h2, ids, tags = h1[order], h2[order], ids[order], tags[order]
-                head = np.append(True, h1[1:] != h1[:-1])
-                first = np.flatnonzero(head)
-                group = np.cumsum(head) - 1
+                own_ids, own_tags = (part.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tag"))
+                order = np.lexsort((own_ids[w.text_of[at]], h2, h1))
+                at, name, h2 = at[order], h1[order].view(np.int64), h2[order]
+                text = w.text_of[at]
+                ids, place = own_ids[text], (at - w.first[text]).astype(np.int32)
+                head = np.append(True, (name[1:] != name[:-1]) | (h2[1:] != h2[:-1]))
+                first, group = np.flatnonzero(head), np.cumsum(head) - 1
                 least = ids[first][group]
                 several = np.zeros(len(first), bool)
                 np.logical_or.at(several, group, ids != least)
-                name = h1.view(np.int64)
-                held, earlier = seen.look_up(name)
-                seen.add(name[first][several | held[first]], ids[first][several | held[first]])
-                least = np.where(held, np.minimum(least, earlier), least)
-                fresh = head | np.append(True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1]))
-                h1, h2, ids, tags, settled = h1[fresh], h2[fresh], ids[fresh], tags[fresh], (ids > least)[fresh]
+                held, earlier = seen.look_up(name, h2)
+                keep = several | held[first]
+                seen.add(name[first][keep], h2[first][keep], ids[first][keep])
+                settled = ids > np.where(held, np.minimum(least, earlier), least)
+                # a row a text for what is settled, a row a window for the rest
+                rest = np.flatnonzero(~settled)
+                done = np.flatnonzero(settled)
+                done = done[np.argsort(text[done], kind="stable")]
+                owners, counts = np.unique(text[done], return_counts=True)
+                blank, n = np.zeros(len(owners), np.int64), len(rest)
+                places = lists(place[done], np.append(0, np.cumsum(counts)), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h1.view(np.int64)), pa.array(h2), pa.array(ids), pa.array(tags), pa.array(settled)],
-                    names=["h1", "h2", "doc_id", "tag", "settled"],
-                )
+                    [
+                        pa.array(np.append(name[rest], blank)), pa.array(np.append(h2[rest], blank.astype(np.int32))), pa.array(np.append(ids[rest], own_ids[owners])),
+                        pa.array(np.append(own_tags[text[rest]], own_tags[owners])), pa.array(np.append(place[rest], blank.astype(np.int32)), mask=np.arange(n + len(owners)) >= n),
+                        pa.concat_arrays([pa.nulls(n, places.type), places]),
+                    ],
+                    names=["h1", "h2", "doc_id", "tag", "at", "settled"],
+                )
 
     sent = found.mapInArrow(scan, kind)
     # settled rows need no company: a key of their own spreads them
-    side = F.when(F.col("settled"), F.hash("doc_id", "tag")).otherwise(0)
-    same = Window.partitionBy("h1", "h2", "settled", "side")
+    side = F.when(F.col("settled").isNotNull(), F.hash("doc_id", "tag")).otherwise(0)
+    same = Window.partitionBy("h1", "h2", "side")
     told = sent.withColumn("side", side).withColumn("least", F.min("doc_id").over(same))
-    gone = told.where(F.col("settled") | (F.col("least") < F.col("doc_id")))
-    return gone.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("h1", "h2")).alias("gone"))
+    gone = told.where(F.col("settled").isNotNull() | (F.col("least") < F.col("doc_id")))
+    return gone.groupBy("doc_id", "tag").agg(F.sort_array(F.concat(F.collect_list("at"), F.flatten(F.collect_list("settled")))).alias("gone"))
 
 
 def removals(found: DataFrame, gone: DataFrame, window: int) -> DataFrame:
@@ -364,23 +375,13 @@ def removals(found: DataFrame, gone: DataFrame, window: int) -> DataFrame:
     def scan(batches):
         for batch in batches:
             for part in steps(batch, "text", STEP):
-                w = Words(as_bytes(part.column("text")))
-                at = _places(w, part.column("starts"))
-                h1, h2 = w.rolled(at, window)
-                column = part.column("gone")
-                owner = np.repeat(np.arange(part.num_rows), np.diff(column.offsets.to_numpy()))
-                lost1, lost2 = (x.to_numpy(zero_copy_only=False) for x in column.flatten().flatten())
-                key = _mix(lost1.view(_U) + owner.astype(_U) * _M1)
-                order = np.argsort(key)
-                key, lost1, lost2, owner = key[order], lost1[order].view(_U), lost2[order], owner[order]
-                ask = _mix(h1 + w.text_of[at].astype(_U) * _M1)
-                place = np.minimum(np.searchsorted(key, ask), len(key) - 1)
-                # the key only finds the place: text and both hashes have to be the same
-                hit = at[(owner[place] == w.text_of[at]) & (lost1[place] == h1) & (lost2[place] == h2)]
-                covered = spread(hit, hit + window - 1, len(w.hash))
                 rows: dict[str, list] = {k: [] for k in ("n_removed", "kept_sha256", "kept", "spans")}
-                for words, first in zip(w.words, w.first.tolist(), strict=True):
-                    lost = covered[first : first + len(words)]
+                starts = part.column("gone")
+                flat, ends = starts.flatten().to_numpy(zero_copy_only=False), (starts.offsets.to_numpy() - starts.offsets[0].as_py()).tolist()
+                for i, text in enumerate(as_bytes(part.column("text"))):
+                    words = text.split()
+                    hit = flat[ends[i] : ends[i + 1]]
+                    lost = spread(hit, hit + window - 1, len(words))
                     begin, end = _bounds(lost)
                     left = [x for x, y in zip(words, lost.tolist(), strict=True) if not y]
                     rows["n_removed"].append(len(words) - len(left))
@@ -395,7 +396,7 @@ def removals(found: DataFrame, gone: DataFrame, window: int) -> DataFrame:
                     names=["doc_id", "tag", "n_removed", "kept_sha256", "kept", "spans"],
                 )
 
-    return found.join(gone, ["doc_id", "tag"]).select("doc_id", "tag", "text", "starts", "gone").mapInArrow(scan, kind)
+    return found.join(gone, ["doc_id", "tag"]).select("doc_id", "tag", "text", "gone").mapInArrow(scan, kind)
 
 
 def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:

@@ -103,9 +103,9 @@ def test_many_steps_in_a_task_remember_what_was_met(spark):
 
 def test_seen_keeps_the_least_id_within_its_limit():
     seen = repeats.Seen(limit=4)
-    seen.add(np.array([5, 9]), np.array([7, 3]))
-    seen.add(np.array([5]), np.array([2]))
-    held, least = seen.look_up(np.array([9, 5, 1]))
-    assert held.tolist() == [True, True, False] and least[:2].tolist() == [3, 2]
-    seen.add(np.array([1, 2, 3]), np.array([1, 1, 1]))
+    seen.add(np.array([5, 9]), np.array([1, 1]), np.array([7, 3]))
+    seen.add(np.array([5]), np.array([1]), np.array([2]))
+    held, least = seen.look_up(np.array([9, 5, 1, 9]), np.array([1, 1, 1, 2]))
+    assert held.tolist() == [True, True, False, False] and least[:2].tolist() == [3, 2]
+    seen.add(np.array([1, 2, 3]), np.array([0, 0, 0]), np.array([1, 1, 1]))
     assert len(seen.hash) == 3
