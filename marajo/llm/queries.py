@@ -42,12 +42,17 @@ from split s left join gone using (doc_id)
 """
 
 
-#: The public vocabulary file; any SentencePiece BPE model with byte fallback will do.
+#: The public vocabulary file, where the session doesn't name another in ``spark.marajo.pieceModel``; any SentencePiece BPE
+#: model with byte fallback will do.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+def piece_model(spark: SparkSession) -> str:
+    return spark.conf.get("spark.marajo.pieceModel", PIECE_MODEL)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode(_read(spark, sf_dir, "documents"), PIECE_MODEL).select(
+    return pieces.encode(_read(spark, sf_dir, "documents"), piece_model(spark)).select(
         "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"), "ids", "lossless"
     )
 
