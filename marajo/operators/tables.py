@@ -107,16 +107,19 @@ def unlisted(facts: DataFrame, category: str, categories: Sequence[str]) -> int:
 def compare_at_dates(periods: DataFrame, series: Mapping[str, tuple[DataFrame, str, str]], roles: Sequence[str]) -> DataFrame:
     """Each series' value at each reference date of ``periods``: ``series`` maps a name to (frame, date, value).
 
-    A series is read once: its values at all roles come from one join on the exploded dates.
+    All series are stacked and meet the exploded dates in one join and one aggregation; a series is read once, and only
+    at the dates that are asked for.
     """
-    out = periods
     ids = [c for c in periods.columns if c not in roles]
     long = periods.select(*ids, F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.col(r).alias("at")) for r in roles])).alias("r"))
-    for name, (frame, date, value) in series.items():
-        at = long.join(frame.select(F.col(date).alias("_at"), F.col(value).alias("_value")), F.col("r.at") == F.col("_at"), "left")
-        wide = at.groupBy(*ids).agg(*[F.max(F.when(F.col("r.role") == r, F.col("_value"))).alias(f"{name}_{r}") for r in roles])
-        out = out.join(wide, ids, "left")
-    return out
+    stacked = reduce(
+        DataFrame.unionByName,
+        [f.select(F.lit(n).alias("_name"), F.col(d).alias("_at"), F.col(v).cast("double").alias("_value")) for n, (f, d, v) in series.items()],
+    )
+    at = long.join(stacked, F.col("r.at") == F.col("_at"), "left")
+    pick = lambda n, r: F.max(F.when((F.col("_name") == n) & (F.col("r.role") == r), F.col("_value"))).alias(f"{n}_{r}")
+    wide = at.groupBy(*ids).agg(*[pick(n, r) for n in series for r in roles])
+    return periods.join(wide, ids, "left")
 
 
 def unprocessed(files: DataFrame, ledger: DataFrame, key: str = "path") -> DataFrame:
