@@ -20,6 +20,51 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def _xxh64_sql(seed: int = 42) -> str:
+    """DuckDB's expression of the XXH64 of a text whose UTF-8 bytes are in ``x`` as hex digits, as UHUGEINT below 2**64."""
+    p1, p2, p3, p4, p5 = 11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261
+    top = 1 << 64
+    num = lambda n: f"{n % top}::uhugeint"
+    mul = lambda a, b: f"(({a}) * {num(b)} % {top}::uhugeint)"
+    add = lambda a, b: f"((({a}) + ({b})) % {top}::uhugeint)"
+    left = lambda a, r: f"(({a}) * {1 << r}::uhugeint % {top}::uhugeint + ({a}) // {1 << (64 - r)}::uhugeint)"
+    right = lambda a, r: f"(({a}) // {1 << r}::uhugeint)"
+    # little-endian number of so many bytes at byte i
+    lane = lambda i, size: "('0x' || " + " || ".join(f"substr(x, 2 * ({i}) + {2 * k + 1}, 2)" for k in reversed(range(size))) + ")::ubigint::uhugeint"
+    fold = lambda first, count, at, size, step: f"list_reduce(list_prepend({first}, list_transform(range(0, {count}), lambda i: {lane(at, size)})), lambda a, v: {step})"
+    bound = lambda value, name, body: f"list_transform([{value}], lambda {name}: {body})[1]"
+    n = "(length(x) // 2)"
+    round_ = lambda a, v: mul(left(add(a, mul(v, p2)), 31), p1)
+    accs = [fold(num(seed + c), f"{n} // 32", f"32 * i + {8 * j}", 8, round_("a", "v")) for j, c in enumerate((p1 + p2, p2, 0, -p1))]
+    merged = add(add(left("c[1]", 1), left("c[2]", 7)), add(left("c[3]", 12), left("c[4]", 18)))
+    for j in range(1, 5):
+        merged = bound(merged, f"m{j}", add(mul(f"xor(m{j}, {round_('0::uhugeint', f'c[{j}]')})", p1), num(p4)))
+    long = bound("[" + ", ".join(accs) + "]", "c", merged)
+    h = add(f"case when {n} >= 32 then {long} else {num(seed + p5)} end", n + "::uhugeint")
+    h = fold(h, f"{n} % 32 // 8", f"{n} // 32 * 32 + 8 * i", 8, add(mul(left(f"xor(a, {round_('0::uhugeint', 'v')})", 27), p1), num(p4)))
+    h = fold(h, f"{n} % 8 // 4", f"{n} // 8 * 8 + 4 * i", 4, add(mul(left(f"xor(a, {mul('v', p1)})", 23), p2), num(p3)))
+    h = fold(h, f"{n} % 4", f"{n} // 4 * 4 + i", 1, mul(left(f"xor(a, {mul('v', p5)})", 11), p1))
+    h = bound(h, "y1", mul(f"xor(y1, {right('y1', 33)})", p2))
+    h = bound(h, "y2", mul(f"xor(y2, {right('y2', 29)})", p3))
+    return bound(h, "y3", f"xor(y3, {right('y3', 32)})")
+
+
+OP1_SQL = rf"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') as ws from documents),
+grams as (
+  select doc_id, unnest(case when len(ws) >= 3 then list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as g from d),
+hashed as (select g, cast(({_xxh64_sql()}) as ubigint) as h from (select g, hex(encode(g)) as x from (select distinct g from grams))),
+ones as (select doc_id, count(*) as n, {", ".join(f"sum((h >> {b}) & 1) as b{b}" for b in range(64))} from grams join hashed using (g) group by 1),
+prints as (select doc_id, coalesce({" + ".join(f"case when 2 * b{b} > n then {1 << b}::hugeint else 0::hugeint end" for b in range(64))}, 0::hugeint) as fp from d left join ones using (doc_id)),
+nodes as (select fp, min(doc_id) as first_id from prints group by 1),
+edges as (select a.fp as a, b.fp as b from nodes a join nodes b on bit_count(xor(a.fp, b.fp)) <= 2),
+reach(a, b) as (select fp, fp from nodes union select r.a, e.b from reach r join edges e on r.b = e.a),
+labels as (select a as fp, min(first_id) as component_id from reach join nodes on fp = b group by 1)
+select doc_id, lower(lpad(to_hex(fp), 16, '0')) as fingerprint, component_id from prints join labels using (fp)
+"""
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(_read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
@@ -316,4 +361,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op5_chat_format": OP5_SQL, "op6_quality_rules": _op6_sql(), "op7_pii_disclosure": OP7_SQL, "op8_hash_tree_shards": _op8_sql(), "op9_automaton_decontamination": OP9_SQL, "op10_warc_zstd": OP10_SQL}
+    return {"op1_simhash_near_dedup": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op5_chat_format": OP5_SQL, "op6_quality_rules": _op6_sql(), "op7_pii_disclosure": OP7_SQL, "op8_hash_tree_shards": _op8_sql(), "op9_automaton_decontamination": OP9_SQL, "op10_warc_zstd": OP10_SQL}
