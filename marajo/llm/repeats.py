@@ -344,6 +344,7 @@ def repeated_windows(found: DataFrame, window: int) -> DataFrame:
                 settled = ids > np.where(held, np.minimum(least, earlier), least)
                 # a row a text for what is settled, a row a window for the rest
                 rest = np.flatnonzero(~settled)
+                rest = rest[np.argsort(at[rest])]  # text by text, so that what rows share is compressed
                 done = np.flatnonzero(settled)
                 done = done[np.argsort(text[done], kind="stable")]
                 owners, counts = np.unique(text[done], return_counts=True)
