@@ -68,6 +68,15 @@ def test_round_trip_of_pages(spark):
     assert warc.round_trip(frame.limit(0)).collect() == []
 
 
+def test_payloads_larger_than_an_archive(spark):
+    rows = [(i, "u", chr(97 + i) * (50_000 * i)) for i in range(5)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    manifest = warc.write_archives(frame, warc.new_folder(spark, "test"), archive_bytes=60_000)
+    assert sum(r.records for r in manifest.collect()) == 5 and manifest.count() > 2
+    found = {r.page_id: r.payload_digest for r in warc.read_archives(manifest).collect()}
+    assert found == {i: hashlib.sha1(t.encode()).hexdigest() for i, _, t in rows}
+
+
 def test_invalid_records_are_reported_on_request(spark):
     pages = [f"<p>{'text ' * 40}{i}</p>".encode() for i in range(3)]
     good = [warc.record(i, None, p, hashlib.sha1(p).hexdigest(), None, "2024-01-01T00:00:00Z") for i, p in enumerate(pages)]

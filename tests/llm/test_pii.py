@@ -154,3 +154,25 @@ def test_a_text_of_a_hundred_thousand_numbers_takes_seconds(spark):
     start = time.time()
     row = pii.mentions(docs(spark, [(1, text)])).select(F.size("base").alias("n"), F.element_at("base", -1).alias("last")).first()
     assert row.n == 3000 and row.last.around[-1] == "u2998@ex.org" and time.time() - start < 30
+
+
+def test_ties_between_entities_and_overlapping_spans(spark):
+    rows = [(i, f"a{'bcd'[i % 3]}e Twin a@x.org near b@y.org f{'ghi'[i % 3]}j") for i in range(3)] + [(100 + i, f"other text {i}") for i in range(400)]
+    frame = docs(spark, rows)
+    terms = {r.term: r.entity for r in pii.disclosing_terms(frame, pii.mentions(frame), bits=3.0).collect()}
+    assert terms == {"Twin": "b@y.org", "near": "b@y.org"}  # equally telling: the last value
+    # the number is a card and part of a phone number, and the address a term too
+    text = "call +4111111111111111 now, card 4111-1111-1111-1111 of a@b.cd"
+    assert [(s.kind, s.value) for s in pii.mentions(docs(spark, [(1, text)])).first().base] == [("email", "a@b.cd"), ("card", "4111111111111111"), ("card", "4111-1111-1111-1111")]
+    assert pii.sanitise(docs(spark, [(1, text)])).first().text == "call +<card> now, card <card> of <email>"
+    both = "x 1.2.3.4+12345678901 y"
+    assert {s.kind for s in pii.mentions(docs(spark, [(1, both)])).first().base} == {"ip", "phone"}
+    assert pii.sanitise(docs(spark, [(1, both)])).first().text == "x <ip><phone> y"
+    assert pii.sanitise(docs(spark, [])).collect() == []
+
+
+def test_sanitising_long_and_clashing_rows(spark):
+    rows = [*AWKWARD, (50, "z " * 30_000 + "mail a@b.cd end")]
+    out = {(r.doc_id, r.text) for r in pii.sanitise(docs(spark, rows)).collect()}
+    assert out == {*AWKWARD, (50, "z " * 30_000 + "mail <email> end")}
+    assert pii.sanitise(docs(spark, rows)).columns == docs(spark, rows).columns
