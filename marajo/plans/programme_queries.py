@@ -91,7 +91,9 @@ def _bronze_query(name: str, table, only: str | None = None) -> None:
                 value = F.when(F.col("o_orderkey") % 2 == 0, f" {only} ").otherwise("OUTRA")
             for i, source in enumerate(sources):  # all but the last of several names are blank in every other row
                 raw.append((value if i == len(sources) - 1 else F.when(F.col("o_orderkey") % 2 == 0, value).otherwise("")).alias(source))
-        found = P.bronze(t("orders").select(*raw), table)
+        text = t("orders").select(*raw)
+        # making and typing the widest table at once would be too much for one generated class
+        found = P.bronze(stash(text, "raw") if len(table) > 60 else text, table)
         if only:
             found = P.priority_of(found, only)
         kinds = {n: kind for _, n, kind in table}
