@@ -14,9 +14,11 @@ from marajo.session import checkpoint_root
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """URI of a folder of its own in the shared folder; it is made when the first file is saved."""
-    root = checkpoint_root(spark)
-    return f"{root if '://' in root else 'file://' + root.removeprefix('file:')}".rstrip("/") + f"/marajo-{name}-{uuid.uuid4().hex}"
+    """URI of a folder of its own in the shared folder; it is made when the first file is saved. A path without a scheme
+    is in the file system that is Hadoop's default, as Spark takes it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark).rstrip('/')}/marajo-{name}-{uuid.uuid4().hex}")
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return uri if "://" in uri else uri.replace("file:", "file://", 1)
 
 
 def save(root: str, data: bytes, suffix: str = "") -> str:
