@@ -177,7 +177,12 @@ def _each(targets: str, keys: str, **more) -> list[LoadConfig]:
     return [LoadConfig(t, tuple(keys.split()), **more) for t in targets.split()]
 
 
-#: The targets of the data loads. Columns given to ``append_dedupe`` are those of the file, so they are named at the load.
+#: The amounts, texts and days by which the treasury's commitment lines are told apart.
+_COMMITMENT = "ne_ccor natureza_despesa doc_observacao ne_ccor_ano_emissao emissao_dia emissao_mes despesas_empenhadas despesas_liquidadas despesas_pagas"
+_THIS_CENTURY = ("ne_ccor_ano_emissao", "20")
+
+#: The targets of the data loads; names and keys are fixed values. Where ``append_dedupe`` names no columns, all of the file's
+#: are compared.
 LOADS: tuple[LoadConfig, ...] = tuple([
     *_each("ibge.agregados", "variavel_id localidade_id periodo classificacao_id categoria_id"),
     *_each("ibge.pnad_construcao", "periodo categoria_id"),
@@ -191,20 +196,20 @@ LOADS: tuple[LoadConfig, ...] = tuple([
     *_each("compras_gov.contratos compras_gov.contratos_inativos compras_gov.faturas compras_gov.terceirizados", "id"),
     *_each("compras_gov.empenhos", "id contrato_id"),
     *_each("compras_gov.cronograma", "id", mode="drop_upsert"),
-    *_each("dados_abertos.deputados", "id siglapartido idlegislatura", batch_keep="last"),
-    *_each("dados_abertos.senadores", "id", batch_keep="last"),
-    *_each("pncp.licitacoes", "numerocontrolepncp"),
-    *_each("pncp.itens", "numerocontrolepncp numeroitem"),
-    *_each("pncp.resultados", "numerocontrolepncp numeroitem sequencialresultado situacaocompraitemresultadoid"),
+    *_each("camara_deputados.deputados", "id siglapartido idlegislatura", batch_keep="first"),
+    *_each("senado_federal.senadores", "id", batch_keep="first"),
+    *_each("pncp.contratacoes", "numeroControlePNCP"),
+    *_each("pncp.contratacoes_itens", "numeroItem numeroControlePNCP"),
+    *_each("pncp.contratacoes_resultados", "numeroItem numeroControlePNCPCompra sequencialResultado situacaoCompraItemResultadoId"),
     *_each("siafi.nota_credito", "numero ano"),
-    *_each("siafi.nota_empenho", "numempenho anoempenho"),
-    *_each("siafi.programacao_financeira", "trf__numerodocumento"),
-    *_each("tesouro_gerencial.empenhos", "emissao_mes emissao_dia ne_ccor ne_num_processo ne_info_complementar ne_ccor_descricao doc_observacao natureza_despesa despesas_empenhadas", gate=("ne_ccor", "")),
-    *_each("tesouro_gerencial.emendas", "emissao_mes emissao_dia ne_ccor autor_emenda natureza_despesa despesas_empenhadas", gate=("ne_ccor", "")),
-    *_each("tesouro_gerencial.notas_credito", "emissao_mes emissao_dia nc nc_transferencia nc_fonte_recursos ptres natureza_despesa nc_valor_linha"),
-    *_each("tesouro_gerencial.notas_credito_anteriores tesouro_gerencial.programacao_financeira tesouro_gerencial.programacao_ptres", "", mode="append_dedupe"),
-    *_each("tesouro_gerencial.visao_orcamentaria", "", mode="refresh"),
-    *_each("tesouro_gerencial.orcamento_por_acao tesouro_gerencial.dotacao_execucao", "", mode="append"),
+    *_each("siafi.nota_empenho", "numEmpenho anoEmpenho"),
+    *_each("siafi.programacao_financeira", "TRF__numeroDocumento"),
+    *_each("siafi.empenhos_tesouro siafi.ne_tesouro_emendas siafi.ne_tesouro", _COMMITMENT, gate=_THIS_CENTURY),
+    *_each("siafi.empenho_emendas_parlamentares", "ne_ccor emissao_dia emissao_mes programa_governo_numero programa_governo_nome ne_num_processo", gate=_THIS_CENTURY),
+    *_each("siafi.nc_tesouro_pos__2026", "nc emissao_dia emissao_mes emissao_ano ptres ugr_codigo valor_celula dc"),
+    *_each("siafi.nc_tesouro siafi.nc_tesouro_pre_2026 siafi.pf_tesouro siafi.programacao_acao_ptres", "", mode="append_dedupe"),
+    *_each("siafi.visao_orcamentaria_total", "", mode="refresh"),
+    *_each("siafi.orcamento_por_acao siafi.dotacao_execucao_outras_fontes", "", mode="append"),
     *_each("siape.lista_servidores", "cpf codUorg"),
     *_each("siape.lista_uorgs", "codigo"),
     *_each("siape.dados_pessoais siape.dados_financeiros siape.dados_funcionais siape.dados_escolares siape.dados_curriculo siape.dados_afastamento siape.dados_uorg siape.lista_aposentadoria", "cpf"),
@@ -212,19 +217,25 @@ LOADS: tuple[LoadConfig, ...] = tuple([
     *_each("siape.dados_dependentes", "cpf nome", explode="dependentes"),
     *_each("siape.pensoes_instituidas", "id_registro", explode="pensoes"),
     *_each("siape.dados_afastamento_historico", "", mode="append_dedupe", explode="afastamentos"),
-    *_each("siorg.unidade_organizacional siorg.estrutura_organizacional_cargos", "codigounidade"),
-    *_each("siorg.cargos_funcao", "codigocargofuncao"),
-    *_each("transfere_gov.programas", "id_programa"),
+    *_each("siorg.unidade_organizacional siorg.estrutura_organizacional_cargos", "codigoUnidade"),
+    *_each("siorg.cargos_funcao", "codigoCargoFuncao"),
+    *_each("transfere_gov.programas transfere_gov.programa_beneficiario", "id_programa"),
     *_each("transfere_gov.plano_acao", "id_plano_acao"),
     *_each("transfere_gov.notas_de_credito", "id_nota"),
     *_each("transfere_gov.programacao_financeira", "id_programacao"),
-    *_each("transferegov_emendas.planos_acao_especiais", "id_plano_acao", batch_keep="last"),
-    *_each("transferegov_emendas.executor_especial", "id_executor id_plano_acao", batch_keep="last"),
-    *_each("transferegov_emendas.finalidade_especial", "id_executor cd_area_politica_publica_tipo_pt cd_area_politica_publica_pt", batch_keep="last"),
-    *_each("transferegov_emendas.metas_especiais", "id_meta", batch_keep="last"),
-    *_each("transferegov_emendas.empenhos_especiais", "id_empenho", batch_keep="last"),
-    *_each("transferegov_emendas.ordem_bancaria_especial", "id_op_ob", batch_keep="last"),
-    *_each("sgac.projetos", "id"),
+    *_each("transferegov_emendas.programas_especiais", "id_programa"),
+    *_each("transferegov_emendas.planos_acao_especiais", "id_plano_acao"),
+    *_each("transferegov_emendas.executor_especial", "id_plano_acao id_executor", batch_keep="last"),
+    *_each("transferegov_emendas.finalidades_especiais", "id_executor cd_area_politica_publica_tipo_pt area_politica_publica_pt"),
+    *_each("transferegov_emendas.metas_especiais", "id_meta"),
+    *_each("transferegov_emendas.plano_trabalho_especial", "id_plano_trabalho"),
+    *_each("transferegov_emendas.empenhos_especiais", "id_empenho"),
+    *_each("transferegov_emendas.documentos_habeis_especiais", "id_dh"),
+    *_each("transferegov_emendas.ordens_bancarias_especiais", "id_op_ob"),
+    *_each("transferegov_emendas.historico_pagamentos_especiais", "id_historico_op_ob"),
+    *_each("transferegov_emendas.relatorio_gestao_especial", "id_relatorio_gestao"),
+    *_each("transferegov_emendas.relatorios_gestao_novo_especial", "id_relatorio_gestao_novo"),
+    *_each("sgac.projetos_sgac", "id"),
 ])
 
 
