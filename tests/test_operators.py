@@ -160,6 +160,8 @@ def test_every_load_target_settles(spark):
     """Each target of the data loads takes a batch, and the same batch again without change."""
     for config in L.LOADS:
         keys = list(config.keys) or ["a", "b"]
+        if config.gate and config.gate[0] not in keys:
+            keys.append(config.gate[0])
         schema = ", ".join(f"{k} string" for k in keys) + ", v int, dt_ingest int"
         target = spark.createDataFrame([(*["t"] * len(keys), 0, 0)], schema)
         batch = spark.createDataFrame([(*["t"] * len(keys), 1, 1), (*["u"] * len(keys), 2, 1), (*["u"] * len(keys), 3, 2)], schema)
