@@ -157,8 +157,10 @@ def test_reports_come_in_their_order(spark):
 
 
 def test_every_load_target_settles(spark):
-    """Each target of the data loads takes a batch, and the same batch again without change."""
-    for config in L.LOADS:
+    """A target of each kind of load takes a batch, and the same batch again without change."""
+    assert len({c.target for c in L.LOADS}) == len(L.LOADS) and all(bool(c.keys) == (c.mode in ("upsert", "drop_upsert")) for c in L.LOADS)
+    kinds = {(c.mode, c.gate, c.batch_keep, bool(c.explode)): c for c in L.LOADS}
+    for config in kinds.values():
         keys = list(config.keys) or ["a", "b"]
         if config.gate and config.gate[0] not in keys:
             keys.append(config.gate[0])
