@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from marajo.plans import bulletins as B
 from marajo.plans.kit import Kit
 from marajo.session import checkpoint_root, stash
+from marajo.sources import files as S
 
 kit = Kit()
 QUERIES, ORACLES = kit.queries, kit.oracles
@@ -435,6 +436,19 @@ def _(t):
     return reduce(DataFrame.unionByName, reads)
 
 
+@kit.query("p22_table_reads", f"""
+with {_M} {" union all ".join(f"select '{model}' as model, m as data, n * {j} as valor from m" for j, model in enumerate(B.TABLE_READS, 1))}""", dates="data")
+def _(t):
+    held = stash(_monthly(t), "series")
+    reads = []
+    for j, (model, table) in enumerate(B.TABLE_READS.items(), 1):
+        name = f"{table}_{uuid.uuid4().hex}"  # the reports' own names may be taken in this session
+        held.select(F.col("m").alias("data"), (F.col("n") * j).alias("valor")).createTempView(name)
+        reads.append(S.read_table(t.spark, name).select(F.lit(model).alias("model"), "data", "valor"))
+        t.spark.catalog.dropTempView(name)
+    return reduce(DataFrame.unionByName, reads)
+
+
 def _stacked(frames, ids):
     """Tables of different columns as rows of table, ids, column and value."""
     def long(name, df):

@@ -185,7 +185,7 @@ def _raw_a(t):
 
 
 def _entity(t):
-    typed = {name: P.bronze(frame, R.A[name]) for name, frame in _raw_a(t).items()}
+    typed = {name: P.bronze(frame, R.A[name], P.READ_A[name]) for name, frame in _raw_a(t).items()}
     return typed, P.entity_a(typed["register"], typed["proposals"], typed["works"], P.priority_of(typed["priority"]))
 
 

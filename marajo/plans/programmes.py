@@ -6,7 +6,7 @@ the day of the report, ``states`` has ``sigla, nome, regiao_sigla, regiao_nome``
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,11 +17,15 @@ from marajo.operators import tables as T
 from marajo.plans.programme_tables import TYPES
 
 
-def bronze(raw: DataFrame, table: Sequence[tuple[list[str], str, str]]) -> DataFrame:
-    """P30, P38. Text columns to typed ones, row by row; columns the raw table lacks are null before they are typed."""
-    lacking = F.lit(None).cast("string")
-    typed = lambda names, kind: F.coalesce(*[TYPES[kind](F.col(n) if n in raw.columns else lacking) for n in names])
-    return raw.select(*[typed(names, kind).alias(name) for names, name, kind in table])
+def bronze(raw: DataFrame, table: Sequence[tuple[list[str], str, str]], only: Collection[str] | None = None) -> DataFrame:
+    """P30, P38. Text columns to typed ones, row by row; columns the raw table lacks are null before they are typed.
+
+    ``only`` names the typed columns that are wanted. Those that nobody reads would be pruned anyway, but a plan of a hundred
+    of them takes seconds to make.
+    """
+    lacking, has = F.lit(None).cast("string"), set(raw.columns)
+    typed = lambda names, kind: F.coalesce(*[TYPES[kind](F.col(n) if n in has else lacking) for n in names])
+    return raw.select(*[typed(names, kind).alias(name) for names, name, kind in table if only is None or name in only])
 
 
 def priority_of(snapshot: DataFrame, programme: str = "FAR") -> DataFrame:
@@ -90,6 +94,18 @@ AMOUNTS_B = {
 }
 
 
+#: Typed columns of the raw tables that the pipelines of a programme read.
+READ_A = {
+    "register": ["apf", "id_proposta", "empreendimento_nome", "qt_uh", "co_tipo_edificacao", "vr_total_investimento", "agente_financeiro", "dt_contratacao"],
+    "proposals": [
+        "id_proposta", "portaria_contratacao", "proponente_cnpj", "proponente_nome", "tomador_cnpj", "tomador_nome", "municipio", "uf", "co_originacao", "co_tipo_demanda", "dt_movimento", "dt_protocolo",
+    ],
+    "works": ["apf", "pct_obra_realizada", "dt_alteracao_situacao", "dt_conclusao_obra", "dt_entrega"],
+    "priority": ["apf", "modalidade", "situacao", "pct_execucao", "valor_desembolsado", "valor_aporte_adicional", "dt_previsao_entrega"],
+    "disbursements": ["apf", "ic_credito", "dt_liberacao", *AMOUNTS_A.values()],
+}
+
+
 def cash_curve(disbursements: DataFrame, entity: DataFrame, amounts: Mapping[str, str] = AMOUNTS_A, credits_only: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """P32, P40. Monthly disbursements by contract joined on six-digit roots, accumulated, as percent of the contract.
 

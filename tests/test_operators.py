@@ -220,3 +220,21 @@ def test_sections_hold_over_blocks(spark, monkeypatch):
     lines = [(1, "Sec: A"), (2, "skip"), *[(i, f"a{i}\tx") for i in range(3, 14)], (14, "Sec: B"), (15, "skip"), *[(i, f"b{i}\ty") for i in range(16, 20)]]
     rows = N.sectioned_report(spark.createDataFrame([("f", *x) for x in lines], "file string, line_no long, text string"), r"^Sec: (\w)", skip=1, min_cols=2).orderBy("line_no").collect()
     assert [(r.line_no, r.section) for r in rows] == [*[(i, "A") for i in range(3, 14)], *[(i, "B") for i in range(16, 20)]]
+
+
+def test_written_tables_can_be_discarded_and_clusters_need_a_folder(spark):
+    from types import SimpleNamespace
+
+    from marajo import session
+
+    session.discard_stashes(spark)
+    held = session.stash(spark.range(3), "test")
+    assert held.count() == 3 and session.discard_stashes(spark) == 1 and session.discard_stashes(spark) == 0
+    with pytest.raises(Exception, match="(?i)not.*exist|PATH_NOT_FOUND|FileNotFound"):
+        spark.read.parquet(held.inputFiles()[0]).count()
+    unset = SimpleNamespace(isDefined=lambda: False)
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=SimpleNamespace(master="yarn", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: unset)))
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(cluster)
