@@ -176,3 +176,18 @@ def test_sanitising_long_and_clashing_rows(spark):
     out = {(r.doc_id, r.text) for r in pii.sanitise(docs(spark, rows)).collect()}
     assert out == {*AWKWARD, (50, "z " * 30_000 + "mail <email> end")}
     assert pii.sanitise(docs(spark, rows)).columns == docs(spark, rows).columns
+
+
+def test_terms_of_given_texts_equal_the_sql_at_lower_thresholds(spark):
+    import duckdb
+
+    from marajo.llm import queries
+
+    path = "/root/testdata/sf0.001/documents.parquet"
+    sql = queries.OP7_SQL.replace("count(distinct around) >= 3", "count(distinct around) >= 1").replace("joint / df >= 0.5", "joint / df >= 0.2").replace(">= 8),", ">= 2),", 1)
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{path}'")
+    want = {i: s for i, s in con.sql(f"select doc_id, spans from ({sql})").fetchall()}
+    found = pii.find(spark.read.parquet(path), support=1, reveal=0.2, bits=2.0)
+    got = {r.doc_id: r.told for r in found.select("doc_id", queries._told("spans").alias("told")).collect()}
+    assert got == want and sum("term:" in s for s in got.values()) > 20
