@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marajo.llm import chat, decontam, lines, pieces, pii, quality, repeats, shards, simhash, warc
+from marajo.llm import chat, decontam, lines, pieces, pii, quality, repeats, set_queries, shards, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,7 +51,8 @@ def _xxh64_sql(seed: int = 42) -> str:
 
 OP1_SQL = rf"""
 with recursive d as (
-  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') as ws from documents),
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') as ws from documents),
 grams as (
   select doc_id, unnest(case when len(ws) >= 3 then list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as g from d),
 hashed as (select g, cast(({_xxh64_sql()}) as ubigint) as h from (select g, hex(encode(g)) as x from (select distinct g from grams))),
@@ -357,8 +358,31 @@ from p left join held on p.h = held.h
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op3_sentencepiece, op4_substring_dedup, op5_chat_format, op6_quality_rules, op7_pii_disclosure, op8_hash_tree_shards, op9_automaton_decontamination, op10_warc_zstd)}
+    own = (
+        op1_simhash_near_dedup,
+        op2_line_dedup,
+        op3_sentencepiece,
+        op4_substring_dedup,
+        op5_chat_format,
+        op6_quality_rules,
+        op7_pii_disclosure,
+        op8_hash_tree_shards,
+        op9_automaton_decontamination,
+        op10_warc_zstd,
+    )
+    return {f.__name__: f for f in own} | set_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_simhash_near_dedup": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op5_chat_format": OP5_SQL, "op6_quality_rules": _op6_sql(), "op7_pii_disclosure": OP7_SQL, "op8_hash_tree_shards": _op8_sql(), "op9_automaton_decontamination": OP9_SQL, "op10_warc_zstd": OP10_SQL}
+    own = {
+        "op1_simhash_near_dedup": OP1_SQL,
+        "op2_line_dedup": OP2_SQL,
+        "op4_substring_dedup": OP4_SQL,
+        "op5_chat_format": OP5_SQL,
+        "op6_quality_rules": _op6_sql(),
+        "op7_pii_disclosure": OP7_SQL,
+        "op8_hash_tree_shards": _op8_sql(),
+        "op9_automaton_decontamination": OP9_SQL,
+        "op10_warc_zstd": OP10_SQL,
+    }
+    return own | set_queries.SQL
