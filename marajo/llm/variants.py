@@ -20,10 +20,10 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marajo.llm.arrow import small_batches, steps
+from marajo.llm.arrow import as_bytes, small_batches, steps
 from marajo.session import stash
 
 #: Maximal runs of these letters are words; A-Z are lower-cased.
@@ -36,18 +36,9 @@ HELD_WORDS = 200_000
 #: that fall together count as one, which only lengthens lists.
 BIGRAMS = 1 << 14
 
-_UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-
-
-def slipped(run: str, doc_id: str, every: int | None) -> str:
-    """The lower-cased run, less one code point if ``every`` divides the hash of id and run."""
-    run = run.translate(_UPPER)
-    if every:
-        h = zlib.crc32(f"{doc_id}:{run}".encode())
-        if h % every == 0:
-            at = h % len(run)
-            return run[:at] + run[at + 1 :]
-    return run
+_LOWER = bytes(c + 32 if ord("A") <= c <= ord("Z") else c for c in range(256))
+#: Sides of a word of this many code points or fewer aren't halved.
+SHORT_SIDE = 3
 
 
 def _counted(every: int | None):
@@ -60,11 +51,13 @@ def _counted(every: int | None):
         held: Counter = Counter()
         for batch in batches:
             for part in steps(batch, "text"):
-                for doc_id, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    for run, n in Counter(runs.findall(text)).items():
-                        word = slipped(run, doc_id, every)
-                        if len(word) >= MIN_LENGTH:
-                            held[word] += n
+                for doc_id, text in zip(part.column("id").to_pylist(), as_bytes(part.column("text")), strict=True):
+                    before = zlib.crc32(f"{doc_id}:".encode())
+                    for run, n in Counter(runs.findall(text.translate(_LOWER).decode())).items():
+                        if every and (h := zlib.crc32(run.encode(), before)) % every == 0:
+                            at = h % len(run)
+                            run = run[:at] + run[at + 1 :]
+                        held[run] += n
                 if len(held) > HELD_WORDS:
                     yield report(held)
                     held = Counter()
@@ -82,7 +75,7 @@ def vocabulary(docs: DataFrame, every: int | None = None, least: int = 3) -> Dat
     """
     texts = docs.where(F.col("text").isNotNull()).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id"), "text")
     counted = small_batches(texts).mapInArrow(_counted(every), "word string, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return counted.where(F.length("word") >= MIN_LENGTH).groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
 def disjoint_pair(places: list[tuple[int, int]]) -> tuple[int, int]:
@@ -101,22 +94,20 @@ def disjoint_pair(places: list[tuple[int, int]]) -> tuple[int, int]:
     return two[1], two[2]
 
 
-def _kept(word: str, n: int, p: int, q: int) -> Iterator[str]:
-    """What a word keeps if another one of length ``n`` with the bigram at ``p`` is one edit away and ``word`` has it at
-    ``q``: for edits behind the bigram all up to it and the first or second half of the rest, for those before it likewise."""
-    m = len(word)
-    if p == q:
-        half = (n - p - 2) // 2
-        tail = n - p - 2 - half
-        yield f"a{n},{p},{word[: p + 2 + half]}"
-        if tail <= m - q - 2:
-            yield f"b{n},{p},{word[: p + 2]} {word[m - tail :]}"
-    if n - p == m - q:
-        half = p // 2
-        if p - half <= q:
-            yield f"c{n},{p},{word[q - (p - half) :]}"
-        if half <= q:
-            yield f"d{n},{p},{word[:half]} {word[q:]}"
+def _kept(n: Column, p: Column, m: Column, q: Column) -> tuple[Column, Column, Column, Column]:
+    """What ``word`` (of length ``m``, with the bigram at ``q``) has in common with any word of length ``n`` that has the bigram at
+    ``p`` and is one edit away: if the edit is behind the bigram all up to it and the first or second half of the rest, if it
+    is before it likewise. Null where it can't be. Sides of ``SHORT_SIDE`` are left out whole."""
+    word, rest = F.col("word"), n - p - 2
+    half = F.when(rest <= SHORT_SIDE, 0).otherwise(F.floor(rest / 2)).cast("int")
+    tail = rest - half
+    key = lambda name, *kept: F.xxhash64(F.lit(name), n, p, *kept)
+    behind = key("a", F.substring(word, F.lit(1), p + 2 + half))
+    behind_too = F.when((rest > SHORT_SIDE) & (tail <= m - q - 2), key("b", F.substring(word, F.lit(1), p + 2), F.substring(word, m - tail + 1, tail)))
+    lost = F.when(p <= SHORT_SIDE, p).otherwise(F.floor(p / 2)).cast("int")
+    before = F.when(p - lost <= q, key("c", F.substring(word, q - (p - lost) + 1, m)))
+    before_too = F.when((p > SHORT_SIDE) & (lost <= q), key("d", F.substring(word, F.lit(1), lost), F.substring(word, q + 1, m)))
+    return behind, behind_too, before, before_too
 
 
 def prefix_and_pivots(word: str, order: dict[int, tuple[int, int]]) -> tuple[list[int], tuple[int, int], int]:
@@ -128,47 +119,46 @@ def prefix_and_pivots(word: str, order: dict[int, tuple[int, int]]) -> tuple[lis
     return prefix, disjoint_pair([(i, order[grams[i]][1]) for i in prefix]), reach
 
 
-def _postings(order: dict[int, tuple[int, int]]):
-    """For every word what its pivots and its prefix are looked up by."""
+def _chosen(order: dict[int, tuple[int, int]]):
+    """Adds the places of every word's prefix and pivots, and the prefix's reach."""
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple[str, bool, int, str]] = []
-            for word in batch.column("word").to_pylist():
-                n = len(word)
-                prefix, pivots, reach = prefix_and_pivots(word, order)
-                rows += [(key, True, reach, word) for p in pivots for key in _kept(word, n, p, p)]
-                probes = {key for q in prefix for d in (-1, 0, 1) if n + d >= MIN_LENGTH for p in {q, q + d} if 0 <= p <= n + d - 2 for key in _kept(word, n + d, p, q)}
-                rows += [(key, False, reach, word) for key in probes]
-                if len(rows) > 100_000:
-                    yield _rows(rows)
-                    rows = []
-            yield _rows(rows)
-
-    return post
-
-
-def _rows(rows: list[tuple[str, bool, int, str]]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-    kinds = (pa.string(), pa.bool_(), pa.int32(), pa.string())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "pivot", "reach", "word"])
-
-
-def near_words(words: DataFrame) -> DataFrame:
-    """``a``, ``b``: every two different words of ``words`` (column ``word``) that one inserted, deleted or replaced code
-    point turns into each other, in both directions. Words shorter than five code points and nulls are left out, repeats
-    count once. The letters may be any: the order of ``BIGRAMS`` bigrams at most is the only thing held whole."""
-    words = stash(words.where(F.length("word") >= MIN_LENGTH).select("word").distinct(), "words")
+            rows = [prefix_and_pivots(w, order) for w in batch.column("word").to_pylist()]
+            prefixes, pivots, reaches = zip(*rows, strict=True) if rows else ((), (), ())
+            lists = pa.list_(pa.int32())
+            made = [pa.array(prefixes, lists), pa.array(pivots, lists), pa.array(reaches, pa.int32())]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), *made], ["word", "n", "prefix", "pivots", "reach"])
+
+    return choose
+
+
+def near_words(vocab: DataFrame) -> DataFrame:
+    """``a``, ``b``, ``b_n``: every two different words of ``vocab`` (``word``, ``n``) that one inserted, deleted or replaced code
+    point turns into each other, in both directions, and the second one's ``n``; the rows of an ``a`` are in one partition.
+
+    Words shorter than five code points and nulls are left out; a word that repeats must have one ``n``. The letters may be
+    any: the order of ``BIGRAMS`` bigrams at most is the only thing held whole.
+    """
+    words = stash(vocab.where(F.length("word") >= MIN_LENGTH).select("word", "n"), "words")
     bigram = lambda i: F.crc32(F.substring("word", i, F.lit(2)).cast("binary")) % BIGRAMS
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("word") - 1), bigram))
     held = words.select(F.explode(grams).alias("gram")).groupBy("gram").count().orderBy("count", "gram").collect()
     order = {r["gram"]: (i, r["count"]) for i, r in enumerate(held)}
-    posted = stash(words.mapInArrow(_postings(order), "key string, pivot boolean, reach int, word string"), "postings")
-    pivots = posted.where("pivot").select("key", F.col("reach").alias("pivot_reach"), F.col("word").alias("a"))
-    probes = posted.where(~F.col("pivot")).select("key", "reach", F.col("word").alias("b"))
-    met = pivots.join(probes, "key").where((F.col("pivot_reach") <= F.col("reach")) & (F.col("a") != F.col("b")))
-    near = met.where(F.levenshtein("a", "b", 1) == 1).select("a", "b")
-    return near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    chosen = stash(words.mapInArrow(_chosen(order), "word string, n long, prefix array<int>, pivots array<int>, reach int"), "chosen")
+    m, p, q, longer = F.length("word"), F.col("p"), F.col("q"), F.col("longer")
+
+    pivots = chosen.select("word", "n", "reach", F.explode("pivots").alias("p"))
+    pivots = pivots.select(F.struct("word", "n", "reach").alias("a"), F.explode(F.array(*_kept(m, p, m, p))).alias("key"))
+    probes = chosen.select("word", "n", "reach", F.explode("prefix").alias("q")).withColumn("longer", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+    other = m + longer
+    same, moved = _kept(other, q, m, q)[:2], _kept(other, q + longer, m, q)[2:]
+    fits = lambda at, keys: [F.when((other >= MIN_LENGTH) & (at >= 0) & (at <= other - 2), k) for k in keys]
+    probes = probes.select(F.struct("word", "n", "reach").alias("b"), F.explode(F.array(*fits(q, same), *fits(q + longer, moved))).alias("key"))
+    met = pivots.where(F.col("key").isNotNull()).join(probes.where(F.col("key").isNotNull()), "key")
+    near = met.where((F.col("a.reach") <= F.col("b.reach")) & (F.col("a.word") != F.col("b.word"))).where(F.levenshtein("a.word", "b.word", 1) == 1)
+    way = lambda a, b: F.struct(F.col(f"{a}.word").alias("a"), F.col(f"{b}.word").alias("b"), F.col(f"{b}.n").alias("b_n"))
+    return near.select(F.inline(F.array(way("a", "b"), way("b", "a")))).repartition("a").distinct()
 
 
 def spelling_forms(vocab: DataFrame, times: int = 2) -> DataFrame:
@@ -179,8 +169,7 @@ def spelling_forms(vocab: DataFrame, times: int = 2) -> DataFrame:
     that still move, so rounds grow with the logarithm of the longest chain, which is itself one of the largest ``n``.
     """
     vocab = stash(vocab.select("word", "n"), "vocabulary")
-    near = near_words(vocab).join(vocab.select(F.col("word").alias("b"), F.col("n").alias("b_n")), "b")
-    best = near.groupBy(F.col("a").alias("word")).agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("b_n")).alias("less"), F.col("b").alias("near"))).alias("best"))
+    best = near_words(vocab).groupBy(F.col("a").alias("word")).agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("b_n")).alias("less"), F.col("b").alias("near"))).alias("best"))
     joined = vocab.join(best, "word", "left")
     takes = -F.col("best.less") >= times * F.col("n")
     formed = stash(

@@ -77,7 +77,7 @@ def test_forms_equal_all_pairs(spark):
 
 def test_a_bigram_that_all_words_share(spark):
     words = ["zz" + "".join(x) for x in combinations("abcdefghij", 4)] + [None, "zzab", "zzabc", "zzabcd"]
-    frame = spark.createDataFrame([(w,) for w in words], "word string")
+    frame = spark.createDataFrame([(w, 1) for w in words], "word string, n long")
     kept = {w for w in words if w and len(w) >= 5}
     assert {(r.a, r.b) for r in variants.near_words(frame).collect()} == {(a, b) for a in kept for b in kept if near(a, b)}
 
