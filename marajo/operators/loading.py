@@ -152,8 +152,8 @@ class LoadConfig:
     explode: str | None = None
 
 
-def apply_load(config: LoadConfig, target: DataFrame, batch: DataFrame, order: str = "dt_ingest") -> DataFrame:
-    """The target after the batch. Plain appends are refused: repeating them would multiply rows."""
+def prepare_batch(config: LoadConfig, batch: DataFrame, order: str = "dt_ingest") -> DataFrame:
+    """The batch's rows as the target takes them: entries of a list, gated, a row of a key."""
     if config.explode:
         plain = [c for c in batch.columns if c != config.explode]
         batch = batch.select(*plain, F.explode(config.explode).alias("_child")).select(*plain, "_child.*")
@@ -161,6 +161,13 @@ def apply_load(config: LoadConfig, target: DataFrame, batch: DataFrame, order: s
         batch = batch.where(F.col(config.gate[0]).startswith(config.gate[1]))
     if config.batch_keep:
         batch = dedupe_batch(batch, config.keys, order, config.batch_keep, dict(config.fill))
+    return batch
+
+
+def apply_load(config: LoadConfig, target: DataFrame, batch: DataFrame, order: str = "dt_ingest") -> DataFrame:
+    """The target after the batch, as frames; ``stored.load_into`` loads a target on disk. Plain appends are refused:
+    repeating them would multiply rows."""
+    batch = prepare_batch(config, batch, order)
     if config.mode == "upsert":
         return upsert(target, batch, config.keys, order)
     if config.mode == "refresh":

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from marajo.operators import checks as Q
 from marajo.operators import loading as L
 from marajo.operators import nested as N
+from marajo.operators import stored as K
 from marajo.operators import tables as T
 from marajo.plans.kit import Kit
-from marajo.session import checkpoint_root
+from marajo.session import checkpoint_root, stash
 from marajo.sources import files as S
 from marajo.streaming import incremental as I
 
@@ -55,6 +56,22 @@ def _(t):
     return S.read_delimited_drop(t.spark, f"{root}/*/*.csv").select("p_partkey", "p_name", "p_size")
 
 
+_QUOTED_NOTE = r"""p_name || chr(10) || '"' || p_brand || '";' || case when p_partkey % 3 = 0 then chr(10) || chr(10) else '' end || p_type"""
+
+
+@kit.query("l4_quoted_drop", f"select cast(p_partkey as varchar) as p_partkey, {_QUOTED_NOTE} as note, cast(p_size as varchar) as p_size from part")
+def _(t):
+    root = _folder(t, "quoted")
+    note = F.concat("p_name", F.lit('\n"'), "p_brand", F.lit('";'), F.when(F.col("p_partkey") % 3 == 0, "\n\n").otherwise(""), "p_type")
+    t("part").select("p_partkey", note.alias("note"), "p_size").write.csv(root, header=True, sep=";", escape='"')
+    before = t.spark.conf.get("spark.sql.files.maxPartitionBytes")
+    t.spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")  # records cross splits
+    try:
+        return stash(S.read_delimited_drop(t.spark, f"{root}/*.csv").drop("source_path"), "quoted")
+    finally:
+        t.spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 @kit.query("l5_normalize_columns", "select c_custkey as cust_key, c_name as nome, c_name as nome_1, c_nationkey as nation_key from customer")
 def _(t):
     rows = t("customer").select("c_custkey", "c_name", "c_name", "c_acctbal", "c_nationkey").toDF("Cust--Key", "Nome ", "nome", "Unnamed: 3", "(Nation) Key")
@@ -225,6 +242,28 @@ def _(t):
     return L.upsert(target, batch.withColumn("v", F.col("v") + F.col("seq")).withColumn("note", F.lit("new")), ["k"], "seq").drop("seq")
 
 
+@kit.query("l18_keyed_store", """
+select o_orderkey as k, case when o_orderkey % 5 = 0 then o_totalprice + 7 when o_orderkey % 3 = 0 then o_totalprice + 2 else o_totalprice end as v,
+  case when o_orderkey % 5 = 0 then 'third' end as note from orders where o_orderkey % 2 = 0 or o_orderkey % 3 = 0 or o_orderkey % 5 = 0""")
+def _(t):
+    path = _folder(t, "keyed")
+    rows = lambda rule, more: t("orders").where(rule).select(F.col("o_orderkey").alias("k"), (F.col("o_totalprice") + more).alias("v"), F.lit(more).alias("seq"))
+    twice = rows("o_orderkey % 3 = 0", 1).unionByName(rows("o_orderkey % 3 = 0", 2))
+    for batch in (rows("o_orderkey % 2 = 0", 0), twice, rows("o_orderkey % 5 = 0", 7).withColumn("note", F.lit("third"))):
+        K.upsert_into(path, batch, ["k"], "seq", 16)
+    return K.read_stored(t.spark, path).drop("seq")
+
+
+@kit.query("l20_append_store", """
+select o_custkey, o_orderpriority, coalesce(min(o_orderkey) filter (o_orderkey % 2 = 0), min(o_orderkey)) as o_orderkey from orders group by 1, 2""")
+def _(t):
+    path = _folder(t, "append")
+    rows = t("orders").select("o_custkey", "o_orderpriority", "o_orderkey")
+    for half in (0, 1):
+        K.append_into(path, rows.where(F.col("o_orderkey") % 2 == half), ["o_custkey", "o_orderpriority"], "o_orderkey", 16)
+    return K.read_stored(t.spark, path)
+
+
 @kit.query("l19_full_refresh", "select r_regionkey, r_name from region")
 def _(t):
     path = _folder(t, "refresh")
@@ -364,11 +403,16 @@ def _(t):
     rows = t("orders").select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy").alias("year"), F.col("o_orderdate").alias("dt_ingest"))
     half = rows.where("o_orderkey % 2 = 0")
     runs = {
-        "upsert": L.apply_load(L.LoadConfig("orders", ("o_orderkey",)), half, rows),
-        "append_dedupe": L.apply_load(L.LoadConfig("notes", ("o_custkey",), "append_dedupe"), half, rows),
-        "refresh": L.apply_load(L.LoadConfig("view", mode="refresh", gate=("year", "20")), half, rows),
+        "upsert": L.LoadConfig("orders", ("o_orderkey",)),
+        "append_dedupe": L.LoadConfig("notes", ("o_custkey",), "append_dedupe"),
+        "refresh": L.LoadConfig("view", mode="refresh", gate=("year", "20")),
     }
-    return L.union_batches([df.agg(F.lit(m).alias("mode"), F.count(F.lit(1)).alias("n")) for m, df in runs.items()])
+    root, found = _folder(t, "loads"), []
+    for mode, config in runs.items():
+        for batch in (half, rows):
+            K.load_into(config, f"{root}/{mode}", batch, partitions=16)
+        found.append(K.read_stored(t.spark, f"{root}/{mode}").agg(F.lit(mode).alias("mode"), F.count(F.lit(1)).alias("n")))
+    return L.union_batches(found)
 
 
 # --- checks -------------------------------------------------------------------------------------------------

@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marajo.operators.loading import full_refresh, normal_names, upsert
-from marajo.session import small_side, stash
-
-DELIMITERS = (";", ",", "|", "\t")
+from marajo.session import BROADCAST_ROWS, small_side, stash
+from marajo.sources import quoted
 
 
 def read_staging(spark: SparkSession, root: str, source: str, name: str) -> DataFrame:
@@ -50,49 +49,54 @@ def _lines(spark: SparkSession, glob: str, **options: str) -> DataFrame:
 
 def infer_dialect(lines: DataFrame) -> DataFrame:
     """``file``, ``encoding`` (utf-8, or ISO-8859-1 if any line isn't valid), ``sep`` and ``header`` (the first line, as
-    bytes) of the files whose ``lines`` are given as ``file, block, id, text``.
+    bytes) of the files whose ``lines`` are given as :func:`quoted.raw_lines` has them.
 
     The separator is the first of ``; , | tab`` in the header line, a comma without any. Files are scanned in splits and
-    only these four values of each leave the scan.
+    only a row of each split leaves the scan.
     """
-    told = lines.groupBy("file").agg(F.min(F.is_valid_utf8("text").cast("int")).alias("utf8"), F.min(F.struct("block", "id", "text"))["text"].alias("header"))
-    sep = F
-    for d in DELIMITERS:
-        sep = sep.when(F.col("header").contains(d), d)
-    return told.select("file", F.when(F.col("utf8") == 1, "utf-8").otherwise("ISO-8859-1").alias("encoding"), sep.otherwise(",").alias("sep"), F.col("header").cast("binary").alias("header"))
+    return quoted.splits(lines).select("file", "encoding", "sep", "header").distinct()
 
 
 def _header_names(header: bytes, encoding: str, sep: str) -> list[str]:
-    text = bytes(header).decode("utf-8-sig" if encoding == "utf-8" else encoding).rstrip("\r")
+    text = bytes(header).decode(encoding)
     return [n.strip().strip('"') or f"Unnamed: {i}" for i, n in enumerate(text.split(sep))]
 
 
 def read_delimited_drop(spark: SparkSession, glob: str) -> DataFrame:
-    """All columns of all files as text, names normalised, malformed lines dropped, ``source_path`` beside them.
-
-    Two scans, however many files, dialects and headers there are: one tells the dialects, one parses every line by its
-    file's. Only the distinct headers come to the driver. A file's header line is left out wherever it stands; quoted
-    cells don't span lines; a line with another number of cells than its header is malformed.
+    """All columns of all files as text, names normalised, malformed records dropped, ``source_path`` beside them.
+
+    Two scans, however many files, dialects and headers there are: one tells the dialects and the quotes of every split, one
+    cuts records and parses them by their file's; where records cross splits it is looked at again for their fragments.
+    Only the distinct headers come to the driver. Quoted cells may hold separators, line feeds and doubled quotes; a quote
+    inside a cell that has none at its start is itself. A file's header is one line, and lines that equal it are left out
+    wherever they stand; a record with another number of cells than its header is malformed, as is one that is never closed.
+    Lines end at line feeds, with or without a carriage return.
     """
-    lines = _lines(spark, glob)
-    files = small_side(infer_dialect(lines), "dialects")
-    kinds = files.select("encoding", "sep", "header").distinct().collect()
+    lines = quoted.raw_lines(spark, glob)
+    told = stash(quoted.splits(lines), "splits")
+    kinds = told.select("encoding", "sep", "header").distinct().collect()
     if not kinds:
         raise FileNotFoundError(glob)
     named = {(k.encoding, k.sep, bytes(k.header)): _header_names(k.header, k.encoding, k.sep) for k in kinds}
-    joined = lines.select("file", "text").join(files, "file").where(F.col("text").cast("binary") != F.col("header"))
-    text = F.when(F.col("encoding") == "utf-8", F.col("text")).otherwise(F.decode(F.col("text").cast("binary"), "ISO-8859-1"))
+    kind = F
+    for i, key in enumerate(named):
+        kind = kind.when((F.col("encoding") == key[0]) & (F.col("sep") == key[1]) & (F.col("header") == F.lit(key[2])), i)
+    few = told.count() <= BROADCAST_ROWS
+    sides = told.withColumn("kind", kind)
+    held = quoted.records(lines, F.broadcast(sides) if few else sides, few)
+
+    pick = lambda values: F.get(F.array(*[F.lit(v) for v in values]), F.col("kind"))
+    encoding, sep_, header = zip(*named, strict=True)
+    record = F.regexp_replace(F.hex("text"), "^EFBBBF|0D$", "")
+    dialect = held.select("file", "kind", F.unhex(record).alias("raw"), pick(encoding).alias("encoding"), pick(sep_).alias("sep"), pick(map(len, named.values())).alias("width"), pick(header).alias("header"))
+    text = F.when(F.col("encoding") == "utf-8", F.col("raw").cast("string")).otherwise(F.decode("raw", "ISO-8859-1"))
     cells = F
     for sep, width in sorted({(key[1], len(names)) for key, names in named.items()}):
         schema = ", ".join(f"_{i} string" for i in range(width)) + ", _bad string"
-        row = F.from_csv(text, schema, {"sep": sep, "columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
+        row = F.from_csv(text, schema, {"sep": sep, "columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE", "escape": '"'})
         good = F.when(row["_bad"].isNull(), F.array(*[row[f"_{i}"] for i in range(width)]))
         cells = cells.when((F.col("sep") == sep) & (F.col("width") == width), good)
-    kind = F
-    for i, key in enumerate(named):
-        kind = kind.when((F.col("encoding") == key[0]) & (F.col("sep") == key[1]) & (F.col("header") == F.lit(key[2])), i)
-    widths = F.array(*[F.lit(len(n)) for n in named.values()])
-    parsed = joined.withColumn("kind", kind).withColumn("width", F.get(widths, F.col("kind"))).select("file", "kind", cells.alias("cells")).where("cells is not null")
+    parsed = dialect.where(F.col("raw") != F.col("header")).select("file", "kind", cells.alias("cells")).where("cells is not null")
     places = [dict((n, i) for i, n in normal_names(names)) for names in named.values()]
     columns = list(dict.fromkeys(n for own in places for n in own))
     at = lambda n: F.get(F.array(*[F.lit(own.get(n)).cast("int") for own in places]), F.col("kind"))
