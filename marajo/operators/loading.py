@@ -8,9 +8,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marajo.session import stash
+
 NAME_LIMIT = 57
 
 
@@ -62,26 +64,31 @@ def union_batches(frames: Sequence[DataFrame], stamp: Column | None = None) -> D
     return out if stamp is None else out.withColumn("dt_ingest", stamp)
 
 
-def full_refresh(df: DataFrame, path: str) -> None:
-    """Replace the dataset at ``path``: the new one is written aside, the old one renamed aside, the new one put in its
-    place, the old one deleted. A job that fails at any point leaves one of both whole, under ``path`` or beside it."""
-    spark, mark = df.sparkSession, uuid.uuid4().hex
-    root = path.rstrip("/")
+def swap_in(spark: SparkSession, new: str, path: str) -> None:
+    """Put what is at ``new`` in place of what is at ``path``: the old one is renamed aside, the new one renamed, the old one
+    deleted. A job that fails at any point leaves one of both whole, under ``path`` or beside it."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    place, new, old = hadoop(root), hadoop(f"{root}.{mark}.new"), hadoop(f"{root}.{mark}.old")
-    df.write.parquet(new.toString())
+    place, fresh, old = hadoop(path), hadoop(new), hadoop(f"{path}.{uuid.uuid4().hex}.old")
     store = place.getFileSystem(spark._jsc.hadoopConfiguration())
     had = store.exists(place)
     if had and not store.rename(place, old):
-        raise OSError(f"can't move {root} aside")
-    if not store.rename(new, place):
+        raise OSError(f"can't move {path} aside")
+    if not store.rename(fresh, place):
         if had:
             store.rename(old, place)
-        raise OSError(f"can't put the new data in place of {root}")
+        raise OSError(f"can't put the new data in place of {path}")
     if had:
         store.delete(old, True)
 
 
+def full_refresh(df: DataFrame, path: str) -> None:
+    """Replace the dataset at ``path``: the new one is written aside and swapped in (see :func:`swap_in`)."""
+    root = path.rstrip("/")
+    new = f"{root}.{uuid.uuid4().hex}.new"
+    df.write.parquet(new)
+    swap_in(df.sparkSession, new, root)
+
+
 def stamp(df: DataFrame, layer: str, has_ingest_date: bool = True, at: Column | None = None) -> DataFrame:
     """Audit columns of a layer, ``silver`` or ``gold``; without an ingest date that column is null."""
     if layer not in ("silver", "gold"):
@@ -112,6 +119,43 @@ def table_names(files: DataFrame, path: str = "path", order: str = "processed_at
     return named.withColumn("table_name", F.when(n == 0, F.col("_base")).otherwise(F.concat("_base", F.lit("_"), F.lpad(n.cast("string"), 4, "0")))).drop("_base")
 
 
+def rename_plan(ledger: DataFrame, existing: DataFrame, path: str = "path", order: str = "processed_at") -> DataFrame:
+    """What becomes of each ledger entry's ``table_name`` under today's naming: ``path``, ``table_name``, ``new_name``, ``outcome`` and
+    ``step``. ``existing`` has the ``table_name`` of every table there is.
+
+    ``kept`` entries have their name already; ``skipped`` ones have no table, so the ledger alone changes; the others are moves
+    of a table, and a move is possible once its new name is free: it is nobody's, or its holder has moved on before. Moves
+    form chains (every name has one holder and is wanted once), so those that end at a free name are ``renamed``, from
+    their end on: ``step`` 0 first, then the one that waits for it. Chains that end at a table that stays, and cycles, are
+    ``conflict``. The steps are found by doubling: each round a move learns where the chain stands twice as far on, so
+    rounds grow with the logarithm of the longest chain.
+    """
+    named = table_names(ledger.select(path, order, F.col("table_name").alias("_old")), path, order)
+    plan = named.select(path, F.col("_old").alias("table_name"), F.col("table_name").alias("new_name"))
+    held = existing.select(F.col("table_name").alias("_there")).distinct()
+    told = plan.join(held, F.col("table_name") == F.col("_there"), "left")
+    first = F.row_number().over(Window.partitionBy("table_name").orderBy(path))  # two entries of one table: the first moves it
+    same = F.col("table_name") == F.col("new_name")
+    lost = F.col("_there").isNull() | (first > 1)
+    told = stash(told.withColumn("outcome", F.when(same, "kept").when(lost, "skipped")).drop("_there"), "plan")
+
+    moves = told.where("outcome is null").select(F.col("table_name").alias("name"), F.col("new_name").alias("next"))
+    # a name that is held but not moved ends its chain badly: it stands for itself as its own next
+    stays = held.select(F.col("_there").alias("name")).join(moves.select("name"), "name", "left_anti").select("name", F.col("name").alias("next"))
+    hops = moves.unionByName(stays).select("name", "next", F.lit(1).cast("long").alias("hops"))
+    n, far = moves.count(), 1
+    while far <= n:  # a chain is at most as long as there are moves; what goes on longer is a cycle or a table that stays
+        ahead = hops.select(F.col("name").alias("next"), F.col("next").alias("_next"), F.col("hops").alias("_hops"))
+        hops = stash(hops.join(ahead, "next", "left").select("name", F.coalesce("_next", "next").alias("next"), (F.col("hops") + F.coalesce("_hops", F.lit(0))).alias("hops")), "hops")
+        far *= 2
+    # where the walk has come to a name without a holder, the chain is free
+    ends = hops.join(hops.select(F.col("name").alias("next"), F.lit(True).alias("_held")), "next", "left").where("_held is null")
+    free = ends.select(F.col("name").alias("table_name"), (F.col("hops") - 1).alias("step"))
+    found = told.join(free, "table_name", "left")
+    moved = F.when(F.col("step").isNotNull(), "renamed").otherwise("conflict")
+    return found.select(path, "table_name", "new_name", F.coalesce("outcome", moved).alias("outcome"), F.when(F.col("outcome").isNull(), F.col("step")).alias("step"))
+
+
 def half_year_windows(spark, start: str, end: str) -> DataFrame:
     """``begins`` and ``ends`` (exclusive) of the half years from January and July that meet ``[start, end)``, clipped."""
     s, e = F.lit(start).cast("date"), F.lit(end).cast("date")

@@ -5,11 +5,15 @@ Ratios are doubles. ``nulls`` says where nulls go in a descending order: databas
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
+
+from marajo.operators.observed import unique_on
+from marajo.operators.ordered import over_order
 
 
 def _cols(names: str | Sequence[str]) -> list[str]:
@@ -57,9 +61,14 @@ def gate_rows(df: DataFrame, col: str, prefix: str = "20") -> DataFrame:
 # --- joins --------------------------------------------------------------------------------------------------
 
 
-def enrich(base: DataFrame, parts: Sequence[tuple[DataFrame, str | Sequence[str]]]) -> DataFrame:
-    """Left equi-joins of a star; each part must be unique on its keys. Small parts are broadcast by their size."""
-    return reduce(lambda df, part: df.join(part[0], _cols(part[1]), "left"), parts, base)
+def enrich(base: DataFrame, parts: Sequence[tuple[DataFrame, str | Sequence[str]]], checked: bool = True) -> DataFrame:
+    """Left equi-joins of a star; each part must be unique on its keys. Small parts are broadcast by their size.
+
+    A part that repeats a key fails the job (null keys match nothing and may repeat). ``checked=False`` leaves that out,
+    for parts that are unique by the way they are made.
+    """
+    unique = (lambda part, keys: unique_on(part, keys)) if checked else (lambda part, keys: part)
+    return reduce(lambda df, part: df.join(unique(part[0], _cols(part[1])), _cols(part[1]), "left"), parts, base)
 
 
 def full_outer_coalesce(a: DataFrame, b: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -82,11 +91,15 @@ def join_prior(df: DataFrame, keys: Sequence[str], year: str, measures: Sequence
 
 
 def cross_scalars(*frames: DataFrame) -> DataFrame:
-    """One row of the columns of frames that have a single row each; checked, as more rows would multiply."""
-    for frame in frames:
-        if len(frame.take(2)) != 1:
-            raise ValueError(f"not a single row: {frame.columns}")
-    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), frames)
+    """One row of the columns of frames that have a single row each; a job that finds another number of rows fails, as they
+    would multiply. Nothing runs before."""
+
+    def only(frame: DataFrame) -> DataFrame:
+        one = frame.agg(F.count(F.lit(1)).alias("n"), F.first(F.struct(*frame.columns)).alias("row"))
+        found = F.when(F.col("n") == 1, F.col("row")).otherwise(F.raise_error(F.lit(f"not a single row: {frame.columns}")))
+        return one.select(found.alias("row")).select("row.*")
+
+    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), map(only, frames))
 
 
 def densify(facts: DataFrame, keys: str | Sequence[str], category: str, categories: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -218,31 +231,44 @@ def latest_stamp(*cols: str) -> Column:
 # --- windows ------------------------------------------------------------------------------------------------
 
 
-def _over(order: str, partition: Sequence[str] | None):
-    """Without a partition all rows meet in one task: give one, or aggregate to the period grain first."""
-    return Window.partitionBy(*(partition or [])).orderBy(order)
+#: As ``partition``: all rows are one series, too many for one task (see ``ordered.over_order``).
+RANGED = "ranged"
+
+Partition = Sequence[str] | str | None
 
 
-def pct_change(df: DataFrame, value: str, order: str, k: int = 1, partition: Sequence[str] | None = None, digits: int = 1, name: str | None = None) -> DataFrame:
+def _windowed(df: DataFrame, order: str | Sequence[str], partition: Partition, back: int, name: str, make: Callable[[WindowSpec], Column]) -> DataFrame:
+    """``df`` with ``name``, made of a window that looks back at most ``back`` rows.
+
+    Without a partition all rows meet in one task: give one, aggregate to the period grain first, or say ``RANGED``.
+    """
+    if partition == RANGED:
+        return over_order(df, _cols(order), back, lambda w: {name: make(w)})
+    return df.withColumn(name, make(Window.partitionBy(*(partition or [])).orderBy(*_cols(order))))
+
+
+def pct_change(df: DataFrame, value: str, order: str | Sequence[str], k: int = 1, partition: Partition = None, digits: int = 1, name: str | None = None) -> DataFrame:
     """Percent change against the value ``k`` rows before; null if that is null or 0."""
-    before = F.lag(value, k).over(_over(order, partition))
-    return df.withColumn(name or f"{value}_change_{k}", ratio_change(F.col(value), before, digits))
+    return _windowed(df, order, partition, k, name or f"{value}_change_{k}", lambda w: ratio_change(F.col(value), F.lag(value, k).over(w), digits))
 
 
-def ratio_of_rates(df: DataFrame, rate: str, order: str, k: int = 12, partition: Sequence[str] | None = None, name: str | None = None) -> DataFrame:
+def ratio_of_rates(df: DataFrame, rate: str, order: str | Sequence[str], k: int = 12, partition: Partition = None, name: str | None = None) -> DataFrame:
     """``(1 + rate) / (1 + rate k rows before) - 1``: a ratio of two single-period rates, not compounding."""
-    before = F.lag(rate, k).over(_over(order, partition))
-    return df.withColumn(name or f"{rate}_ratio_{k}", F.try_divide(1 + F.col(rate), 1 + before) - 1)
+    return _windowed(df, order, partition, k, name or f"{rate}_ratio_{k}", lambda w: F.try_divide(1 + F.col(rate), 1 + F.lag(rate, k).over(w)) - 1)
 
 
-def compound_rates(df: DataFrame, rate: str, order: str, n: int = 12, partition: Sequence[str] | None = None, name: str | None = None) -> DataFrame:
+def compound_rates(df: DataFrame, rate: str, order: str | Sequence[str], n: int = 12, partition: Partition = None, name: str | None = None) -> DataFrame:
     """Compounded rate of the last ``n`` rows, null before there are ``n``."""
-    w = _over(order, partition).rowsBetween(-n + 1, 0)
-    return df.withColumn(name or f"{rate}_compound_{n}", F.when(F.count(rate).over(w) == n, F.exp(F.sum(F.log1p(rate)).over(w)) - 1))
+
+    def make(w: WindowSpec) -> Column:
+        last = w.rowsBetween(-n + 1, 0)
+        return F.when(F.count(rate).over(last) == n, F.exp(F.sum(F.log1p(rate)).over(last)) - 1)
+
+    return _windowed(df, order, partition, n - 1, name or f"{rate}_compound_{n}", make)
 
 
-def rolling_sum(df: DataFrame, value: str, order: str, n: int = 12, partition: Sequence[str] | None = None, name: str | None = None) -> DataFrame:
-    return df.withColumn(name or f"{value}_rolling_{n}", F.sum(value).over(_over(order, partition).rowsBetween(-n + 1, 0)))
+def rolling_sum(df: DataFrame, value: str, order: str | Sequence[str], n: int = 12, partition: Partition = None, name: str | None = None) -> DataFrame:
+    return _windowed(df, order, partition, n - 1, name or f"{value}_rolling_{n}", lambda w: F.sum(value).over(w.rowsBetween(-n + 1, 0)))
 
 
 def ytd(df: DataFrame, value: str, year: str, order: str, partition: Sequence[str] = ()) -> DataFrame:
@@ -263,9 +289,15 @@ def period_close(df: DataFrame, keys: Sequence[str], at: str, value: str, unit:
     return df.where(F.col(value).isNotNull()).groupBy(*keys, F.to_date(F.date_trunc(unit, at)).alias("period")).agg(F.max_by(value, at).alias(value))
 
 
-def change_since_start(df: DataFrame, value: str, order: str, partition: Sequence[str] | None = None, digits: int = 1) -> DataFrame:
-    first = F.first(value).over(_over(order, partition).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return df.withColumn(f"{value}_since_start", ratio_change(F.col(value), first, digits))
+def change_since_start(df: DataFrame, value: str, order: str | Sequence[str], partition: Partition = None, digits: int = 1) -> DataFrame:
+    """Percent change since the first row of the series; with ``RANGED`` the first of all is looked up by an aggregate."""
+    name = f"{value}_since_start"
+    if partition == RANGED:
+        rank = F.struct(*[x for i, c in enumerate(_cols(order)) for x in (F.col(c).isNotNull().alias(f"n{i}"), F.col(c).alias(f"c{i}"))])
+        first = df.agg(F.min_by(F.struct(value), rank)[value].alias("_first"))
+        return df.crossJoin(F.broadcast(first)).withColumn(name, ratio_change(F.col(value), F.col("_first"), digits)).drop("_first")
+    whole = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return _windowed(df, order, partition, 0, name, lambda w: ratio_change(F.col(value), F.first(value).over(whole(w)), digits))
 
 
 def change_since_base(df: DataFrame, value: str, at: str, base, keys: Sequence[str] = (), digits: int = 1) -> DataFrame:

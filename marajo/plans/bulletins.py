@@ -115,7 +115,7 @@ def labour_report(occupied: DataFrame, income: DataFrame) -> DataFrame:
     """P8 gold. Quarter-end months of both surveys (``ocupados``, ``rendimento``) side by side under the later stamp."""
     names = {"rendimento_construcao": "rend_const_rs", "rendimento_total": "rend_total_rs", "var_mes": "rend_const_var_mes", "var_ano": "rend_const_var_ano", "dt_ingest": "_r"}
     right = T.quarter_end_months(income, "mes").select("periodo", *[F.col(c).alias(n) for c, n in names.items()])
-    both = T.enrich(T.quarter_end_months(occupied, "mes"), [(right, "periodo")])
+    both = T.enrich(T.quarter_end_months(occupied, "mes"), [(right, "periodo")], checked=False)
     return both.orderBy("ano", "trimestre").select(
         "ano", "trimestre", "periodo", F.col("ocupados_construcao").alias("pnad_const_milhares"), F.col("ocupados_total").alias("pnad_total_milhares"),
         F.col("var_mes").alias("pnad_const_var_mes"), F.col("var_ano").alias("pnad_const_var_ano"), *[n for n in names.values() if n != "_r"], T.latest_stamp("dt_ingest", "_r").alias("dt_ingest"),
@@ -215,7 +215,7 @@ def fund_loans(monthly: DataFrame, values: tuple[Sequence[str], Sequence[str]] =
 def loans_by_quarter(fund: DataFrame, savings_loans: DataFrame) -> DataFrame:
     """P15 silver. Quarterly units of the fund's and savings-funded loans side by side."""
     by = lambda df, c, name: df.groupBy("ano", "trimestre").agg(F.sum(c).alias(name))
-    return T.enrich(by(fund, f"{_PF}uh_total_geral", "fgts_uh"), [(by(savings_loans, "sbpe_const", "sbpe_uh"), ["ano", "trimestre"])])
+    return T.enrich(by(fund, f"{_PF}uh_total_geral", "fgts_uh"), [(by(savings_loans, "sbpe_const", "sbpe_uh"), ["ano", "trimestre"])], checked=False)
 
 
 def quarter_periods(quarters: DataFrame, measures: Sequence[str], periods: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -389,7 +389,7 @@ def ticket_against_cost(tickets: DataFrame, cost: DataFrame, base_date: str, fir
     index = cost.groupBy("ano", "trimestre").agg(F.round(quarter("var_tri"), 1).alias("incc_var_tri"), quarter("indice").alias("_index"))
     base = cost.agg(F.max(F.when(F.col("data_referencia") == F.lit(base_date).cast("date"), F.col("indice"))).alias("_base"))
     index = index.crossJoin(F.broadcast(base)).withColumn("incc_acum_4t20", T.ratio_change(F.col("_index"), F.col("_base"))).drop("_index", "_base")
-    both = T.enrich(wide, [(index, ["ano", "trimestre"])])
+    both = T.enrich(wide, [(index, ["ano", "trimestre"])], checked=False)
     order = ["incc_var_tri", *[f"{p}_var_tri" for p in companies.values()], "incc_acum_4t20", *[f"{p}_acum_4t20" for p in companies.values()]]
     return both.where(F.col("ano") * 4 + F.col("trimestre") >= first[0] * 4 + first[1]).orderBy("ano", "trimestre").select("ano", "trimestre", *order)
 

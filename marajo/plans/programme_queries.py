@@ -76,6 +76,15 @@ def _clean_value(kind: str, j: int) -> str:
     }[kind]
 
 
+def raw_table(t, table):
+    """A raw text table; of several names of a column all but the last are blank in every other row."""
+    raw = []
+    for j, (sources, _, kind) in enumerate(table, 1):
+        value = _raw_value(kind, j)
+        raw += [(value if i == len(sources) - 1 else F.when(F.col("o_orderkey") % 2 == 0, value).otherwise("")).alias(s) for i, s in enumerate(sources)]
+    return t("orders").select(*raw)
+
+
 def _bronze_query(name: str, table, only: str | None = None) -> None:
     """Register the typing of one raw table; ``only`` is the programme that the lender's snapshot is cut down to."""
     names = [n for _, n, _ in table]

@@ -67,6 +67,7 @@ def entity_a(register: DataFrame, proposals: DataFrame, works: DataFrame, priori
         own,
         [(latest, "id_proposta"), (works.select("apf", "pct_obra_realizada", "dt_conclusao_obra", "dt_entrega"), "apf"),
          (priority.select("apf", "situacao", "pct_execucao", "valor_desembolsado", "valor_aporte_adicional", "dt_previsao_entrega"), "apf")],
+        checked=False,
     )
     return star.select(
         "apf", F.coalesce("portaria_contratacao", F.lit("Não informada")).alias("portaria_selecao"), "proponente_cnpj", "proponente_nome", "tomador_cnpj", "tomador_nome",
@@ -125,7 +126,7 @@ def cash_curve(disbursements: DataFrame, entity: DataFrame, amounts: Mapping[str
 def cash_chart_a(curve: DataFrame, sheet: DataFrame, states: DataFrame) -> DataFrame:
     """P32 chart. Programme A's curve with the sheet's names, the state's name and labels of the month."""
     names = sheet.select("apf", "nome_empreendimento", "apf_municipio_empreendimento")
-    star = T.enrich(curve, [(names, "apf"), (states.select(F.col("sigla").alias("uf"), F.upper("nome").alias("estado")), "uf")])
+    star = T.enrich(curve, [(names, "apf"), (states.select(F.col("sigla").alias("uf"), F.upper("nome").alias("estado")), "uf")], checked=False)
     label = C.date_labels("mes")
     two = [*list(AMOUNTS_A)[:5], "vr_acumulado", "valor_contratado"]
     return star.select(
@@ -136,7 +137,7 @@ def cash_chart_a(curve: DataFrame, sheet: DataFrame, states: DataFrame) -> DataF
 
 def cash_chart_b(curve: DataFrame, sheet: DataFrame) -> DataFrame:
     """P40 chart. Programme B's curve under report names, with the physical progress of its sheet."""
-    star = T.enrich(curve, [(sheet.select("apf", "apf_municipio_empreendimento", "percentual_execucao_fisica"), "apf")])
+    star = T.enrich(curve, [(sheet.select("apf", "apf_municipio_empreendimento", "percentual_execucao_fisica"), "apf")], checked=False)
     label = C.date_labels("mes")
     names = {"liberado": "liberado", "pago_obra": "obra", "pago_terreno": "terreno", "pago_pts": "ts", "pago_projeto": "projeto", "pago_incc": "incc"}
     return star.select(
@@ -154,7 +155,7 @@ def physical_against_financial(curve: DataFrame, works: DataFrame, entity: DataF
     done = F.max(F.col("pct_obra_realizada").cast("double")).alias("pct_obra_realizada")
     physical = works.where("dt_alteracao_situacao is not null").groupBy("apf", month).agg(done)
     filled = T.locf(T.full_outer_coalesce(financial, physical, ["apf", "mes"]), "apf", "mes", ["pct_obra_realizada", "pct_executado_financeiro"])
-    named = T.enrich(filled, [(entity.select("apf", "municipio", "uf", "empreendimento_nome"), "apf")])
+    named = T.enrich(filled, [(entity.select("apf", "municipio", "uf", "empreendimento_nome"), "apf")], checked=False)
     return named.select("apf", _place()[1], F.date_format("mes", "yyyy-MM-dd").alias("mes"), "pct_obra_realizada", "pct_executado_financeiro")
 
 
@@ -187,7 +188,7 @@ def national_map(sheets: DataFrame, states: DataFrame) -> DataFrame:
         F.coalesce(F.avg("percentual_execucao_fisica"), F.lit(0.0)).alias("media_execucao_fisica"),
     )
     sums = ["total_municipios", "total_empreendimentos", "total_uhs", "total_valor_contratado", "total_valor_desembolsado"]
-    units = T.enrich(units, [(states.select(F.col("sigla").alias("uf"), F.col("nome").alias("estado_nome"), "regiao_sigla", "regiao_nome"), "uf")])
+    units = T.enrich(units, [(states.select(F.col("sigla").alias("uf"), F.col("nome").alias("estado_nome"), "regiao_sigla", "regiao_nome"), "uf")], checked=False)
     regions = units.groupBy("regiao_sigla", "regiao_nome").agg(*[F.sum(c).alias(c) for c in sums], F.avg("media_execucao_fisica").alias("media_execucao_fisica"))
     shaped = lambda df, uf, name, iso, level: df.select(
         uf.alias("uf"), name.alias("estado_nome"), iso.alias("iso_3166_2"), "regiao_sigla", "regiao_nome", F.lit(level).alias("nivel"), *sums,
@@ -222,7 +223,7 @@ def state_panel(sheets: DataFrame, states: DataFrame, situations: Sequence[str]
     panel = T.sectioned_panel({
         "header": header, "metodo": dist(F.col("metodo")), "portaria": dist(ordinance), "demanda": dist(F.col("demanda")), "situacao": situation, "execucao_fisica": bands,
     })
-    named = T.enrich(panel, [(states.select(F.col("sigla").alias("uf"), F.upper("nome").alias("estado")), "uf")])
+    named = T.enrich(panel, [(states.select(F.col("sigla").alias("uf"), F.upper("nome").alias("estado")), "uf")], checked=False)
     return named.select(
         "uf", "estado", F.col("section").alias("secao"), "dimensao", F.coalesce("position", F.lit(0)).alias("ordem"), "qtd_empreendimentos", "qtd_uhs",
         "valor_1", "valor_2", "valor_3", "valor_4", "total_empreendimentos_uf",
@@ -272,6 +273,7 @@ def entity_b(register: DataFrame, works: DataFrame, snapshot: DataFrame, social:
     star = T.enrich(
         register.select(*own, F.left("apf", F.lit(6)).alias("_root")),
         [(works.select("apf", *done_columns), "apf"), (latest, "apf"), (social.select("apf", "co_situacao_trabalho_social", "pct_execucao_ts", "dt_aprovacao_pts"), "apf"), (paid, "_root")],
+        checked=False,
     )
     units = F.greatest(_zero("qt_uh_construcao", "int"), _zero("qt_uh_projeto", "int"))
     contract, spent, done = _zero("vr_total_investimento"), _zero("paid"), _zero("pct_obra_realizada")

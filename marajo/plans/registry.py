@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 FLAGSHIP = "s9_state_panel"
 
 #: Modules of this package that register queries.
-MODULES: tuple[str, ...] = ("cleaning_queries", "table_queries", "load_queries", "pipeline_queries", "programme_queries")
+MODULES: tuple[str, ...] = ("cleaning_queries", "table_queries", "load_queries", "pipeline_queries", "programme_queries", "scale_queries")
 
 Query = Callable[[SparkSession, str], DataFrame]
 

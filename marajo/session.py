@@ -23,6 +23,7 @@ def build_session(app: str = "marajo", master: str | None = None, **conf: str) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",  # a call site for each column makes wide plans slow
     } | conf
     builder = SparkSession.builder.appName(app)
     if master:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marajo.operators.loading import full_refresh, normal_names, upsert
+from marajo.operators.loading import full_refresh, normal_names, swap_in, upsert
+from marajo.operators.stored import upsert_into
 from marajo.session import BROADCAST_ROWS, small_side, stash
 from marajo.sources import quoted
 
@@ -72,11 +74,19 @@ def read_delimited_drop(spark: SparkSession, glob: str) -> DataFrame:
     wherever they stand; a record with another number of cells than its header is malformed, as is one that is never closed.
     Lines end at line feeds, with or without a carriage return.
     """
-    lines = quoted.raw_lines(spark, glob)
+    try:
+        return delimited(quoted.raw_lines(spark, glob))
+    except LookupError:
+        raise FileNotFoundError(glob) from None
+
+
+def delimited(lines: DataFrame) -> DataFrame:
+    """:func:`read_delimited_drop` of lines that are there already: ``file``, ``block``, ``id`` and ``text``, those of a block in
+    the order of ``id`` and in one partition."""
     told = stash(quoted.splits(lines), "splits")
     kinds = told.select("encoding", "sep", "header").distinct().collect()
     if not kinds:
-        raise FileNotFoundError(glob)
+        raise LookupError("no lines")
     named = {(k.encoding, k.sep, bytes(k.header)): _header_names(k.header, k.encoding, k.sep) for k in kinds}
     kind = F
     for i, key in enumerate(named):
@@ -136,10 +146,40 @@ def positional(lines: DataFrame, mapping: Mapping[int, str], skiprows: int = 0,
 
 
 def replicate_tables(spark: SparkSession, config: Mapping[str, Sequence[str]], read: Callable[[str], DataFrame], target: Callable[[str], DataFrame], order: str) -> dict[str, DataFrame]:
-    """Each configured table read whole (``read`` may be a JDBC scan) and upserted to its target by primary key."""
+    """Each configured table read whole (``read`` may be :func:`scan_source`) and upserted to its target by primary key."""
     return {name: upsert(target(name), read(name), keys, order) for name, keys in config.items()}
 
 
+def scan_source(spark: SparkSession, url: str, table: str, key: str, tasks: int = 16, fetch: int = 10_000, **options: str) -> DataFrame:
+    """A table of a source database over JDBC, read by ``tasks`` tasks at once, each a range of the numeric ``key``.
+
+    The bounds are the key's quantiles, asked of the source by a query over the key alone, so ranges hold about equal numbers
+    of rows however the key is spread. The ranges cover everything: the first has null keys and all below, the last
+    all above. An empty table gives an empty frame.
+    """
+    ask = lambda query: spark.read.format("jdbc").options(url=url, query=query, fetchsize=str(fetch), **options).load()
+    keys = ask(f"select {key} as k from {table}")
+    bounds = keys.select(F.percentile_approx(F.col("k").cast("long"), [i / tasks for i in range(1, tasks)], 10_000)).first()[0] or []
+    cuts = sorted(set(bounds))
+    if not cuts:
+        where = ["1 = 1"]
+    else:
+        inner = [f"{key} > {a} and {key} <= {b}" for a, b in zip(cuts, cuts[1:])]
+        where = [f"{key} <= {cuts[0]} or {key} is null", *inner, f"{key} > {cuts[-1]}"]
+    return spark.read.jdbc(url, table, predicates=where, properties={"fetchsize": str(fetch)} | options)
+
+
+def replicate(spark: SparkSession, url: str, config: Mapping[str, Sequence[str]], root: str, tasks: int = 16, **options: str) -> None:
+    """Every configured table of a source database loaded into its keyed target under ``root``; the first key cuts the scan."""
+    for name, keys in config.items():
+        rows = scan_source(spark, url, name, keys[0], tasks, **options)
+        upsert_into(f"{root.rstrip('/')}/{name}", rows, [c for c in rows.columns if c.lower() in {k.lower() for k in keys}], rows.columns[0])
+
+
+#: Rows of a frame of a report at most.
+REPORT_ROWS = 10_000
+
+
 def report_document(
     frames: Mapping[str, DataFrame], maps: Mapping[str, tuple[str, str]] = {}, defaults: Mapping[str, dict] = {}, order: Mapping[str, Sequence[Column | str]] = {}
 ) -> DataFrame:
@@ -147,21 +187,41 @@ def report_document(
 
     A frame in ``maps`` (key and value column) becomes an object, one in ``defaults`` its only row with nulls
     replaced, any other a list of its rows, ascending by the expressions in ``order``, else by its columns. Frames are
-    reports: small by nature, each checked to be at most 10,000 rows.
+    reports, small by nature: a job that finds one of more than ``REPORT_ROWS`` fails, having read so many and one. Nothing
+    runs before the document is asked for, and then everything at once.
     """
     parts = []
     for name, frame in frames.items():
-        if len(frame.take(10_001)) > 10_000:
-            raise ValueError(f"{name} is no report: more than 10,000 rows")
+        few = frame.limit(REPORT_ROWS + 1)
         if name in maps:
             key, value = maps[name]
-            part = frame.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(key).cast("string"), F.col(value))))).alias(name))
+            part = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(key).cast("string"), F.col(value)))))
         elif name in defaults:
-            part = frame.agg(F.struct(*[F.coalesce(F.max(c), F.lit(v)).alias(c) for c, v in defaults[name].items()]).alias(name))
+            part = F.struct(*[F.coalesce(F.max(c), F.lit(v)).alias(c) for c, v in defaults[name].items()])
         else:
             keys = [(F.col(k) if isinstance(k, str) else k).alias(f"k{i}") for i, k in enumerate(order.get(name, frame.columns))]
             rows = F.sort_array(F.collect_list(F.struct(F.struct(*keys).alias("at"), F.struct(*frame.columns).alias("row"))))
-            part = frame.agg(F.transform(rows, lambda r: r["row"]).alias(name))
-        parts.append(part)
-    whole = reduce(lambda a, b: a.crossJoin(b), parts)
-    return whole.select(F.to_json(F.struct(*frames)).alias("document"))
+            part = F.transform(rows, lambda r: r["row"])
+        made = few.agg(part.alias("part"), F.count(F.lit(1)).alias("n"))
+        whole = F.when(F.col("n") <= REPORT_ROWS, F.col("part")).otherwise(F.raise_error(F.lit(f"{name} is no report: more than {REPORT_ROWS} rows")))
+        parts.append(made.select(whole.alias(name)))
+    joined = reduce(lambda a, b: a.crossJoin(b), parts)
+    return joined.select(F.to_json(F.struct(*frames)).alias("document"))
+
+
+def write_document(document: DataFrame, path: str) -> None:
+    """Put the document into the one file ``path``. It is written aside whole and then swapped in, so a reader finds the old
+    document or the new one, and a job that fails leaves the last good one."""
+    spark, root = document.sparkSession, path.rstrip("/")
+    aside = f"{root}.{uuid.uuid4().hex}.new"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    folder = hadoop(aside)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        document.coalesce(1).write.text(aside)
+        parts = [s.getPath() for s in store.listStatus(folder) if s.getPath().getName().startswith("part-") and s.getLen() > 0]
+        if len(parts) != 1:
+            raise ValueError(f"{len(parts)} files in place of one document")
+        swap_in(spark, parts[0].toString(), root)
+    finally:
+        store.delete(folder, True)
