@@ -56,13 +56,39 @@ def checkpoint_root(spark: SparkSession) -> str:
 _WRITTEN: list[str] = []
 
 
-def discard_stashes(spark: SparkSession) -> int:
-    """Delete the tables that :func:`stash` has written in this process, when their readers are done; returns how many."""
-    hadoop, n = spark._jvm.org.apache.hadoop.fs.Path, len(_WRITTEN)
-    while _WRITTEN:
-        path = hadoop(_WRITTEN.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return n
+def remember(path: str) -> str:
+    """``path``, which :func:`discard_stashes` will delete; for folders of files that tasks write themselves."""
+    _WRITTEN.append(path)
+    return path
+
+
+def written_so_far() -> int:
+    """A mark for :func:`discard_stashes`."""
+    return len(_WRITTEN)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard_stashes(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> int:
+    """Delete what this process has written to the shared folder, when its readers are done; returns how many tables and
+    folders. ``since`` is a mark from before, ``keep`` a stashed frame that stays."""
+    held = getattr(keep, "_stash", None)
+    gone = [p for p in _WRITTEN[since:] if p != held]
+    for path in gone:
+        _delete(spark, path)
+    _WRITTEN[since:] = [p for p in _WRITTEN[since:] if p == held]
+    return len(gone)
+
+
+def forget(df: DataFrame) -> None:
+    """Delete one stashed frame's table; nothing may read it any more."""
+    path = getattr(df, "_stash", None)
+    if path in _WRITTEN:
+        _delete(df.sparkSession, path)
+        _WRITTEN.remove(path)
 
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -79,11 +105,12 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
-        _WRITTEN.append(path)
+        df.write.option("compression", "zstd").parquet(remember(path))
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    held = spark.read.schema(df.schema).parquet(path)
+    held._stash = path
+    return held
 
 
 #: Rows (a key and at most a few hundred bytes) that may be sent to every executor.
@@ -98,7 +125,9 @@ def small_side(df: DataFrame, name: str, limit: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(held) if held.count() <= limit else held
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint for small iterated tables; files go when the frame is collected as garbage."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def settle(df: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """A small iterated table, written to the shared folder; ``before`` is the round that it was made of, which is deleted now."""
+    held = stash(df, "settled")
+    if before is not None:
+        forget(before)
+    return held
