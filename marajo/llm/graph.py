@@ -14,7 +14,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Returns ``node``, ``label`` for nodes that have an edge. Null ends and self-loops are ignored, repeated
     edges count once, an empty table gives an empty result. Each round is two joins with map-side combined
     minima, so a hub with many neighbours is split like any skewed join; rounds grow with the logarithm of
-    the longest chain. Each round's edges are checkpointed in the shared folder.
+    the longest chain. Each round's edges are written to the shared folder, in place of those of the round before.
     """
     a, b = F.col("a"), F.col("b")
     now = settle(
@@ -24,7 +24,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
     mark = _fingerprint(now)
     for _ in range(max_rounds):
-        now = settle(_small_star(_large_star(now)))
+        now = settle(_small_star(_large_star(now)), before=now)
         seen, mark = mark, _fingerprint(now)
         if seen == mark:
             hubs = now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()

@@ -10,14 +10,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from marajo.session import checkpoint_root
+from marajo.session import checkpoint_root, remember
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """URI of a folder of its own in the shared folder; it is made when the first file is saved. A path without a scheme
     is in the file system that is Hadoop's default, as Spark takes it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark).rstrip('/')}/marajo-{name}-{uuid.uuid4().hex}")
-    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    uri = remember(path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString())
     return uri if "://" in uri else uri.replace("file:", "file://", 1)
 
 
@@ -41,3 +41,15 @@ def load(uri: str) -> bytes:
     store, path = fs.FileSystem.from_uri(uri)
     with store.open_input_stream(path, compression=None) as held:
         return held.read()
+
+
+def mapped(uri: str):
+    """The bytes of the file at ``uri`` as a buffer; of a file system that is mounted they are mapped, so that the workers of a
+    machine share them."""
+    import pyarrow as pa
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(uri)
+    if isinstance(store, fs.LocalFileSystem):
+        return pa.memory_map(path).read_buffer()
+    return pa.py_buffer(load(uri))
