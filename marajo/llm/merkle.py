@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marajo.llm.arrow import small_batches
-from marajo.llm.ranks import positions
+from marajo.operators.ordered import positions
 from marajo.session import small_side, stash
 
 WIDTH = 16

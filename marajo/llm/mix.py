@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marajo.llm.ranks import positions
+from marajo.operators.ordered import positions
 from marajo.session import small_side, stash
 
 WORD = r"[^\x20\x09-\x0D]+"

@@ -125,8 +125,32 @@ def lower_tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k > n * p, F.lit(1.0)).otherwise(F.exp(F.aggregate(upto, start, step, lambda a: a["sum"])))
 
 
+def _need(m: Column, rules: Rules) -> Column:
+    """Good holdout documents without which nothing can be certified at an ``m``-th of the level, even with no rejection among them."""
+    return F.ceil(F.ln(F.lit(rules.level) / m) / math.log1p(-rules.risk))
+
+
+def strata(labelled: DataFrame, rules: Rules) -> DataFrame:
+    """``stratum`` and the ``tested`` stratum that its documents are judged in (null: in none): its own, or, for all that have too few
+    labels to be certified alone, one together.
+
+    How many strata are tested decides how many labels each needs, and that decides how many are tested: it is the smallest
+    number that fits. Only numbers of labels are looked at, which say nothing about rejections, so the level holds.
+    """
+    sizes = stash(labelled.groupBy("stratum").agg(F.count_if(F.col("good") & ~F.col("proposes")).alias("n")), "strata")
+    rest = lambda m: F.aggregate(F.filter("ns", lambda n: n < _need(m, rules)), F.lit(0).cast("long"), lambda a, n: a + n)
+    alone = lambda m: F.size(F.filter("ns", lambda n: n >= _need(m, rules)))
+    together = lambda m: rest(m) >= _need(m, rules)
+    fits = F.filter(F.sequence(F.lit(1), F.greatest(F.size("ns"), F.lit(1))), lambda m: alone(m) + together(m).cast("int") <= m)
+    m = sizes.agg(F.collect_list("n").alias("ns")).withColumn("m", F.array_min(fits))
+    one = m.select(_need(F.col("m"), rules).alias("need"), together(F.col("m")).alias("together"))
+    own = F.when(F.col("n") >= F.col("need"), F.concat(F.lit("="), "stratum")).when(F.col("together"), F.lit("*"))
+    return sizes.crossJoin(F.broadcast(one)).select("stratum", own.alias("tested"))
+
+
 def thresholds(found: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """``stratum`` and ``limits`` (map from rule to cutoff) certified on the labelled documents of ``found``.
+    """``stratum`` and ``limits`` (map from rule to cutoff) certified on the labelled documents of ``found``. Strata with few labels
+    are certified together, if at all (see :func:`strata`): for them, the risk holds over their documents taken together.
 
     Rows of null quality or id don't count, base failures neither (they are gone already); a document id with several
     labels has its worst. Ties between cutoffs go to the laxest, between rules to the first by name.
@@ -138,6 +162,9 @@ def thresholds(found: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> D
     labelled = found.where(~F.col("base_failed")).join(known, "doc_id").select(
         "stratum", (F.col("quality") >= 1).alias("good"), values.alias("values"), (F.md5(F.col("doc_id").cast("string")) < "8").alias("proposes")
     )
+    labelled = stash(labelled, "labelled")
+    members = small_side(strata(labelled, rules).withColumnRenamed("stratum", "member"), "strata")
+    labelled = labelled.join(members, F.col("stratum") == F.col("member")).where(F.col("tested").isNotNull()).drop("stratum", "member").withColumnRenamed("tested", "stratum")
     cuts = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(float(c)).alias("cutoff"), F.lit(i).alias("at")) for r, own in rules.cutoffs.items() for i, c in enumerate(own)])
     counts = (
         labelled.where("proposes")
@@ -151,19 +178,20 @@ def thresholds(found: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> D
     # the vector in order of testing
     order = F.sort_array(F.collect_list(F.struct((-F.col("m.gain")).alias("loss"), "rule", F.col("m.cutoff").alias("cutoff"))))
     vectors = small_side(best.groupBy(F.col("stratum").alias("own")).agg(order.alias("vector")), "vectors")
-    strata = max(vectors.count(), 1)
+    n_strata = max(vectors.count(), 1)
     hit = F.array_min(F.filter(F.transform("vector", lambda v, i: F.when(F.col("values")[v["rule"]] > v["cutoff"], i + 1)), lambda i: i.isNotNull()))
     held = labelled.where(~F.col("proposes") & F.col("good")).join(vectors, F.col("stratum") == F.col("own"))
     tested = (
         held.select("own", "vector", hit.alias("hit"), F.explode(F.sequence(F.lit(1), F.size("vector"))).alias("upto"))
         .groupBy("own", "upto")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("hit") <= F.col("upto")).alias("k"), F.first("vector").alias("vector"))
-        .withColumn("passed", lower_tail(F.col("n"), F.col("k"), rules.risk) <= rules.level / strata)
+        .withColumn("passed", lower_tail(F.col("n"), F.col("k"), rules.risk) <= rules.level / n_strata)
     )
     failed = F.min(F.when(~F.col("passed"), F.col("upto")))
     certified = tested.groupBy("own").agg(F.coalesce(failed - 1, F.max("upto")).alias("upto"), F.first("vector").alias("vector")).where("upto > 0")
     chosen = F.transform(F.slice("vector", F.lit(1), F.col("upto")), lambda v: F.struct(v["rule"], v["cutoff"]))
-    return certified.select(F.col("own").alias("stratum"), F.map_from_entries(chosen).alias("limits"))
+    limits = certified.select("own", F.map_from_entries(chosen).alias("limits"))
+    return members.join(limits, F.col("tested") == F.col("own")).select(F.col("member").alias("stratum"), "limits")
 
 
 def _verdict(found: DataFrame, labels: DataFrame, rules: Rules) -> DataFrame:

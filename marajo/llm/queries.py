@@ -51,8 +51,7 @@ def _xxh64_sql(seed: int = 42) -> str:
 
 OP1_SQL = rf"""
 with recursive d as (
-  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
-]+') as ws from documents),
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
 grams as (
   select doc_id, unnest(case when len(ws) >= 3 then list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as g from d),
 hashed as (select g, cast(({_xxh64_sql()}) as ubigint) as h from (select g, hex(encode(g)) as x from (select distinct g from grams))),
@@ -184,8 +183,15 @@ long as (
   on symbol_share, dup_line_share, repeat_share, word_length into name rule value v),
 grid(rule, pos, cutoff) as (values {grid}),
 known as (select doc_id, min(quality) as quality from labels where quality is not null group by doc_id),
-labelled as (
-  select doc_id, stratum, rule, v, quality >= 1 as good, md5(cast(doc_id as varchar)) < '8' as proposes from long join known using (doc_id) where not base_failed),
+marked as (
+  select doc_id, stratum as member, rule, v, quality >= 1 as good, md5(cast(doc_id as varchar)) < '8' as proposes from long join known using (doc_id) where not base_failed),
+sizes as (select member, count(distinct doc_id) filter (good and not proposes) as n from marked group by member),
+tries as (select m, ceil(ln({rules.level!r} / m) / ln(1 - {rules.risk!r})) as need from range(1, (select greatest(count(*), 1) + 1 from sizes)) t(m)),
+chosen as (
+  select m, need, coalesce(sum(n) filter (n < need), 0) >= need as together from tries left join sizes on true group by m, need
+  having count(*) filter (n >= need) + cast(coalesce(sum(n) filter (n < need), 0) >= need as int) <= m order by m limit 1),
+members as (select member, case when n >= need then '=' || member when together then '*' end as stratum from sizes, chosen),
+labelled as (select m.* exclude (member), s.stratum from marked m join members s using (member) where s.stratum is not null),
 counts as (
   select stratum, rule, cutoff, pos, count(*) filter (not good) - count(*) filter (good) * {1 / rules.risk!r} as gain
   from labelled join grid using (rule) where proposes and v > cutoff group by all having gain > 0),
@@ -202,7 +208,8 @@ tested as (
     <= {rules.level!r} / (select count(distinct stratum) from vectors) as passed from counted),
 held as (select stratum, step from tested qualify bool_and(passed) over (partition by stratum order by step)),
 certified as (select stratum, rule, cutoff from vectors join held using (stratum, step)),
-outside as (select distinct l.doc_id from long l join certified b on l.stratum = b.stratum and l.rule = b.rule and l.v > b.cutoff)
+outside as (
+  select distinct l.doc_id from long l join members s on s.member = l.stratum join certified b on s.stratum = b.stratum and l.rule = b.rule and l.v > b.cutoff)
 select j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and o.doc_id is null as kept
 from judged j left join outside o using (doc_id)

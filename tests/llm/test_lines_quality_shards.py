@@ -70,16 +70,29 @@ def labelled_rows():
     return rows
 
 
+def plain_strata(n, rules):
+    """The stratum that each language is judged in: the fewest strata that leave each enough holdout documents."""
+    for m in range(1, len(n) + 1):
+        need = math.ceil(math.log(rules.level / m) / math.log1p(-rules.risk))
+        rest = sum(k for k in n.values() if k < need)
+        if sum(k >= need for k in n.values()) + (rest >= need) <= m:
+            return {s: s if k >= need else "*" if rest >= need else None for s, k in n.items()}
+
+
 def plain_limits(rows, rules):
-    """Certified cutoffs by stratum, by the same procedure over lists."""
+    """Certified cutoffs by language, by the same procedure over lists."""
     from collections import defaultdict
 
-    strata = defaultdict(list)
+    by, strata = defaultdict(list), defaultdict(list)
     for i, t, lang, good in rows:
         w = t.split()
         chars = sum(map(len, w))
         v = {"symbol_share": sum(c in "#*$%&|<>" for c in t) / chars, "dup_line_share": 0.0, "repeat_share": 0.0, "word_length": chars / len(w)}
-        strata[lang or ""].append((v, good, hashlib.md5(str(i).encode()).hexdigest() < "8"))
+        by[lang or ""].append((v, good, hashlib.md5(str(i).encode()).hexdigest() < "8"))
+    tested = plain_strata({s: sum(g and not p for _, g, p in own) for s, own in by.items()}, rules)
+    for s, own in by.items():
+        strata[tested[s]] += own
+    strata.pop(None, None)
     vectors = {}
     for s, own in strata.items():
         picks = []
@@ -97,7 +110,7 @@ def plain_limits(rows, rules):
             if k > n * r or sum(math.comb(n, i) * r**i * (1 - r) ** (n - i) for i in range(k + 1)) > rules.level / len(vectors):
                 break
             out[s] = {rule: c for _, rule, c in vector[:upto]}
-    return out
+    return {s: out[t] for s, t in tested.items() if t in out}
 
 
 def test_thresholds_are_certified_on_the_holdout_and_reject_bad(spark):
@@ -117,6 +130,22 @@ def test_thresholds_are_certified_on_the_holdout_and_reject_bad(spark):
     assert all(r.kept for r in quality.judge(frame, labels.limit(0)).collect())
 
 
+def test_languages_with_few_labels_are_certified_together(spark):
+    rules = quality.Rules()
+    rows = [(i, t, "abcde"[i % 5], g) for i, t, _, g in labelled_rows()[:700]]
+    labels = spark.createDataFrame([(i, g, 0) for i, _, _, g in rows], "doc_id long, quality int, toxic int")
+    frame = spark.createDataFrame([(i, t, lang) for i, t, lang, _ in rows] + [(9999, rows[0][1], "unlabelled")], "doc_id long, text string, lang string")
+    want = plain_limits(rows, rules)
+    assert set(want) == set("abcde") and len({str(x) for x in want.values()}) == 1
+    assert {r.stratum: dict(r.limits) for r in quality.thresholds(quality.measures(frame), labels, rules).collect()} == want
+    verdict = {r.doc_id: r.kept for r in quality.judge(frame, labels).collect()}
+    assert sum(verdict[i] for i, _, _, g in rows if not g) <= 60 and verdict[9999]
+    for n in ({"a": 150}, {"a": 149, "b": 148}, {"a": 500, "b": 10}, {"a": 500, "b": 500, "c": 170, "d": 100, "e": 3}, {"a": 0}, {"a": 100, "b": 40}):
+        flat = spark.createDataFrame([(s, True, False) for s, k in n.items() for _ in range(k)] + [(s, False, True) for s in n], "stratum string, good boolean, proposes boolean")
+        own = {s: t and (t if t == "*" else f"={t}") for s, t in plain_strata(n, rules).items()}
+        assert {r.stratum: r.tested for r in quality.strata(flat, rules).collect()} == own
+
+
 def test_keep_good_leaves_columns_and_judges_each_row(spark):
     labels = spark.createDataFrame([(1, 1, 0), (None, 1, 0), (3, None, None)], "doc_id long, quality int, toxic int")
     enough = AWKWARD[0][1]
