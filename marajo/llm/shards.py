@@ -14,10 +14,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marajo.session import small_side, stash
+from marajo.operators.ordered import positions
+from marajo.session import stash
 
 
 @dataclass(frozen=True)
@@ -49,18 +50,19 @@ def _tree(leaves: list[Leaf]) -> dict[int, dict[int, list[Leaf]]]:
 
 
 def _draws(key: Column, leaves: list[Leaf]) -> Column:
-    """Array of a rack's or region's shards with their draws: the hash of id and path, in proportion to the weight."""
+    """Array of the leaves' draws: the hash of id and path, in proportion to the weight."""
     unit = lambda x: (F.conv(F.substring(F.md5(F.concat_ws("|", key, F.lit(x.path))), 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
-    return F.array(*[F.struct((-F.ln(unit(x)) / float(x.weight)).alias("draw"), F.lit(x.shard).alias("shard")) for x in leaves])
+    return F.array(*[-F.ln(unit(x)) / float(x.weight) for x in leaves])
 
 
-def _descend(key: Column, leaves: list[Leaf]) -> Column:
+def _descend(draws: Column, at: dict[Leaf, int], leaves: list[Leaf]) -> Column:
     """Shard reached from the root: the region of the smallest draw, in it the rack, in it the shard; equal draws go to
-    the node of the lowest number. Null where no shard can win."""
+    the node of the lowest number. Null where no shard can win. ``at`` has each leaf's place in ``draws``."""
     tree = _tree(leaves)
     if not tree:
         return F.lit(None).cast("int")
-    racks = lambda region: F.array(*[_node(F.lit(k), _draws(key, own), "shards") for k, own in tree[region].items()])
+    shards = lambda own: F.array(*[F.struct(F.get(draws, F.lit(at[x])).alias("draw"), F.lit(x.shard).alias("shard")) for x in own])
+    racks = lambda region: F.array(*[_node(F.lit(k), shards(own), "shards") for k, own in tree[region].items()])
     regions = F.array(*[_node(F.lit(r), racks(r), "racks") for r in tree])
     region = F.array_min(regions)
     rack = F.array_min(region["racks"])
@@ -82,24 +84,25 @@ def place(docs: DataFrame, leaves: list[Leaf], grown: list[Leaf] | None = None)
     ``shard`` is null and slots number all rows. Negative and infinite weights are refused. Other columns are not
     read; an empty table gives no rows.
 
-    Shards are drawn once and written, without the texts. Slots come from an order over all rows by range, whatever
-    ids look like: each task numbers its stretch, and a table of one count per task and shard gives the starts.
+    A leaf that both trees have with equal weight is drawn once for both. The drawn shards are written, without the texts; slots
+    come from an order over all rows by range, whatever ids look like (see ``ordered.positions``).
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    drawn_once = [x for x in dict.fromkeys([*leaves, *(grown or [])]) if x.weight > 0]
+    at = {x: i for i, x in enumerate(drawn_once)}
     drawn = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-        _descend(key, leaves).alias("shard"),
-        (_descend(key, grown) if grown else F.lit(None).cast("int")).alias("grown_shard"),
+        _draws(key, drawn_once).alias("draws"),
         F.monotonically_increasing_id().alias("row"),  # tells equal rows apart, so that ranges can split them
+    ).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        _descend(F.col("draws"), at, leaves).alias("shard"),
+        (_descend(F.col("draws"), at, grown) if grown else F.lit(None).cast("int")).alias("grown_shard"),
+        "row",
     )
-    order = ["shard", "doc_id", "text_crc32", "size", "row"]
-    ranged = stash(drawn, "drawn").repartitionByRange(*order).sortWithinPartitions(*order)
-    # the number of the task and of the row in it, which the written table keeps
-    ranged = stash(ranged.withColumn("at", F.monotonically_increasing_id()).withColumn("task", F.shiftright("at", 33)), "ranged")
-    counts = ranged.groupBy("shard", "task").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first_at"))
-    before = Window.partitionBy("shard").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.struct("shard", "task").alias("stretch"), (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first_at")).alias("shift"))
-    joined = ranged.join(small_side(starts, "starts"), F.struct("shard", "task").eqNullSafe(F.col("stretch")))
-    return joined.select("doc_id", "size", "text_crc32", "shard", (F.col("at") + F.col("shift")).cast("long").alias("slot"), "grown_shard")
+    placed = positions(stash(drawn, "drawn"), ["shard"], ["doc_id", "text_crc32", "size", "row"])
+    return placed.select("doc_id", "size", "text_crc32", "shard", F.col("pos").cast("long").alias("slot"), "grown_shard")
