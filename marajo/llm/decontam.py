@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -222,38 +222,53 @@ class Automaton:
 
     def match(self, words: list[bytes]) -> tuple[list[list[int]], set[int]]:
         """Merged hit spans (word positions, end exclusive) and the items whose windows occur."""
-        spans: list[list[int]] = []
-        found: set[int] = set()
-        if not words:
-            return spans, found
-        base, up, link, owned, short = (self.view[k] for k in ("base", "short_up", "link", "owned", "short_state"))
-        owner, short_length, short_item = (self.view[k] for k in ("owner", "short_length", "short_item"))
-        told: set[int] = set()
-        for at, state, matched in self.walk(self.symbols(words)):
-            size = 0
-            if matched >= self.window:
-                size = self.window
-                if (held := base[state]) not in told:
-                    told.add(held)
-                    i = bisect_left(owned, held)
-                    while i < len(owned) and owned[i] == held:
-                        found.add(owner[i])
-                        i += 1
-            state = up[state]
-            while state:
-                i = bisect_left(short, state)
-                while i < len(short) and short[i] == state:
-                    if short_length[i] <= matched:
-                        size = max(size, short_length[i])
-                        found.add(short_item[i])
+        return self.match_all([words])[0]
+
+    def match_all(self, texts: list[list[bytes]]) -> list[tuple[list[list[int]], set[int]]]:
+        """:meth:`match` of several texts, which are streamed one behind the other with a word between that no item has."""
+        out: list[tuple[list[list[int]], set[int]]] = [([], set()) for _ in texts]
+        flat: list[bytes] = []
+        ends = []
+        for words in texts:
+            flat += words
+            flat.append(b" ")
+            ends.append(len(flat))
+        text, first, told = 0, 0, set()
+        for at, state, matched in self.walk(self.symbols(flat)) if flat else ():
+            if at >= ends[text]:
+                text = bisect_right(ends, at)
+                first, told = ends[text - 1], set()
+            self._note(at - first, state, matched, *out[text], told)
+        return out
+
+    def _note(self, at: int, state: int, matched: int, spans: list[list[int]], found: set[int], told: set[int]) -> None:
+        """Add the windows that end at ``at`` to ``spans`` and ``found``; ``told`` are the states whose items are there already."""
+        size = 0
+        if matched >= self.window:
+            size = self.window
+            held = self.view["base"][state]
+            if held not in told:
+                told.add(held)
+                owned, owner = self.view["owned"], self.view["owner"]
+                i = bisect_left(owned, held)
+                while i < len(owned) and owned[i] == held:
+                    found.add(owner[i])
                     i += 1
-                state = up[link[state]]
-            if size:
-                start = at - size + 1
-                while spans and spans[-1][1] >= start:
-                    start = min(start, spans.pop()[0])
-                spans.append([start, at + 1])
-        return spans, found
+        up, link, short, short_length, short_item = (self.view[k] for k in ("short_up", "link", "short_state", "short_length", "short_item"))
+        state = up[state]
+        while state:
+            i = bisect_left(short, state)
+            while i < len(short) and short[i] == state:
+                if short_length[i] <= matched:
+                    size = max(size, short_length[i])
+                    found.add(short_item[i])
+                i += 1
+            state = up[link[state]]
+        if size:
+            start = at - size + 1
+            while spans and spans[-1][1] >= start:
+                start = min(start, spans.pop()[0])
+            spans.append([start, at + 1])
 
 
 def _bit(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
@@ -376,8 +391,7 @@ class Shelf:
         """Merged hit spans and found items of each split text, over all automata."""
         found: list[tuple[list[list[int]], set[int]]] = [([], set()) for _ in texts]
         for automaton in self:
-            for i, words in enumerate(texts):
-                spans, ids = automaton.match(words)
+            for i, (spans, ids) in enumerate(automaton.match_all(texts)):
                 if spans:
                     found[i] = (merge(found[i][0], spans), found[i][1] | ids)
         return found
