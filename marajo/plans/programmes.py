@@ -206,23 +206,35 @@ EXECUTION_BANDS = ([40, 55, 75], ["Menor que 40%", "De 41% a 55%", "De 56% a 75%
 def state_panel(sheets: DataFrame, states: DataFrame, situations: Sequence[str] = SITUATIONS) -> DataFrame:
     """P36. Sections of one long table by state: header, method, ordinance, demand, situation (all listed ones, zeros
     included) and bands of physical execution. The header reuses the counts for municipalities and units."""
-    measures = lambda: [F.count("apf").alias("qtd_empreendimentos"), F.coalesce(F.sum("quantidade_uh"), F.lit(0)).alias("qtd_uhs")]
-    zero = lambda c: F.coalesce(F.sum(c), F.lit(0.0))
-    header = sheets.groupBy("uf").agg(
-        F.lit("resumo").alias("dimensao"), F.count_distinct("municipio").alias("qtd_empreendimentos"), F.coalesce(F.sum("quantidade_uh"), F.lit(0)).alias("qtd_uhs"),
-        zero("valor_contratado").alias("valor_1"), zero("valor_desembolsado").alias("valor_2"), zero("valor_aporte_adicional").alias("valor_3"),
-        F.when(F.coalesce(F.sum("quantidade_uh"), F.lit(0)) > 0, F.sum("valor_contratado") / F.sum("quantidade_uh")).otherwise(0.0).alias("valor_4"),
-        F.count("apf").alias("total_empreendimentos_uf"),
-    )
-    dist = lambda c: sheets.groupBy("uf", c.alias("dimensao")).agg(*measures())
     ordinance = F.when(F.col("portaria_selecao") == "Não informada", F.col("portaria_selecao")).otherwise(F.concat(F.lit("Portaria nº "), "portaria_selecao"))
-    situation = T.densify(dist(F.col("situacao_empreendimento")), "uf", "dimensao", situations, ["qtd_empreendimentos", "qtd_uhs"])
-    # every state has its rows, also one whose situations are all unlisted
-    bands = T.band_counts(sheets, ["uf"], "percentual_execucao_fisica", *EXECUTION_BANDS, measure="quantidade_uh")
-    bands = bands.select("uf", F.col("band").alias("dimensao"), F.col("n").alias("qtd_empreendimentos"), F.col("quantidade_uh").alias("qtd_uhs"), "position")
-    panel = T.sectioned_panel({
-        "header": header, "metodo": dist(F.col("metodo")), "portaria": dist(ordinance), "demanda": dist(F.col("demanda")), "situacao": situation, "execucao_fisica": bands,
-    })
+    labels = EXECUTION_BANDS[1]
+    parts = {
+        "metodo": F.col("metodo"), "portaria": ordinance, "demanda": F.col("demanda"), "situacao": F.col("situacao_empreendimento"),
+        "execucao_fisica": T.band(F.col("percentual_execucao_fisica"), *EXECUTION_BANDS),
+    }
+    # the sections are one measure by section and dimension: a sheet is read once and counts in each, the header beside them
+    sections = F.array(*[F.struct(F.lit(n).alias("section"), c.cast("string").alias("dimensao")) for n, c in parts.items()], F.struct(F.lit("header").alias("section"), F.lit("resumo").alias("dimensao")))
+    long = sheets.select("uf", "apf", "municipio", "quantidade_uh", "valor_contratado", "valor_desembolsado", "valor_aporte_adicional", F.inline(sections))
+    header = F.col("section") == "header"
+    only = lambda c: F.when(header, c)
+    units, amount = F.coalesce(F.sum("quantidade_uh"), F.lit(0)), lambda c: F.coalesce(F.sum(c), F.lit(0.0))
+    counted = long.groupBy("uf", "section", "dimensao").agg(
+        F.when(header, F.size(F.collect_set(only(F.col("municipio"))))).otherwise(F.count("apf")).cast("long").alias("qtd_empreendimentos"), units.alias("qtd_uhs"),
+        only(amount("valor_contratado")).alias("valor_1"), only(amount("valor_desembolsado")).alias("valor_2"), only(amount("valor_aporte_adicional")).alias("valor_3"),
+        only(F.when(units > 0, F.sum("valor_contratado") / F.sum("quantidade_uh")).otherwise(0.0)).alias("valor_4"),
+        only(F.count("apf")).alias("total_empreendimentos_uf"),
+    )
+    # every state has a row for each listed situation, one whose situations are all unlisted too: the header's row brings them
+    listed = F.array(*[F.lit(x) for x in situations])
+    zeros = lambda s: F.struct(F.lit("situacao").alias("section"), s.alias("dimensao"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("u"))
+    own = F.struct("section", "dimensao", F.col("qtd_empreendimentos").alias("n"), F.col("qtd_uhs").cast("long").alias("u"))
+    spread = counted.withColumn("row", F.explode(F.when(header, F.concat(F.array(own), F.transform(listed, zeros))).otherwise(F.array(own))))
+    summed = spread.where((F.col("row.section") != "situacao") | F.array_contains(listed, F.col("row.dimensao"))).groupBy("uf", "row.section", "row.dimensao").agg(
+        F.sum("row.n").alias("qtd_empreendimentos"), F.sum("row.u").alias("qtd_uhs"),
+        *[F.max(F.when(F.col("row.section") == "header", F.col(c))).alias(c) for c in ("valor_1", "valor_2", "valor_3", "valor_4", "total_empreendimentos_uf")],
+    )
+    place = lambda names: F.array_position(F.array(*[F.lit(x) for x in names]), F.col("dimensao")).cast("int")
+    panel = summed.withColumn("position", F.when(F.col("section") == "situacao", place(situations)).when(F.col("section") == "execucao_fisica", place(labels)))
     named = T.enrich(panel, [(states.select(F.col("sigla").alias("uf"), F.upper("nome").alias("estado")), "uf")], checked=False)
     return named.select(
         "uf", "estado", F.col("section").alias("secao"), "dimensao", F.coalesce("position", F.lit(0)).alias("ordem"), "qtd_empreendimentos", "qtd_uhs",
