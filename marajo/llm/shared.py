@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marajo.session import checkpoint_root, remember
 
@@ -53,3 +54,23 @@ def mapped(uri: str):
     if isinstance(store, fs.LocalFileSystem):
         return pa.memory_map(path).read_buffer()
     return pa.py_buffer(load(uri))
+
+
+#: Bits of a set of ids that may be too many to send: eight megabytes, whatever their number.
+ID_BITS = 1 << 26
+
+
+def _bit_of(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(ID_BITS))
+
+
+def possibly_in(df: DataFrame, column: str, ids: DataFrame, negate: bool = False) -> DataFrame:
+    """The rows of ``df`` whose ``column`` may be in that of ``ids`` (with ``negate`` those where it can't be), where they lie: ids are
+    hashed into a bitmap of ``ID_BITS``, which goes to every executor, and no row of ``df`` is moved. Ids that aren't there pass
+    with a chance of about their number over ``ID_BITS``."""
+    words = ids.select(_bit_of(column).alias("b")).groupBy(F.floor(F.col("b") / 64).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("w"))
+    every = df.sparkSession.range(ID_BITS // 64).withColumnRenamed("id", "i").join(words, "i", "left")
+    one = every.agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("w", F.lit(0).cast("long")).alias("w")))).alias("bits")).select(F.col("bits.w").alias("_bits"))
+    bit = _bit_of(column)
+    told = F.getbit(F.get("_bits", F.floor(bit / 64).cast("int")), (bit % 64).cast("int")) == 1
+    return df.join(F.broadcast(one), ~told if negate else told).select(*df.columns)
