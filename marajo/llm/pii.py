@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marajo.llm.shared import maybe, with_bitmap
 from marajo.session import stash
 
 #: Patterns by kind, in order of report. Each matches what the plain pattern in its comment matches from left to
@@ -148,10 +149,15 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, _SPACE), lambda w: w != "")
 
 
-def _small(terms: DataFrame) -> DataFrame:
-    """``terms`` (one written column) marked for broadcast where they are few and short; else left to a shuffled join."""
+def _are_few(terms: DataFrame) -> bool:
+    """Whether ``terms`` (one written column) are few and short enough to be sent to every executor."""
     size = terms.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(terms.columns[0])).alias("bytes")).first()
-    return F.broadcast(terms) if size.n <= BROADCAST_TERMS and (size.bytes or 0) <= 100 * BROADCAST_TERMS else terms
+    return size.n <= BROADCAST_TERMS and (size.bytes or 0) <= 100 * max(BROADCAST_TERMS, 0)
+
+
+def _small(terms: DataFrame) -> DataFrame:
+    """``terms`` marked for broadcast where they are few; else left to a shuffled join."""
+    return F.broadcast(terms) if _are_few(terms) else terms
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = 3, reveal: float = 0.5, bits: float = 8.0) -> DataFrame:
@@ -161,8 +167,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = 3, reveal
     ``found`` is ``mentions(docs)``, written. Terms are words of two characters or more without digits or ``@`` that
     stand in the words around a mention; all is counted in distinct texts, null ids and repeated rows included. A term
     stands in at least as many texts as there are texts that have it around some mention, so most terms fall before
-    the corpus is counted, and only words that are still candidates leave the scan that counts them. No text is ever
-    moved. An empty table has no terms.
+    the corpus is counted, and only words that are candidates leave the scan that counts them, or, where candidates are too
+    many to be sent, that a bitmap of them lets pass. No text is ever moved. An empty table has no terms.
     """
     contexts = found.select("tag", F.explode("base").alias("m")).select("tag", "m.kind", F.col("m.value").alias("entity"), "m.around").distinct()
     total = contexts.groupBy("kind", "entity").agg(F.count_distinct("tag").alias("mentions"))
@@ -179,10 +185,13 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = 3, reveal
     told = pairs.select("term", "kind", "entity").limit(0).withColumn("information", F.lit(0.0))
     if pairs.isEmpty():
         return told
-    candidates = _small(stash(pairs.select("term").distinct(), "candidates"))
+    candidates = stash(pairs.select("term").distinct(), "candidates")
     text = F.coalesce("text", F.lit(""))
-    corpus = docs.select(F.xxhash64(text).alias("tag"), F.explode(F.array_distinct(_words(text))).alias("term"))
-    frequency = corpus.join(candidates, "term").groupBy("term").agg(F.count_distinct("tag").alias("df"))
+    texts = docs.select(F.xxhash64(text).alias("tag"), F.array_distinct(_words(text)).alias("words"))
+    if not _are_few(candidates):  # a bitmap of them keeps the other words in the row
+        texts = with_bitmap(texts, candidates).select("tag", F.filter("words", maybe).alias("words"))
+    corpus = texts.select("tag", F.explode("words").alias("term"))
+    frequency = corpus.join(_small(candidates), "term").groupBy("term").agg(F.count_distinct("tag").alias("df"))
     given = F.col("joint") / F.col("df")
     telling = pairs.join(frequency, "term").select("term", "kind", "entity", given.alias("given"), F.log2(given / chance).alias("information"))
     telling = telling.where((F.col("given") >= reveal) & (F.col("information") >= bits))
@@ -195,9 +204,13 @@ def _term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), text.alias("text"))
     few = [r.term for r in terms.limit(FEW_TERMS + 1).collect()]
-    if len(few) <= FEW_TERMS:  # spares the others the explosion
+    places = located(F.col("text"), F.lit(_WORD_CLASS + "++"))
+    if len(few) <= FEW_TERMS:  # spares the other texts the explosion
         texts = texts.where(F.exists(_words(F.col("text")), lambda w: w.isin(few)))
-    words = texts.select("doc_id", "tag", F.explode(located(F.col("text"), F.lit(_WORD_CLASS + "++"))).alias("m"))
+    else:  # and a bitmap spares all but a few of the other words it
+        texts = with_bitmap(texts, terms).where(F.exists(_words(F.col("text")), maybe))
+        places = F.filter(places, lambda m: maybe(m["value"]))
+    words = texts.select("doc_id", "tag", F.explode(places).alias("m"))
     hits = words.select("doc_id", "tag", "m", F.col("m.value").alias("term")).join(_small(terms), "term", "left_semi")
     own = F.sort_array(F.collect_set(F.struct("m.start", "m.end", "m.value")))
     spans = F.transform("own", lambda m: F.struct(F.lit("term").alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value")))

@@ -56,21 +56,32 @@ def mapped(uri: str):
     return pa.py_buffer(load(uri))
 
 
-#: Bits of a set of ids that may be too many to send: eight megabytes, whatever their number.
-ID_BITS = 1 << 26
+#: Bits of a set of values that may be too many to send: eight megabytes, whatever their number.
+SET_BITS = 1 << 26
 
 
-def _bit_of(column: str) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(ID_BITS))
+def _bit_of(value: Column) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(SET_BITS))
 
 
-def possibly_in(df: DataFrame, column: str, ids: DataFrame, negate: bool = False) -> DataFrame:
-    """The rows of ``df`` whose ``column`` may be in that of ``ids`` (with ``negate`` those where it can't be), where they lie: ids are
-    hashed into a bitmap of ``ID_BITS``, which goes to every executor, and no row of ``df`` is moved. Ids that aren't there pass
-    with a chance of about their number over ``ID_BITS``."""
-    words = ids.select(_bit_of(column).alias("b")).groupBy(F.floor(F.col("b") / 64).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("w"))
-    every = df.sparkSession.range(ID_BITS // 64).withColumnRenamed("id", "i").join(words, "i", "left")
-    one = every.agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("w", F.lit(0).cast("long")).alias("w")))).alias("bits")).select(F.col("bits.w").alias("_bits"))
-    bit = _bit_of(column)
-    told = F.getbit(F.get("_bits", F.floor(bit / 64).cast("int")), (bit % 64).cast("int")) == 1
-    return df.join(F.broadcast(one), ~told if negate else told).select(*df.columns)
+def with_bitmap(df: DataFrame, values: DataFrame) -> DataFrame:
+    """``df`` with ``_bits``: a bitmap of ``SET_BITS`` of the hashes of ``values`` (one column), the same for every row. It goes to
+    every executor; no row of ``df`` is moved."""
+    bits = values.select(_bit_of(F.col(values.columns[0])).alias("b"))
+    words = bits.groupBy(F.floor(F.col("b") / 64).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("w"))
+    every = df.sparkSession.range(SET_BITS // 64).withColumnRenamed("id", "i").join(words, "i", "left")
+    one = every.agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("w", F.lit(0).cast("long")).alias("w")))).alias("bits"))
+    return df.crossJoin(F.broadcast(one.select(F.col("bits.w").alias("_bits"))))
+
+
+def maybe(value: Column) -> Column:
+    """Whether ``value`` may be among the values of the row's ``_bits``: true if it is, and with a chance of about their number
+    over ``SET_BITS`` if it isn't."""
+    bit = _bit_of(value)
+    return F.getbit(F.get("_bits", F.floor(bit / 64).cast("int")), (bit % 64).cast("int")) == 1
+
+
+def possibly_in(df: DataFrame, column: str, values: DataFrame, negate: bool = False) -> DataFrame:
+    """The rows of ``df`` whose ``column`` may be in that of ``values`` (with ``negate`` those where it can't be), where they lie."""
+    told = maybe(F.col(column))
+    return with_bitmap(df, values.select(column)).where(~told if negate else told).select(*df.columns)

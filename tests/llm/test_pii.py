@@ -191,3 +191,17 @@ def test_terms_of_given_texts_equal_the_sql_at_lower_thresholds(spark):
     found = pii.find(spark.read.parquet(path), support=1, reveal=0.2, bits=2.0)
     got = {r.doc_id: r.told for r in found.select("doc_id", queries._told("spans").alias("told")).collect()}
     assert got == want and sum("term:" in s for s in got.values()) > 20
+
+
+def test_many_terms_give_the_same_spans(spark, monkeypatch):
+    frame = docs(spark, [(k, f"{('Zorblat', 'Quenlo', 'Marfil')[k % 3]} spoke {k} {k + 1} of it, mail person{k % 3}@example.org now {'x' * (k % 5)} tail{k}") for k in range(30)] + [(100 + k, f"filler text {k}") for k in range(60)])
+    limits = {"bits": 1.0, "reveal": 0.3, "support": 2}
+    view = lambda: sorted(map(str, pii.find(frame, **limits).select("doc_id", "spans").collect()))
+    want = view()
+    assert any("term" in x for x in want)
+    monkeypatch.setattr(pii, "FEW_TERMS", 0)
+    assert view() == want
+    monkeypatch.setattr(pii, "BROADCAST_TERMS", -1)
+    assert view() == want
+    plan = pii.disclosing_terms(frame, pii.mentions(frame), **limits)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
