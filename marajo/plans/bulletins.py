@@ -524,7 +524,7 @@ def company_rows(wide: DataFrame, companies: Mapping[str, str] = COMPANY_PREFIXE
     return rows.orderBy(F.desc("ano"), F.desc("trimestre"), "empresa")
 
 
-#: P22. Staged series that the continuous bulletin reads: model to path under the staging area.
+#: P22. Staged series that the continuous bulletin reads: model to path under the staging area. Fixed values.
 STAGED_READS = {
     "abecip_poupanca_sbpe": "abecip/poupanca_sbpe_mensal", "bacen_credito_pib": "bacen/credito_imobiliario_pib", "bacen_financiamentos_imobiliarios": "bacen/financiamentos_imobiliarios",
     "fgv_icst": "fgv/icst", "fgv_incc_m": "fgv/incc_m", "fipezap_locacao": "fipe/indice_locacao", "ibge_paic_obras": "ibge/paic_obras",
@@ -546,7 +546,7 @@ def staged_series(spark: SparkSession, staging: str, model: str, columns: Sequen
     return spark.read.parquet(f"{staging.rstrip('/')}/{STAGED_READS[model]}.parquet").select(*columns)
 
 
-#: Budget actions of the report: code to name, in report order.
+#: Budget actions of the report: code to name, in report order. Fixed values.
 BUDGET_ACTIONS = {"00AF": "FAR", "00CY": "FDS", "00CX": "PNHR", "00TI": "FNHIS", "00CW": "PNHU", "0E64": "OFERTA P.", "00XF": "FUNDO SOC."}
 BUDGET_AMOUNTS = {"dotacao_atualizada": "dotacao_atualizada", "despesas_empenhadas": "empenho", "despesas_pagas": "pagamento", "restos_a_pagar_inscritos": "rap_inscrito", "restos_a_pagar_pagos": "pag_rap"}
 

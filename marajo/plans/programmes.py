@@ -48,7 +48,7 @@ def _place() -> list[Column]:
 
 # --- programme A --------------------------------------------------------------------------------------------
 
-#: Codes of building types, of origination and of demand, and the labels they have in the reports.
+#: Codes of building types, of origination and of demand, and the labels they have in the reports. Fixed values.
 BUILDINGS_A = {"1": "Casa Térrea", "2": "Apartamento", "3": "Sobrado", "4": "Misto"}
 METHODS = {"1": "SELEÇÃO", "2": "CALAMIDADE/EMERGÊNCIA"}
 DEMANDS = {
@@ -198,7 +198,7 @@ def national_map(sheets: DataFrame, states: DataFrame) -> DataFrame:
     return own.unionByName(shaped(regions, F.col("regiao_sigla"), F.col("regiao_nome"), F.lit(None).cast("string"), "regiao"))
 
 
-#: Situations of the state panel, in report order, and its bands of physical execution.
+#: Situations of the state panel, in report order, and its bands of physical execution. Fixed values.
 SITUATIONS = ["CONCLUÍDO E ENTREGUE", "CONCLUÍDO", "EM ANDAMENTO", "PARALISADO", "NÃO INICIADO", "DESMOBILIZADO"]
 EXECUTION_BANDS = ([40, 55, 75], ["Menor que 40%", "De 41% a 55%", "De 56% a 75%", "Maior que 75%"])
 
@@ -253,7 +253,7 @@ def management_summary(sheets: DataFrame) -> DataFrame:
 
 # --- programme B --------------------------------------------------------------------------------------------
 
-#: Codes of building types, work regimes and modalities, and the regions' states.
+#: Codes of building types, work regimes and modalities, and the regions' states. Fixed values.
 BUILDINGS_B = {"1": "Casa", "2": "Misto", "3": "Apartamento"}
 REGIMES = {"1": "Empreitada Global", "2": "Autogestão"}
 MODALITIES = {"1": "Aquisição de Terreno e Projeto", "2": "Elaboração de Projeto", "3": "Produção de Unidades Novas", "4": "Requalificação"}
