@@ -5,7 +5,7 @@ the longest suffix that some item contains. A window is ``window`` consecutive w
 item where it is shorter); each position whose matching length reaches a window's length marks that window's
 words as hit.
 
-The automaton lies in flat arrays: about 60 bytes a state, so that one holds millions of words of items, is saved in the
+The automaton lies in flat arrays: about 80 bytes a state, so that one holds millions of words of items, is saved in the
 shared folder as it is and is mapped from there. Words are known by 64-bit hashes; one that equals an item's by chance
 would only matter inside a whole window of them. Before a text is streamed, its pairs of neighbouring words are looked up in
 a bitmap of the items' pairs: only where as many as the shortest window has follow each other can a window end, and only
@@ -32,8 +32,8 @@ from marajo.llm.arrow import as_bytes, lists, small_batches, steps
 from marajo.llm.shared import mapped, new_folder, save
 from marajo.session import stash
 
-#: Words of items in an automaton (about 400 MB at most).
-BLOCK_WORDS = 5_000_000
+#: Words of items in an automaton (about 160 MB; building it takes about 700 MB).
+BLOCK_WORDS = 2_000_000
 #: Automata that a worker holds, and bytes of text it streams through all where there are more.
 RESIDENT = 2
 MANY_BLOCKS_STEP = 64 << 20
