@@ -57,11 +57,11 @@ DEMANDS = {
 
 
 def entity_a(register: DataFrame, proposals: DataFrame, works: DataFrame, priority: DataFrame) -> DataFrame:
-    """P31. One row per contract: register, the latest proposal (null dates first, as its source has it), works and the
-    lender's snapshot."""
+    """P31. One row per contract: register, the latest proposal (null dates first, as its source has it; of equal dates
+    the greatest by the other columns in turn), works and the lender's snapshot."""
     order = ["dt_movimento", "dt_protocolo"]
     taken = ["id_proposta", "portaria_contratacao", "proponente_cnpj", "proponente_nome", "tomador_cnpj", "tomador_nome", "municipio", "uf", "co_originacao", "co_tipo_demanda"]
-    latest = T.latest_per_key(proposals.where("id_proposta is not null").select(*taken, *order), "id_proposta", order, nulls="first").select(*taken)
+    latest = T.latest_per_key(proposals.where("id_proposta is not null").select(*taken, *order), "id_proposta", [*order, *taken[1:]], nulls="first").select(*taken)
     own = register.select("apf", "id_proposta", "empreendimento_nome", "qt_uh", "co_tipo_edificacao", "vr_total_investimento", "agente_financeiro", "dt_contratacao")
     star = T.enrich(
         own,
@@ -265,10 +265,10 @@ _GPS = [f"gps_{axis}_{part}" for axis in ("lat", "long") for part in ("grau", "m
 
 
 def entity_b(register: DataFrame, works: DataFrame, snapshot: DataFrame, social: DataFrame, disbursements: DataFrame, selection: str = "NOVO PMCMV-E") -> DataFrame:
-    """P39. One row per contract of programme B: register, works, the latest snapshot of the selection (null dates last),
-    social work, and absolute credits by six-digit root. Coordinates of zero degrees are none."""
+    """P39. One row per contract of programme B: register, works, the latest snapshot of the selection (null dates last,
+    of equal dates the greatest by situation, then phase), social work, and absolute credits by six-digit root. Coordinates of zero degrees are none."""
     taken = snapshot.where(F.col("selecao_pmcmv_e") == selection).select("apf", "situacao_gefus", "fase_contrato", "dt_movimento")
-    latest = T.latest_per_key(taken, "apf", ["dt_movimento"]).drop("dt_movimento")
+    latest = T.latest_per_key(taken, "apf", ["dt_movimento", "situacao_gefus", "fase_contrato"]).drop("dt_movimento")
     credits = T.credits_absolute(disbursements.where("vr_liberado is not null"), "ic_credito", ["vr_liberado"], "0")
     paid = credits.groupBy(F.right("apf", F.lit(6)).alias("_root")).agg(
         F.sum(F.col("vr_liberado").cast("double")).alias("paid"), F.count(F.lit(1)).alias("qt_liberacoes"), F.max("dt_liberacao").alias("dt_ultima_liberacao")
