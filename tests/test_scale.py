@@ -179,3 +179,13 @@ def test_a_document_is_whole_or_the_last_one(spark, tmp_path, monkeypatch):
     assert (tmp_path / "report.json").read_text() == '{"rows":[{"id":0},{"id":1}]}\n'
     files.write_document(made(1), path)
     assert (tmp_path / "report.json").read_text() == '{"rows":[{"id":0}]}\n' and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["report.json"]
+
+
+def test_rename_plan_sends_no_side_through_the_driver(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(L, "stash", lambda df, name, held=L.stash: rounds.append((name, df)) or held(df, name))
+    ledger = spark.createDataFrame([(f"c{i // 2}.csv" if i % 2 else f"b{i}.csv", i, f"a{i}") for i in range(600)], "path string, processed_at int, table_name string")
+    plan = L.rename_plan(ledger, ledger.select("table_name"))
+    assert plan.where("outcome = 'renamed' and step = 0").count() == 600
+    assert not any("BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString() for df in [plan, *[f for _, f in rounds]])
+    assert sum(name == "hops" for name, _ in rounds) <= 2  # the longest chain is one move
