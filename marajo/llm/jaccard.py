@@ -1,8 +1,11 @@
-"""Near-dedup by exact Jaccard similarity of word shingles, over an inverted index of MinHash bands.
+"""Near-dedup by exact Jaccard similarity of word shingles, over operator 1's index of SimHash fingerprints and MinHash bands.
 
-A text is the set of its shingles; equal sets are one node. ``BANDS`` keys of ``ROWS`` minima each post a node: two
-sets of similarity ``s`` meet in a list with chance ``1 - (1 - s**ROWS)**BANDS``, which is 0.999997 at 0.8 and more
-above. Whatever is met is verified by the exact similarity of the two sets.
+A text is the set of its shingles; equal sets are one node. Its fingerprint is the SimHash of the set, and the nodes whose
+fingerprints the byte-position index of ``simhash`` links, by ``BITS`` bits or fewer from one to the next, form a list. At a
+similarity of 0.8 some ten of 64 bits differ, which no positional byte survives for certain, so ``BANDS`` keys of ``ROWS``
+minima each post a node too, for the rest: two sets of similarity ``s`` meet in a list of a band with chance
+``1 - (1 - s**ROWS)**BANDS``, which is 0.999997 at 0.8 and more above. Whatever is met, by fingerprint or by band, is
+verified by the exact similarity of the two sets.
 
 A list isn't paired up at once, which would be quadratic in a group of near copies. Its members are first compared
 with ``HEADS`` of them, the same in all lists that hold them, and linked; only lists that the links so far leave in
@@ -18,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marajo.llm import simhash
 from marajo.llm.arrow import as_bytes, lists, small_batches, steps
 from marajo.llm.graph import connected_components
 from marajo.llm.shared import possibly_in
@@ -26,6 +30,8 @@ from marajo.session import BROADCAST_ROWS, small_side, stash
 #: Ids that are sent to every executor; beyond, a bitmap of them is, and texts still stay where they lie.
 FEW_IDS = BROADCAST_ROWS
 ROWS, BANDS, HEADS = 4, 24, 3
+#: Bits in which the fingerprints of two sets that the index links differ at most, as in operator 1.
+BITS = 2
 #: Shingles of the sets that one part of a list holds, on average; a shingle takes 8 bytes.
 PART = 1 << 15
 #: Sets that one part holds, on average: two parts are compared by a matrix of all their sets.
@@ -75,7 +81,8 @@ def _node(found: np.ndarray) -> int:
 
 
 def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
-    """``doc_id``, ``node`` (hash of the set of shingles), ``n`` (its size) and ``bands`` of each row; a null text has no words."""
+    """``doc_id``, ``node`` (hash of the set of shingles), ``n`` (its size), ``fp`` (its SimHash) and ``bands`` of each row; a null
+    text has no words."""
 
     def scan(batches):
         for batch in batches:
@@ -86,13 +93,14 @@ def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
                 ends = np.append(0, np.cumsum([BANDS * (len(s) > 0) for s in sets]))
                 node = np.array([_node(s) for s in sets], np.uint64).view(np.int64)
                 n = np.array([len(s) for s in sets], np.int32)
+                fp = np.array([simhash.majority(s) for s in sets], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(node), pa.array(n), lists(keys.reshape(-1).view(np.int64), ends, pa.int64())],
-                    names=["doc_id", "node", "n", "bands"],
+                    [part.column("doc_id"), pa.array(node), pa.array(n), pa.array(fp), lists(keys.reshape(-1).view(np.int64), ends, pa.int64())],
+                    names=["doc_id", "node", "n", "fp", "bands"],
                 )
 
     rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(scan, "doc_id long, node long, n int, bands array<long>")
+    return rows.mapInArrow(scan, "doc_id long, node long, n int, fp long, bands array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -130,13 +138,21 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(scan, "a long, b long").distinct()
 
 
+def _alike(full: DataFrame) -> DataFrame:
+    """``node``, ``n`` and ``key`` of each set: a list for each group of sets whose fingerprints operator 1's index links."""
+    group = connected_components(simhash.links(full.select("fp"), BITS)).withColumnRenamed("node", "fp")
+    named = full.select("node", "n", "fp").join(group, "fp", "left")
+    return named.select("node", "n", F.xxhash64(F.lit("fp"), F.coalesce("label", "fp")).alias("key"))
+
+
 def links(docs: DataFrame, first: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Edges ``a``, ``b`` between nodes that join all met pairs of similarity ``percent`` per cent or more.
 
-    ``first`` has ``node``, ``first_id``, ``n`` and ``bands`` of each distinct set of ``docs``.
+    ``first`` has ``node``, ``first_id``, ``n``, ``fp`` and ``bands`` of each distinct set of ``docs``.
     """
     # of two sets that differ, the smaller one needs this many shingles to be similar enough
-    posted = first.where(F.col("n") * (100 - percent) >= percent).select("node", "n", F.explode("bands").alias("key"))
+    full = first.where(F.col("n") * (100 - percent) >= percent)
+    posted = _alike(full).unionByName(full.select("node", "n", F.explode("bands").alias("key")))
     order = [F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node", "n") for i in range(HEADS)]
     heads = posted.groupBy("key").agg(F.count(F.lit(1)).alias("met"), F.array(*[F.min(o) for o in order]).alias("heads")).where("met > 1")
     met = stash(posted.join(heads, "key").select("key", "node", "n", "heads"), "met")
@@ -242,7 +258,8 @@ def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """
     known = docs.where(F.col("doc_id").isNotNull())
     made = stash(sketches(known, size), "sketches")
-    first = stash(made.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
+    held = [F.first(c).alias(c) for c in ("n", "fp", "bands")]
+    first = stash(made.groupBy("node").agg(F.min("doc_id").alias("first_id"), *held), "nodes")
     labels = connected_components(links(known, first, size, percent))
     named = first.select("node", "first_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     lowest = named.groupBy("label").agg(F.min("first_id").alias("kept_id"))

@@ -29,6 +29,15 @@ LIST_LIMIT = 256
 _HEX = "%016x"
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half the 64-bit ``hashes``; 0 without any."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        part = hashes[at : at + (1 << 16)]
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
 def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     """The SimHash of one UTF-8 text: majority of each bit over its shingles' hashes; 0 without words."""
     words = text.lower().split()
@@ -39,12 +48,7 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     n = len(words) - shingle + 1
     digest = xxhash.xxh64_intdigest
     grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
-    hashes = np.fromiter((digest(g, seed) for g in grams), np.uint64, n)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, n, 1 << 16):
-        part = hashes[at : at + (1 << 16)]
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+    return majority(np.fromiter((digest(g, seed) for g in grams), np.uint64, n))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:

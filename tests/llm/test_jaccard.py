@@ -2,9 +2,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marajo.llm import jaccard, shared
+from marajo.llm import jaccard, shared, simhash
 
 from .common import docs
 
@@ -100,3 +101,25 @@ def test_many_ids_move_no_text(spark, monkeypatch):
     inside = {r.doc_id for r in shared.possibly_in(given, "doc_id", ids).collect()}
     outside = {r.doc_id for r in shared.possibly_in(given, "doc_id", ids, negate=True).collect()}
     assert not inside & outside and inside | outside == {i for i, _ in rows}
+
+
+def test_the_index_of_fingerprints_gives_verified_links(spark):
+    r = random.Random(11)
+    base = [f"w{r.randrange(10**6)}" for _ in range(400)]
+    told = lambda t: simhash.majority(jaccard.shingles(t.encode()))
+    near = next(t for t in (" ".join([*base, f"end{i}"]) for i in range(100)) if 0 < (told(t) ^ told(" ".join(base))).bit_count() <= 2)
+    given = docs(spark, [(1, " ".join(base)), (2, near), (3, " ".join(f"a{i}" for i in range(50))), (4, " ".join(f"b{i}" for i in range(50)))])
+    made = jaccard.sketches(given)
+    node = {x.doc_id: x.node for x in made.collect()}
+    # no band posts anything; the last two texts get one fingerprint, though they share no shingle
+    first = made.withColumnRenamed("doc_id", "first_id").withColumn("bands", F.array().cast("array<long>"))
+    first = first.withColumn("fp", F.when(F.col("first_id") > 2, F.lit(5)).otherwise(F.col("fp"))).localCheckpoint()
+    found = {frozenset(x) for x in jaccard.links(given, first).collect()}
+    assert found == {frozenset((node[1], node[2]))}
+
+
+def test_the_stage_takes_the_fingerprints_of_its_sets(spark):
+    given = docs(spark)
+    for x in jaccard.sketches(given).join(given.select("doc_id", "text").distinct(), "doc_id").collect():
+        held = jaccard.shingles((x.text or "").encode()).tolist()
+        assert x.fp % (1 << 64) == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in held) > len(held))
