@@ -31,7 +31,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a five-word Jaccard similarity of 0.8 or more, the one of the smallest id stays."""
+    """Of documents linked by a five-word Jaccard similarity of 0.8 or more, the one of the smallest id stays. Operator 1's index of
+    fingerprints and MinHash bands for what it can't reach propose the links; each is verified."""
     return jaccard.keep_first(docs)
 
 
