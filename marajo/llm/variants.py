@@ -155,7 +155,8 @@ def near_words(vocab: DataFrame) -> DataFrame:
     same, moved = _kept(other, q, m, q)[:2], _kept(other, q + longer, m, q)[2:]
     fits = lambda at, keys: [F.when((other >= MIN_LENGTH) & (at >= 0) & (at <= other - 2), k) for k in keys]
     probes = probes.select(F.struct("word", "n", "reach").alias("b"), F.explode(F.array(*fits(q, same), *fits(q + longer, moved))).alias("key"))
-    met = pivots.where(F.col("key").isNotNull()).join(probes.where(F.col("key").isNotNull()), "key")
+    # Spark takes an exploded table for as large as the one before, and would send it through the driver
+    met = pivots.where(F.col("key").isNotNull()).join(probes.where(F.col("key").isNotNull()).hint("merge"), "key")
     near = met.where((F.col("a.reach") <= F.col("b.reach")) & (F.col("a.word") != F.col("b.word"))).where(F.levenshtein("a.word", "b.word", 1) == 1)
     way = lambda a, b: F.struct(F.col(f"{a}.word").alias("a"), F.col(f"{b}.word").alias("b"), F.col(f"{b}.n").alias("b_n"))
     return near.select(F.inline(F.array(way("a", "b"), way("b", "a")))).repartition("a").distinct()
@@ -170,7 +171,7 @@ def spelling_forms(vocab: DataFrame, times: int = 2) -> DataFrame:
     """
     vocab = stash(vocab.select("word", "n"), "vocabulary")
     best = near_words(vocab).groupBy(F.col("a").alias("word")).agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("b_n")).alias("less"), F.col("b").alias("near"))).alias("best"))
-    joined = vocab.join(best, "word", "left")
+    joined = vocab.join(best.hint("merge"), "word", "left")  # neither side is bounded, nor in any join below
     takes = -F.col("best.less") >= times * F.col("n")
     formed = stash(
         joined.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(takes, F.col("best.near")).alias("form"), F.when(takes, -F.col("best.less")).alias("form_n")),
@@ -179,9 +180,9 @@ def spelling_forms(vocab: DataFrame, times: int = 2) -> DataFrame:
     steps_ = formed.where(F.col("form").isNotNull()).select("word", F.col("form").alias("root"))
     while True:
         onward = steps_.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        moved = stash(steps_.join(onward, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
+        moved = stash(steps_.join(onward.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         steps_ = moved.select("word", "root")
         if moved.where("moved").isEmpty():
             break
-    found = formed.join(steps_, "word", "left")
+    found = formed.join(steps_.hint("merge"), "word", "left")
     return found.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

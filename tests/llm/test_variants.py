@@ -75,6 +75,17 @@ def test_forms_equal_all_pairs(spark):
     assert {tuple(r) for r in variants.spelling_forms(frame.limit(0).union(spark.createDataFrame([("alone", 3)], frame.schema))).collect()} == {("alone", None, "alone", 3, 0, None)}
 
 
+def test_no_table_of_words_is_broadcast(spark):
+    key, vocab = "spark.sql.maxBroadcastTableSize", grown_vocabulary(7)
+    before = spark.conf.get(key)
+    frame = spark.createDataFrame(list(vocab.items()), "word string, n long")
+    spark.conf.set(key, "1b")  # a broadcast fails
+    try:
+        assert {tuple(r) for r in variants.spelling_forms(frame).collect()} == plain_forms(vocab)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_a_bigram_that_all_words_share(spark):
     words = ["zz" + "".join(x) for x in combinations("abcdefghij", 4)] + [None, "zzab", "zzabc", "zzabcd"]
     frame = spark.createDataFrame([(w, 1) for w in words], "word string, n long")
