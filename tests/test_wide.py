@@ -1,8 +1,11 @@
 """Typing of wide tables: work spread over all cores, no method too long to compile."""
 
+import datetime
+
+from marajo.functions import cleaning as C
 from marajo.plans import kit, programme_queries, registry
 from marajo.plans import programme_tables as R
-from marajo.session import stash, unfused
+from marajo.session import stash, unfused, written_so_far
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,3 +26,20 @@ def test_unfused_holds_inside_alone(spark):
     with unfused(spark):
         assert spark.conf.get(key) == "false" and stash(spark.range(3), "three").count() == 3
     assert spark.conf.get(key) == before
+
+
+def test_rejected_values_are_counted_without_a_copy_of_the_raw_tables(spark):
+    mark = written_so_far()
+    found = registry.queries()["g7_rejected_values"](spark, SF)
+    assert found.count() == sum(map(len, R.A.values())) and written_so_far() == mark
+
+
+def test_values_are_typed_without_parsers_that_fail(spark):
+    texts = ["12", " +7 ", "-3\t", "x", "1.5", "", "None", "2147483648", "\u06633", "31/12/2020", "31/12/2020\n", "30/02/2020", "20201231", "20201231\n", "2020-12-31x", " 20201231", "2020123", None]
+    held = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = held.select(C.parse_int("t").alias("i"), C.parse_date_br("t").alias("d"))
+    plan = found._jdf.queryExecution().executedPlan().toString().lower()
+    assert "gettimestamp" not in plan and "try_to_date" not in plan and "(t#" in plan and plan.count("rlike") == 4
+    rows, day = found.collect(), datetime.date(2020, 12, 31)
+    assert [r.i for r in rows] == [12, 7, -3] + [None] * 9 + [20201231, 20201231, None, 20201231, 2020123, None]
+    assert [r.d for r in rows] == [None] * 9 + [day, None, None, day, None, day, None, None, None]
